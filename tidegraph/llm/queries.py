@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, packing, substring
+from . import embedding, minhash, mixing, packing, substring, topk
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -35,9 +39,15 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), with_ids=False)
 
 
+def op10_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_substring_dedup": op3_substring_dedup,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_pivot_top_k": op10_pivot_top_k,
 }
