@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding, minhash, mixing, packing, substring, topk
+from . import embedding, minhash, mixing, packing, substring, topk, warc
 from .common import table
 
 
@@ -31,6 +31,10 @@ def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op6_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
+    "op6_warc_salvage": op6_warc_salvage,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_pivot_top_k": op10_pivot_top_k,

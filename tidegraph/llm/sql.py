@@ -32,4 +32,16 @@ WITH d AS (
 SELECT doc_id, size, source_size, target, CAST(floor(nth * each + u) - floor((nth - 1) * each + u) AS BIGINT) * size AS taken FROM e
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_mix_sources": OP2}
+OP6 = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), d AS (
+  SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest FROM p
+), f AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first_id FROM d
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first_id < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first_id < page_id THEN first_id END AS refers_to FROM f
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_mix_sources": OP2, "op6_warc_salvage": OP6}
