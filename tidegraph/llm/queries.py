@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding, minhash, mixing, packing, substring, topk, warc
+from . import embedding, html_text, minhash, mixing, packing, substring, topk, warc
 from .common import table
 
 
@@ -39,6 +39,10 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), with_ids=False)
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_warc_salvage": op6_warc_salvage,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_html_main_text": op8_html_main_text,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_pivot_top_k": op10_pivot_top_k,
 }
