@@ -11,8 +11,8 @@ with 3e-7; the estimate has a standard deviation of 0.026 there and is asked to
 Scale: texts with equal sets are one class from the start. Buckets never give all their pairs: each document is first
 paired with one partner only, the one among the smallest members of its buckets that shares most buckets; the links that
 are confirmed make components, and then only buckets that still span several components are looked at again, where pairs
-within a component, pairs within the bucket's first component and pairs whose estimate is too low are left out inside the
-join. Minima over buckets are taken before the shuffle, and the joins on buckets and on partners are plain equi-joins that
+within a component, pairs within the bucket's first component, pairs whose estimate is too low and pairs that have too many
+shingles which nobody else has are left out inside the join. Minima over buckets are taken before the shuffle, and the joins on buckets and on partners are plain equi-joins that
 adaptive execution splits where a key is hot. Texts are shuffled only to confirm pairs.
 """
 
@@ -154,6 +154,22 @@ def confirm(pairs: DataFrame, docs: DataFrame, threshold: int = THRESHOLD) -> Da
     return arrow_map(both, _confirm(threshold), "u long, v long")
 
 
+def _shingle_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+    x, o = shingle_sets(batch.column(1).to_pylist())
+    return pa.RecordBatch.from_arrays([batch.column(0), list_array(signed(x), o)], ["doc_id", "shingles"])
+
+
+def _own_shingles(bands: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc_id, own) of the documents in `bands`: how many of its shingles no other of them has. No pair of them can share
+    those, which rules out most pairs of a group whose members were each changed a little too much, without comparing."""
+    ids = bands.select("doc_id").distinct()
+    texts = docs.join(ids.hint("shuffle_hash"), "doc_id").select("doc_id", F.col("text").cast("binary"))
+    sets = arrow_map(texts, _shingle_rows, "doc_id long, shingles array<long>").select("doc_id", F.explode("shingles").alias("shingle"))
+    lone = sets.groupBy("shingle").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")).where("doc_id = last")
+    own = lone.groupBy("doc_id").agg(F.count(F.lit(1)).alias("own"))
+    return materialize(ids.join(own, "doc_id", "left").select("doc_id", F.coalesce("own", F.lit(0)).alias("own")), "own")
+
+
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """One row a row of docs (doc_id, text): doc_id, n_shingles, component_id, kept.
 
@@ -172,9 +188,9 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     copies = materialize(copies, "copies")
     reps = real.join(copies.select("doc_id", "key1", "key2"), ["doc_id", "key1", "key2"], "left_anti").dropDuplicates(["doc_id", "key1", "key2"])
     reps = materialize(reps.drop("key1", "key2"), "representatives")
-    bands = reps.select("doc_id", F.explode("bands").alias("band"))
+    bands = reps.select("doc_id", F.posexplode("bands").alias("nth", "band"))
     shared = bands.groupBy("band").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    bands = materialize(bands.join(shared.select("band", "low"), "band"), "buckets")  # rows of buckets with two members at least
+    bands = materialize(bands.join(shared.select("band", "low"), "band").select("doc_id", "nth", "band", "low"), "buckets")  # rows of buckets with two members at least
     first = bands.where("doc_id > low").groupBy("doc_id", "low").count().groupBy("doc_id").agg(F.max_by("low", F.struct(F.col("count"), -F.col("low"))).alias("low"))
     sides = lambda p: reps.drop("bands").select(*[F.col(c).alias(p + c) for c in reps.columns if c != "bands"])
     first = first.join(sides("a_"), F.col("doc_id") == F.col("a_doc_id")).join(sides("b_"), F.col("low") == F.col("b_doc_id"))
@@ -183,14 +199,18 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     linked = materialize(linked.distinct(), "first-links")
     labels = connected_components(linked, "first")
     # what is left: buckets that span components
-    bands = bands.join(labels, F.col("doc_id") == F.col("id"), "left").select("doc_id", "band", F.coalesce("component", "doc_id").alias("component"))
+    bands = bands.join(labels, F.col("doc_id") == F.col("id"), "left").select("doc_id", "nth", "band", F.coalesce("component", "doc_id").alias("component"))
     spans = bands.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
     bands = materialize(bands.join(spans.select("band", "least"), "band"), "open-buckets")
-    bands = bands.join(reps.drop("bands"), "doc_id")
+    bands = bands.join(reps, "doc_id").join(_own_shingles(bands, docs), "doc_id")
     a = bands.where("component <> least").select("band", *[F.col(c).alias("a_" + c) for c in bands.columns if c not in ("band", "least")])
     b = bands.select("band", *[F.col(c).alias("b_" + c) for c in bands.columns if c != "band"])
     once = (F.col("b_component") == F.col("b_least")) | (F.col("a_doc_id") > F.col("b_doc_id"))
-    pairs = a.join(b, (a["band"] == b["band"]) & (F.col("a_component") != F.col("b_component")) & once & _may_link("a_", "b_", threshold))
+    most = F.least(F.col("a_n_shingles") - F.col("a_own"), F.col("b_n_shingles") - F.col("b_own"))  # they cannot share more
+    can = 100 * most >= threshold * (F.col("a_n_shingles") + F.col("b_n_shingles") - most)
+    before = lambda p: F.slice(F.col(p + "bands"), F.lit(1), F.col("a_nth"))
+    met = F.exists(F.zip_with(before("a_"), before("b_"), lambda x, y: x == y), lambda x: x)  # in an earlier bucket
+    pairs = a.join(b, (a["band"] == b["band"]) & (F.col("a_component") != F.col("b_component")) & once & can & _may_link("a_", "b_", threshold) & ~met)
     pairs = pairs.select(F.greatest("a_doc_id", "b_doc_id").alias("u"), F.least("a_doc_id", "b_doc_id").alias("v")).distinct().join(first, ["u", "v"], "left_anti")
     pairs = materialize(pairs, "second-pairs")
     if not pairs.isEmpty():
