@@ -111,15 +111,18 @@ def _parse(raw: bytes, at: int, exact: bool) -> tuple[Record, int] | str:
     return Record(headers.get("warc-type", ""), headers, block, at), stop + 4
 
 
-def _inflate(data: memoryview, at: int) -> tuple[bytes, int] | str:
-    d = zlib.decompressobj(31)
+def _inflate(data: memoryview, at: int, step: int = 1 << 15) -> tuple[bytes, int] | str:
+    """The member at `at` and where it ends; fed bit by bit, so that what follows is not copied each time."""
+    d, parts, fed = zlib.decompressobj(31), [], at
     try:
-        raw = d.decompress(data[at:])
+        while not d.eof and fed < len(data):
+            parts.append(d.decompress(data[fed : fed + step]))
+            fed = min(fed + step, len(data))
     except zlib.error as e:
         return f"gzip: {e}"
     if not d.eof:
         return "gzip: cut short"
-    return raw, len(data) - len(d.unused_data)
+    return b"".join(parts), fed - len(d.unused_data)
 
 
 def read_archive(data: bytes) -> Iterator[Record | Gap]:
