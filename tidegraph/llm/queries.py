@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding, html_text, minhash, mixing, packing, substring, topk, warc
+from . import embedding, html_text, minhash, mixing, packing, quality, substring, topk, toxicity, warc
 from .common import table
 
 
@@ -17,6 +17,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quality_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))).withColumn("held_out", quality.held_out())
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
@@ -27,6 +32,13 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    out = toxicity.score(docs, net).withColumn("held_out", toxicity.held_out())
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= toxicity.PREDICT).cast("int").alias("predicted"))
+
+
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -52,8 +64,10 @@ def op10_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_co_training": op1_quality_co_training,
     "op2_mix_sources": op2_mix_sources,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_warc_salvage": op6_warc_salvage,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
