@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -32,10 +33,18 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """df, written once as Parquet in the shared folder and read back: cuts the lineage and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    release(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of plans that nothing refers to any more; it does so when garbage is collected."""
+    gc.collect()
+    spark.range(1, numPartitions=1).collect()  # the scheduler holds its last job until it gets another
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -54,6 +63,7 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
             if batch.num_rows and (out := fn(batch)) is not None:
                 yield out
 
+    ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -7,7 +7,8 @@ parsing goes on behind it, and words that no window leads from are literals. Fac
 duplicate spans. Greedy factors may part inside a window that the block holds as well, so the windows that begin in the
 last words of a factor are looked up one by one: the boundary check.
 
-Which blocks can hold a window? Every window has an anchor: the least hash among its runs of five words. Equal windows have
+Which blocks can hold a window? Every window has an anchor: the least hash among its
+runs of four words, runs of short, common words last. Equal windows have
 equal anchors, so a window can only repeat in documents that have its anchor, and the block of an anchor is the smallest id
 that has it. A window that its block does not hold may still be shared by two later documents; those left-over windows,
 few after factoring, are grouped by hash, which finishes the job exactly: all documents that hold such a window have the
@@ -32,7 +33,8 @@ from pyspark.sql import functions as F
 from .common import arrow_map, grams, joined, list_array, materialize, mix, signed, small_batches, words
 
 WINDOW = 13
-ANCHOR = 5
+ANCHOR = 4
+PLAIN = 20  # bytes; shorter runs are mostly of common words and become anchors only where there is no other
 STRONG = 4
 
 
@@ -46,11 +48,13 @@ def _least(h: np.ndarray, width: int) -> np.ndarray:
     return m
 
 
-def anchors(h: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """The anchor of each window of the word hashes h."""
+def anchors(h: np.ndarray, size: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """The anchor of each window of the words with hashes h and lengths size."""
     if len(h) < window:
         return np.empty(0, np.uint64)
-    return _least(grams(h, ANCHOR), window - ANCHOR + 1)
+    total = np.concatenate(([0], np.cumsum(size)))
+    common = (total[ANCHOR:] - total[:-ANCHOR] < PLAIN).astype(np.uint64)
+    return _least(grams(h, ANCHOR) >> np.uint64(1) | common << np.uint64(63), window - ANCHOR + 1)
 
 
 def _text_key(h: np.ndarray) -> tuple[int, int]:
@@ -65,11 +69,11 @@ def _facts(window: int):
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(2).to_pylist()
         buf, starts = joined(texts)
-        h, s, _ = words(buf)
+        h, s, e = words(buf)
         first = np.searchsorted(s, starts)
         n, same, sha, al = [], ([], []), [], []
         for i, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True)):
-            al.append(np.unique(anchors(h[a:b], window)))
+            al.append(np.unique(anchors(h[a:b], (e - s)[a:b], window)))
             for x, y in zip(same, _text_key(h[a:b]), strict=True):
                 x.append(y)
             n.append(b - a)
@@ -136,49 +140,43 @@ def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s, np.flatnonzero(d == -1) - s
 
 
-MARK = "doc_id long, row_key long, start int, n int, h1 long, h2 long"
+MARK = "doc_id long, row_key long, start array<int>, n array<int>, h1 array<long>, h2 array<int>"
 
 
-def _marks(doc, key, spans, left, h, window, out) -> None:
-    for s, n in zip(*spans, strict=True):
-        out.append((doc, key, int(s), int(n), None, None))
-    if len(left):
-        h1, h2 = signed(grams(h, window)[left]), signed(grams(h, window, seed=1)[left])
-        out.extend((doc, key, int(p), 1, int(a), int(b)) for p, a, b in zip(left, h1, h2, strict=True))
-
-
-def _emit(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) if rows else [()] * 6
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["doc_id", "row_key", "start", "n", "h1", "h2"])
+def window_keys(h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """96 bits of each window: enough to tell a corpus's windows apart."""
+    return signed(grams(h, window)), (grams(h, window, seed=1) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _parse(window: int, with_block: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple = (None, None)
         for batch in batches:
-            cols = [c.to_pylist() if i != 3 else c for i, c in enumerate(batch.columns)]
-            rows: list[tuple] = []
-            for i in range(batch.num_rows):
-                h = words(cols[2][i] or b"")[0]
-                routed = np.isin(signed(anchors(h, window)), np.asarray(cols[3][i].values))
-                spans, held = (np.empty(0, int), np.empty(0, int)), np.zeros(len(routed), bool)
+            texts, routes = batch.column(2).to_pylist(), batch.column(3)
+            block_of = list(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)) if with_block else []
+            out: tuple[list, ...] = ([], [], [], [])
+            for i, text in enumerate(texts):
+                h, s, e = words(text or b"")
+                routed = np.isin(signed(anchors(h, e - s, window)), np.asarray(routes[i].values))
+                start = n = np.empty(0, np.int64)
                 if with_block:
-                    if last[0] != (cols[4][i], cols[5][i]):
-                        last = (cols[4][i], cols[5][i]), Block(cols[6][i] or b"", window)
+                    if last[0] != block_of[i]:
+                        last = block_of[i], Block(batch.column(6)[i].as_py() or b"", window)
                     held = last[1].factors(h)[1]
-                    spans = _runs(held)
-                _marks(cols[0][i], cols[1][i], spans, np.flatnonzero(routed & ~held), h, window, rows)
-                if len(rows) > 50_000:
-                    yield _emit(rows)
-                    rows = []
-            yield _emit(rows)
+                    start, n = _runs(held)
+                    routed &= ~held
+                h1, h2 = window_keys(h, window) if routed.any() else (np.empty(0, np.int64), np.empty(0, np.int32))
+                for o, x in zip(out, (start.astype(np.int32), n.astype(np.int32), h1[routed[: len(h1)]], h2[routed[: len(h2)]]), strict=True):
+                    o.append(x)
+            lists = [list_array(np.concatenate(o), np.concatenate(([0], np.cumsum([len(x) for x in o])))) for o in out]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], ["doc_id", "row_key", "start", "n", "h1", "h2"])
 
     return run
 
 
 def spans(facts: DataFrame, texts: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, row_key, spans) of the texts that share windows with smaller ids; spans are (start, n) of windows.
+    """(doc_id, spans) of the ids whose texts share windows with smaller ids: for a row_key, runs (start, n) of windows that
+    factors or the boundary check found; for any, the keys (h1, h2) of windows found on the left-over path.
 
     facts: what _facts gives, one row a text; texts: (doc_id, row_key, text), text in bytes, ids not null.
     """
@@ -195,29 +193,41 @@ def spans(facts: DataFrame, texts: DataFrame, window: int = WINDOW) -> DataFrame
     lone = texts.join(weak.hint("shuffle_hash"), "doc_id").select("doc_id", "row_key", "text", "anchors")
     marks = pairs.mapInArrow(_parse(window, True), MARK).unionByName(lone.mapInArrow(_parse(window, False), MARK))
     marks = materialize(marks, "marks")
-    left = marks.where("h1 is not null")
+    left = marks.select("doc_id", F.explode(F.arrays_zip("h1", "h2")).alias("w")).select("doc_id", "w.h1", "w.h2")
     shared = left.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least < last").select("h1", "h2", "least")
-    more = left.join(shared, ["h1", "h2"]).where("doc_id > least").select("doc_id", "row_key", "start", "n")
-    whole = marks.where("h1 is null").select("doc_id", "row_key", "start", "n").unionByName(more)
-    return whole.groupBy("doc_id", "row_key").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    more = left.join(shared, ["h1", "h2"]).where("doc_id > least").select("doc_id", F.lit(None).cast("long").alias("row_key"), F.array("h1").alias("h1"), F.array("h2").alias("h2"), F.array().cast("array<int>").alias("start"), F.array().cast("array<int>").alias("n"))
+    none = lambda t: F.array().cast(t)
+    whole = marks.where(F.size("start") > 0).select("doc_id", "row_key", none("array<bigint>").alias("h1"), none("array<int>").alias("h2"), "start", "n").unionByName(more)
+    return whole.groupBy("doc_id").agg(F.collect_list(F.struct("row_key", "start", "n", "h1", "h2")).alias("spans"))
 
 
 def _cut(window: int):
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out: tuple[list, list, list] = ([], [], [])
-        texts, found = batch.column(2).to_pylist(), batch.column(3)
-        for i, text in enumerate(texts):
+        out: tuple[list, ...] = ([], [], [], [], [])
+        for doc, row, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             parts = (text or b"").split()
             gone = np.zeros(len(parts) + 1, np.int32)
-            x = found[i].values.flatten()
-            s, n = np.asarray(x[0]), np.asarray(x[1])
-            np.add.at(gone, s, 1)
-            np.add.at(gone, np.minimum(s + n + window - 1, len(parts)), -1)
+            for x in found:
+                if x["row_key"] == row:
+                    s, n = np.array(x["start"]), np.array(x["n"])
+                    np.add.at(gone, s, 1)
+                    np.add.at(gone, s + n + window - 1, -1)
+            h1 = np.array([v for x in found for v in x["h1"]], np.int64)
+            if len(h1) and len(parts) >= window:
+                h2 = np.array([v for x in found for v in x["h2"]], np.int32)
+                w1, w2 = window_keys(words(text)[0], window)
+                at = np.flatnonzero(np.isin(w1, h1))
+                pairs = set(zip(h1.tolist(), h2.tolist(), strict=True))
+                at = np.array([p for p in at.tolist() if (int(w1[p]), int(w2[p])) in pairs], np.int64)
+                np.add.at(gone, at, 1)
+                np.add.at(gone, at + window, -1)
             gone = np.cumsum(gone)[:-1] > 0
-            kept = b" ".join([w for w, g in zip(parts, gone.tolist(), strict=True) if not g])
-            for o, v in zip(out, (int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept), strict=True):
-                o.append(v)
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out[0], pa.int64()), pa.array(out[1]), pa.array(out[2], pa.binary())], ["doc_id", "row_key", "n_removed", "sha", "kept"])
+            if gone.any():
+                kept = b" ".join([w for w, g in zip(parts, gone.tolist(), strict=True) if not g])
+                for o, v in zip(out, (doc, row, int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept), strict=True):
+                    o.append(v)
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, kinds, strict=True)], ["doc_id", "row_key", "n_removed", "sha", "kept"])
 
     return run
 
@@ -247,7 +257,7 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     copies = real.select("doc_id", "row_key", *same).join(classes, same).where("doc_id > least").select("doc_id", "row_key").distinct()
     copies = materialize(copies, "copies")
     own = real.join(copies, ["doc_id", "row_key"], "left_anti").select("doc_id", "anchors")
-    cut = texts.join(spans(own, texts, window).hint("shuffle_hash"), ["doc_id", "row_key"]).select("doc_id", "row_key", "text", "spans")
+    cut = texts.join(materialize(spans(own, texts, window), "spans").hint("shuffle_hash"), "doc_id").select("doc_id", "row_key", "text", "spans")
     cut = arrow_map(cut, _cut(window), "doc_id long, row_key long, n_removed long, sha string, kept binary").dropDuplicates(["doc_id", "row_key"])
     cut = cut.select("doc_id", "row_key", F.col("n_removed").alias("n_cut"), F.col("sha").alias("cut_sha"), F.col("kept").cast("string").alias("kept"))
     out = facts.drop("anchors", "same1", "same2").join(copies.withColumn("copy", F.lit(True)), ["doc_id", "row_key"], "left").join(cut, ["doc_id", "row_key"], "left")
