@@ -1,0 +1 @@
+"""Reading and writing recordings, stage tables, text files and settings."""

@@ -1,0 +1,5 @@
+"""The detector over a stream of sample batches."""
+
+from .detector import detect_stream, drift_step, scan_state
+
+__all__ = ["detect_stream", "drift_step", "scan_state"]
