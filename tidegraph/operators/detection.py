@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship
+from .tables import written
 
 KEYS = ("electrode",)
 TTL_ELECTRODE, TTL_SIGMA, TTL_THRESHOLD, TTL_AMPLITUDE = 1, 100.0, 1000.0, 1500.0
@@ -72,6 +73,7 @@ def noise_rounds(samples: DataFrame, rounds: int, keys: Iterable[str] = KEYS, cl
             kept = samples.join(total.select(*keys, "mu", "sigma"), keys).where(F.abs(value - F.col("mu")) < clip * F.col("sigma"))
             total = total.join(add(kept), keys, "left").select(*keys, *[(F.col(a) + F.coalesce(F.col(b), F.lit(0))).alias(a) for a, b in (("n", "n1"), ("s", "s1"), ("q", "q1"))])
         total = total.withColumn("mu", F.col("s") / F.col("n")).withColumn("sigma", F.when(F.col("n") > 1, F.sqrt(F.greatest((F.col("q") - F.col("s") * F.col("s") / F.col("n")) / (F.col("n") - 1), F.lit(0.0)))))
+        total = written(total, "noise")  # a row a channel; without it each round's plan would hold the last one's twice
     return total.select(*keys, "sigma", "mu", "n")
 
 

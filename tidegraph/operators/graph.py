@@ -2,23 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import l2_normalise, squared_l2
 from ..session import ship
-
-
-def written(df: DataFrame, tag: str) -> DataFrame:
-    """df through a Parquet table in the folder of spark.checkpoint.dir (or, where unset, the warehouse): cuts the lineage."""
-    spark: SparkSession = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_tables"
-    path = f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from .tables import written
 
 
 def distances(traces: DataFrame, group: str, id_col: str, vec: str, normalise: bool = False) -> DataFrame:
@@ -161,6 +151,7 @@ def dendrogram(nodes: DataFrame, links: DataFrame, group: str, id_col: str) -> D
         rows = [(a[group].iloc[0], i + 1, d, x, y) for i, (d, x, y) in enumerate(t.merges)]
         return pd.DataFrame(rows, columns=[group, "step", "threshold", "left", "right"])
 
+    links = links.select(*[F.col(c).alias(c) for c in links.columns])  # both may come from one table
     return nodes.select(group, id_col).distinct().groupBy(group).cogroup(links.groupBy(group)).applyInPandas(run, f"{group} {kind}, step int, threshold double, left array<long>, right array<long>")
 
 

@@ -481,12 +481,12 @@ def clean_filter(spark, sf_dir):
 
 def _neurons(spark, sf_dir) -> dict[int, int]:
     """Counts of the twenty neurons that the literal actions are about."""
-    c = table(spark, sf_dir, "lineitem").groupBy((F.col("l_suppkey") % 20 + 1).cast("int").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    c = table(spark, sf_dir, "lineitem").groupBy((F.col("l_orderkey") % 20 + 1).cast("int").alias("id")).agg(F.count(F.lit(1)).alias("n"))
     return {r["id"]: r["n"] for r in c.collect()}
 
 
 def _state(spark, sf_dir, state):
-    spikes_ = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 20 + 1).cast("int").alias("neuron_id"))
+    spikes_ = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") % 20 + 1).cast("int").alias("neuron_id"))
     return editing.remap(spikes_, state).groupBy("neuron_id").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -689,7 +689,7 @@ def block_diag_order(spark, sf_dir):
 @query
 def electrode_pools(spark, sf_dir):
     n = table(spark, sf_dir, "supplier").count()
-    return spark.createDataFrame([(i + 1, p.start, p.stop - 1) for i, p in enumerate(reports.pools(n, 12))], "pool int, first int, last int")
+    return spark.createDataFrame([(i + 1, p.start, p.stop - 1) for i, p in enumerate(reports.pools(n, 12))], "pool long, first long, last long")
 
 
 @query

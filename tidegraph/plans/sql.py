@@ -51,7 +51,7 @@ best AS (SELECT a.electrode, max(a.share + coalesce(b.share, 0) + coalesce(c.sha
   LEFT JOIN (SELECT * FROM o WHERE k = 2) b ON a.electrode = b.electrode AND a.ref_id <> b.ref_id
   LEFT JOIN (SELECT * FROM o WHERE k = 3) c ON a.electrode = c.electrode AND c.ref_id <> a.ref_id AND (b.ref_id IS NULL OR c.ref_id <> b.ref_id) GROUP BY a.electrode),
 score AS (SELECT n.electrode, n.n_ref, round(coalesce(best / n_ref, 0), 6) AS score FROM (SELECT electrode, count(DISTINCT ref_id) AS n_ref FROM ra GROUP BY electrode) n LEFT JOIN best ON n.electrode = best.electrode)"""
-LI = """c AS (SELECT CAST(l_suppkey % 20 + 1 AS INTEGER) AS id, count(*) AS n FROM lineitem GROUP BY 1)"""
+LI = """c AS (SELECT CAST(l_orderkey % 20 + 1 AS INTEGER) AS id, count(*) AS n FROM lineitem GROUP BY 1)"""
 US = """us AS (SELECT user_id AS neuron_id, epoch_us(ts) AS t FROM events)"""
 HOURS = """h AS (SELECT user_id AS neuron_id, CAST(floor(epoch_us(ts) / 3600000000) AS BIGINT) AS t FROM events),
 lags AS (SELECT a.neuron_id, CAST(ceil((b.t - a.t) / 4.0) AS INTEGER) AS bin, count(*) AS n FROM h a JOIN h b ON a.neuron_id = b.neuron_id AND b.t > a.t AND b.t - a.t <= 100 GROUP BY ALL),
