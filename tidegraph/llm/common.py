@@ -135,6 +135,25 @@ def words(buf: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
+def hashes(buf: bytes, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Hashes of the stretches s to e of buf, equal to those that words() gives where they are words."""
+    out, i = np.empty(len(s), np.uint64), 0
+    while i < len(s):
+        j = int(np.searchsorted(e, s[i] + _SLICE, side="right"))
+        if j <= i:  # longer than a slice
+            out[i] = _long_word(buf[s[i] : e[i]])
+            i += 1
+            continue
+        base = int(s[i])
+        a = np.frombuffer(buf, np.uint8, int(e[j - 1]) - base, base)
+        p = np.zeros(len(a) + 1, np.uint64)
+        np.cumsum((a.astype(np.uint64) + np.uint64(1)) * _POW[: len(a)], out=p[1:])
+        x, y = s[i:j] - base, e[i:j] - base
+        out[i:j] = mix((p[y] - p[x]) * _INV[x] + (y - x).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        i = j
+    return out
+
+
 def grams(h: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
     """A hash for each run of k word hashes."""
     n = len(h) - k + 1

@@ -22,43 +22,157 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small_batches
+from .common import hashes, joined, materialize, small_batches, words
 
 SEQUENCE = 4096
 END_ID = 1
 OPEN_BINS = 64
 PACKER_ROWS = 50_000
 FAN_IN = 16
-CACHED_WORDS = 250_000
+CACHED_WORDS = 400_000  # a generation
 
 # ---------------------------------------------------------------------------------------------------- tokens
 
 
-class WordIds(dict):
-    """Word (bytes without ASCII white space) -> its ids as little-endian unsigned 32-bit integers.
-
-    The tokenizer splits at white space before it merges, so a text's ids are those of its words in turn. Words repeat
-    far more than texts do: each is tokenised once while it stays in the cache, whose size is bounded.
+class _Table:
+    """Word hash -> its ids, in an open-addressing table that is probed for many words at once."""
+
+    def __init__(self, words: int):
+        self.mask = np.uint64((1 << int(2 * words - 1).bit_length()) - 1)
+        self.keys = np.zeros(int(self.mask) + 1, np.uint64)
+        self.row = np.full(int(self.mask) + 1, -1, np.int32)
+        self.first, self.count = np.zeros(words, np.int64), np.zeros(words, np.int32)
+        self.ids = np.zeros(4 * words, "<u4")
+        self.n = self.used = 0
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Row of each hash, -1 for the unknown."""
+        at, out = h & self.mask, np.full(len(h), -1, np.int32)
+        todo = np.arange(len(h))
+        while len(todo):
+            r = self.row[at]
+            hit = (r >= 0) & (self.keys[at] == h[todo])
+            out[todo[hit]] = r[hit]
+            on = (r >= 0) & ~hit
+            todo, at = todo[on], (at[on] + np.uint64(1)) & self.mask
+        return out
+
+    def add(self, h: np.ndarray, count: np.ndarray, ids: np.ndarray) -> None:
+        """New words, all different."""
+        n, rows = len(h), np.arange(self.n, self.n + len(h), dtype=np.int32)
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros(max(len(self.ids), len(ids)), "<u4")))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.count[rows] = count
+        self.first[rows] = self.used + np.concatenate(([0], np.cumsum(count)[:-1]))
+        self.n, self.used = self.n + n, self.used + len(ids)
+        todo, at = np.arange(n), h & self.mask
+        while len(todo):
+            free = self.row[at] < 0
+            self.row[at[free]] = rows[todo[free]]  # of several for one place, one gets it
+            mine = free & (self.row[at] == rows[todo])
+            self.keys[at[mine]] = h[todo[mine]]
+            todo, at = todo[~mine], (at[~mine] + np.uint64(1)) & self.mask
+
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ids of the rows' words end to end, and how many of each."""
+        count = self.count[rows]
+        ends = np.cumsum(count)
+        return self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[rows] - ends + count, count)], count
+
+
+class WordIds:
+    """Texts -> ids as little-endian unsigned 32-bit integers, by words that are tokenised once.
+
+    The tokenizer splits at white space, and between a letter and a following stop or comma, before it merges, and it
+    lower-cases; so a text's ids are those of its words in turn. Words repeat far more than texts do: each is tokenised
+    once while it stays in the cache, which is looked up for a whole batch at once. The cache has two generations of
+    bounded size: when the younger is full it becomes the older, and a word found there moves back, so frequent words stay.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > CACHED_WORDS:
-            self.clear()
-            new = list(words)
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for w, x in zip(part, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
-                self[w] = np.array(x.ids, "<u4").tobytes()
-
-    def ids(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        self.tokenizer, self.cached = Tokenizer.from_file(path), cached
+        self.mark = max((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, default="")
+        self.mark_id = self.tokenizer.token_to_id(self.mark) if self.mark else -1
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.young, self.old = _Table(cached), _Table(1)
+
+    def _run(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _encode(self, words: list[bytes]) -> list[np.ndarray]:
+        """Many words in one call. Words of letters alone end with their only end-of-word token; others are told apart by a
+        special token between them (none holds one itself)."""
+        out: list[np.ndarray | None] = [None] * len(words)
+        letters, others = [], []
+        for i, w in enumerate(words):
+            t = w.decode("utf-8", "replace")
+            (letters if t.isalpha() else others).append((i, t))
+        for at in range(0, len(letters), 2_000):
+            part = letters[at : at + 2_000]
+            ids = self._run(" ".join([t for _, t in part]))
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(part):
+                for (i, _), x in zip(part, np.split(ids, cuts[:-1]), strict=True):
+                    out[i] = x
+            else:
+                others.extend(part)
+        for at in range(0, len(others), 2_000 if self.mark else 1):
+            part = others[at : at + (2_000 if self.mark else 1)]
+            ids = self._run(self.mark.join([t for _, t in part]))
+            cuts = np.flatnonzero(ids == self.mark_id) if self.mark else np.empty(0, int)
+            for (i, _), a, b in zip(part, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True):
+                out[i] = ids[a:b]
+        return out
+
+    def _rows(self, buf: bytes, h: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+        """Rows of the younger generation for every word of buf."""
+        rows = self.young.find(h)
+        miss = np.flatnonzero(rows < 0)
+        if not len(miss):
+            return rows
+        new, at = np.unique(h[miss], return_index=True)
+        if self.young.n + len(new) > self.cached:
+            self.old, self.young = self.young, _Table(max(self.cached, len(h)))
+            return self._rows(buf, h, s, e)
+        before = self.old.find(new)
+        known = np.flatnonzero(before >= 0)
+        if len(known):
+            ids, count = self.old.take(before[known])
+            self.young.add(new[known], count, ids)
+        fresh = np.flatnonzero(before < 0)
+        if len(fresh):
+            where = miss[at[fresh]]
+            found = self._encode([buf[a:b] for a, b in zip(s[where].tolist(), e[where].tolist(), strict=True)])
+            self.young.add(new[fresh], np.array([len(x) for x in found], np.int32), np.concatenate(found))
+        rows[miss] = self.young.find(h[miss])
+        return rows
+
+    def texts(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text."""
+        odd = {i for i, t in enumerate(texts) if b"<|" in t}  # may hold a special token, which is told by its case
+        buf, starts = joined([b"" if i in odd else t for i, t in enumerate(texts)])
+        buf = buf.lower()
+        h, s, e = words(buf)
+        if len(h):
+            b = np.frombuffer(buf, np.uint8)
+            last, prior = b[e - 1], b[np.maximum(e - 2, 0)]
+            tail = np.flatnonzero(((last == 44) | (last == 46)) & (e - s > 1) & (prior >= 97) & (prior <= 122))
+            if len(tail):  # stops and commas become words of their own
+                e = e.copy()
+                e[tail] -= 1
+                order = np.argsort(np.concatenate((s, e[tail])), kind="stable")
+                s, e = np.concatenate((s, e[tail]))[order], np.concatenate((e, e[tail] + 1))[order]
+                h = hashes(buf, s, e)
+        rows = self._rows(buf, h, s, e)
+        ids, count = self.young.take(rows)
+        upto = np.concatenate(([0], np.cumsum(count)))[np.searchsorted(s, starts)]
+        flat = ids.tobytes()
+        return [self._run(t.decode("utf-8", "replace")).tobytes() if i in odd else flat[4 * x : 4 * y] for i, (t, x, y) in enumerate(zip(texts, upto[:-1].tolist(), upto[1:].tolist(), strict=True))]
 
 
 _held: dict[str, WordIds] = {}
@@ -73,17 +187,16 @@ def tokenise(docs: DataFrame, tokenizer: str, length: int = SEQUENCE, end_id: in
         for batch in batches:
             if tokenizer not in _held:
                 _held[tokenizer] = WordIds(tokenizer)
-            words, out = _held[tokenizer], {k: [] for k in ("doc_id", "row", "piece", "start", "length", "ids")}
+            known, out = _held[tokenizer], {k: [] for k in ("doc_id", "row", "piece", "start", "length", "ids")}
             texts = [x or b"" for x in batch.column(1).to_pylist()]
             at = 0
-            while at < len(texts):  # as many texts at once as give a bounded number of words
+            while at < len(texts):  # texts of bounded size together
                 upto, size = at, 0
-                while upto < len(texts) and (upto == at or size + len(texts[upto]) <= 1 << 20):
+                while upto < len(texts) and (upto == at or size + len(texts[upto]) <= 1 << 19):
                     size += len(texts[upto])
                     upto += 1
-                words.learn(set(b"\n".join(texts[at:upto]).split()))
-                for i in range(at, upto):
-                    ids = words.ids(texts[i]) + end
+                for i, ids in enumerate(known.texts(texts[at:upto]), at):
+                    ids += end
                     for k, s in enumerate(range(0, len(ids), 4 * length)):
                         p = ids[s : s + 4 * length]
                         for name, v in zip(out, (batch.column(0)[i].as_py(), part + n, k, s // 4, len(p) // 4, p), strict=True):
