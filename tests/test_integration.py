@@ -30,7 +30,7 @@ def test_planted_units_are_found(spark, tmp_path):
         hit = sum(any((electrode, t + d) in times for d in (-1, 0, 1)) for t in planted)
         assert hit >= 0.95 * len(planted)
     edges = detection.trigger_edges(raw.where("electrode = 1"))
-    assert edges.count() == 9 and stages.export_triggers(edges.limit(0)).collect()[0].sample == 0
+    assert edges.count() == 10 and stages.export_triggers(edges.limit(0)).collect()[0].sample == 0
     w = linear.windows(found.where("electrode = 3").limit(5), flat, recordings.linear_adjacency(spark, 6, 1), 4, 4)
     waves = linear.aligned_waveforms(w, 2, 2).collect()
     assert len(waves) == 5 and all(len(r.wave) == 15 for r in waves)

@@ -115,10 +115,10 @@ class MergeTree:
         part = {n: n for m in self.members.values() for n in m}
         for d, a, b in self.merges:
             if d < threshold:
-                low = min(part[a[0]], part[b[0]])
+                ends = part[a[0]], part[b[0]]
                 for n in part:
-                    if part[n] in (part[a[0]], part[b[0]]) and n in a + b:
-                        part[n] = low
+                    if part[n] in ends:
+                        part[n] = min(ends)
         out: dict[int, list[int]] = {}
         for n, p in sorted(part.items()):
             out.setdefault(p, []).append(n)
