@@ -605,7 +605,7 @@ def comparator_score(spark, sf_dir):
 @query
 def comparator_summary(spark, sf_dir):
     s = comparator_score(spark, sf_dir).withColumn("dataset", (F.col("electrode") % 5).cast("int"))
-    return rounded(compare.summary(s, "dataset"), "mean", "std", "mean_nonzero", "std_nonzero")
+    return rounded(compare.summary(s, "dataset"), "mean", "std", "mean_nonzero", "std_nonzero", digits=9)
 
 
 @query

@@ -179,7 +179,7 @@ put("export_neurons", CAND, "SELECT CAST(electrode * 15 + width % 3 AS INTEGER)
 put("export_spikes", CAND, "SELECT CAST(spike_time AS INTEGER) AS spike_time, CAST(electrode - 1 AS INTEGER) AS electrode FROM sp")
 put("train_intersections", TR, "SELECT electrode, ref_id, other_id, common FROM common")
 put("comparator_score", SCORE, "SELECT electrode, n_ref, score FROM score")
-put("comparator_summary", SCORE, "SELECT CAST(electrode % 5 AS INTEGER) AS dataset, count(*) AS n, round(avg(score), 6) AS mean, round(stddev_samp(score), 6) AS std, round(avg(score) FILTER (score > 0), 6) AS mean_nonzero, round(stddev_samp(score) FILTER (score > 0), 6) AS std_nonzero FROM score GROUP BY ROLLUP (CAST(electrode % 5 AS INTEGER))")
+put("comparator_summary", SCORE, "SELECT CAST(electrode % 5 AS INTEGER) AS dataset, count(*) AS n, round(avg(score), 9) AS mean, round(stddev_samp(score), 9) AS std, round(avg(score) FILTER (score > 0), 9) AS mean_nonzero, round(stddev_samp(score) FILTER (score > 0), 9) AS std_nonzero FROM score GROUP BY ROLLUP (CAST(electrode % 5 AS INTEGER))")
 put("train_correlation", "m AS (SELECT user_id AS id, CAST(floor(epoch_us(ts) / 60000000) AS BIGINT) AS t FROM events), s AS (SELECT id, count(*) AS n FROM m GROUP BY id), h AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS n FROM m a JOIN m b ON a.id < b.id AND a.t BETWEEN b.t - 10 AND b.t + 10 GROUP BY ALL)",
     "SELECT id_a, id_b, h.n, round(h.n / sqrt(CAST(x.n AS DOUBLE) * y.n), 6) AS corr FROM h JOIN s x ON x.id = id_a JOIN s y ON y.id = id_b")
 put("rate_histogram", US + ", en AS (SELECT neuron_id, min(t) AS lo, max(t) AS hi FROM us GROUP BY neuron_id)",
