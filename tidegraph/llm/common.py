@@ -17,17 +17,19 @@ from ..session import ship
 # ---------------------------------------------------------------------------------------------- shared tables
 
 
+_own_dir: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a folder of our own where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        found = tempfile.mkdtemp(prefix="tidegraph-")
-    else:
-        found = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tidegraph"
-    spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    app = spark.sparkContext.applicationId
+    if app not in _own_dir:
+        local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+        _own_dir[app] = tempfile.mkdtemp(prefix="tidegraph-") if local else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tidegraph"
+    return _own_dir[app]
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
