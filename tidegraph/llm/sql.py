@@ -44,4 +44,72 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first_id < page_id THEN
   CASE WHEN first_id < page_id THEN first_id END AS refers_to FROM f
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_mix_sources": OP2, "op6_warc_salvage": OP6}
+OP3 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), p AS (
+  SELECT doc_id, i, w[i] AS word, CASE WHEN i + 12 <= len(w) THEN array_to_string(w[i:i + 12], ' ') END AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)
+), f AS (
+  SELECT g, min(doc_id) AS first_doc FROM p WHERE g IS NOT NULL GROUP BY g
+), t AS (
+  SELECT p.doc_id, p.i, p.word, max(CASE WHEN f.first_doc < p.doc_id THEN 1 ELSE 0 END) OVER (PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone FROM p LEFT JOIN f ON p.g = f.g
+), k AS (
+  SELECT doc_id, CAST(sum(gone) AS BIGINT) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (gone = 0) AS kept FROM t GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
+
+OP5 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), ok AS (
+  SELECT * FROM v WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+), e AS (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), r AS (
+  SELECT vec_id AS id, vec_id AS reached FROM v UNION SELECT r.id, e.w FROM r JOIN e ON e.u = r.reached
+), c AS (
+  SELECT id, min(reached) AS component_id FROM r GROUP BY id
+), n AS (
+  SELECT u, count(*) AS n FROM e GROUP BY u
+)
+SELECT v.vec_id, coalesce(n, 0) AS n_links, component_id, v.vec_id = component_id AS kept FROM v JOIN c ON c.id = v.vec_id LEFT JOIN n ON n.u = v.vec_id
+"""
+
+OP7 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM d)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), b AS (
+  SELECT x.doc_id AS u, y.doc_id AS w, count(*) AS both_n FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL
+), e AS (
+  SELECT u, w FROM b JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = w WHERE 100 * both_n >= 85 * (x.n + y.n - both_n)
+), r AS (
+  SELECT doc_id AS id, doc_id AS reached FROM d UNION SELECT r.id, e.w FROM r JOIN e ON e.u = r.reached
+), c AS (
+  SELECT id, min(reached) AS component_id FROM r GROUP BY id
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept FROM d JOIN c ON c.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+OP10 = """
+WITH v AS (
+  SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(256 * x) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_mix_sources": OP2,
+    "op3_substring_dedup": OP3,
+    "op5_embedding_near_dedup": OP5,
+    "op6_warc_salvage": OP6,
+    "op7_minhash_near_dedup": OP7,
+    "op10_pivot_top_k": OP10,
+}
