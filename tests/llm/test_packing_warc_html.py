@@ -144,3 +144,17 @@ def test_page_oddities(spark):
     got = sorted((r.page_id, r.text, r.n_chars) for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
     text = "T & U©\nOne two three\na <b> c"
     assert got == [(1, text, len(text)), (1, text, len(text)), (2, "", 0), (3, "", 0), (4, "cut he", 6), (5, "Title\nwhole text here, and more.\nsecond", 39)]
+
+
+def test_raw_text_elements_end_at_their_own_tag():
+    w, pair = html_text.train()
+    page = "<html><head>{}</head><body><article><h1>Title</h1><p>whole text here, and more.</p>{}<p>second one, after it.</p></article>{}</body></html>"
+    text = "Title\nwhole text here, and more.\nsecond one, after it."
+    raw = [
+        "<script>for(i=0;i<n;i++){f(i);}</script>", "<script>if(a<b){s='it';t=\"don't\"}</script >", "<SCRIPT>x<y';</Script\n>", "<script><!-- old browsers\nf();</script>",
+        "<script>s='</scripts>'+'<p>no</p>';</script>", "<style>a<b'{}</style>", "<noscript><img alt=it's<p></noscript>", "<textarea>1 <b' 2</textarea>", "<iframe>a <i\" b</iframe>", "<svg><style>a<b'</style></svg>", "<script><!-- </script>",
+    ]
+    for r in raw:
+        assert html_text.main_texts([page.format(r, "", ""), page.format("", r, ""), page.format("", "", r), page.format(r, r, r)], w, pair) == [text] * 4, r
+    assert html_text.main_texts([page.format("<title>a <b' c</title>", "", "")], w, pair) == [text]
+    assert html_text.main_texts([page.format("", "", "<script>never ends, i<n")], w, pair) == [text]

@@ -38,11 +38,13 @@ INLINE = {"label", "input"}
 BLOCK = set(TAGS) - INLINE
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = set("script style title noscript template svg math iframe object textarea select canvas audio video".split())
+RAW = set("script style title textarea iframe noscript".split())  # text up to their own end tag, whatever it looks like
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"tbody", "thead", "tr", "td", "th"}, "tfoot": {"tbody", "thead", "tr", "td", "th"}, "option": {"option"}}
 BARRIER = {"table", "ul", "ol", "dl", "body", "html", "article", "section", "div", "td", "th", "menu", "select"}
 _TOKEN = re.compile(r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTR = re.compile(r"""(?:\A|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _CUT_TAG = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)[^>]*>?", re.I | re.A) for t in RAW}
 _WORD = re.compile(r"[a-z]+")
 
 #: Words of class and id attributes that say what a block is for.
@@ -68,7 +70,7 @@ class Page:
     def __init__(self, source: str):
         self.parent, self.depth, self.tag, self.words = [-1], [0], ["html"], [()]
         self.runs: list[tuple[int, str, int]] = []  # node, text, characters of it in links
-        stack, parts, linked, in_link, at, skip = [0], [], 0, False, 0, None
+        stack, parts, linked, in_link, at, skip, pos = [0], [], 0, False, 0, None, 0
 
         def flush():
             nonlocal parts, linked
@@ -86,17 +88,23 @@ class Page:
                 if in_link:
                     linked += len(text)
 
-        for m in _TOKEN.finditer(source):
-            close, name = m[1], m[2]
+        while m := _TOKEN.search(source, pos):
+            close, name, pos = m[1], m[2], m.end()
+            name = name and name.lower()
+            if skip is None:
+                say(source[at : m.start()])
+                at = pos
+            if name in RAW and not close and not m[3].endswith("/"):  # no tokens before its end tag
+                end = _RAW_END[name].search(source, pos)
+                pos = end.end() if end else len(source)
+                at = pos if skip is None else at
+                continue
             if skip is not None:  # inside an element whose text is not shown
-                if close and name and name.lower() == skip:
-                    skip, at = None, m.end()
+                if close and name == skip:
+                    skip, at = None, pos
                 continue
-            say(source[at : m.start()])
-            at = m.end()
             if name is None:
                 continue
-            name = name.lower()
             if name in UNSEEN:
                 if not close and not m[3].endswith("/"):
                     skip = name
