@@ -20,6 +20,7 @@ MAX_WIDTH, MIN_GAP, ALPHA, HEAD = 3, 3, 0.2, 10
 LINK, DIMS = 1.4, 8
 AUTO = [editing.Action("AUTO_RM", ids=[2, 16]), editing.Action("AUTO_MERGE", master_id=3, ids=[1, 5]), editing.Action("AUTO_RM_DUP", master_id=3, ids=[17, 4]), editing.Action("AUTO_MERGE", master_id=2, ids=[7, 8])]
 MANUAL = [editing.Action("KEEP", ids=[16]), editing.Action("MERGE", ids=[1, 2]), editing.Action("DELETE", ids=[4]), editing.Action("CONSOLIDATE"), editing.Action("MERGE", ids=[5, 7])]
+BASIS = [(1, [1.0, 0.5, -0.5, 0.25, 0.0, 0.0, 1.0, -1.0]), (2, [0.0, 1.0, 1.0, -1.0, 0.5, -0.5, 0.0, 0.25])]  # repeated along the vector
 CHAIN = [(1, 2), (2, 3), (3, 4), (10, 11), (11, 12), (20, 21)]
 STATUSES = [(1, 0, None), (2, 1, None), (3, 2, 1), (17, 3, 1), (18, -1, None), (20, -2, None), (31, 2, 16)]
 DATASETS = ["a.bin(10-20)", "b.bin(5-)", "c.bin(-7.5)", "d.bin"]
@@ -228,23 +229,23 @@ def aligned_waveforms(spark, sf_dir):
 
 @query
 def mean_waveform(spark, sf_dir):
-    return rounded(linear.mean_wave(points(spark, sf_dir, DIMS), "electrode", "v"), "mean")
+    return rounded(linear.mean_wave(points(spark, sf_dir), "electrode", "v"), "mean")
 
 
 @query
 def covariance_longform(spark, sf_dir):
-    return rounded(linear.covariance(linear.moments(points(spark, sf_dir, DIMS), "electrode", "v"), "electrode"), "cov")
+    return rounded(linear.covariance(linear.moments(points(spark, sf_dir), "electrode", "v"), "electrode"), "cov")
 
 
 @query
 def covariance_merge(spark, sf_dir):
-    p = points(spark, sf_dir, DIMS).withColumn("part", F.concat_ws("-", "electrode", F.col("id") % 2))
+    p = points(spark, sf_dir).withColumn("part", F.concat_ws("-", "electrode", F.col("id") % 2))
     c = linear.covariance(linear.moments(p, "part", "v"), "part").withColumn("electrode", F.split("part", "-")[0].cast("int"))
     return rounded(linear.pooled(c, "electrode", "cov", "i", "j"), "cov")
 
 
 def _axes(spark, sf_dir):
-    return linear.eigen(linear.covariance(linear.moments(points(spark, sf_dir, DIMS), "electrode", "v"), "electrode"), "electrode", 5)
+    return linear.eigen(linear.covariance(linear.moments(points(spark, sf_dir), "electrode", "v"), "electrode"), "electrode", 5)
 
 
 @query
@@ -254,24 +255,25 @@ def eigenvalues_top5(spark, sf_dir):
 
 @query
 def whitened_covariance(spark, sf_dir):
-    c = linear.covariance(linear.moments(points(spark, sf_dir, DIMS), "electrode", "v"), "electrode")
-    n = linear.covariance(linear.moments(points(spark, sf_dir, DIMS).withColumn("electrode", F.lit(0)), "electrode", "v"), "electrode").drop("electrode")
+    c = linear.covariance(linear.moments(points(spark, sf_dir), "electrode", "v"), "electrode")
+    n = linear.covariance(linear.moments(points(spark, sf_dir).withColumn("electrode", F.lit(0)), "electrode", "v"), "electrode").drop("electrode")
     return rounded(linear.whitened(c, c.select("electrode").distinct().join(n, how="cross"), "electrode"), "cov")
 
 
 @query
 def pc_project(spark, sf_dir):
-    p = points(spark, sf_dir, DIMS)
+    p = points(spark, sf_dir)
     m = linear.mean_wave(p, "electrode", "v").groupBy("electrode").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "mean"))), lambda x: x["mean"]).alias("mean"))
     return rounded(linear.project(p, m, _axes(spark, sf_dir), "electrode", "id", "v"), "score")
 
 
 @query
 def pc_project_fixed_basis(spark, sf_dir):
-    p = points(spark, sf_dir, DIMS)
+    p = points(spark, sf_dir)
     m = linear.mean_wave(p, "electrode", "v").groupBy("electrode").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "mean"))), lambda x: x["mean"]).alias("mean"))
-    basis = spark.createDataFrame([(1, [1.0, 0.5, -0.5, 0.25, 0.0, 0.0, 1.0, -1.0]), (2, [0.0, 1.0, 1.0, -1.0, 0.5, -0.5, 0.0, 0.25])], "rank int, axis array<double>")
-    return rounded(linear.project(p, m, p.select("electrode").distinct().crossJoin(basis), "electrode", "id", "v"), "score")
+    basis = m.select("electrode", F.size("mean").alias("size")).crossJoin(spark.createDataFrame(BASIS, "rank int, axis array<double>"))
+    basis = basis.select("electrode", "rank", F.expr("slice(flatten(array_repeat(axis, cast(ceil(size / size(axis)) as int))), 1, size)").alias("axis"))
+    return rounded(linear.project(p, m, basis, "electrode", "id", "v"), "score")
 
 
 # ------------------------------------------------------------------------------------ distances and clustering
@@ -279,7 +281,7 @@ def pc_project_fixed_basis(spark, sf_dir):
 
 @query
 def l2_normalize(spark, sf_dir):
-    p = points(spark, sf_dir, DIMS).withColumn("v", l2_normalise(F.col("v")))
+    p = points(spark, sf_dir).withColumn("v", l2_normalise(F.col("v")))
     return rounded(p.select("id", F.posexplode("v").alias("i", "x")), "x")
 
 
@@ -292,7 +294,7 @@ def pairwise_l2(spark, sf_dir):
 def neighbor_pairs_l2(spark, sf_dir):
     e = points(spark, sf_dir).select("electrode").distinct()
     adjacency = e.select("electrode", F.explode(F.array(F.col("electrode") - 1, F.col("electrode") + 1)).alias("neighbor"))
-    return rounded(graph.neighbour_distances(points(spark, sf_dir, DIMS), adjacency, "electrode", "id", "v"), "d2")
+    return rounded(graph.neighbour_distances(points(spark, sf_dir), adjacency, "electrode", "id", "v"), "d2")
 
 
 @query
@@ -314,7 +316,7 @@ def power_affinity(spark, sf_dir):
 
 @query
 def cluster_stats(spark, sf_dir):
-    p = points(spark, sf_dir, 4).withColumn("clust", (F.col("id") % 3).cast("int"))
+    p = points(spark, sf_dir).withColumn("clust", (F.col("id") % 3).cast("int"))
     return rounded(clustering.cluster_stats(p, "electrode", "clust", "v"), "centroid", "variance", "mix_frac")
 
 
@@ -573,7 +575,7 @@ def label_join(spark, sf_dir):
 @query
 def export_models(spark, sf_dir):
     e = spark.range(0, 14).select(F.col("id").cast("int").alias("electrode"))
-    p = points(spark, sf_dir, 4).withColumn("clust", (F.col("id") % 2 + 1).cast("int"))
+    p = points(spark, sf_dir).withColumn("clust", (F.col("id") % 2 + 1).cast("int"))
     s = clustering.cluster_stats(p, "electrode", "clust", "v")
     arr = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("i", c))), lambda x: x[c])
     m = s.groupBy("electrode", "clust").agg(arr("centroid").alias("centroid"), arr("variance").alias("variance"), F.max("mix_frac").alias("mix_frac"))
@@ -636,7 +638,7 @@ def acf_smoothed(spark, sf_dir):
 
 @query
 def compound_ei(spark, sf_dir):
-    p = points(spark, sf_dir, DIMS).join(counts(spark, sf_dir), "id").select("electrode", "n", F.posexplode("v").alias("i", "x"))
+    p = points(spark, sf_dir).join(counts(spark, sf_dir), "id").select("electrode", "n", F.posexplode("v").alias("i", "x"))
     return rounded(reports.compound(p, "electrode", "i", "n", "x"), "x")
 
 
