@@ -17,9 +17,9 @@ from ..functions import squared_l2
 from ..session import ship
 
 # Landmarks, neighbour that sets the local scale, leading vectors, most clusters, tolerance of the automatic
-# choice, k-means replicates and iterations, retries, most dropped rows.
+# choice, k-means replicates and iterations, retries, most dropped rows, posterior that a row of a mixture must exceed.
 LANDMARKS, NEIGHBOUR, VECTORS, MOST, TOLERANCE = 2_500, 5, 20, 15, 0.015
-REPLICATES, ITERATIONS, RETRIES, MOST_DROPPED = 5, 200, 10, 0.01
+REPLICATES, ITERATIONS, RETRIES, MOST_DROPPED, POSTERIOR = 5, 200, 10, 0.01, 0.5
 
 
 # -------------------------------------------------------------------------------------------------- SQL parts
@@ -164,27 +164,46 @@ def assign(model: dict, x: np.ndarray, chunk: int = 1_000) -> np.ndarray:
     return out
 
 
-def gaussian_mixture(x: np.ndarray, most: int, rng: np.random.Generator, rounds: int = 100) -> tuple[np.ndarray, int, list[float]]:
-    """Labels, k and the criterion of k = 1..most diagonal mixtures; the first k whose gain on the last is under a tenth of
-    what is left from k = 1."""
+def log_density(model: dict, x: np.ndarray) -> np.ndarray:
+    """Rows x components: log of share times density."""
+    fit = [np.log(s + 1e-300) - 0.5 * (np.log(2 * np.pi * v).sum() + ((x - m) ** 2 / v).sum(1)) for s, m, v in zip(model["shares"], model["means"], model["variances"], strict=True)]
+    return np.stack(fit, 1)
+
+
+def posterior(model: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows x components: probability of each component; and the log-likelihood of each row."""
+    logp = log_density(model, x)
+    top = logp.max(1, keepdims=True)
+    like = top[:, 0] + np.log(np.exp(logp - top).sum(1))
+    return np.exp(logp - like[:, None]), like
+
+
+def likeliest(model: dict, x: np.ndarray, least: float = POSTERIOR) -> np.ndarray:
+    """Clusters 1..k by the largest posterior, 0 for rows that no component has with more than `least`."""
+    r, _ = posterior(model, x)
+    return np.where(r.max(1) > least, r.argmax(1) + 1, 0)
+
+
+def gaussian_mixture(x: np.ndarray, most: int, rng: np.random.Generator, rounds: int = 100) -> tuple[dict, list[float]]:
+    """Model (shares, means, variances, k) and the criterion of k = 1..most diagonal mixtures; the first k whose gain on the
+    last is under a tenth of what is left from k = 1."""
     scores: list[float] = []
     fits = []
     for k in range(1, most + 1):
         label, c = k_means(x, k, rng, 2, 50)
-        share, var = np.bincount(label, minlength=k) / len(x), np.stack([x[label == j].var(0) if (label == j).any() else x.var(0) for j in range(k)]) + 1e-6
+        model = {"shares": np.bincount(label, minlength=k) / len(x), "means": c, "variances": np.stack([x[label == j].var(0) if (label == j).any() else x.var(0) for j in range(k)]) + 1e-6, "k": k}
         for _ in range(rounds):
-            logp = np.log(share + 1e-300) - 0.5 * (np.log(2 * np.pi * var).sum(1) + ((x[:, None] - c[None]) ** 2 / var[None]).sum(2))
-            top = logp.max(1, keepdims=True)
-            like = top[:, 0] + np.log(np.exp(logp - top).sum(1))
-            r = np.exp(logp - like[:, None])
+            r, _ = posterior(model, x)
             n = r.sum(0) + 1e-12
-            share, c = n / len(x), r.T @ x / n[:, None]
-            var = (r[:, :, None] * (x[:, None] - c[None]) ** 2).sum(0) / n[:, None] + 1e-6
+            c = r.T @ x / n[:, None]
+            var = np.stack([r[:, j] @ (x - c[j]) ** 2 / n[j] for j in range(k)]) + 1e-6
+            model = {"shares": n / len(x), "means": c, "variances": var, "k": k}
+        like = posterior(model, x)[1]
         scores.append(float(-2 * like.sum() + (k * (2 * x.shape[1] + 1) - 1) * np.log(len(x))))
-        fits.append(r.argmax(1) + 1)
+        fits.append(model)
     last, first = scores[-1], scores[0]
     k = next(i + 1 for i, s in enumerate(scores) if s < 0.9 * last + 0.1 * first or i == len(scores) - 1)
-    return fits[k - 1], k, scores
+    return fits[k - 1], scores
 
 
 # --------------------------------------------------------------------------------------------------- Spark
@@ -200,7 +219,8 @@ def cluster(points: DataFrame, group: str, id_col: str, vec: str, method: str =
     """group, id, clust, k: clusters of each group of more than `least` rows, none (0) in smaller ones.
 
     The landmarks of a group, at most `landmarks` by a hash of the id, meet in one task and are fitted; then all rows are
-    placed in batches against the fitted models, which have a bounded size each. Numerical failures are tried again with
+    placed in batches against the fitted models, which have a bounded size each; in mixtures by the largest posterior, 0 where
+    none exceeds POSTERIOR. Numerical failures are tried again with
     another seed; a group that keeps failing is left at 0.
     """
     spark = ship(points.sparkSession)
@@ -223,8 +243,7 @@ def cluster(points: DataFrame, group: str, id_col: str, vec: str, method: str =
                     elif method == "kmeans":
                         m = {"centroids": k_means(x, k or most, rng)[1], "k": k or most}
                     else:
-                        label, n, _ = gaussian_mixture(x, k or most, rng)
-                        m = {"centroids": np.stack([x[label == j].mean(0) if (label == j).any() else x.mean(0) for j in range(1, n + 1)]), "k": n}
+                        m, _ = gaussian_mixture(x, k or most, rng)
                     model = m
                     break
                 except (ValueError, np.linalg.LinAlgError):
@@ -244,7 +263,14 @@ def cluster(points: DataFrame, group: str, id_col: str, vec: str, method: str =
                 if last[0] != raw:
                     last = raw, pickle.loads(raw)
                 m, x = last[1], np.stack(part[vec].to_numpy()).astype(float)
-                label = np.zeros(len(x), int) if m is None else assign(m, x) if "mark" in m else ((x[:, None] - m["centroids"][None]) ** 2).sum(2).argmin(1) + 1
+                if m is None:
+                    label = np.zeros(len(x), int)
+                elif "mark" in m:
+                    label = assign(m, x)
+                elif "shares" in m:
+                    label = likeliest(m, x)
+                else:
+                    label = ((x[:, None] - m["centroids"][None]) ** 2).sum(2).argmin(1) + 1
                 yield pd.DataFrame({group: part[group], id_col: part[id_col], "clust": label.astype(np.int32), "k": part["k"]})
 
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
