@@ -1,8 +1,12 @@
 """Fits and assignments of the clusterings."""
 
+import inspect
+
 import numpy as np
+import pytest
 
 from tidegraph.operators import clustering
+from tidegraph.plans import QUERIES
 
 
 def test_mixture_labels_follow_the_posterior(spark):
@@ -21,3 +25,24 @@ def test_posterior_threshold():
     x = np.array([[0.0], [1.9], [2.0], [4.0]])
     assert clustering.likeliest(m, x).tolist() == [1, 1, 0, 2]  # half and half in the middle
     assert clustering.likeliest(m, x, 0.9).tolist() == [1, 0, 0, 2]
+
+
+@pytest.mark.parametrize("name", ["spectral_labels", "spectral_forced_k", "kmeans_labels", "gmm_bic"])
+def test_registered_clusterings_have_no_bounds_of_their_own(spark, small, monkeypatch, name):
+    seen = []
+    monkeypatch.setattr(clustering, "cluster", lambda *a, **b: seen.append(inspect.signature(cluster).bind(*a, **b).arguments))
+    QUERIES[name](spark, small)
+    assert not {"most", "landmarks"} & set(seen[0])
+    assert {len(r.v) for r in seen[0]["points"].select("v").collect()} == {64}
+
+
+def test_more_than_five_spectral_clusters_in_late_components(spark, tmp_path):
+    r = np.random.default_rng(7)
+    rows = [(i, [float(a) for a in r.normal(size=64) * 0.05 + 4 * np.eye(64)[40 + i % 8]], 3) for i in range(320)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    own = {(q.id % 8, q.clust) for q in QUERIES["spectral_labels"](spark, str(tmp_path)).collect()}
+    kinds = [{k for k, c in own if c == x} for x in {c for _, c in own}]
+    assert len(kinds) >= 8 and all(len(k) == 1 for k in kinds)
+
+
+cluster = clustering.cluster

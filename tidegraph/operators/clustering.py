@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from ..functions import squared_l2
 from ..session import ship
 
-# Landmarks, neighbour that sets the local scale, leading vectors, most clusters, tolerance of the automatic
+# Landmarks, rows for k-means and mixtures, neighbour that sets the local scale, leading vectors, most clusters, tolerance of the automatic
 # choice, k-means replicates and iterations, retries, most dropped rows, posterior that a row of a mixture must exceed.
-LANDMARKS, NEIGHBOUR, VECTORS, MOST, TOLERANCE = 2_500, 5, 20, 15, 0.015
+LANDMARKS, POINTS, NEIGHBOUR, VECTORS, MOST, TOLERANCE = 2_500, 20_000, 5, 20, 15, 0.015
 REPLICATES, ITERATIONS, RETRIES, MOST_DROPPED, POSTERIOR = 5, 200, 10, 0.01, 0.5
 
 
@@ -62,17 +62,22 @@ def cluster_stats(points: DataFrame, group: str, clust: str, vec: str) -> DataFr
 # ------------------------------------------------------------------------------------------------ numerics
 
 
+def square_distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Rows x centroids, a centroid at a time so that memory stays at a copy of the rows."""
+    return np.stack([((x - m) ** 2).sum(1) for m in c], 1)
+
+
 def k_means(x: np.ndarray, k: int, rng: np.random.Generator, replicates: int = REPLICATES, iterations: int = ITERATIONS) -> tuple[np.ndarray, np.ndarray]:
     """Labels and centroids of the best of several k-means++ starts."""
     best = (np.inf, None, None)
     for _ in range(replicates):
         c = x[[rng.integers(len(x))]]
         while len(c) < k:
-            d = ((x[:, None] - c[None]) ** 2).sum(2).min(1)
+            d = square_distances(x, c).min(1)
             c = np.concatenate((c, x[[rng.choice(len(x), p=d / d.sum()) if d.sum() > 0 else rng.integers(len(x))]]))
         label = None
         for _ in range(iterations):
-            d = ((x[:, None] - c[None]) ** 2).sum(2)
+            d = square_distances(x, c)
             new = d.argmin(1)
             if label is not None and (new == label).all():
                 break
@@ -215,15 +220,16 @@ def _seeded(key, attempt: int) -> np.random.Generator:
     return np.random.default_rng([zlib.crc32(str(key).encode()), attempt])
 
 
-def cluster(points: DataFrame, group: str, id_col: str, vec: str, method: str = "spectral", k: int | None = None, most: int = MOST, least: int = 100, landmarks: int = LANDMARKS) -> DataFrame:
+def cluster(points: DataFrame, group: str, id_col: str, vec: str, method: str = "spectral", k: int | None = None, most: int = MOST, least: int = 100, landmarks: int | None = None) -> DataFrame:
     """group, id, clust, k: clusters of each group of more than `least` rows, none (0) in smaller ones.
 
-    The landmarks of a group, at most `landmarks` by a hash of the id, meet in one task and are fitted; then all rows are
+    The landmarks of a group, at most `landmarks` (LANDMARKS for spectral clustering, else POINTS) by a hash of the id, meet in one task and are fitted; then all rows are
     placed in batches against the fitted models, which have a bounded size each; in mixtures by the largest posterior, 0 where
     none exceeds POSTERIOR. Numerical failures are tried again with
     another seed; a group that keeps failing is left at 0.
     """
     spark = ship(points.sparkSession)
+    landmarks = landmarks or (LANDMARKS if method == "spectral" else POINTS)
     kind = {f.name: f.dataType.simpleString() for f in points.schema}
     nth = Window.partitionBy(group).orderBy(F.xxhash64(id_col), id_col)
     marks = points.withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= landmarks).select(group, id_col, vec)

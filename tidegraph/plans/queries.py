@@ -17,7 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 # What gives results that are not trivial on these tables.
 MAX_WIDTH, MIN_GAP, ALPHA, HEAD = 3, 3, 0.2, 10
-LINK, DIMS = 1.4, 8
+LINK = 1.4
 AUTO = [editing.Action("AUTO_RM", ids=[2, 16]), editing.Action("AUTO_MERGE", master_id=3, ids=[1, 5]), editing.Action("AUTO_RM_DUP", master_id=3, ids=[17, 4]), editing.Action("AUTO_MERGE", master_id=2, ids=[7, 8])]
 MANUAL = [editing.Action("KEEP", ids=[16]), editing.Action("MERGE", ids=[1, 2]), editing.Action("DELETE", ids=[4]), editing.Action("CONSOLIDATE"), editing.Action("MERGE", ids=[5, 7])]
 BASIS = [(1, [1.0, 0.5, -0.5, 0.25, 0.0, 0.0, 1.0, -1.0]), (2, [0.0, 1.0, 1.0, -1.0, 0.5, -0.5, 0.0, 0.25])]  # repeated along the vector
@@ -57,9 +57,8 @@ def spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detection.detect(*upright(spark, sf_dir), MAX_WIDTH, MIN_GAP)
 
 
-def points(spark: SparkSession, sf_dir: str, dims: int | None = None) -> DataFrame:
-    v = to_double(F.col("embedding"))
-    return table(spark, sf_dir, "embeddings").select(F.col("label").alias("electrode"), F.col("vec_id").alias("id"), (F.slice(v, 1, dims) if dims else v).alias("v"))
+def points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select(F.col("label").alias("electrode"), F.col("vec_id").alias("id"), to_double(F.col("embedding")).alias("v"))
 
 
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,22 +348,22 @@ def shrink_to_target(spark, sf_dir):
 
 @query
 def spectral_labels(spark, sf_dir):
-    return clustering.cluster(points(spark, sf_dir, DIMS), "electrode", "id", "v", "spectral", most=5, least=20, landmarks=200)
+    return clustering.cluster(points(spark, sf_dir), "electrode", "id", "v", "spectral", least=20)
 
 
 @query
 def spectral_forced_k(spark, sf_dir):
-    return clustering.cluster(points(spark, sf_dir, DIMS), "electrode", "id", "v", "spectral", k=3, least=20, landmarks=200)
+    return clustering.cluster(points(spark, sf_dir), "electrode", "id", "v", "spectral", k=3, least=20)
 
 
 @query
 def kmeans_labels(spark, sf_dir):
-    return clustering.cluster(points(spark, sf_dir, DIMS), "electrode", "id", "v", "kmeans", k=3, least=20, landmarks=500)
+    return clustering.cluster(points(spark, sf_dir), "electrode", "id", "v", "kmeans", k=3, least=20)
 
 
 @query
 def gmm_bic(spark, sf_dir):
-    return clustering.cluster(points(spark, sf_dir, 4), "electrode", "id", "v", "gmm", most=4, least=20, landmarks=500)
+    return clustering.cluster(points(spark, sf_dir), "electrode", "id", "v", "gmm", least=20)
 
 
 # ------------------------------------------------------------------------------------- graph and deduplication
