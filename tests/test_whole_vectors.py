@@ -82,3 +82,12 @@ def test_cluster_stats_and_images(spark, small, groups):
         if w.sum():
             want |= {(g, i): x for i, x in enumerate(w @ v / w.sum())}
     assert {(r.electrode, r.i): r.x for r in collect(spark, small, "compound_ei")} == near(want)
+
+
+def test_labels_beyond_the_fourteenth(spark, tmp_path):
+    r = np.random.default_rng(1)
+    rows = [(i, [float(a) for a in r.normal(size=64)], i % 20) for i in range(80)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    assert sorted((x.place, x.electrode) for x in collect(spark, str(tmp_path), "block_diag_order"))[-1][0] == 19
+    assert {x.electrode for x in collect(spark, str(tmp_path), "block_diag_order")} == set(range(20))
+    assert {x.electrode for x in collect(spark, str(tmp_path), "export_models") if x.dims == 64} == set(range(20))

@@ -573,11 +573,11 @@ def label_join(spark, sf_dir):
 
 @query
 def export_models(spark, sf_dir):
-    e = spark.range(0, 14).select(F.col("id").cast("int").alias("electrode"))
     p = points(spark, sf_dir).withColumn("clust", (F.col("id") % 2 + 1).cast("int"))
     s = clustering.cluster_stats(p, "electrode", "clust", "v")
     arr = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("i", c))), lambda x: x[c])
     m = s.groupBy("electrode", "clust").agg(arr("centroid").alias("centroid"), arr("variance").alias("variance"), F.max("mix_frac").alias("mix_frac"))
+    e = spark.range(0, 14).select(F.col("id").cast("int").alias("electrode")).union(p.select("electrode")).distinct()  # some without points too
     out = stages.export_models(e, m)
     return out.select("electrode", "clust", F.size("centroid").alias("dims"), F.round("mix_frac", 6).alias("mix_frac"))
 
@@ -683,7 +683,7 @@ def block_diag_order(spark, sf_dir):
     labels = sorted({r["electrode"] for r in c})  # the few electrodes' mean points
     m = np.array([[r["x"] for r in c if r["electrode"] == g] for g in labels])
     d = np.exp(-((m[:, None] - m[None]) ** 2).sum(2))
-    order = reports.block_order(d[:15, :15])
+    order = reports.block_order(d)
     return spark.createDataFrame([(i, int(labels[o])) for i, o in enumerate(order)], "place int, electrode int")
 
 
