@@ -92,6 +92,13 @@ def test_top_k(spark, n):
     assert {tuple(x) for x in got} == brute_top(rows, 50, 5) and len(got) == len({tuple(x) for x in got})
 
 
+def test_top_k_of_each_length(spark):
+    r = np.random.default_rng(8)
+    rows = {d: [(i, [float(c) for c in r.normal(size=d)]) for i in ids] for d, ids in ((8, range(0, 400)), (5, range(400, 520)), (3, [550, 551]), (2, [600]), (4, [701, 702]))}
+    got = topk.top_k(vectors(spark, [(i, x, "s", 0) for part in rows.values() for i, x in part]), every=50, ring=40, pivots=6, sample=100).collect()
+    assert {tuple(x) for x in got} == set().union(*(brute_top(part, 50, 5) for part in rows.values())) and len(got) == 8 * 5 + 3 * 5 + 1
+
+
 def test_embedding_queries_recall(spark, small):
     got = {tuple(r) for r in queries.op10_pivot_top_k(spark, small).collect()}
     rows = duckdb.sql(f"select vec_id, embedding from '{small}/embeddings.parquet'").fetchall()

@@ -30,8 +30,8 @@ RING = 1_024
 
 
 def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """(vec_id, v): floor(scale x component); rows with a null vector, a null or non-finite component, or not as many
-    components as most rows have take no part."""
+    """(vec_id, v): floor(scale x component); rows with a null or empty vector or a null or non-finite component take no
+    part."""
     x = F.transform(F.col("embedding"), lambda c: c.cast("double"))
     ok = F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.forall("embedding", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     v = vectors.where(F.coalesce(ok, F.lit(False))).select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c * scale).cast("double")).alias("v"))
@@ -97,17 +97,28 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 256, piv
 
     Nulls: see quantised(); a null vec_id takes no part either. Ties go to the smaller vec_id. Fewer than k other rows:
     all of them. Repeated rows of one vec_id count once (rows with the query's id are never its candidates). No rows: no
-    rows. Columns other than vec_id and embedding are ignored. Exact while |scores| stay below 2^53.
+    rows. Vectors of other lengths are searched among themselves, an index for each length. Columns other than vec_id and
+    embedding are ignored. Exact while |scores| stay below 2^53.
     """
     spark = ship(vectors.sparkSession)
     small_batches(spark, 2000)
     schema = "query_id long, rank int, vec_id long, score long"
     v = materialize(quantised(vectors, scale).withColumn("dims", F.size("v")), "vectors")
-    sizes = v.groupBy("dims").agg(F.count(F.lit(1)).alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c)).alias("longest")).orderBy(F.desc("n"), "dims").limit(1).collect()
+    asked = F.max((F.col("vec_id") % every == 0).cast("int")) == 1
+    sizes = v.groupBy("dims").agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c)).alias("longest"), asked.alias("asked")).where("asked").orderBy("dims").collect()
     if not sizes:
         return spark.createDataFrame([], schema)
-    dims, longest = sizes[0]["dims"], sizes[0]["longest"]
-    v = v.where(F.col("dims") == dims).drop("dims")
+    found = None
+    for r in sizes:
+        best = _best_of_length(v.where(F.col("dims") == r["dims"]).drop("dims"), r["dims"], r["longest"], every, k, pivots, sample, ring)
+        found = best if found is None else found.unionByName(best)
+    nth = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = found.distinct().withColumn("rank", F.row_number().over(nth)).where(f"rank <= {k}")
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _best_of_length(v: DataFrame, dims: int, longest: float, every: int, k: int, pivots: int, sample: int, ring: int) -> DataFrame:
+    """(query_id, vec_id, score): the best k of each query and more, among vectors of one length."""
     centre = _pivots(v, dims, longest, pivots, sample)
 
     def near(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -152,5 +163,4 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 256, piv
     bounds = asked.select("query_id", "q", "beat").mapInArrow(reach, "query_id long, p int, dist double, far double")
     pairs = bounds.join(annuli, (bounds["p"] == annuli["p"]) & (F.col("low") - F.col("dist") <= F.col("far")) & (F.col("dist") - F.col("high") <= F.col("far"))).select("query_id", "annulus")
     pairs = pairs.join(asked, "query_id").where(F.col("annulus") != F.col("own")).select("query_id", "q", "beat", "annulus")
-    found = first.unionByName(search(pairs)).distinct().withColumn("rank", F.row_number().over(nth)).where(f"rank <= {k}")
-    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return first.unionByName(search(pairs))
