@@ -5,9 +5,10 @@ hashed), so that inflected or misspelt forms of a stem are known by their charac
 read a window of words from either side; attention pools their states; a logistic unit scores the window. Windows overlap
 by a quarter and cover the whole text; a text scores as its highest window, calibrated on labelled texts that were set aside.
 
-Training uses a bounded sample of labelled rows (SAMPLE): a text's label is its highest window's. The embeddings start from
-how much more often a word or character run occurs in toxic training texts than in others, shrunk towards nothing for
-rare ones, and are trained on with the rest.
+Training uses a bounded sample of labelled rows (SAMPLE): a text's label is its highest window's. The embeddings are fixed, no
+gradient reaches them: the first component says how much more often a word or character run occurs in toxic training texts
+than in others (log-odds, shrunk towards nothing for rare ones), the other three stay as they were drawn. What is trained are
+the recurrent layers, HIDDEN units a direction, the attention and the logistic unit.
 
 Scale: the model is a few hundred kilobytes and is sent with the tasks; scoring is one pass over the texts without a shuffle, with
 all windows of a batch moving through the network together, a bounded number at a time.
