@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import gc
-import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -17,53 +16,85 @@ from ..session import ship
 # ---------------------------------------------------------------------------------------------- shared tables
 
 
-_own_dir: dict[str, str] = {}
+SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+PART_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one in the warehouse where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own_dir:
-        local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
-        _own_dir[app] = tempfile.mkdtemp(prefix="tidegraph-") if local else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tidegraph"
-    return _own_dir[app]
+    return found.rstrip("/") if found else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tidegraph"
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+@contextmanager
+def without_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What is executed within removes its shuffle files when it ends; the setting is put back."""
+    before = spark.conf.get(SHUFFLES, None)
+    spark.conf.set(SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLES, before) if before is not None else spark.conf.unset(SHUFFLES)
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """df, written once as Parquet in the shared folder and read back: cuts the lineage and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
-    release(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df, written once as Parquet in the shared folder and read back: cuts the lineage and survives lost executors. The
+    table goes when discard() is called for it, or else when the application ends."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    with without_shuffles(spark):
+        df.write.parquet(path)
+    fs, p = _file_system(spark, path)
+    fs.deleteOnExit(p)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._table = path
+    return out
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of plans that nothing refers to any more; it does so when garbage is collected."""
-    gc.collect()
-    spark.range(1, numPartitions=1).collect()  # the scheduler holds its last job until it gets another
-    spark.sparkContext._jvm.System.gc()
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that materialize() gave and that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "_table", None):
+            fs, p = _file_system(df.sparkSession, path)
+            fs.delete(p, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Bounds what one Arrow batch holds, and so the memory of a Python worker."""
-    ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def fresh(names: Iterable[str], base: str) -> str:
+    """base, or base with as many underscores before it as it takes to differ from names (Spark ignores case)."""
+    taken = {n.lower() for n in names}
+    while base.lower() in taken:
+        base = "_" + base
+    return base
+
+
+def parts(batch: pa.RecordBatch, rows: int = 400, size: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """batch in pieces of at most `rows` rows and about `size` bytes (a row at least), which bounds the temporaries of what
+    works on them. Spark itself bounds a batch by bytes."""
+    if batch.num_rows > 1 and (batch.num_rows > rows or batch.nbytes > size):
+        half = batch.num_rows // 2
+        yield from parts(batch.slice(0, half), rows, size)
+        yield from parts(batch.slice(half), rows, size)
+    elif batch.num_rows:
+        yield batch
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """fn over the Arrow batches of df, empty batches left out."""
+def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, rows: int = 400) -> DataFrame:
+    """fn over the rows of df in parts(), empty ones left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := fn(batch)) is not None:
-                yield out
+            for part in parts(batch, rows):
+                if (out := fn(part)) is not None:
+                    yield out
 
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
@@ -192,22 +223,28 @@ def connected_components(edges: DataFrame, tag: str) -> DataFrame:
 
     Each round hooks every component to the smallest one next to it, follows those hooks to their end, and keeps only
     the edges that still join two components, so both edges and rounds shrink fast. Nothing is gathered on the driver
-    but whether edges are left. A hub is no bottleneck: minima are taken before the shuffle and the joins can split.
+    but whether edges are left. A hub is no bottleneck: minima are taken before the shuffle and the joins can split. The
+    tables of a round are deleted as soon as the next one is written.
     """
     edges = materialize(edges.select("u", "v").where("u <> v").distinct(), f"{tag}-edges")
-    labels = edges.select(F.explode(F.array("u", "v")).alias("id")).distinct().select("id", F.col("id").alias("component"))
+    labels = materialize(edges.select(F.explode(F.array("u", "v")).alias("id")).distinct().select("id", F.col("id").alias("component")), f"{tag}-labels")
     while not edges.isEmpty():
         hook = edges.select(F.explode(F.array(F.struct(F.col("u").alias("a"), F.col("v").alias("b")), F.struct(F.col("v").alias("a"), F.col("u").alias("b")))).alias("x"))
         hook = materialize(hook.groupBy(F.col("x.a").alias("a")).agg(F.least(F.col("a"), F.min("x.b")).alias("to")), f"{tag}-hook")
         while True:  # follow hooks: each pass doubles the distance
             far = hook.select(F.col("a").alias("to"), F.col("to").alias("far"))
-            hook = materialize(hook.join(far, "to").select("a", F.col("far").alias("to"), (F.col("far") < F.col("to")).alias("moved")), f"{tag}-jump")
-            moved = not hook.where("moved").isEmpty()
-            hook = hook.drop("moved")
+            jump = materialize(hook.join(far, "to").select("a", F.col("far").alias("to"), (F.col("far") < F.col("to")).alias("moved")), f"{tag}-jump")
+            moved = not jump.where("moved").isEmpty()
+            discard(hook)
+            hook = jump.drop("moved")
+            hook._table = jump._table
             if not moved:
                 break
+        old = labels, edges
         labels = materialize(labels.join(hook.withColumnRenamed("a", "component"), "component", "left").select("id", F.coalesce("to", "component").alias("component")), f"{tag}-labels")
         u, v = hook.toDF("u", "cu"), hook.toDF("v", "cv")
         edges = edges.join(u, "u").select("v", "cu").join(v, "v").where("cu <> cv")
         edges = materialize(edges.select(F.least("cu", "cv").alias("u"), F.greatest("cu", "cv").alias("v")).distinct(), f"{tag}-edges")
+        discard(*old, hook)
+    discard(edges)
     return labels

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, connected_components, list_array, materialize, signed, small_batches
+from .common import arrow_map, connected_components, list_array, materialize, ship, signed
 
 THRESHOLD = 0.95
 ROTATIONS, BAND_BITS = 12, 16
@@ -122,7 +122,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     columns are ignored. Every link found is confirmed in double precision.
     """
     spark = vectors.sparkSession
-    small_batches(spark, 2000)
+    ship(spark)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda c: c.cast("double")).alias("v"))
     ok = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists("v", lambda c: c != 0) & F.col("vec_id").isNotNull()
     real = rows.where(F.coalesce(ok, F.lit(False))).withColumn("v", F.transform("v", lambda c: F.when(c == 0, F.lit(0.0)).otherwise(c))).distinct()

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, small_batches
+from .common import arrow_map
 
 # ---------------------------------------------------------------------------------------------------- parsing
 
@@ -365,11 +365,10 @@ def extract(pages: DataFrame) -> DataFrame:
     rows: no rows. Other columns are ignored. Cut pages are read as far as they go: an open tag or comment at the end is
     dropped, open elements end with the page.
     """
-    small_batches(pages.sparkSession, 200)
     w, pair = train()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = main_texts(batch.column(2).to_pylist(), w, pair)
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return arrow_map(pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")), run, "page_id long, url string, text string, n_chars long")
+    return arrow_map(pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")), run, "page_id long, url string, text string, n_chars long", 200)

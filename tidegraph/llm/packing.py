@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashes, joined, materialize, small_batches, words
+from .common import hashes, joined, materialize, parts, ship, words
 
 SEQUENCE = 4096
 END_ID = 1
@@ -180,11 +180,11 @@ _held: dict[str, WordIds] = {}
 
 def tokenise(docs: DataFrame, tokenizer: str, length: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
     """(doc_id, row, piece, start, length, ids) for each piece; row tells rows of the input apart, ids is binary (<u4)."""
-    small_batches(docs.sparkSession, 400)
+    ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end, part, n = np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId() << 33, 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts(whole)):
             if tokenizer not in _held:
                 _held[tokenizer] = WordIds(tokenizer)
             known, out = _held[tokenizer], {k: [] for k in ("doc_id", "row", "piece", "start", "length", "ids")}

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _IS_SPACE, arrow_map, small_batches, words
+from .common import _IS_SPACE, arrow_map, words
 
 LABELLED, UNLABELLED = 3_000, 3_000
 LONGEST = 50_000  # characters of a text that is learned from
@@ -198,8 +198,6 @@ def score(docs: DataFrame, model: CoTrained | None) -> DataFrame:
     language is a value of its own. Without a model (labels of one kind only) every score is 0.5. Repeated rows: a row
     each. No rows: no rows. Other columns are ignored.
     """
-    small_batches(docs.sparkSession, 400)
-
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         p = model.score(_views(*(batch.column(i).to_pylist() for i in (1, 2, 3)))) if model else np.full(batch.num_rows, 0.5)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, materialize, ship, small_batches
+from .common import arrow_map, materialize, ship
 
 PIVOTS = 32
 SAMPLE = 2_000  # rows that the pivots are fitted on
@@ -101,7 +101,6 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 256, piv
     embedding are ignored. Exact while |scores| stay below 2^53.
     """
     spark = ship(vectors.sparkSession)
-    small_batches(spark, 2000)
     schema = "query_id long, rank int, vec_id long, score long"
     v = materialize(quantised(vectors, scale).withColumn("dims", F.size("v")), "vectors")
     asked = F.max((F.col("vec_id") % every == 0).cast("int")) == 1

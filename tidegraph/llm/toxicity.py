@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, joined, mix, small_batches, words
+from .common import arrow_map, fresh, joined, mix, words
 
 WINDOW, STRIDE = 32, 24
 HIDDEN = 4
@@ -362,15 +362,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int =
 
 
 def score(docs: DataFrame, net: dict[str, np.ndarray] | None) -> DataFrame:
-    """docs with the column score; every column of docs goes through (text must be among them).
+    """docs with the column score, the last one (with underscores before its name if docs has such a column); every column of
+    docs goes through (text must be among them).
 
     Nulls: a null or empty text, or one without letters and digits, gets a score near 0. Repeated rows: a row each. No
     rows: no rows. Very long texts are scored whole, a bounded number of windows at a time.
     """
-    small_batches(docs.sparkSession, 400)
     names = docs.columns
     at = names.index("text")
-    name = "score" if "score" not in names else "toxic_score"
+    name = fresh(names, "score")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [t and t.encode() for t in batch.column(at).to_pylist()]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, shared_dir, small_batches
+from .common import materialize, parts, shared_dir, ship
 
 VERSION = b"WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
@@ -173,7 +173,7 @@ def write(pages: DataFrame, path: str, least_revisit: int = LEAST_REVISIT, recor
     A null html is an empty payload. Of equal payloads of least_revisit bytes or more the smallest page_id is written as
     response, the others as revisits of it; rows with the same smallest id are all responses, and rows without an id too.
     """
-    small_batches(pages.sparkSession, 200)
+    ship(pages.sparkSession)
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.encode("html", "UTF-8"), F.lit(b"")).alias("payload"))
     p = p.withColumn("digest", F.sha2("payload", 256))
     firsts = p.where(F.length("payload") >= least_revisit).groupBy("digest").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last")).where("first < last").select("digest", "first")
@@ -182,7 +182,7 @@ def write(pages: DataFrame, path: str, least_revisit: int = LEAST_REVISIT, recor
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts(whole, 200)):
             out = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if n % records == 0:
@@ -201,7 +201,7 @@ RECORD = "archive string, offset long, kind string, record_id string, target_uri
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """A row a record or gap (kind 'gap') of the archives under path; payload is the HTTP message's body, null for revisits."""
-    small_batches(spark, 4)
+    ship(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in RECORD.split(", ")]
