@@ -8,12 +8,16 @@ low bits by chance, and what passes is confirmed on the full sets.
 Why nothing is lost: at similarity 0.85 a pair shares a given band with probability 0.85^6 = 0.38, so it misses all 32
 with 3e-7; the estimate has a standard deviation of 0.026 there and is asked to be above the threshold less SLACK = 0.13.
 
-Scale: texts with equal sets are one class from the start. Buckets never give all their pairs: each document is first
-paired with one partner only, the one among the smallest members of its buckets that shares most buckets; the links that
+Sets are compared as sets of 64-bit shingle hashes, in full; two different shingles are taken for one with 5e-20.
+
+Scale: texts with equal sets are one class, a node, from the start; the rows of an id with several texts are nodes of their
+own that are linked at the end. Buckets never give all their pairs: each document is first
+paired with one partner only, the one among the first members of its buckets that shares most buckets; the links that
 are confirmed make components, and then only buckets that still span several components are looked at again, where pairs
 within a component, pairs within the bucket's first component, pairs whose estimate is too low and pairs that have too many
-shingles which nobody else has are left out inside the join. Minima over buckets are taken before the shuffle, and the joins on buckets and on partners are plain equi-joins that
-adaptive execution splits where a key is hot. Texts are shuffled only to confirm pairs.
+shingles which nobody else has are left out inside the join. Minima over buckets are taken before the shuffle and written, so both
+sides of the joins on classes, buckets and partners are dealt by the join itself and adaptive execution can split a hot
+key. Texts are shuffled only to confirm pairs.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, connected_components, grams, joined, list_array, materialize, mix, signed, small_batches, words
+from .common import arrow_map, connected_components, discard, grams, joined, list_array, materialize, mix, ship, signed, words
 
 SHINGLE = 5
 THRESHOLD = 85  # per cent
@@ -36,7 +40,7 @@ _XOR = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
 _MUL = (_rng.integers(0, 1 << 31, HASHES, dtype=np.uint64) * 2 + 1).astype(np.uint32)
 _BAND_MUL = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64).reshape(BANDS, ROWS) * np.uint64(2) + np.uint64(1)
 PLANES = [f"p{i}" for i in range(BITS * HASHES // 64)]
-SIGNATURE = "doc_id long, n_shingles long, key1 long, key2 long, " + ", ".join(f"{p} long" for p in PLANES) + ", bands array<long>"
+SIGNATURE = "doc_id long, text_key long, n_shingles long, key1 long, key2 long, " + ", ".join(f"{p} long" for p in PLANES) + ", bands array<long>"
 
 
 def shingle_sets(texts: list[bytes | None], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -77,7 +81,7 @@ def minima(x: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _signatures(batch: pa.RecordBatch) -> pa.RecordBatch:
-    ids, texts = batch.column(0), batch.column(1).to_pylist()
+    ids, texts = batch.column(0), batch.column(2).to_pylist()
     x, offsets = shingle_sets(texts)
     n = np.diff(offsets)
     some = np.flatnonzero(n)
@@ -97,8 +101,8 @@ def _signatures(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys[i, some] = np.add.reduceat(part, offsets[some]) if len(some) else 0
     spread = np.zeros(len(n) + 1, np.int64)
     np.cumsum((n > 0) * BANDS, out=spread[1:])
-    cols = [ids, pa.array(n), pa.array(signed(keys[0])), pa.array(signed(keys[1])), *[pa.array(signed(p)) for p in planes], list_array(signed(bands.ravel()), spread)]
-    return pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "key1", "key2", *PLANES, "bands"])
+    cols = [ids, batch.column(1), pa.array(n), pa.array(signed(keys[0])), pa.array(signed(keys[1])), *[pa.array(signed(p)) for p in planes], list_array(signed(bands.ravel()), spread)]
+    return pa.RecordBatch.from_arrays(cols, ["doc_id", "text_key", "n_shingles", "key1", "key2", *PLANES, "bands"])
 
 
 def estimate(a: str, b: str) -> Column:
@@ -120,17 +124,13 @@ def _may_link(a: str, b: str, threshold: int) -> Column:
 
 
 def _confirm(threshold: int):
-    held: dict[int, np.ndarray] = {}
+    held: dict[int, np.ndarray] = {}  # by node, which has one text only
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         u, v, tu, tv = (batch.column(i).to_pylist() for i in range(4))
-        fresh = {}
-        for i, x in enumerate(v):  # pairs come in order of v more or less: keep the last sets
-            if x not in held and x not in fresh:
-                fresh[x] = tv[i]
         if len(held) > 64:
             held.clear()
-            fresh = {x: tv[i] for i, x in enumerate(v)}
+        fresh = {x: tv[i] for i, x in enumerate(v) if x not in held}  # pairs come in order of v more or less: the last sets are kept
         x, o = shingle_sets(list(fresh.values()))
         held.update({d: x[o[i] : o[i + 1]] for i, d in enumerate(fresh)})
         x, o = shingle_sets(tu)
@@ -146,28 +146,72 @@ def _confirm(threshold: int):
     return run
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Those of pairs (u, v) whose full sets are as alike as asked for. docs: (doc_id, text)."""
-    ids = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-    texts = docs.join(ids.hint("shuffle_hash"), "doc_id").select("doc_id", F.col("text").cast("binary").alias("text"))
-    both = pairs.join(texts.toDF("u", "tu"), "u").join(texts.toDF("v", "tv"), "v").select("u", "v", "tu", "tv")
-    return arrow_map(both, _confirm(threshold), "u long, v long")
+class Texts:
+    """The text of each node: that of the row (doc_id, text_key) which stands for the class."""
+
+    def __init__(self, docs: DataFrame, nodes: DataFrame, repeated: bool):
+        self.docs, self.nodes, self.repeated = docs, nodes.select("node", "doc_id", "text_key"), repeated
+
+    def of(self, wanted: DataFrame) -> DataFrame:
+        """(node, text) of the nodes of `wanted`, which are all different."""
+        at = self.nodes.join(wanted.select("node"), "node")
+        out = self.docs.join(at.hint("shuffle_hash"), ["doc_id", "text_key"]).select("node", "text")
+        return out.dropDuplicates(["node"]) if self.repeated else out  # where no row is there twice, nothing needs to move again
+
+    def confirm(self, pairs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+        """Those of pairs (u, v) whose full sets are as alike as asked for."""
+        texts = self.of(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+        both = pairs.join(texts.toDF("u", "tu"), "u").join(texts.toDF("v", "tv"), "v").select("u", "v", "tu", "tv")
+        return arrow_map(both, _confirm(threshold), "u long, v long", 300)
 
 
 def _shingle_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
     x, o = shingle_sets(batch.column(1).to_pylist())
-    return pa.RecordBatch.from_arrays([batch.column(0), list_array(signed(x), o)], ["doc_id", "shingles"])
+    return pa.RecordBatch.from_arrays([batch.column(0), list_array(signed(x), o)], ["node", "shingles"])
 
 
-def _own_shingles(bands: DataFrame, docs: DataFrame) -> DataFrame:
-    """(doc_id, own) of the documents in `bands`: how many of its shingles no other of them has. No pair of them can share
+def _own_shingles(bands: DataFrame, texts: Texts) -> DataFrame:
+    """(node, own) of the nodes in `bands`: how many of its shingles no other of them has. No pair of them can share
     those, which rules out most pairs of a group whose members were each changed a little too much, without comparing."""
-    ids = bands.select("doc_id").distinct()
-    texts = docs.join(ids.hint("shuffle_hash"), "doc_id").select("doc_id", F.col("text").cast("binary"))
-    sets = arrow_map(texts, _shingle_rows, "doc_id long, shingles array<long>").select("doc_id", F.explode("shingles").alias("shingle"))
-    lone = sets.groupBy("shingle").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")).where("doc_id = last")
-    own = lone.groupBy("doc_id").agg(F.count(F.lit(1)).alias("own"))
-    return materialize(ids.join(own, "doc_id", "left").select("doc_id", F.coalesce("own", F.lit(0)).alias("own")), "own")
+    ids = bands.select("node").distinct()
+    sets = arrow_map(texts.of(ids), _shingle_rows, "node long, shingles array<long>", 300).select("node", F.explode("shingles").alias("shingle"))
+    lone = sets.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last")).where("node = last")
+    own = lone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    return materialize(ids.join(own, "node", "left").select("node", F.coalesce("own", F.lit(0)).alias("own")), "own")
+
+
+def _links(classes: DataFrame, texts: Texts, threshold: int) -> DataFrame:
+    """(u, v) between nodes: enough of the confirmed links that every linked pair ends in one component."""
+    bands = classes.select("node", F.posexplode("bands").alias("nth", "band"))
+    shared = materialize(bands.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("band", "low"), "shared")
+    bands = materialize(bands.join(shared, "band").select("node", "nth", "band", "low"), "buckets")  # of buckets with two members at least
+    discard(shared)
+    first = bands.where("node > low").groupBy("node", "low").count().groupBy("node").agg(F.max_by("low", F.struct(F.col("count"), -F.col("low"))).alias("low"))
+    packed = ["node", "n_shingles", *PLANES]
+    sides = lambda p: classes.select(*[F.col(c).alias(p + c) for c in packed])
+    first = first.join(sides("a_"), F.col("node") == F.col("a_node")).join(sides("b_"), F.col("low") == F.col("b_node"))
+    first = materialize(first.where(_may_link("a_", "b_", threshold)).select(F.col("node").alias("u"), F.col("low").alias("v")), "first-pairs")
+    linked = materialize(texts.confirm(first, threshold), "first-links")
+    labels = connected_components(linked, "first")
+    # what is left: buckets that span components
+    wide = bands.join(labels, F.col("node") == F.col("id"), "left").select("node", "nth", "band", F.coalesce("component", "node").alias("component"))
+    spans = materialize(wide.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("band", "least"), "spans")
+    wide = materialize(wide.join(spans, "band"), "open-buckets")
+    discard(bands, spans, labels)
+    own = _own_shingles(wide, texts)
+    open_ = wide.join(classes.select(*packed, "bands"), "node").join(own, "node")
+    a = open_.where("component <> least").select("band", *[F.col(c).alias("a_" + c) for c in open_.columns if c not in ("band", "least")])
+    b = open_.select("band", *[F.col(c).alias("b_" + c) for c in open_.columns if c != "band"])
+    once = (F.col("b_component") == F.col("b_least")) | (F.col("a_node") > F.col("b_node"))
+    most = F.least(F.col("a_n_shingles") - F.col("a_own"), F.col("b_n_shingles") - F.col("b_own"))  # they cannot share more
+    can = 100 * most >= threshold * (F.col("a_n_shingles") + F.col("b_n_shingles") - most)
+    before = lambda p: F.slice(F.col(p + "bands"), F.lit(1), F.col("a_nth"))
+    met = F.exists(F.zip_with(before("a_"), before("b_"), lambda x, y: x == y), lambda x: x)  # in an earlier bucket
+    pairs = a.join(b, (a["band"] == b["band"]) & (F.col("a_component") != F.col("b_component")) & once & can & _may_link("a_", "b_", threshold) & ~met)
+    pairs = pairs.select(F.greatest("a_node", "b_node").alias("u"), F.least("a_node", "b_node").alias("v")).distinct().join(first, ["u", "v"], "left_anti")
+    pairs = materialize(pairs, "second-pairs")
+    discard(wide, own, first)
+    return linked if pairs.isEmpty() else linked.unionByName(texts.confirm(pairs, threshold))
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -175,47 +219,28 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
     Links are transitive; kept is the smallest id of each component. Nulls: a null or empty text, or one of white space,
     has the empty set, links with nothing and is kept; a row with a null id is no node: its component_id is null and it is
-    kept. Repeated rows: every row with an id gets that id's component. Fewer than five words are one shingle. Very long
-    texts are hashed by slices. No rows: no rows. Other columns are ignored.
+    kept. Repeated rows: every row with an id gets that id's component. An id whose rows have different texts is linked
+    through each of them, so it joins what they are near to. Fewer than five words are one shingle. Very long texts are
+    hashed by slices. No rows: no rows. Other columns are ignored.
     """
-    small_batches(docs.sparkSession, 300)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed_docs = materialize(arrow_map(docs.select("doc_id", F.col("text").cast("binary")), _signatures, SIGNATURE), "signatures")
-    real = signed_docs.where("n_shingles > 0 and doc_id is not null")
-    classes = real.groupBy("key1", "key2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
+    ship(docs.sparkSession)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").cast("binary").alias("text"))
+    rows = materialize(arrow_map(docs, _signatures, SIGNATURE, 300), "signatures")
+    real = rows.where("n_shingles > 0 and doc_id is not null")
     keys = ["key1", "key2", "n_shingles"]
-    copies = real.select("doc_id", *keys).join(classes.where("rep < last"), keys).where("doc_id > rep").select("doc_id", "rep", "key1", "key2").distinct()
-    copies = materialize(copies, "copies")
-    reps = real.join(copies.select("doc_id", "key1", "key2"), ["doc_id", "key1", "key2"], "left_anti").dropDuplicates(["doc_id", "key1", "key2"])
-    reps = materialize(reps.drop("key1", "key2"), "representatives")
-    bands = reps.select("doc_id", F.posexplode("bands").alias("nth", "band"))
-    shared = bands.groupBy("band").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    bands = materialize(bands.join(shared.select("band", "low"), "band").select("doc_id", "nth", "band", "low"), "buckets")  # rows of buckets with two members at least
-    first = bands.where("doc_id > low").groupBy("doc_id", "low").count().groupBy("doc_id").agg(F.max_by("low", F.struct(F.col("count"), -F.col("low"))).alias("low"))
-    sides = lambda p: reps.drop("bands").select(*[F.col(c).alias(p + c) for c in reps.columns if c != "bands"])
-    first = first.join(sides("a_"), F.col("doc_id") == F.col("a_doc_id")).join(sides("b_"), F.col("low") == F.col("b_doc_id"))
-    first = materialize(first.where(_may_link("a_", "b_", threshold)).select(F.col("doc_id").alias("u"), F.col("low").alias("v")).distinct(), "first-pairs")
-    linked = confirm(first, docs, threshold).unionByName(copies.select(F.col("doc_id").alias("u"), F.col("rep").alias("v")))
-    linked = materialize(linked.distinct(), "first-links")
-    labels = connected_components(linked, "first")
-    # what is left: buckets that span components
-    bands = bands.join(labels, F.col("doc_id") == F.col("id"), "left").select("doc_id", "nth", "band", F.coalesce("component", "doc_id").alias("component"))
-    spans = bands.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
-    bands = materialize(bands.join(spans.select("band", "least"), "band"), "open-buckets")
-    bands = bands.join(reps, "doc_id").join(_own_shingles(bands, docs), "doc_id")
-    a = bands.where("component <> least").select("band", *[F.col(c).alias("a_" + c) for c in bands.columns if c not in ("band", "least")])
-    b = bands.select("band", *[F.col(c).alias("b_" + c) for c in bands.columns if c != "band"])
-    once = (F.col("b_component") == F.col("b_least")) | (F.col("a_doc_id") > F.col("b_doc_id"))
-    most = F.least(F.col("a_n_shingles") - F.col("a_own"), F.col("b_n_shingles") - F.col("b_own"))  # they cannot share more
-    can = 100 * most >= threshold * (F.col("a_n_shingles") + F.col("b_n_shingles") - most)
-    before = lambda p: F.slice(F.col(p + "bands"), F.lit(1), F.col("a_nth"))
-    met = F.exists(F.zip_with(before("a_"), before("b_"), lambda x, y: x == y), lambda x: x)  # in an earlier bucket
-    pairs = a.join(b, (a["band"] == b["band"]) & (F.col("a_component") != F.col("b_component")) & once & can & _may_link("a_", "b_", threshold) & ~met)
-    pairs = pairs.select(F.greatest("a_doc_id", "b_doc_id").alias("u"), F.least("a_doc_id", "b_doc_id").alias("v")).distinct().join(first, ["u", "v"], "left_anti")
-    pairs = materialize(pairs, "second-pairs")
-    if not pairs.isEmpty():
-        linked = materialize(linked.unionByName(confirm(pairs, docs, threshold)), "links")
-        labels = connected_components(linked, "all")
-    out = signed_docs.select("doc_id", "n_shingles").join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    # a node is a class of equal sets, under a number that the written table fixes
+    classes = materialize(real.dropDuplicates(keys).withColumn("node", F.monotonically_increasing_id()), "classes")
+    members = materialize(real.select("doc_id", *keys).join(classes.select("node", *keys), keys).select("doc_id", "node"), "members")
+    repeated = not rows.groupBy("doc_id", "text_key").count().where("count > 1").isEmpty()
+    links = _links(classes, Texts(docs, classes, repeated), threshold)
+    several = materialize(members.groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high"), "several")
+    links = links.unionByName(members.join(several, "doc_id").where("node > low").select(F.col("node").alias("u"), F.col("low").alias("v")))
+    labels = connected_components(links, "all")
+    groups = materialize(members.join(labels, F.col("node") == F.col("id"), "left").select("doc_id", F.coalesce("component", "node").alias("component")), "groups")
+    least = materialize(groups.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.max("doc_id").alias("last")).where("component_id < last").select("component", "component_id"), "least")
+    moved = groups.join(least, "component").where("doc_id > component_id").select("doc_id", "component_id").distinct()
+    moved = materialize(moved, "moved")
+    discard(classes, members, several, labels, groups, least)
+    out = rows.select("doc_id", "n_shingles").join(moved, "doc_id", "left")
+    out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
