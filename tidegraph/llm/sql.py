@@ -17,7 +17,7 @@ WITH d AS (
     ELSE CAST(cap AS DOUBLE) END AS target FROM lv
 ), g AS (
   SELECT d.doc_id, d.size, 'mix' || coalesce('=' || d.source, '') AS k, t.source_size, t.target, floor(sqrt(CAST(d.size AS DOUBLE))) AS grade,
-    ((coalesce(d.doc_id, 0) % 16) + 16) % 16 AS salt, floor(sqrt(CAST(d.size AS DOUBLE))) * floor(sqrt(CAST(d.size AS DOUBLE))) * 50 > t.source_size AS large,
+    CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) % (16 * greatest(1, CAST(ceil(sqrt((SELECT count(*) FROM documents) / 1000000.0)) AS BIGINT))) AS salt, floor(sqrt(CAST(d.size AS DOUBLE))) * floor(sqrt(CAST(d.size AS DOUBLE))) * 50 > t.source_size AS large,
     CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 ), r AS (
