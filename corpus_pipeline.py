@@ -8,6 +8,9 @@ packing       the last: one row a piece, with its place in a sequence
 
 All but the last return the columns of their input. Stages are written as Parquet in the shared folder and read back, so a
 stage's work is not done again for the next one and a lost executor costs a stage at most.
+
+Every stage takes documents with columns of any other names beside doc_id, text and source, which go through, and gives no
+rows for an empty table. Rows with a null id or text are kept by the first three stages.
 """
 
 from __future__ import annotations
@@ -28,25 +31,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps what scores below the classifier's mark. Rows without text are kept."""
     net = toxicity.fit(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     scored = toxicity.score(docs, net)
-    return scored.where(F.col(scored.columns[-1]) < toxicity.PREDICT).select(*docs.columns)
+    return scored.where(F.col(f"`{scored.columns[-1]}`") < toxicity.PREDICT).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest id of each group, and one row of an id whose text repeats."""
     gone = minhash.near_duplicates(docs.select("doc_id", "text")).where(~F.col("kept")).select("doc_id").distinct()
-    out = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    out = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     again = docs.groupBy("doc_id", F.xxhash64("text")).count().where("count > 1")  # narrow; most corpora have no such row
     return out if again.isEmpty() else out.dropDuplicates(["doc_id", "text"])
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts repeated passages; a row whose text loses nothing is left as it was."""
-    cut = substring.dedup(docs.select("doc_id", "text")).where("kept_text is not null").select("doc_id", "row_key", "kept_text").dropDuplicates(["doc_id", "row_key"])
-    out = substring.keyed(docs).join(cut.hint("shuffle_hash"), ["doc_id", "row_key"], "left")
-    new = {"text": F.coalesce("kept_text", "text")}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("kept_text").isNotNull(), F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return out.withColumns(new).select(*docs.columns)
+    return substring.cut_rows(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
