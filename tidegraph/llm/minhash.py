@@ -228,10 +228,13 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     rows = materialize(arrow_map(docs, _signatures, SIGNATURE, 300), "signatures")
     real = rows.where("n_shingles > 0 and doc_id is not null")
     keys = ["key1", "key2", "n_shingles"]
-    # a node is a class of equal sets, under a number that the written table fixes
-    classes = materialize(real.dropDuplicates(keys).withColumn("node", F.monotonically_increasing_id()), "classes")
-    members = materialize(real.select("doc_id", *keys).join(classes.select("node", *keys), keys).select("doc_id", "node"), "members")
+    # a node is a class of equal sets; numbers follow the least ids, so that what was copied comes before its copies
+    led = real.groupBy(*keys).agg(F.min("doc_id").alias("doc_id"), F.min_by("text_key", "doc_id").alias("text_key"))
+    led = materialize(led.repartitionByRange("doc_id").sortWithinPartitions("doc_id", *keys).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    members = materialize(real.select("doc_id", *keys).join(led.select("node", *keys), keys).select("doc_id", "node"), "members")
     repeated = not rows.groupBy("doc_id", "text_key").count().where("count > 1").isEmpty()
+    classes = real.join(led, ["doc_id", "text_key", *keys])
+    classes = materialize(classes.dropDuplicates(["node"]) if repeated else classes, "classes")
     links = _links(classes, Texts(docs, classes, repeated), threshold)
     several = materialize(members.groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high"), "several")
     links = links.unionByName(members.join(several, "doc_id").where("node > low").select(F.col("node").alias("u"), F.col("low").alias("v")))
@@ -240,7 +243,7 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     least = materialize(groups.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.max("doc_id").alias("last")).where("component_id < last").select("component", "component_id"), "least")
     moved = groups.join(least, "component").where("doc_id > component_id").select("doc_id", "component_id").distinct()
     moved = materialize(moved, "moved")
-    discard(classes, members, several, labels, groups, least)
+    discard(led, classes, members, several, labels, groups, least)
     out = rows.select("doc_id", "n_shingles").join(moved, "doc_id", "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
