@@ -37,7 +37,7 @@ from .common import arrow_map, discard, grams, joined, list_array, materialize,
 WINDOW = 13
 ANCHOR = 4
 PLAIN = 20  # bytes; shorter runs are mostly of common words and become anchors only where there is no other
-SHARE = 2_048  # anchors that one task is asked for, unless its block has more itself
+SHARE = 512  # anchors that one task is asked for, unless its block has more itself
 PIECE = 1 << 16  # windows in one stretch
 AHEAD = 64  # windows of literals that are looked up together
 
@@ -295,9 +295,8 @@ def spans(facts: DataFrame, texts: DataFrame, window: int = WINDOW) -> DataFrame
     facts: what _facts gives; texts: (doc_id, row_key, text), text in bytes; both with one row a text, ids not null.
     """
     found = facts.select("doc_id", "row_key", F.explode("anchors").alias("anchor"))
-    low = F.min(F.struct("doc_id", "row_key"))
-    led = found.groupBy("anchor").agg(low.alias("low"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n")).where("low.doc_id < last")
-    led = materialize(led.select("anchor", F.col("low.doc_id").alias("block"), F.col("low.row_key").alias("block_key"), "n"), "anchors")
+    led = found.groupBy("anchor").agg(F.min("doc_id").alias("block"), F.min_by("row_key", "doc_id").alias("block_key"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n"))
+    led = materialize(led.where("block < last").drop("last"), "anchors")
     asked = led.groupBy("block", "block_key").agg(F.sum("n").alias("asked"), F.count(F.lit(1)).alias("own"))
     asked = materialize(asked.select("block", "block_key", F.ceil(F.col("asked") / F.greatest(F.lit(SHARE), F.col("own"))).cast("int").alias("shares")).where("shares > 1"), "asked")
     wide = led.join(asked, ["block", "block_key"], "left").select("anchor", "block", "block_key", F.coalesce("shares", F.lit(1)).alias("shares"), (F.col("n") > 2).alias("more"))
