@@ -1,14 +1,16 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
 A word enters as an embedding of the whole word (hashed) and the sum of embeddings of its runs of four characters (bytes,
-hashed), so that inflected or misspelt forms of a stem are known by their characters. Two gated recurrent layers
-read a window of words from either side; attention pools their states; a logistic unit scores the window. Windows overlap
-by a quarter and cover the whole text; a text scores as its highest window, calibrated on labelled texts that were set aside.
+hashed), the first run being its opening of up to six, so that inflected or misspelt forms of a stem are known by their
+characters. Two gated recurrent layers read a window of words from either side; attention pools their states; a logistic
+unit scores the window. Windows overlap by a quarter and cover the whole text; a text scores as its highest window,
+calibrated on labelled texts that were set aside.
 
-Training uses a bounded sample of labelled rows (SAMPLE): a text's label is its highest window's. The embeddings are fixed, no
-gradient reaches them: the first component says how much more often a word or character run occurs in toxic training texts
-than in others (log-odds, shrunk towards nothing for rare ones), the other three stay as they were drawn. What is trained are
-the recurrent layers, HIDDEN units a direction, the attention and the logistic unit.
+Training uses a bounded sample of labelled rows (SAMPLE): a text's label is its highest window's. Everything is trained,
+both embedding tables too: the gradient of a word's input goes on to its row of either table. The tables start at random
+but for the first component, which begins as how much more often a word or run occurs in toxic training texts than in
+others (log-odds, shrunk towards nothing for rare ones); while training, a text's start comes from the other half of the
+texts, so that its own label is not in its input.
 
 Scale: the model is a few hundred kilobytes and is sent with the tasks; scoring is one pass over the texts without a shuffle, with
 all windows of a batch moving through the network together, a bounded number at a time.
@@ -26,13 +28,15 @@ from pyspark.sql import functions as F
 from .common import arrow_map, fresh, joined, mix, words
 
 WINDOW, STRIDE = 32, 24
-HIDDEN = 4
-DIM = 4
+HIDDEN = 6
+DIM = 6
 WORD_BITS, CHAR_BITS = 16, 16
-RUN = 4  # bytes
-SAMPLE = 3_000  # labelled texts at most, of up to LONGEST characters each; half of them toxic if there are so many
-LONGEST = 50_000
+RUN, OPENING = 4, 6  # bytes
+SAMPLE = 3_000  # labelled texts at most of either label that are learned from
+LONGEST, SLICE = 50_000, 2_000  # characters; a longer text is learned from by that much of it, in slices spread over all of it
 PREDICT = 0.7
+RATE = 1.0  # step of the embedding tables
+BETWEEN = 0.5  # where the decision lies between the highest clean and the lowest toxic text
 BATCH = 2_048  # windows at once
 
 _SIGN = np.zeros(256, np.uint8)  # what a byte becomes: lower-case letters, digits and bytes of other scripts stay, the rest parts words
@@ -57,7 +61,7 @@ class Inputs:
 def inputs(texts: list[bytes | None]) -> Inputs:
     buf, starts = joined(texts)
     b = _SIGN[np.frombuffer(buf, np.uint8)]
-    h, s, _ = words(b.tobytes())
+    h, s, e = words(b.tobytes())
     n = max(len(b) - RUN + 1, 0)
     g, whole = np.zeros(n, np.uint32), np.ones(n, bool)
     for j in range(RUN):
@@ -68,6 +72,11 @@ def inputs(texts: list[bytes | None]) -> Inputs:
     at = np.flatnonzero(whole)
     g = g[at] * np.uint32(0x9E3779B1)
     offsets = np.append(np.searchsorted(at, s), len(at))
+    some = np.flatnonzero(e - s >= RUN)  # the first run of a word is its opening
+    start, o = s[some], np.full(len(some), 7, np.uint32)
+    for j in range(OPENING):
+        o = np.where(start + j < e[some], o * np.uint32(0x01000193) ^ b[np.minimum(start + j, len(b) - 1)], o)
+    g[offsets[:-1][some]] = o * np.uint32(0x9E3779B1)
     return Inputs((h >> np.uint64(64 - WORD_BITS)).astype(np.int32), (g >> np.uint32(32 - CHAR_BITS)).astype(np.int32), offsets, np.searchsorted(s, starts))
 
 
@@ -188,6 +197,26 @@ def backward(net, tape: dict, up: np.ndarray) -> tuple[dict[str, np.ndarray], np
     return g, de * tape["live"]
 
 
+def _taken(x: Inputs, at: np.ndarray) -> Inputs:
+    """The words at places `at`, as one text."""
+    count = x.offsets[at + 1] - x.offsets[at]
+    ends = np.cumsum(count)
+    runs = x.runs[np.arange(ends[-1] if len(ends) else 0) + np.repeat(x.offsets[at] - ends + count, count)]
+    return Inputs(x.word[at], runs, np.concatenate(([0], ends)), np.array([0, len(at)]))
+
+
+def scatter(x: Inputs, first: np.ndarray, length: np.ndarray, de: np.ndarray) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """The gradient de of the embedded words of windows, carried on to the tables: rows and their gradients of each."""
+    idx = first[None, :] + np.arange(WINDOW)[:, None]
+    live = np.arange(WINDOW)[:, None] < length[None, :]
+    own, d = _taken(x, idx[live]), de[live]
+    out = {}
+    for name, rows, g in (("word", own.word, d[:, :DIM]), ("char", own.runs, np.repeat(d[:, DIM:], np.diff(own.offsets), 0))):
+        some, inv = np.unique(rows, return_inverse=True)
+        out[name] = some, np.stack([np.bincount(inv, g[:, j], len(some)) for j in range(DIM)], 1).astype(np.float32)
+    return out
+
+
 # --------------------------------------------------------------------------------------------------- training
 
 
@@ -240,8 +269,10 @@ def _odds(ids: np.ndarray, owner: np.ndarray, y: np.ndarray, share: np.ndarray,
     return (np.sign(s) * np.maximum(np.abs(s) - 2 * error, 0)).astype(np.float32)
 
 
-def train(texts: list[bytes], toxic: list[int], epochs: int = 8, seed: int = 1) -> dict[str, np.ndarray] | None:
-    """The network with its calibration (slope, middle), or None without texts of both labels."""
+def train(texts: list[bytes], toxic: list[int], epochs: int = 8, seed: int = 1, rate: float = RATE) -> dict[str, np.ndarray] | None:
+    """The network with its calibration (slope, middle), or None without texts of both labels.
+
+    rate is the step of both embedding tables; at 0 they stay at their start."""
     y = np.array(toxic, float)
     if len(y) == 0 or y.min() == y.max():
         return None
@@ -254,20 +285,20 @@ def train(texts: list[bytes], toxic: list[int], epochs: int = 8, seed: int = 1)
     first, length, text = windows(x.doc)
     if not len(first):
         return None
-    # a text is trained on with odds from the other half, so that its own label is not in its input
+    # a text is trained on with a start from the other half, so that its own label is not in its input
     half = fold % 2 == 1
-    emb = {}
-    for side in (False, True):
-        m = fit & (half != side)
-        emb[side] = _odds(x.word[m[of_word]], of_word[m[of_word]], y, share, 1 << WORD_BITS), _odds(x.runs[m[of_run]], of_run[m[of_run]], y, share, 1 << CHAR_BITS)
-    both = _odds(x.word[fit[of_word]], of_word[fit[of_word]], y, share, 1 << WORD_BITS), _odds(x.runs[fit[of_run]], of_run[fit[of_run]], y, share, 1 << CHAR_BITS)
-    e = embed(net, x)
+
+    def odds(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _odds(x.word[m[of_word]], of_word[m[of_word]], y, share, 1 << WORD_BITS), _odds(x.runs[m[of_run]], of_run[m[of_run]], y, share, 1 << CHAR_BITS)
+
+    start = np.zeros((len(x.word), 2 * DIM), np.float32)  # what the start adds to the words of each text
     for side in (False, True):
-        pick = (half == side)[of_word]
-        n2 = {"word": net["word"].copy(), "char": net["char"].copy()}
-        n2["word"][:, 0], n2["char"][:, 0] = emb[side]
-        e[pick] = embed(n2, Inputs(x.word, x.runs, x.offsets, x.doc))[pick]
-    prior = np.maximum(e[:, 0], 0) + np.maximum(e[:, DIM], 0)
+        own, n = half == side, odds(fit & (half != side))
+        there = np.flatnonzero(own[of_word])
+        start[there, 0] = n[0][x.word[there]]
+        runs = np.bincount(np.repeat(np.arange(len(x.word)), np.diff(x.offsets)), n[1][x.runs], len(x.word))
+        start[there, DIM] = runs[there]
+    prior = np.maximum(start[:, 0], 0) + np.maximum(start[:, DIM], 0)
     run = np.concatenate(([0], np.cumsum(prior)))
     best = run[first + length] - run[first]
     params = [k for k in net if k not in ("word", "char")]
@@ -283,17 +314,27 @@ def train(texts: list[bytes], toxic: list[int], epochs: int = 8, seed: int = 1)
         r.shuffle(chosen)
         for at in range(0, len(chosen), 64):
             c, tape = chosen[at : at + 64], {}
-            p = _sigmoid(forward(net, e, first[c], length[c], tape))
-            g, _ = backward(net, tape, ((p - y[text[c]]) * rate_of[text[c]] / len(c)).astype(np.float32))
+            begin = np.concatenate(([0], np.cumsum(length[c])[:-1]))
+            there = np.repeat(first[c] - begin, length[c]) + np.arange(length[c].sum())
+            part = _taken(x, there)
+            e = embed(net, part) + start[there]
+            p = _sigmoid(forward(net, e, begin, length[c], tape))
+            g, de = backward(net, tape, ((p - y[text[c]]) * rate_of[text[c]] * share[text[c]] / len(c)).astype(np.float32))
             step += 1
             for k in params:
                 grad = np.clip(g[k] + 1e-4 * net[k], -1, 1)
                 m1[k] = 0.9 * m1[k] + 0.1 * grad
                 m2[k] = 0.99 * m2[k] + 0.01 * grad * grad
                 net[k] = (net[k] - 0.01 * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
+            if rate:
+                for k, (rows, grad) in scatter(part, begin, length[c], de).items():  # plain steps: what is rare moves little
+                    net[k][rows] -= rate * np.clip(grad, -0.1, 0.1)
         if epoch in (1, 3, 5):
+            e = embed(net, x) + start
             best = np.concatenate([forward(net, e, first[i : i + BATCH], length[i : i + BATCH]) for i in range(0, len(first), BATCH)])
-    net["word"][:, 0], net["char"][:, 0] = both
+    both = odds(fit)
+    net["word"][:, 0] += both[0]
+    net["char"][:, 0] += both[1]
     net["slope"], net["middle"] = np.ones(1, np.float32), np.zeros(1, np.float32)
     held = fold == 0
     z, yh = top_logits(net, [t for t, h in zip(texts, held, strict=True) if h]), y[held]
@@ -307,7 +348,7 @@ def train(texts: list[bytes], toxic: list[int], epochs: int = 8, seed: int = 1)
     edges = np.concatenate(([zs[0] - 1], zs, [zs[-1] + 1]))
     gaps = edges[cut + 1] - edges[cut]
     k = cut[int(np.argmax(gaps))]
-    net["middle"] = np.array([0.65 * edges[k] + 0.35 * edges[k + 1]], np.float32)  # clean texts lie closer together
+    net["middle"] = np.array([(1 - BETWEEN) * edges[k] + BETWEEN * edges[k + 1]], np.float32)
     net["slope"] = np.array([4.0 / max(float(gaps.max()), 1.0)], np.float32)
     return net
 
@@ -351,13 +392,15 @@ def held_out(doc_id: str = "doc_id"):
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> dict[str, np.ndarray] | None:
     """A network trained on a bounded, reproducible sample of the labelled rows that may be learned from."""
     own = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).where(~held_out()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
-    by_hash = lambda d: d.orderBy(F.xxhash64("doc_id"), "doc_id")
-    bad = by_hash(own.where("toxic = 1")).limit(sample // 2)
-    good = by_hash(own.where("toxic = 0")).limit(sample - sample // 2)
-    ids = F.broadcast(bad.unionByName(good))  # at most `sample` rows of two numbers
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id").where(F.length("text") <= longest)
-    rows = rows.select("doc_id", F.col("text").cast("binary").alias("text"), "toxic").collect()
-    rows = sorted({(r["doc_id"], bytes(r["text"])): r["toxic"] for r in rows}.items())[: 2 * sample]
+    ids = [own.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2 if y else sample) for y in (0, 1)]
+    ids = F.broadcast(ids[0].unionByName(ids[1]))  # rows of two numbers, at most 1.5 x sample
+    slices = longest // SLICE
+    step = (F.length("text") - SLICE) / (slices - 1)
+    spread = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(slices - 1)), lambda i: F.substring("text", F.floor(i * step).cast("int") + 1, F.lit(SLICE))), " ")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id").where("text is not null")
+    rows = rows.select("doc_id", "toxic", F.when(F.length("text") <= longest, F.col("text")).otherwise(spread).alias("text"))
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(3 * sample // 2).collect()  # an id may be there many times
+    rows = sorted({(r["doc_id"], r["text"].encode()): r["toxic"] for r in rows}.items())
     return train([k[1] for k, _ in rows], [v for _, v in rows])
 
 
