@@ -6,25 +6,32 @@ rounding has no bias, gives with the code an unbiased estimate of the two vector
 bit-count operations, and the factor gives a bound on its error. A pair whose upper bound reaches the threshold is
 recomputed exactly in double precision; all others are dropped on their codes alone.
 
-Candidates come from bands of sign bits of several rotations: at cosine 0.95 a bit agrees with probability 0.899, a band of
-16 bits with 0.18, so 48 bands miss a pair with 6e-5, and at 0.97 with 2e-7.
+Candidates come from bands of sign bits of several rotations. A band has two bits more than the logarithm of the number of
+vectors, so that the chance pairs of a vector stay a few per band whatever the size; there are as many bands as it takes to
+miss a pair at the threshold with MISS (at cosine 0.95 a bit agrees with probability 0.899: 50 bands of 16 bits, 63 of 18,
+296 of 32).
 
 Scale: equal vectors are one class with a weight from the start, so thousands of copies are one row. Buckets are joined to
-themselves on the band by an equi-join that can split, the code estimate is part of its condition, and only survivors
-leave it. Vectors themselves are moved only for survivors.
+themselves on the band by an equi-join that can split; the code estimate is part of its condition, and so is the rule that
+a pair which shares one of the first rotation's bands, as nearly all close pairs do, is met in the first such band only.
+Vectors themselves are moved only for survivors. What grows with the square of a group is the links themselves, where its
+members differ: each is counted, as n_links asks.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, connected_components, list_array, materialize, ship, signed
+from .common import arrow_map, connected_components, discard, list_array, materialize, ship, signed
 
 THRESHOLD = 0.95
-ROTATIONS, BAND_BITS = 12, 16
+MISS = 5e-5
+LEAST_BITS, MOST_BITS = 12, 32
 QUERY_BITS = 4
 BOUND = 4.0  # standard deviations of the code's error that are allowed for
 
@@ -39,7 +46,16 @@ def _pack(bits: np.ndarray) -> np.ndarray:
     return (b << np.arange(64, dtype=np.uint64)).sum(2, dtype=np.uint64)
 
 
-def _codes(threshold: float):
+def bands_for(rows: int, threshold: float) -> tuple[int, int]:
+    """Bits of a band, and how many bands."""
+    bits = min(max(math.ceil(math.log2(max(rows, 2))) + 2, LEAST_BITS), MOST_BITS)
+    same = 1 - math.acos(threshold) / math.pi
+    return bits, math.ceil(math.log(MISS) / math.log(1 - same**bits))
+
+
+def _codes(bits: int, n_bands: int):
+    """Band n of dims-long vectors is the number dims << 42 | n << 32 | its bits."""
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, lists = batch.column(0), batch.column(1)
         keep, code, planes, facts, bands = [], [], [], [], []
@@ -60,40 +76,60 @@ def _codes(threshold: float):
             keep.append(rows)
             code.append(_pack(sign))
             planes.append(np.stack([_pack(((u >> np.uint64(j)) & np.uint64(1)).astype(bool)) for j in range(QUERY_BITS)], 1))
-            # <code, y> = (2 (width S + low P) - (width U + low D)) / sqrt(D): S, P, U sums of u over set bits, set bits, sums of u
-            facts.append(np.stack((align, low[:, 0], width[:, 0], u.sum(1).astype(float), sign.sum(1).astype(float), np.full(len(rows), float(padded))), 1))
-            own = []
-            for i in range(ROTATIONS):
+            facts.append(np.stack((align, low[:, 0], width[:, 0]), 1))
+            own, n, i = [], 0, 0
+            while n < n_bands:
                 s = sign if i == 0 else x @ _rotation(int(dims), padded, i) > 0
-                chunk = s[:, :64].reshape(len(s), -1, BAND_BITS)
-                own.append((chunk << np.arange(BAND_BITS)).sum(2) + ((i * 64 + np.arange(64 // BAND_BITS))[None, :] << BAND_BITS) + (int(dims) << 40))
-            bands.append(np.concatenate(own, 1))
+                for w in range(0, padded, 64):
+                    for at in range(w, w + 64 - bits + 1, bits):
+                        if n < n_bands:
+                            own.append((s[:, at : at + bits] << np.arange(bits)).sum(1) + (n << 32) + (int(dims) << 42))
+                            n += 1
+                i += 1
+            bands.append(np.stack(own, 1))
         rows = np.concatenate(keep)
         lists_of = lambda parts: pa.array([list(r) for p in parts for r in signed(np.ascontiguousarray(p)).reshape(len(p), -1).tolist()], pa.list_(pa.int64()))
         f = np.concatenate(facts)
         b = np.concatenate(bands)
-        cols = [ids.take(pa.array(rows)), lists.take(pa.array(rows)), lists_of(code), lists_of(planes), *[pa.array(f[:, j]) for j in range(6)], list_array(b.ravel().astype(np.int64), np.arange(len(b) + 1) * b.shape[1])]
+        cols = [ids.take(pa.array(rows)), lists.take(pa.array(rows)), lists_of(code), lists_of(planes), *[pa.array(f[:, j]) for j in range(len(FACTS))], list_array(b.ravel().astype(np.int64), np.arange(len(b) + 1) * b.shape[1])]
         return pa.RecordBatch.from_arrays(cols, ["id", "v", "code", "planes", *FACTS, "bands"])
 
     return run
 
 
-FACTS = ["align", "low", "width", "total", "ones", "padded"]
+FACTS = ["align", "low", "width"]
 
 
 def upper_bound(a: str, b: str, n_words: int, bound: float = BOUND) -> Column:
     """Upper confidence bound of the inner product of b's vector with a's, from a's code and b's rounded components."""
     c = lambda p, x: F.col(f"{p}{x}")
-    both = F.lit(0)
-    for j in range(QUERY_BITS):
-        for w in range(n_words):
-            both = both + (1 << j) * F.bit_count(c(a, "code")[w].bitwiseAND(c(b, "planes")[j * n_words + w]))
-    dot = (2 * (c(b, "width") * both + c(b, "low") * c(a, "ones")) - (c(b, "width") * c(b, "total") + c(b, "low") * c(b, "padded"))) / F.sqrt(c(a, "padded"))
-    spread = F.sqrt((1 - c(a, "align") * c(a, "align")) / (c(a, "align") * c(a, "align")) / (c(a, "padded") - 1))
+    both, total, ones = F.lit(0), F.lit(0), F.lit(0)
+    for w in range(n_words):
+        ones = ones + F.bit_count(c(a, "code")[w])
+        for j in range(QUERY_BITS):
+            plane = c(b, "planes")[j * n_words + w]
+            both = both + (1 << j) * F.bit_count(c(a, "code")[w].bitwiseAND(plane))
+            total = total + (1 << j) * F.bit_count(plane)
+    padded = 64.0 * n_words
+    # <code, y> = (2 (width both + low ones) - (width total + low padded)) / sqrt(padded)
+    dot = (2 * (c(b, "width") * both + c(b, "low") * ones) - (c(b, "width") * total + c(b, "low") * padded)) / math.sqrt(padded)
+    spread = F.sqrt((1 - c(a, "align") * c(a, "align")) / (c(a, "align") * c(a, "align")) / (padded - 1))
     rounding = c(b, "width") / c(a, "align") / 2
     return dot / c(a, "align") + bound * (spread + rounding)
 
 
+def met_before(a: str, b: str, n: Column, n_words: int, bits: int) -> Column:
+    """Whether the vectors share one of the first rotation's bands before band n; those are read off their codes."""
+    out, k = F.lit(False), 0
+    for w in range(n_words):
+        differ = F.col(f"{a}code")[w].bitwiseXOR(F.col(f"{b}code")[w])
+        for at in range(0, 64 - bits + 1, bits):
+            mask = ((1 << bits) - 1) << at
+            out = out | ((n > k) & (differ.bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask)) == 0))
+            k += 1
+    return out
+
+
 def _exact(threshold: float):
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         n = batch.num_rows
@@ -117,41 +153,55 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     """One row a row of vectors (vec_id, embedding): vec_id, n_links, component_id, kept.
 
     Nulls: a null or empty vector, one of zeros, or one with a null or non-finite component links with nothing (n_links 0)
-    and is kept. A row with a null id is no node: component_id null, kept. Repeated rows: rows of one id are one vector
-    for component_id, n_links counts other ids. Vectors of other lengths link among themselves. No rows: no rows. Other
-    columns are ignored. Every link found is confirmed in double precision.
+    and is kept. A row with a null id is no node: component_id null, kept. Repeated rows count once; an id with several
+    different vectors has one component_id, and its n_links adds up the links of each. Vectors of other lengths link among
+    themselves. No rows: no rows. Other columns are ignored. Every link found is confirmed in double precision.
     """
-    spark = vectors.sparkSession
-    ship(spark)
+    ship(vectors.sparkSession)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda c: c.cast("double")).alias("v"))
     ok = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists("v", lambda c: c != 0) & F.col("vec_id").isNotNull()
     real = rows.where(F.coalesce(ok, F.lit(False))).withColumn("v", F.transform("v", lambda c: F.when(c == 0, F.lit(0.0)).otherwise(c))).distinct()
-    # equal vectors are one class; its smallest id stands for it
-    members = materialize(real.withColumn("same", F.sha2(F.array_join(F.transform("v", lambda c: F.hex(F.encode(c.cast("string"), "utf-8"))), ","), 256)), "members")
-    classes = members.groupBy("same").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight"))
-    of = materialize(members.select("vec_id", "same").join(classes, "same").select("vec_id", "id", "weight"), "classes")
-    reps = members.join(classes.select(F.col("id").alias("vec_id"), "same"), ["vec_id", "same"]).select(F.col("vec_id").alias("id"), "v")
-    codes = arrow_map(reps, _codes(threshold), "id long, v array<double>, code array<long>, planes array<long>, " + ", ".join(f"{f} double" for f in FACTS) + ", bands array<long>")
-    codes = materialize(codes, "codes")
-    bands = codes.select(F.explode("bands").alias("band"), "id", "code", "planes", *FACTS)
+    # equal vectors, told by 128 bits, are one class; its smallest id stands for it
+    same = ["same1", "same2"]
+    members = materialize(real.withColumns({"same1": F.xxhash64("v"), "same2": F.xxhash64(F.lit(2), "v")}), "members")
+    classes = materialize(members.groupBy(*same).agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight")), "classes")
+    reps = members.join(classes.select(F.col("id").alias("vec_id"), *same), ["vec_id", *same]).select(F.col("vec_id").alias("id"), "v", *same)
+    reps = materialize(reps.withColumn("node", F.monotonically_increasing_id()), "representatives")  # an id can stand for several classes
+    bits, n_bands = bands_for(reps.count(), threshold)
+    schema = "node long, v array<double>, code array<long>, planes array<long>, " + ", ".join(f"{f} double" for f in FACTS) + ", bands array<long>"
+    codes = materialize(arrow_map(reps.select("node", "v"), _codes(bits, n_bands), schema, 2_000), "codes")
+    bands = codes.select(F.explode("bands").alias("band"), "node", "code", "planes", *FACTS)
+    shared = materialize(bands.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("band"), "shared")
+    bands = materialize(bands.join(shared, "band"), "buckets")  # most bands of most vectors are theirs alone
     sides = [bands.select("band", *[F.col(c).alias(p + c) for c in bands.columns if c != "band"]) for p in ("a_", "b_")]
     longest = codes.agg(F.max(F.size("code"))).collect()[0][0] or 1
-    if longest == 1:
-        may = upper_bound("a_", "b_", 1) >= threshold
-    else:
-        may = F.lit(False)
-        for w in range(1, longest + 1):
-            may = may | ((F.size("a_code") == w) & (F.size("b_code") == w) & (upper_bound("a_", "b_", w) >= threshold))
-    pairs = sides[0].join(sides[1], (sides[0]["band"] == sides[1]["band"]) & (F.col("a_id") < F.col("b_id")) & may)
-    pairs = materialize(pairs.select(F.col("a_id").alias("u"), F.col("b_id").alias("v")).distinct(), "pairs")
-    vec = codes.select("id", F.col("v").alias("x"))
+    nth = F.shiftright(sides[0]["band"], 32).bitwiseAND(F.lit(1023))
+    may = F.lit(False)
+    for w in range(1, longest + 1):
+        one = (upper_bound("a_", "b_", w) >= threshold) & ~met_before("a_", "b_", nth, w, bits)
+        may = one if longest == 1 else may | ((F.size("a_code") == w) & (F.size("b_code") == w) & one)
+    pairs = sides[0].join(sides[1], (sides[0]["band"] == sides[1]["band"]) & (F.col("a_node") < F.col("b_node")) & may)
+    pairs = materialize(pairs.select(F.col("a_node").alias("u"), F.col("b_node").alias("v")).distinct(), "pairs")
+    discard(shared, bands)
+    vec = codes.select("node", F.col("v").alias("x"))
     both = pairs.join(vec.toDF("u", "xu"), "u").join(vec.toDF("v", "xv"), "v").select("u", "v", "xu", "xv")
-    links = materialize(arrow_map(both, _exact(threshold), "u long, v long"), "links")
-    weights = of.select("id", "weight").distinct()
-    ends = links.select(F.explode(F.array(F.struct(F.col("u").alias("id"), F.col("v").alias("to")), F.struct(F.col("v").alias("id"), F.col("u").alias("to")))).alias("e")).select("e.*")
-    degree = ends.join(weights.toDF("to", "weight"), "to").groupBy("id").agg(F.sum("weight").alias("more"))
-    found = of.join(degree, "id", "left").join(connected_components(links, "vectors"), "id", "left")
-    found = found.groupBy("vec_id").agg(F.sum(F.col("weight") - 1 + F.coalesce("more", F.lit(0))).cast("long").alias("n"), F.min(F.coalesce("component", "id")).alias("component_id"))
+    links = materialize(arrow_map(both, _exact(threshold), "u long, v long", 2_000), "links")
+    labels = connected_components(links, "vectors")
+    facts = reps.select("node", *same).join(classes.select(*same, "weight"), same)
+    ends = links.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("to")), F.struct(F.col("v").alias("node"), F.col("u").alias("to")))).alias("e")).select("e.*")
+    degree = ends.join(facts.select(F.col("node").alias("to"), "weight"), "to").groupBy("node").agg(F.sum("weight").alias("more"))
+    facts = facts.join(degree, "node", "left").join(labels, F.col("node") == F.col("id"), "left").select(*same, "node", F.coalesce("component", "node").alias("component"), (F.col("weight") - 1 + F.coalesce("more", F.lit(0))).alias("n"))
+    facts = materialize(facts, "degrees")
+    found = members.select("vec_id", *same).join(facts, same).select("vec_id", "node", "component", "n")
+    found = materialize(found, "found")
+    discard(codes, pairs, links, labels, facts)
+    # an id with several vectors joins their components
+    several = materialize(found.groupBy("vec_id").agg(F.min("component").alias("u"), F.max("component").alias("w")).where("u < w").select("vec_id", "u"), "several")
+    if not several.isEmpty():
+        ties = connected_components(found.join(several, "vec_id").select("u", F.col("component").alias("v")), "ids")
+        found = found.join(ties.toDF("component", "joined"), "component", "left").select("vec_id", F.coalesce("joined", "component").alias("component"), "n")
+    least = materialize(found.groupBy("component").agg(F.min("vec_id").alias("component_id")), "least")
+    found = found.join(least, "component").groupBy("vec_id").agg(F.sum("n").cast("long").alias("n"), F.min("component_id").alias("component_id"))
     out = rows.select("vec_id").join(found, "vec_id", "left")
     out = out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
