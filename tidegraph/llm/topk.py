@@ -6,10 +6,12 @@ bounded size. A query first searches the annulus of its own pivot at its own dis
 beat; then the annuli around every pivot are taken in as far as the triangle inequality |d(q, p) - d(v, p)| <= d(q, v)
 leaves room for a better score, and no further. Scores are integer sums in double precision, exact below 2^53.
 
-Scale: pivots are fitted on a bounded sample; everything else is distributed. Query rows meet annuli in an equi-join on the
-pivot whose condition is the bound, at the level of annuli (a few numbers each, not vectors); vectors and queries are then
-brought together by annulus, each of at most about RING rows, so identical vectors by the thousand are split too. What a
-task returns is k rows a query at most, and those at or above the score to beat only.
+Scale: pivots are fitted on a bounded sample; everything else is distributed. The table of annuli, a few numbers each, is
+what the bound is tested against: their rows grow with the table (RINGS of them at most, until RING_MOST rows each are not
+enough, beyond which they are a row for each 130,000 vectors). A task holds the vectors of one annulus as a matrix and
+streams the queries that reach it past it; vectors move once, a query once for each annulus that it reaches. Where very many
+queries reach an annulus they are dealt to several tasks with a copy of the annulus each. Equal distances by the thousand
+are split too. What a task returns is k rows a query at most, and those at or above the score to beat only.
 """
 
 from __future__ import annotations
@@ -17,16 +19,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, materialize, ship
+from .common import arrow_map, discard, materialize, parts, ship
 
 PIVOTS = 32
 SAMPLE = 2_000  # rows that the pivots are fitted on
-RING = 1_024
+RING, RING_MOST, RINGS = 8_192, 262_144, 4_096  # rows of an annulus: the table over RINGS, within these bounds
+CELLS = 1 << 22  # scores at once
 
 
 def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
@@ -62,25 +64,56 @@ def _dist(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((x * x).sum(1)[:, None] + (c * c).sum(1)[None, :] - 2 * x @ c.T, 0))
 
 
-def _search(pairs: pd.DataFrame, block: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k best of one annulus for each of its queries, at or above the score to beat."""
-    none = pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0, np.int64)})
-    if not len(pairs) or not len(block):
-        return none
-    ids, x = block["vec_id"].to_numpy(), np.stack(block["v"].to_numpy())
-    by_id = np.argsort(ids, kind="stable")
-    ids, x = ids[by_id], x[by_id]
-    out = []
-    for at in range(0, len(pairs), 512):
-        p = pairs.iloc[at : at + 512]
-        q, s = p["query_id"].to_numpy(), np.stack(p["q"].to_numpy()) @ x.T
-        s[q[:, None] == ids[None, :]] = -np.inf
-        s[s < p["beat"].to_numpy()[:, None]] = -np.inf
+def _search(q_ids: np.ndarray, q: np.ndarray, beat: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """(query, id, score) of the k best ids of x for each query, at or above the score to beat. ids are sorted; the rows of
+    one id count as the best of them."""
+    own, first = np.unique(ids, return_index=True)
+    out: tuple[list, ...] = ([], [], [])
+    step = max(1, CELLS // len(ids))
+    for at in range(0, len(q), step):
+        here, s = q_ids[at : at + step], q[at : at + step] @ x.T
+        if len(own) < len(ids):
+            s = np.maximum.reduceat(s, first, axis=1)
+        place = np.minimum(np.searchsorted(own, here), len(own) - 1)
+        same = np.flatnonzero(own[place] == here)
+        s[same, place[same]] = -np.inf
+        s[s < beat[at : at + step, None]] = -np.inf
         best = np.argsort(-s, axis=1, kind="stable")[:, :k] if s.shape[1] <= 64 else _best(s, k)
-        r, c = np.repeat(np.arange(len(q)), best.shape[1]), best.ravel()
+        r, c = np.repeat(np.arange(len(here)), best.shape[1]), best.ravel()
         ok = s[r, c] > -np.inf
-        out.append(pd.DataFrame({"query_id": q[r[ok]], "vec_id": ids[c[ok]], "score": s[r[ok], c[ok]].astype(np.int64)}))
-    return pd.concat(out)
+        for o, v in zip(out, (here[r[ok]], own[c[ok]], s[r[ok], c[ok]].astype(np.int64)), strict=True):
+            o.append(v)
+    return tuple(np.concatenate(o) for o in out)
+
+
+FOUND = "query_id long, vec_id long, score long"
+
+
+def _met(dims: int, k: int):
+    """Streams rows (annulus, share, is_query, id, v, beat), an annulus's vectors first, and searches it for its queries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, block = None, [], None
+        for whole in batches:
+            for batch in parts(whole, 4_096, 4 << 20):
+                key = np.stack([np.asarray(batch.column(i)).astype(np.int64) for i in range(3)], 1)
+                cuts = np.concatenate(([0], np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1, [len(key)]))
+                ids, x, beat = np.asarray(batch.column(3)), _matrix(batch.column(4), dims), np.asarray(batch.column(5))
+                for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                    if now != tuple(key[a, :2]):
+                        now, held, block = tuple(key[a, :2]), [], None
+                    if not key[a, 2]:
+                        held.append((ids[a:b], x[a:b]))
+                        continue
+                    if block is None:
+                        every = np.concatenate([h[0] for h in held])
+                        order = np.argsort(every, kind="stable")
+                        block, held = (every[order], np.concatenate([h[1] for h in held])[order]), []
+                    found = _search(ids[a:b], x[a:b], beat[a:b], *block, k)
+                    if len(found[0]):
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["query_id", "vec_id", "score"])
+
+    return run
 
 
 def _best(s: np.ndarray, k: int) -> np.ndarray:
@@ -92,32 +125,31 @@ def _best(s: np.ndarray, k: int) -> np.ndarray:
     return np.take_along_axis(cols, np.argsort(-np.take_along_axis(s, cols, 1), axis=1, kind="stable"), 1)
 
 
-def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 256, pivots: int = PIVOTS, sample: int = SAMPLE, ring: int = RING) -> DataFrame:
+def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 256, pivots: int = PIVOTS, sample: int = SAMPLE, ring: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score) for queries with vec_id divisible by `every` against every other row.
 
-    Nulls: see quantised(); a null vec_id takes no part either. Ties go to the smaller vec_id. Fewer than k other rows:
-    all of them. Repeated rows of one vec_id count once (rows with the query's id are never its candidates). No rows: no
-    rows. Vectors of other lengths are searched among themselves, an index for each length. Columns other than vec_id and
-    embedding are ignored. Exact while |scores| stay below 2^53.
+    Nulls: see quantised(); a null vec_id takes no part either. Ties go to the smaller vec_id. Fewer than k others: all of
+    them. Repeated rows of one vec_id count once; where they have different vectors, with the highest score that any of
+    them has (rows with the query's id are never its candidates). No rows: no rows. Vectors of other lengths are searched
+    among themselves, an index for each length. Columns other than vec_id and embedding are ignored. Exact while |scores|
+    stay below 2^53.
     """
     spark = ship(vectors.sparkSession)
-    schema = "query_id long, rank int, vec_id long, score long"
-    v = materialize(quantised(vectors, scale).withColumn("dims", F.size("v")), "vectors")
-    asked = F.max((F.col("vec_id") % every == 0).cast("int")) == 1
-    sizes = v.groupBy("dims").agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c)).alias("longest"), asked.alias("asked")).where("asked").orderBy("dims").collect()
-    if not sizes:
-        return spark.createDataFrame([], schema)
-    found = None
-    for r in sizes:
-        best = _best_of_length(v.where(F.col("dims") == r["dims"]).drop("dims"), r["dims"], r["longest"], every, k, pivots, sample, ring)
-        found = best if found is None else found.unionByName(best)
+    v = materialize(quantised(vectors, scale).distinct().withColumn("dims", F.size("v")), "vectors")
+    asked = F.sum((F.col("vec_id") % every == 0).cast("int"))
+    sizes = v.groupBy("dims").agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c)).alias("longest"), asked.alias("asked"), F.count(F.lit(1)).alias("n")).where("asked > 0").orderBy("dims").collect()
+    found = spark.createDataFrame([], FOUND)
+    for r in sizes:  # a row a length
+        rows = min(max(-(-r["n"] // RINGS), RING), RING_MOST) if ring is None else ring
+        found = found.unionByName(_best_of_length(v.where(F.col("dims") == r["dims"]).drop("dims"), r, every, k, pivots, sample, rows))
     nth = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    found = found.distinct().withColumn("rank", F.row_number().over(nth)).where(f"rank <= {k}")
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(nth)).where(f"rank <= {k}")
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
-def _best_of_length(v: DataFrame, dims: int, longest: float, every: int, k: int, pivots: int, sample: int, ring: int) -> DataFrame:
+def _best_of_length(v: DataFrame, size, every: int, k: int, pivots: int, sample: int, ring: int) -> DataFrame:
     """(query_id, vec_id, score): the best k of each query and more, among vectors of one length."""
+    dims, longest = size["dims"], size["longest"]
     centre = _pivots(v, dims, longest, pivots, sample)
 
     def near(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -125,41 +157,49 @@ def _best_of_length(v: DataFrame, dims: int, longest: float, every: int, k: int,
         p = np.argmin(d, 1)
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p.astype(np.int32)), pa.array(d[np.arange(len(p)), p])], ["vec_id", "v", "pivot", "dist"])
 
-    keyed = arrow_map(v, near, "vec_id long, v array<double>, pivot int, dist double")
-    # rings: a pivot's distances in fine steps, gathered into rings of about `ring` rows; a full step is split by id
+    keyed = arrow_map(v, near, "vec_id long, v array<double>, pivot int, dist double", 2_000)
+    # rings: a pivot's distances in fine steps, gathered into rings of about `ring` rows; a full step is split by a hash
     step = max(np.sqrt(longest), 1.0) / 256
     keyed = materialize(keyed.withColumn("step", F.floor(F.col("dist") / step)), "keyed")
-    counts = keyed.groupBy("pivot", "step").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(keyed.groupBy("pivot", "step").agg(F.count(F.lit(1)).alias("n")), "steps")  # pivots x 512 rows at most
     upto = Window.partitionBy("pivot").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
     rings = counts.withColumn("ring", F.floor(F.coalesce(F.sum("n").over(upto), F.lit(0)) / ring)).withColumn("parts", F.ceil(F.col("n") / ring)).drop("n")
-    keyed = keyed.join(rings, ["pivot", "step"]).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
-    keyed = materialize(keyed.select("vec_id", "v", "pivot", "dist", F.struct("pivot", "ring", "part").alias("annulus")), "annuli")
-    annuli = materialize(keyed.groupBy("annulus").agg(F.min("dist").alias("low"), F.max("dist").alias("high"), F.count(F.lit(1)).alias("n")).withColumn("p", F.col("annulus.pivot")), "annulus")
-
-    # dropDuplicates: a query that is there twice is asked once
-    queries = materialize(keyed.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), "annulus").dropDuplicates(["query_id"]), "queries")
-
-    def search(pairs: DataFrame) -> DataFrame:
-        both = pairs.groupBy("annulus").cogroup(keyed.select("annulus", "vec_id", "v").groupBy("annulus"))
-        return both.applyInPandas(lambda a, b: _search(a, b, k), "query_id long, vec_id long, score long")
-
-    first = search(queries.withColumn("beat", F.lit(float("-inf"))))
-    first = materialize(first.distinct(), "first")
+    keyed = keyed.join(F.broadcast(rings), ["pivot", "step"]).withColumn("part", F.pmod(F.xxhash64("vec_id", "v"), F.col("parts")).cast("int"))
+    keyed = materialize(keyed.select("vec_id", "v", "dist", F.struct("pivot", "ring", "part").alias("place")), "placed")
+    annuli = sorted(keyed.groupBy("place").agg(F.min("dist").alias("low"), F.max("dist").alias("high")).collect(), key=lambda r: tuple(r["place"]))
+    low, high, pivot = np.array([r["low"] for r in annuli]), np.array([r["high"] for r in annuli]), np.array([r["place"]["pivot"] for r in annuli])
+    number = {tuple(r["place"]): i for i, r in enumerate(annuli)}
+    table = v.sparkSession.createDataFrame([(tuple(p), i) for p, i in number.items()], "place struct<pivot:int,ring:long,part:int>, annulus int")
+    placed = materialize(keyed.join(F.broadcast(table), "place").select("annulus", "vec_id", "v"), "annuli")
+    shares = -(-size["asked"] // max(65_536, 2 * ring))
+
+    def search(queries: DataFrame) -> DataFrame:
+        """queries: (annulus, query_id, q, beat)"""
+        share = F.pmod(F.xxhash64("query_id"), F.lit(shares)).cast("int")
+        asks = queries.select("annulus", share.alias("share"), F.lit(True).alias("is_query"), F.col("query_id").alias("id"), F.col("q").alias("v"), "beat")
+        have = placed.select("annulus", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"), F.lit(False).alias("is_query"), F.col("vec_id").alias("id"), "v", F.lit(0.0).alias("beat"))
+        both = have.unionByName(asks).repartition("annulus", "share").sortWithinPartitions("annulus", "share", "is_query")
+        return both.mapInArrow(_met(dims, k), FOUND)
+
+    queries = materialize(placed.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), "annulus"), "queries")
+    first = materialize(search(queries.withColumn("beat", F.lit(float("-inf")))), "first")
     nth = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    beat = first.withColumn("r", F.row_number().over(nth)).where(f"r = {k}").select("query_id", F.col("score").cast("double").alias("beat"))
-    asked = queries.join(beat, "query_id", "left").select("query_id", "q", F.col("annulus").alias("own"), F.coalesce("beat", F.lit(float("-inf"))).alias("beat"))
+    beat = first.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("r", F.row_number().over(nth)).where(f"r = {k}").select("query_id", F.col("score").cast("double").alias("beat"))
+    asked = queries.join(beat, "query_id", "left").select("query_id", "q", "annulus", F.coalesce("beat", F.lit(float("-inf"))).alias("beat"))
 
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For each query and pivot: its distance, and how near a vector must be to reach the score to beat."""
-        for batch in batches:
-            x = _matrix(batch.column(1), dims)
-            far = np.sqrt(np.maximum((x * x).sum(1) + longest - 2 * np.maximum(np.asarray(batch.column(2)), -1e300), 0)) * (1 + 1e-9) + 1e-6
-            d = _dist(np.concatenate((x, np.zeros((len(x), 1))), 1), centre)
-            n = len(centre)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.asarray(batch.column(0)), n)), pa.array(np.tile(np.arange(n, dtype=np.int32), len(x))), pa.array(d.ravel()), pa.array(np.repeat(far, n))], ["query_id", "p", "dist", "far"])
-
-    asked = materialize(asked, "asked")
-    bounds = asked.select("query_id", "q", "beat").mapInArrow(reach, "query_id long, p int, dist double, far double")
-    pairs = bounds.join(annuli, (bounds["p"] == annuli["p"]) & (F.col("low") - F.col("dist") <= F.col("far")) & (F.col("dist") - F.col("high") <= F.col("far"))).select("query_id", "annulus")
-    pairs = pairs.join(asked, "query_id").where(F.col("annulus") != F.col("own")).select("query_id", "q", "beat", "annulus")
-    return first.unionByName(search(pairs))
+        """Each query once for each annulus, but its own, that leaves room for a score as good as the one to beat."""
+        for batch in (p for whole in batches for p in parts(whole, 400)):
+            x, own, score = _matrix(batch.column(1), dims), np.asarray(batch.column(2)), np.asarray(batch.column(3))
+            far = np.sqrt(np.maximum((x * x).sum(1) + longest - 2 * np.maximum(score, -1e300), 0)) * (1 + 1e-9) + 1e-6
+            d = _dist(np.concatenate((x, np.zeros((len(x), 1))), 1), centre)[:, pivot]
+            room = (low[None, :] - d <= far[:, None]) & (d - high[None, :] <= far[:, None])
+            room[np.arange(len(x)), own] = False
+            q, a = np.nonzero(room)
+            for i in range(0, len(q), 4_096):
+                rows = pa.array(q[i : i + 4_096])
+                yield pa.RecordBatch.from_arrays([pa.array(a[i : i + 4_096].astype(np.int32)), batch.column(0).take(rows), batch.column(1).take(rows), batch.column(3).take(rows)], ["annulus", "query_id", "q", "beat"])
+
+    rest = materialize(search(asked.mapInArrow(reach, "annulus int, query_id long, q array<double>, beat double")), "rest")
+    discard(keyed, counts, placed, queries)
+    return first.unionByName(rest)
