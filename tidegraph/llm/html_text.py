@@ -37,11 +37,14 @@ GROUP_OF = {t: i for i, g in enumerate(GROUPS.values()) for t in g.split()}
 INLINE = {"label", "input"}
 BLOCK = set(TAGS) - INLINE
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = set("script style title noscript template svg math iframe object textarea select canvas audio video".split())
+UNSEEN = set("script style title noscript template iframe textarea select annotation annotation-xml metadata desc defs".split())  # never shown, or a form
 RAW = set("script style title textarea iframe noscript".split())  # text up to their own end tag, whatever it looks like
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"tbody", "thead", "tr", "td", "th"}, "tfoot": {"tbody", "thead", "tr", "td", "th"}, "option": {"option"}}
 BARRIER = {"table", "ul", "ol", "dl", "body", "html", "article", "section", "div", "td", "th", "menu", "select"}
-_TOKEN = re.compile(r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# A tag's quoted values may hold anything. A quote that is never closed, or only by the quote that opens another tag's value,
+# holds nothing: such a tag ends at its first '>' or before the next '<'.
+_QUOTED = "|".join(f"{q}[^{q}<]*+(?:<(?![a-zA-Z/])[^{q}<]*+)*+{q}|{q}[^{q}]*+{q}(?<!={q})" for q in "\"'")
+_TOKEN = re.compile(rf"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']|{_QUOTED})*+)>|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*+)(?:>|(?=<))", re.S)
 _ATTR = re.compile(r"""(?:\A|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _CUT_TAG = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)[^>]*>?", re.I | re.A) for t in RAW}
@@ -89,12 +92,12 @@ class Page:
                     linked += len(text)
 
         while m := _TOKEN.search(source, pos):
-            close, name, pos = m[1], m[2], m.end()
+            close, name, attrs, pos = m[1] or m[4], m[2] or m[5], m[3] if m[2] else m[6], m.end()
             name = name and name.lower()
             if skip is None:
                 say(source[at : m.start()])
                 at = pos
-            if name in RAW and not close and not m[3].endswith("/"):  # no tokens before its end tag
+            if name in RAW and not close and not attrs.endswith("/"):  # no tokens before its end tag
                 end = _RAW_END[name].search(source, pos)
                 pos = end.end() if end else len(source)
                 at = pos if skip is None else at
@@ -106,7 +109,7 @@ class Page:
             if name is None:
                 continue
             if name in UNSEEN:
-                if not close and not m[3].endswith("/"):
+                if not close and not attrs.endswith("/"):
                     skip = name
                 continue
             if name == "a":
@@ -139,8 +142,8 @@ class Page:
                 if open_tag in BARRIER and open_tag not in ("td", "th"):
                     break
             words = ()
-            if m[3] and "=" in m[3]:
-                words = tuple(w for a in _ATTR.finditer(m[3]) for w in _WORD.findall((a[1] or a[2] or a[3] or "").lower()))
+            if attrs and "=" in attrs:
+                words = tuple(w for a in _ATTR.finditer(attrs) for w in _WORD.findall((a[1] or a[2] or a[3] or "").lower()))
             self.parent.append(stack[-1])
             self.depth.append(self.depth[stack[-1]] + 1)
             self.tag.append(name)
