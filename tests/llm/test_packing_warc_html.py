@@ -158,3 +158,39 @@ def test_raw_text_elements_end_at_their_own_tag():
         assert html_text.main_texts([page.format(r, "", ""), page.format("", r, ""), page.format("", "", r), page.format(r, r, r)], w, pair) == [text] * 4, r
     assert html_text.main_texts([page.format("<title>a <b' c</title>", "", "")], w, pair) == [text]
     assert html_text.main_texts([page.format("", "", "<script>never ends, i<n")], w, pair) == [text]
+
+
+def _said(source):
+    return [t for _, t, _ in html_text.Page(source).runs]
+
+
+def test_quotes_that_are_never_closed():
+    assert _said('<article><p title="a>Unclosed text</p><p class="b">More</p></article>') == ["Unclosed text", "More"]
+    assert _said("<p alt='it>odd<b>x</b></p><p>z</p>") == ["oddx", "z"]
+    assert _said("<p title='a > b <c>'>ok</p><p data-x=\"<b>hi</b>\">v</p><a href='/?q='>w</a>") == ["ok", "v", "w"]
+    assert len(_said("<p title=\"x>some text " * 20_000)) == 20_000
+    assert len(_said('<p a="xxxxxxxxxx' + ">t</p>" * 20_000)) == 20_000
+    _said("<p title='x>some text \" " * 5_000 + "<b " * 5_000)
+
+
+def test_formulas_and_drawings_are_text():
+    assert _said("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><p><svg><desc>no</desc><text>label</text></svg></p>") == ["so x=2 holds", "label"]
+    assert _said("<p>a<script>no()</script><template>no</template><textarea>no</textarea><noscript>no</noscript>b</p>") == ["ab"]
+
+
+def test_long_pages_and_clashing_columns(spark):
+    page = "<html><body><article>" + "".join(f"<p>Sentence number {i} of a very long article, which goes on and on.</p>" for i in range(20_000)) + "</article></body></html>"
+    d = spark.createDataFrame([(1, "u", page, "mine", 0)], "page_id long, url string, html string, text string, n_chars int")
+    [r] = html_text.extract(d).collect()
+    assert r.n_chars == len(r.text) and r.text.count("\n") == 19_999 and r.text.endswith("goes on and on.")
+
+
+def test_very_long_texts_are_packed(spark, path):
+    from tokenizers import Tokenizer
+
+    text = " ".join(f"word{i % 5000}" for i in range(200_000))
+    d = spark.createDataFrame([(1, text, 9, "x"), (2, "short", 9, "x")], "doc_id long, text string, piece int, ids string")
+    got = sorted(packing.pack_documents(d, path).collect(), key=lambda r: (r.doc_id, r.piece))
+    want = [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, 1]
+    assert np.frombuffer(b"".join(r.ids for r in got if r.doc_id == 1), "<u4").tolist() == want
+    assert all(r.length == 4096 for r in got if r.doc_id == 1 and r.piece < len(want) // 4096)

@@ -3,6 +3,7 @@ import math
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidegraph.llm import embedding, quality, queries, topk, toxicity
 
@@ -57,7 +58,7 @@ def test_code_bound_holds(spark):
     x[200:] = x[:200] + r.normal(size=(200, 64)) * 0.2
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(list(x), pa.list_(pa.float64()))], ["id", "v"])
-    t = embedding._codes(0.95)(batch).to_pydict()
+    t = embedding._codes(16, 50)(batch).to_pydict()
     code = [c[0] & (1 << 64) - 1 for c in t["code"]]
     planes = [[p & (1 << 64) - 1 for p in v] for v in t["planes"]]
     below = errors = 0
@@ -65,7 +66,8 @@ def test_code_bound_holds(spark):
         for b in range(200, 400):
             s = sum((1 << j) * (code[a] & planes[b][j]).bit_count() for j in range(4))
             f = {k: (t[k][a], t[k][b]) for k in embedding.FACTS}
-            dot = (2 * (f["width"][1] * s + f["low"][1] * f["ones"][0]) - (f["width"][1] * f["total"][1] + f["low"][1] * 64)) / 8
+            total, ones = sum((1 << j) * planes[b][j].bit_count() for j in range(4)), code[a].bit_count()
+            dot = (2 * (f["width"][1] * s + f["low"][1] * ones) - (f["width"][1] * total + f["low"][1] * 64)) / 8
             est = dot / f["align"][0]
             spread = math.sqrt((1 - f["align"][0] ** 2) / f["align"][0] ** 2 / 63)
             errors += est - x[a] @ x[b]
@@ -99,6 +101,63 @@ def test_top_k_of_each_length(spark):
     assert {tuple(x) for x in got} == set().union(*(brute_top(part, 50, 5) for part in rows.values())) and len(got) == 8 * 5 + 3 * 5 + 1
 
 
+def test_top_k_of_repeated_ids(spark):
+    r = np.random.default_rng(3)
+    rows = [(int(i), [float(c) for c in r.normal(size=6)]) for i in r.integers(0, 120, 400)]
+    rows += rows[:50]
+    v = [(i, np.floor(256 * np.array(x, np.float32).astype(float))) for i, x in rows]
+    want = set()
+    for q in {i for i, _ in v if i % 50 == 0}:
+        score = {}
+        for i, x in v:
+            if i != q:
+                score[i] = max(score.get(i, -math.inf), max(int(x @ y) for j, y in v if j == q))
+        best = sorted((-s, i) for i, s in score.items())[:5]
+        want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
+    got = topk.top_k(vectors(spark, [(i, x, "s", 0) for i, x in rows]), every=50, ring=30, pivots=6, sample=100).collect()
+    assert {tuple(x) for x in got} == want and len(got) == len(want)
+
+
+def test_top_k_shares_annuli_among_tasks(spark, monkeypatch):
+    r = np.random.default_rng(4)
+    rows = [(i, [float(c) for c in (r.normal(size=8) + 3 * np.eye(8)[i % 8])]) for i in range(900)]
+    monkeypatch.setattr(topk, "CELLS", 64)
+    got = topk.top_k(vectors(spark, [(i, x, "s", 0) for i, x in rows]), every=2, ring=20, pivots=8, sample=200).collect()
+    assert {tuple(x) for x in got} == brute_top(rows, 2, 5)
+
+
+def test_embedding_recall_on_planted_pairs(spark):
+    """Of 3,000 vectors with pairs just above the threshold, found against brute force."""
+    r = np.random.default_rng(7)
+    x = r.normal(size=(3_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for i in range(1_000):
+        d = r.normal(size=64)
+        d -= (d @ x[i]) * x[i]
+        c = r.uniform(0.951, 0.975)
+        x[1_000 + i] = c * x[i] + math.sqrt(1 - c * c) * d / np.linalg.norm(d)
+    f = x.astype(np.float32).astype(float)
+    f /= np.linalg.norm(f, axis=1, keepdims=True)
+    n = (f @ f.T >= 0.95).sum(1) - 1
+    got = embedding.near_duplicates(vectors(spark, [(i, list(v), "q", 1) for i, v in enumerate(x)])).collect()
+    assert n.sum() >= 1_990 and sum(min(g.n_links, n[g.vec_id]) for g in got) >= 0.999 * n.sum()
+    assert all(g.n_links <= n[g.vec_id] for g in got)
+
+
+def test_embedding_of_repeated_ids(spark):
+    a, b, c = ([1.0 if i == k else 0.0 for i in range(8)] for k in range(3))
+    near = lambda v, k: [x + (0.1 if i == k else 0.0) for i, x in enumerate(v)]
+    rows = [(1, a, "s", 0), (1, b, "s", 0), (1, a, "s", 0), (5, near(a, 6), "s", 0), (6, near(b, 7), "s", 0), (7, c, "s", 0)]
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in embedding.near_duplicates(vectors(spark, rows)).collect())
+    assert got == [(1, 2, 1)] * 3 + [(5, 1, 1), (6, 1, 1), (7, 0, 7)]
+
+
+def test_bands_miss_few_pairs():
+    for n in (10, 10_000, 50_000, 10**9):
+        bits, bands = embedding.bands_for(n, 0.95)
+        assert (1 - (1 - math.acos(0.95) / math.pi) ** bits) ** bands <= embedding.MISS and bands < 1 << 10 and n * bands / 2**bits < 80
+
+
 def test_embedding_queries_recall(spark, small):
     got = {tuple(r) for r in queries.op10_pivot_top_k(spark, small).collect()}
     rows = duckdb.sql(f"select vec_id, embedding from '{small}/embeddings.parquet'").fetchall()
@@ -125,6 +184,54 @@ def test_gradients():
         assert abs((hi - lo) / 2e-3 - g[k][at]) < 2e-2 * max(1, abs(g[k][at]))
 
 
+def test_gradients_reach_the_tables():
+    r = np.random.default_rng(0)
+    net = {k: v.astype(np.float64) for k, v in toxicity.new_network(3).items()}
+    net |= {k: r.normal(0, 0.3, net[k].shape) for k in ("word", "char")}
+    x = toxicity.inputs([b"some idiotic words here and more of them some idiot words", b"x yz another set of little words"])
+    first, length, _ = toxicity.windows(x.doc)
+    up = np.array([1.0, -0.5])
+
+    def embedded():
+        out = np.zeros((len(x.word), 2 * toxicity.DIM))
+        out[:, : toxicity.DIM] = net["word"][x.word]
+        some = np.flatnonzero(np.diff(x.offsets))
+        out[some, toxicity.DIM :] = np.add.reduceat(net["char"][x.runs], x.offsets[some])
+        return out
+
+    tape = {}
+    toxicity.forward(net, embedded(), first, length, tape)
+    for k, (rows, g) in toxicity.scatter(x, first, length, toxicity.backward(net, tape, up)[1]).items():
+        for i in r.integers(0, len(rows), 8):
+            at = rows[i], int(r.integers(toxicity.DIM))
+            kept, side = net[k][at], []
+            for d in (1e-4, -1e-4):
+                net[k][at] = kept + d
+                side.append(up @ toxicity.forward(net, embedded(), first, length, {}))
+            net[k][at] = kept
+            assert abs((side[0] - side[1]) / 2e-4 - g[i, at[1]]) < 1e-3 * max(1, abs(g[i, at[1]]))
+
+
+def test_training_moves_every_column_of_the_tables():
+    rows = toxic_rows(200, 3)
+    start, net = toxicity.new_network(1), toxicity.train([t for t, _ in rows], [y for _, y in rows])
+    assert all((net[k] != start[k]).any(0).all() for k in ("word", "char"))
+
+
+def test_training_on_very_long_texts(spark):
+    rows = [(i, t.decode(), y) for i, (t, y) in enumerate(toxic_rows(120, 6))]
+    rows += [(200 + i, "word zorkle wyvxxab " * 20_000, 1) for i in range(3)] + [(300 + i, f"plain{i} text " * 20_000, 0) for i in range(3)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    assert toxicity.fit(d.select("doc_id", "text"), d.select("doc_id", "toxic")) is not None
+
+
+def test_no_setting_outlives_an_operator(spark, small):
+    before = dict(spark.conf.getAll)
+    for op in (queries.op5_embedding_near_dedup, queries.op6_warc_salvage, queries.op8_html_main_text):
+        op(spark, small).collect()
+    assert dict(spark.conf.getAll) == before
+
+
 def toxic_rows(n, seed):
     r = np.random.default_rng(seed)
     out = []
@@ -164,7 +271,8 @@ def test_models_without_labels(spark):
     d = spark.createDataFrame([(1, "a b", "s", "en", "x"), (2, None, None, None, "x"), (None, "", "s", "en", "x")], "doc_id long, text string, source string, lang string, score string")
     none = spark.createDataFrame([], "doc_id long, toxic int, quality int")
     assert toxicity.fit(d, none) is None and quality.fit(d, none) is None
-    assert [r.toxic_score for r in toxicity.score(d, None).collect()] == [0.0] * 3
+    scored = toxicity.score(d.withColumns({"toxic_score": F.lit(1), "_score": F.lit(2)}), None)
+    assert scored.columns[-1] == "__score" and [(r["__score"], r["toxic_score"], r["_score"]) for r in scored.collect()] == [(0.0, 1, 2)] * 3
     assert [r.score for r in quality.score(d, None).collect()] == [0.5] * 3
     assert toxicity.score(d.limit(0), None).collect() == [] and quality.score(d.limit(0), None).collect() == []
 
