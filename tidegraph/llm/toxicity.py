@@ -32,7 +32,7 @@ HIDDEN = 6
 DIM = 6
 WORD_BITS, CHAR_BITS = 16, 16
 RUN, OPENING = 4, 6  # bytes
-SAMPLE = 3_000  # labelled texts at most of either label that are learned from
+SAMPLE = 3_000  # labelled texts at most that are learned from, half of them toxic if there are so many
 LONGEST, SLICE = 50_000, 2_000  # characters; a longer text is learned from by that much of it, in slices spread over all of it
 PREDICT = 0.7
 RATE = 1.0  # step of the embedding tables
@@ -256,17 +256,39 @@ def _shares(x: Inputs, sketches: int = 12) -> np.ndarray:
     return 1 / np.bincount(own, minlength=n)[own]
 
 
-def _odds(ids: np.ndarray, owner: np.ndarray, y: np.ndarray, share: np.ndarray, size: int) -> np.ndarray:
-    """How much more often each input occurs in toxic texts: a logarithm, less two of its standard errors."""
-    pairs = np.unique(owner.astype(np.int64) * size + ids)
-    doc = pairs // size
-    toxic = np.bincount(pairs % size, (y * share)[doc], size)
-    clean = np.bincount(pairs % size, ((1 - y) * share)[doc], size)
-    seen = np.unique(owner)
-    n1, n0 = (y * share)[seen].sum(), ((1 - y) * share)[seen].sum()
-    s = np.log((toxic + 0.5) / (n1 + 1)) - np.log((clean + 0.5) / (n0 + 1))
-    error = np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
-    return (np.sign(s) * np.maximum(np.abs(s) - 2 * error, 0)).astype(np.float32)
+def _pieces(x: Inputs, words_at_once: int = 200_000) -> list[tuple[int, int]]:
+    """Ranges of texts with about so many words together: what is done for each of them needs bounded memory."""
+    out, at = [], 0
+    while at < len(x.doc) - 1:
+        upto = max(at + 1, int(np.searchsorted(x.doc, x.doc[at] + words_at_once, side="right")) - 1)
+        out.append((at, upto))
+        at = upto
+    return out
+
+
+def _odds(x: Inputs, use: np.ndarray, y: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of words and of runs: how much more often each occurs in toxic ones of the texts in use, a logarithm, less two of its
+    standard errors."""
+    out = []
+    for size in (1 << WORD_BITS, 1 << CHAR_BITS):
+        toxic, clean, n1, n0 = np.zeros(size), np.zeros(size), 0.0, 0.0
+        for lo, hi in _pieces(x):
+            a, b = x.doc[lo], x.doc[hi]
+            owner = np.repeat(np.arange(lo, hi), np.diff(x.doc[lo : hi + 1]))
+            ids = x.word[a:b]
+            if len(out):
+                owner, ids = np.repeat(owner, np.diff(x.offsets[a : b + 1])), x.runs[x.offsets[a] : x.offsets[b]]
+            mine = use[owner]
+            pairs = np.unique(owner[mine] * size + ids[mine])
+            doc = pairs // size
+            toxic += np.bincount(pairs % size, (y * share)[doc], size)
+            clean += np.bincount(pairs % size, ((1 - y) * share)[doc], size)
+            seen = np.unique(doc)
+            n1, n0 = n1 + (y * share)[seen].sum(), n0 + ((1 - y) * share)[seen].sum()
+        s = np.log((toxic + 0.5) / (n1 + 1)) - np.log((clean + 0.5) / (n0 + 1))
+        error = np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
+        out.append((np.sign(s) * np.maximum(np.abs(s) - 2 * error, 0)).astype(np.float32))
+    return out[0], out[1]
 
 
 def train(texts: list[bytes], toxic: list[int], epochs: int = 8, seed: int = 1, rate: float = RATE) -> dict[str, np.ndarray] | None:
@@ -278,8 +300,6 @@ def train(texts: list[bytes], toxic: list[int], epochs: int = 8, seed: int = 1,
         return None
     r = np.random.default_rng(seed)
     net, x = new_network(seed), inputs(texts)
-    of_word = np.repeat(np.arange(len(y)), np.diff(x.doc))
-    of_run = np.repeat(of_word, np.diff(x.offsets))
     share, fold = _shares(x), r.permutation(len(y)) % 5
     fit = fold > 0
     first, length, text = windows(x.doc)
@@ -288,17 +308,32 @@ def train(texts: list[bytes], toxic: list[int], epochs: int = 8, seed: int = 1,
     # a text is trained on with a start from the other half, so that its own label is not in its input
     half = fold % 2 == 1
 
-    def odds(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return _odds(x.word[m[of_word]], of_word[m[of_word]], y, share, 1 << WORD_BITS), _odds(x.runs[m[of_run]], of_run[m[of_run]], y, share, 1 << CHAR_BITS)
-
-    start = np.zeros((len(x.word), 2 * DIM), np.float32)  # what the start adds to the words of each text
+    start = np.zeros((len(x.word), 2), np.float32)  # what the start adds to a word's and its runs' first component
     for side in (False, True):
-        own, n = half == side, odds(fit & (half != side))
-        there = np.flatnonzero(own[of_word])
-        start[there, 0] = n[0][x.word[there]]
-        runs = np.bincount(np.repeat(np.arange(len(x.word)), np.diff(x.offsets)), n[1][x.runs], len(x.word))
-        start[there, DIM] = runs[there]
-    prior = np.maximum(start[:, 0], 0) + np.maximum(start[:, DIM], 0)
+        word, char = _odds(x, fit & (half != side), y, share)
+        for lo, hi in _pieces(x):
+            a, b = x.doc[lo], x.doc[hi]
+            there = a + np.flatnonzero(np.repeat(half[lo:hi] == side, np.diff(x.doc[lo : hi + 1])))
+            part = _taken(x, there)
+            start[there, 0] = word[part.word]
+            start[there, 1] = np.bincount(np.repeat(np.arange(len(there)), np.diff(part.offsets)), char[part.runs], len(there))
+
+    def begun(e: np.ndarray, first_part: np.ndarray) -> np.ndarray:
+        e[:, 0] += first_part[:, 0]
+        e[:, DIM] += first_part[:, 1]
+        return e
+
+    def best_of() -> np.ndarray:
+        """The logit of every window, a bounded number of words at a time."""
+        out = []
+        for lo, hi in _pieces(x):
+            a, b = x.doc[lo], x.doc[hi]
+            e, mine = begun(embed(net, _taken(x, np.arange(a, b))), start[a:b]), slice(*np.searchsorted(text, (lo, hi)))
+            f, n = first[mine] - a, length[mine]
+            out += [forward(net, e, f[i : i + BATCH], n[i : i + BATCH]) for i in range(0, len(f), BATCH)]
+        return np.concatenate(out)
+
+    prior = np.maximum(start, 0).sum(1, dtype=float)
     run = np.concatenate(([0], np.cumsum(prior)))
     best = run[first + length] - run[first]
     params = [k for k in net if k not in ("word", "char")]
@@ -317,7 +352,7 @@ def train(texts: list[bytes], toxic: list[int], epochs: int = 8, seed: int = 1,
             begin = np.concatenate(([0], np.cumsum(length[c])[:-1]))
             there = np.repeat(first[c] - begin, length[c]) + np.arange(length[c].sum())
             part = _taken(x, there)
-            e = embed(net, part) + start[there]
+            e = begun(embed(net, part), start[there])
             p = _sigmoid(forward(net, e, begin, length[c], tape))
             g, de = backward(net, tape, ((p - y[text[c]]) * rate_of[text[c]] * share[text[c]] / len(c)).astype(np.float32))
             step += 1
@@ -330,9 +365,8 @@ def train(texts: list[bytes], toxic: list[int], epochs: int = 8, seed: int = 1,
                 for k, (rows, grad) in scatter(part, begin, length[c], de).items():  # plain steps: what is rare moves little
                     net[k][rows] -= rate * np.clip(grad, -0.1, 0.1)
         if epoch in (1, 3, 5):
-            e = embed(net, x) + start
-            best = np.concatenate([forward(net, e, first[i : i + BATCH], length[i : i + BATCH]) for i in range(0, len(first), BATCH)])
-    both = odds(fit)
+            best = best_of()
+    both = _odds(x, fit, y, share)
     net["word"][:, 0] += both[0]
     net["char"][:, 0] += both[1]
     net["slope"], net["middle"] = np.ones(1, np.float32), np.zeros(1, np.float32)
@@ -392,14 +426,14 @@ def held_out(doc_id: str = "doc_id"):
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> dict[str, np.ndarray] | None:
     """A network trained on a bounded, reproducible sample of the labelled rows that may be learned from."""
     own = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).where(~held_out()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
-    ids = [own.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2 if y else sample) for y in (0, 1)]
-    ids = F.broadcast(ids[0].unionByName(ids[1]))  # rows of two numbers, at most 1.5 x sample
+    ids = [own.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2) for y in (0, 1)]
+    ids = F.broadcast(ids[0].unionByName(ids[1]))  # at most `sample` rows of two numbers
     slices = longest // SLICE
     step = (F.length("text") - SLICE) / (slices - 1)
     spread = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(slices - 1)), lambda i: F.substring("text", F.floor(i * step).cast("int") + 1, F.lit(SLICE))), " ")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id").where("text is not null")
     rows = rows.select("doc_id", "toxic", F.when(F.length("text") <= longest, F.col("text")).otherwise(spread).alias("text"))
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(3 * sample // 2).collect()  # an id may be there many times
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample).collect()  # an id may be there many times
     rows = sorted({(r["doc_id"], r["text"].encode()): r["toxic"] for r in rows}.items())
     return train([k[1] for k, _ in rows], [v for _, v in rows])
 
