@@ -6,10 +6,10 @@ rounding has no bias, gives with the code an unbiased estimate of the two vector
 bit-count operations, and the factor gives a bound on its error. A pair whose upper bound reaches the threshold is
 recomputed exactly in double precision; all others are dropped on their codes alone.
 
-Candidates come from bands of sign bits of several rotations. A band has two bits more than the logarithm of the number of
-vectors, so that the chance pairs of a vector stay a few per band whatever the size; there are as many bands as it takes to
-miss a pair at the threshold with MISS (at cosine 0.95 a bit agrees with probability 0.899: 50 bands of 16 bits, 63 of 18,
-296 of 32).
+Candidates come from bands of sign bits of several rotations. A band has as many bits as the logarithm of the number of
+vectors, so that the chance pairs of a vector stay one a band at most whatever the size; there are as many bands as it takes
+to miss a pair at the threshold with MISS (at cosine 0.95 a bit agrees with probability 0.899: 46 bands of 16 bits, 274 of
+32).
 
 Scale: equal vectors are one class with a weight from the start, so thousands of copies are one row. Buckets are joined to
 themselves on the band by an equi-join that can split; the code estimate is part of its condition, and so is the rule that
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import arrow_map, connected_components, discard, list_array, materialize, ship, signed
 
 THRESHOLD = 0.95
-MISS = 5e-5
+MISS = 1e-4
 LEAST_BITS, MOST_BITS = 12, 32
 QUERY_BITS = 4
 BOUND = 4.0  # standard deviations of the code's error that are allowed for
@@ -48,7 +48,7 @@ def _pack(bits: np.ndarray) -> np.ndarray:
 
 def bands_for(rows: int, threshold: float) -> tuple[int, int]:
     """Bits of a band, and how many bands."""
-    bits = min(max(math.ceil(math.log2(max(rows, 2))) + 2, LEAST_BITS), MOST_BITS)
+    bits = min(max(math.ceil(math.log2(max(rows, 2))), LEAST_BITS), MOST_BITS)
     same = 1 - math.acos(threshold) / math.pi
     return bits, math.ceil(math.log(MISS) / math.log(1 - same**bits))
 
@@ -171,8 +171,6 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     schema = "node long, v array<double>, code array<long>, planes array<long>, " + ", ".join(f"{f} double" for f in FACTS) + ", bands array<long>"
     codes = materialize(arrow_map(reps.select("node", "v"), _codes(bits, n_bands), schema, 2_000), "codes")
     bands = codes.select(F.explode("bands").alias("band"), "node", "code", "planes", *FACTS)
-    shared = materialize(bands.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("band"), "shared")
-    bands = materialize(bands.join(shared, "band"), "buckets")  # most bands of most vectors are theirs alone
     sides = [bands.select("band", *[F.col(c).alias(p + c) for c in bands.columns if c != "band"]) for p in ("a_", "b_")]
     longest = codes.agg(F.max(F.size("code"))).collect()[0][0] or 1
     nth = F.shiftright(sides[0]["band"], 32).bitwiseAND(F.lit(1023))
@@ -182,7 +180,6 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
         may = one if longest == 1 else may | ((F.size("a_code") == w) & (F.size("b_code") == w) & one)
     pairs = sides[0].join(sides[1], (sides[0]["band"] == sides[1]["band"]) & (F.col("a_node") < F.col("b_node")) & may)
     pairs = materialize(pairs.select(F.col("a_node").alias("u"), F.col("b_node").alias("v")).distinct(), "pairs")
-    discard(shared, bands)
     vec = codes.select("node", F.col("v").alias("x"))
     both = pairs.join(vec.toDF("u", "xu"), "u").join(vec.toDF("v", "xv"), "v").select("u", "v", "xu", "xv")
     links = materialize(arrow_map(both, _exact(threshold), "u long, v long", 2_000), "links")
