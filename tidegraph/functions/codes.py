@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 # Most clusters on an electrode; the first electrode is the trigger channel; status codes.
 MAX_CLUSTERS = 15
 FIRST_ELECTRODE = 2
-STATUS = {-2: "Discarded", -1: "Unknown", 0: "Kept", 1: "Removed", 2: "Merged with", 3: "Duplicate of"}
+# What is said of a status code; a merged neuron's names its master, a duplicate's its master and that one's electrode from 0.
+STATUS = {-2: "Discard", -1: "Unknown", 0: "Keep", 1: "Contam / Low count", 2: "Merge with %d", 3: "Dup. of ID %d, El %d"}
 
 
 def neuron_id(electrode: Column, cluster: Column) -> Column:
@@ -28,10 +29,8 @@ def rate(count: Column, n_samples: Column, sampling_hz: int = 20_000) -> Column:
 
 
 def status_label(code: Column, master: Column) -> Column:
-    """The code in words; merged and duplicate neurons also name their master and its electrode."""
-    named = F.format_string("%s %d (electrode %d)", F.lit(STATUS[2]), master, electrode_of(master))
-    twin = F.format_string("%s %d (electrode %d)", F.lit(STATUS[3]), master, electrode_of(master))
-    out = F.when(code == 2, named).when(code == 3, twin)
+    """The code in words."""
+    out = F.when(code == 2, F.format_string(STATUS[2], master)).when(code == 3, F.format_string(STATUS[3], master, electrode_of(master) - 1))
     for k in (-2, -1, 0, 1):
         out = out.when(code == k, F.lit(STATUS[k]))
     return out.otherwise(F.lit(STATUS[-1]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BLOCKS = "dataset string, electrode int, block_id long, start_sample long, values array<float>"
@@ -61,6 +61,59 @@ def scan(blocks: DataFrame, start: int | None = None, stop: int | None = None, s
     return s if stop is None else s.where(F.col("sample") < stop)
 
 
+HEADER = "dataset string, sampling_hz int, n_samples long, n_electrodes int, array_id int, block_size int, disconnected array<int>"
+
+
+def write_recording(samples: DataFrame, path: str, sampling_hz: int = 20_000, disconnected: tuple[int, ...] = (), array_id: int = 0, size: int = 16_384) -> None:
+    """(dataset, electrode, sample, value) as a block table, a folder a dataset, with a header a dataset beside it."""
+    to_blocks(samples, size).write.partitionBy("dataset").parquet(f"{path}/blocks")
+    gone = F.array(*map(F.lit, disconnected)).cast("array<int>")
+    head = samples.groupBy("dataset").agg((F.max("sample") + 1).alias("n_samples"), F.count_distinct("electrode").cast("int").alias("n_electrodes"))
+    head = head.select("dataset", F.lit(sampling_hz).alias("sampling_hz"), "n_samples", "n_electrodes", F.lit(array_id).alias("array_id"), F.lit(size).alias("block_size"), gone.alias("disconnected"))
+    head.write.parquet(f"{path}/header")
+
+
+class Recording:
+    """One dataset of a recording and the seconds of it that are asked for: 'dataset', 'dataset(a-b)', 'dataset(a-)', ..."""
+
+    def __init__(self, spark: SparkSession, path: str, source: str):
+        [asked] = parse_datasets(source)
+        head = spark.read.parquet(f"{path}/header").where(F.col("dataset") == asked.path).collect()  # a row
+        if not head:
+            raise ValueError(f"no dataset {asked.path}")
+        self.header = head[0].asDict()
+        self.start, self.stop = asked.bounds(self.header["sampling_hz"], self.header["n_samples"])
+        self.n_electrodes, self.disconnected = self.header["n_electrodes"], list(self.header["disconnected"] or [])
+        self._blocks = spark.read.parquet(f"{path}/blocks").where(F.col("dataset") == asked.path)
+
+    def scan(self, a: int | None = None, n: int | None = None, connected: bool = False) -> DataFrame:
+        """Samples [a, a + n) of the range, cut to it; without arguments all of it. The dataset picks the folder, bounds on
+        block starts reach the files."""
+        low = self.start if a is None else max(self.start, a)
+        high = self.stop if n is None else min(self.stop, low + n if a is None else a + n)
+        out = scan(self._blocks, low, high, self.header["block_size"])
+        return out.where(~F.col("electrode").isin(self.disconnected)) if connected and self.disconnected else out
+
+
+def adjacency(positions: DataFrame, usage: int = 1, pitch: float = 1.0) -> DataFrame:
+    """electrode, neighbor, ord, from (electrode, x, y): itself first, then those within `usage` pitches by distance, ties by
+    number; usage 0 is the electrode alone. Met in an equi-join of cells, so the size of the array does not matter."""
+    reach = usage * pitch
+    cell = max(reach, pitch)
+    c = lambda x: F.floor(F.col(x) / cell)
+    a = positions.select("electrode", F.col("x").alias("ax"), F.col("y").alias("ay"), F.explode(F.array(*[F.struct((c("x") + i).alias("cx"), (c("y") + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])).alias("c"))
+    b = positions.select(F.col("electrode").alias("neighbor"), "x", "y", F.struct(c("x").alias("cx"), c("y").alias("cy")).alias("c"))
+    d2 = (F.col("ax") - F.col("x")) * (F.col("ax") - F.col("x")) + (F.col("ay") - F.col("y")) * (F.col("ay") - F.col("y"))
+    near = a.join(b, "c").select("electrode", "neighbor", d2.alias("d2")).where(F.col("d2") <= reach * reach * (1 + 1e-9))
+    return near.withColumn("ord", (F.row_number().over(Window.partitionBy("electrode").orderBy("d2", "neighbor")) - 1).cast("int")).drop("d2")
+
+
+def degrees(adjacent: DataFrame) -> DataFrame:
+    """electrode, degree (itself included), most: the largest degree of the array."""
+    d = adjacent.groupBy("electrode").agg(F.count(F.lit(1)).alias("degree"))
+    return d.withColumn("most", F.max("degree").over(Window.partitionBy()))  # a row an electrode
+
+
 def synthetic(spark: SparkSession, electrodes: int, n_samples: int, units: list[tuple[int, int, int]], sigma: float = 10.0, ttl_every: int = 2_000, seed: int = 1) -> DataFrame:
     """A recording with planted units (electrode, first, period), noise and drift: dataset, electrode, sample, value.
     Electrode 1 is the trigger channel. Every value is an expression of its place, so nothing is built on the driver."""

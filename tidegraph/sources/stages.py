@@ -31,6 +31,10 @@ class Stages:
         fs, p = self._fs(self.path(name) + "/_SUCCESS")
         return bool(fs.exists(p))
 
+    def count(self, pattern: str) -> int:
+        fs, p = self._fs(self.path(pattern))
+        return len(fs.globStatus(p) or [])
+
     def find(self, pattern: str) -> str | None:
         """The one stage that matches, None without one; several raise."""
         fs, p = self._fs(self.path(pattern))
@@ -86,6 +90,44 @@ def label_neurons(neurons: DataFrame, labels: DataFrame) -> DataFrame:
     return neurons.join(labels, "neuron_id", "left")
 
 
+def rewrite_labels(spark: SparkSession, neurons: DataFrame, folder: str, pattern: str = "*.classification*", out: str = "classification-edited") -> str | None:
+    """Labels of the edited neurons as text beside the one classification that there was; None, and nothing written, where
+    there was none or several."""
+    if Stages(spark, folder).count(pattern) != 1:
+        return None
+    path = f"{folder.rstrip('/')}/{out}"
+    format_labels(neurons).write.mode("overwrite").text(path)
+    return path
+
+
+def spikes_stage(spikes: DataFrame, triggers: DataFrame, n_samples: int) -> DataFrame:
+    """One table of what the spike stage saves: kind ('spike', 'trigger', 'n_samples'), spike_time, electrode; integers, no
+    amplitude."""
+    s = spikes.select(F.lit("spike").alias("kind"), F.col("spike_time").cast("int").alias("spike_time"), F.col("electrode").cast("int").alias("electrode"))
+    t = triggers.select(F.lit("trigger").alias("kind"), F.col("sample").cast("int").alias("spike_time"), F.col("electrode").cast("int").alias("electrode"))
+    n = spikes.sparkSession.range(1).select(F.lit("n_samples").alias("kind"), F.lit(n_samples).cast("int").alias("spike_time"), F.lit(None).cast("int").alias("electrode"))
+    return s.unionByName(t).unionByName(n)
+
+
+def read_neurons(spark: SparkSession, path: str, ids: list[int] | None = None) -> DataFrame:
+    """neuron_id, electrode, n, times (in order) of a table of events; only the ids that are asked for, a bound that reaches
+    the files."""
+    d = spark.read.parquet(path)
+    d = d if ids is None else d.where(F.col("neuron_id").isin(ids))
+    return d.groupBy("neuron_id", "electrode").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("spike_time")).alias("times"))
+
+
+def append_images(images: DataFrame, path: str) -> None:
+    """Images (neuron_id, n, plane, electrode, wave) added to a table, a folder a plane: 0 the mean, 1 its error."""
+    images.write.mode("append").partitionBy("plane").parquet(path)
+
+
+def read_images(spark: SparkSession, path: str, ids: list[int] | None = None, plane: int = 0) -> DataFrame:
+    """neuron_id, n, electrode, wave of one plane, the mean by default: only its folder is read."""
+    d = spark.read.parquet(path).where(F.col("plane") == plane)
+    return (d if ids is None else d.where(F.col("neuron_id").isin(ids))).drop("plane")
+
+
 def export_spikes(spikes: DataFrame) -> DataFrame:
     """Integers without amplitude, electrodes counted from 0."""
     return spikes.select(F.col("spike_time").cast("int").alias("spike_time"), (F.col("electrode") - 1).cast("int").alias("electrode"))
@@ -115,8 +157,10 @@ def export_projections(projections: DataFrame) -> DataFrame:
     return projections.where(F.size("pc") > 0)
 
 
-def copy_selected(neurons: DataFrame, ids: DataFrame, path: str) -> None:
-    """Rows whose id is in the list, to a new table; refuses an existing one."""
+def copy_selected(neurons: DataFrame, ids: DataFrame, path: str, raw: DataFrame | None = None) -> None:
+    """Rows whose id is in the list (and in `raw`, if given), to a new table; refuses an existing one."""
+    if raw is not None:
+        ids = ids.join(raw.select("neuron_id").distinct(), "neuron_id", "left_semi")
     neurons.join(ids.select("neuron_id").distinct(), "neuron_id", "left_semi").write.mode("errorifexists").parquet(path)
 
 
