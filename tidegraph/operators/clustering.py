@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import squared_l2
 from ..session import ship
+from .tables import written
 
 # Landmarks, rows for k-means and mixtures, neighbour that sets the local scale, leading vectors, most clusters, tolerance of the automatic
 # choice, k-means replicates and iterations, retries, most dropped rows, posterior that a row of a mixture must exceed.
@@ -25,11 +26,20 @@ REPLICATES, ITERATIONS, RETRIES, MOST_DROPPED, POSTERIOR = 5, 200, 10, 0.01, 0.5
 # -------------------------------------------------------------------------------------------------- SQL parts
 
 
-def pairs(points: DataFrame, group: str, id_col: str, vec: str) -> DataFrame:
-    """group, id_a, id_b, d2 over all ordered pairs within a group, a row with itself included."""
-    a = points.select(group, F.col(id_col).alias("id_a"), F.col(vec).alias("va"))
-    b = points.select(group, F.col(id_col).alias("id_b"), F.col(vec).alias("vb"))
-    return a.join(b, group).select(group, "id_a", "id_b", squared_l2(F.col("va"), F.col("vb")).alias("d2"))
+def marks(points: DataFrame, group: str, id_col: str, most: int = LANDMARKS) -> DataFrame:
+    """The landmarks of each group: all of its points, or `most` of them by a hash of the id."""
+    nth = Window.partitionBy(group).orderBy(F.xxhash64(id_col), id_col)
+    return points.withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= most).drop("nth")
+
+
+def pairs(points: DataFrame, group: str, id_col: str, vec: str, landmarks: int = LANDMARKS) -> DataFrame:
+    """group, id_a, id_b, d2 over all ordered pairs of a group's landmarks, a point with itself included: at most
+    landmarks^2 rows a group. Written once, since the scales and the affinities both read them."""
+    m = marks(points.select(group, id_col, vec), group, id_col, landmarks)
+    m = written(m, "landmarks")
+    a = m.select(group, F.col(id_col).alias("id_a"), F.col(vec).alias("va"))
+    b = m.select(group, F.col(id_col).alias("id_b"), F.col(vec).alias("vb"))
+    return written(a.join(b, group).select(group, "id_a", "id_b", squared_l2(F.col("va"), F.col("vb")).alias("d2")), "pairs")
 
 
 def local_scale(d: DataFrame, group: str, nth: int = NEIGHBOUR) -> DataFrame:
@@ -231,8 +241,7 @@ def cluster(points: DataFrame, group: str, id_col: str, vec: str, method: str =
     spark = ship(points.sparkSession)
     landmarks = landmarks or (LANDMARKS if method == "spectral" else POINTS)
     kind = {f.name: f.dataType.simpleString() for f in points.schema}
-    nth = Window.partitionBy(group).orderBy(F.xxhash64(id_col), id_col)
-    marks = points.withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= landmarks).select(group, id_col, vec)
+    chosen = marks(points.select(group, id_col, vec), group, id_col, landmarks)
     size = points.groupBy(group).agg(F.count(F.lit(1)).alias("size"))
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
@@ -258,26 +267,26 @@ def cluster(points: DataFrame, group: str, id_col: str, vec: str, method: str =
 
         return pd.DataFrame({group: [key], "model": [pickle.dumps(model)], "k": [model["k"] if model else 0]})
 
-    models = marks.join(size, group).groupBy(group).applyInPandas(fit, f"{group} {kind[group]}, model binary, k int")
+    models = chosen.join(size, group).groupBy(group).applyInPandas(fit, f"{group} {kind[group]}, model binary, k int")
 
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import pickle
 
         last: tuple = (None, None)
-        for frame in frames:
-            for raw, part in frame.groupby("model", sort=False):
-                if last[0] != raw:
-                    last = raw, pickle.loads(raw)
-                m, x = last[1], np.stack(part[vec].to_numpy()).astype(float)
-                if m is None:
-                    label = np.zeros(len(x), int)
-                elif "mark" in m:
-                    label = assign(m, x)
-                elif "shares" in m:
-                    label = likeliest(m, x)
-                else:
-                    label = ((x[:, None] - m["centroids"][None]) ** 2).sum(2).argmin(1) + 1
-                yield pd.DataFrame({group: part[group], id_col: part[id_col], "clust": label.astype(np.int32), "k": part["k"]})
-
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+        for whole in frames:
+            for at in range(0, len(whole), 1_000):
+                for raw, part in whole.iloc[at : at + 1_000].groupby("model", sort=False):
+                    if last[0] != raw:
+                        last = raw, pickle.loads(raw)
+                    m, x = last[1], np.stack(part[vec].to_numpy()).astype(float)
+                    if m is None:
+                        label = np.zeros(len(x), int)
+                    elif "mark" in m:
+                        label = assign(m, x)
+                    elif "shares" in m:
+                        label = likeliest(m, x)
+                    else:
+                        label = square_distances(x, m["centroids"]).argmin(1) + 1
+                    yield pd.DataFrame({group: part[group], id_col: part[id_col], "clust": label.astype(np.int32), "k": part["k"]})
+
     return points.select(group, id_col, vec).join(models, group).mapInPandas(place, f"{group} {kind[group]}, {id_col} {kind[id_col]}, clust int, k int")

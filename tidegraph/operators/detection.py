@@ -14,18 +14,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship
-from .tables import written
+from .tables import keyed_hash, written
 
 KEYS = ("electrode",)
 TTL_ELECTRODE, TTL_SIGMA, TTL_THRESHOLD, TTL_AMPLITUDE = 1, 100.0, 1000.0, 1500.0
 
 
-def first_mean(samples: DataFrame, n: int, keys: Iterable[str] = KEYS) -> DataFrame:
-    """Mean of each channel's first n samples; channels with fewer are left out (the filter cannot be started on them)."""
+def _begin(samples: DataFrame, keys: list[str]) -> DataFrame:
+    """keys and the first sample number: a row a channel."""
+    return samples.groupBy(*keys).agg(F.min("sample").alias("begin"))
+
+
+def first_mean(samples: DataFrame, n: int, keys: Iterable[str] = KEYS, short: str = "raise") -> DataFrame:
+    """Mean of each channel's first n samples, whose numbers have no gaps. The filter cannot be started on a channel with
+    fewer: that raises when the result is used, or with short='drop' such channels are left out."""
     keys = list(keys)
-    at = Window.partitionBy(*keys).orderBy("sample")
-    head = samples.withColumn("nth", F.row_number().over(at)).where(F.col("nth") <= n)
-    return head.groupBy(*keys).agg(F.avg("value").alias("start_mean"), F.count(F.lit(1)).alias("n")).where(F.col("n") == n).drop("n")
+    head = samples.join(_begin(samples, keys), keys).where(F.col("sample") < F.col("begin") + n)
+    mean = head.groupBy(*keys).agg(F.avg("value").alias("start_mean"), F.count(F.lit(1)).alias("n"))
+    if short == "drop":
+        return mean.where(F.col("n") == n).drop("n")
+    return mean.select(*keys, F.when(F.col("n") == n, F.col("start_mean")).otherwise(F.raise_error(F.format_string(f"a channel has %d samples where {n} are needed", "n")).cast("double")).alias("start_mean"))
 
 
 def remove_drift(samples: DataFrame, start: DataFrame, alpha: float, block: int = 4096, keys: Iterable[str] = KEYS) -> DataFrame:
@@ -39,8 +47,7 @@ def remove_drift(samples: DataFrame, start: DataFrame, alpha: float, block: int
     q = 1.0 - alpha
     block = max(1, min(block, int(300 / -math.log(q))))  # weights stay within double range
     back = max(1, math.ceil(40 / (-math.log(q) * block)))
-    first = Window.partitionBy(*keys)
-    s = samples.withColumn("at", F.col("sample") - F.min("sample").over(first))
+    s = samples.join(_begin(samples, keys), keys).withColumn("at", F.col("sample") - F.col("begin"))
     s = s.withColumn("block", F.floor(F.col("at") / block)).withColumn("place", F.col("at") % block)
     weighted = F.lit(alpha) * F.col("value") * F.pow(F.lit(q), -(F.col("place") + 1).cast("double"))
     ends = s.groupBy(*keys, "block").agg((F.sum(weighted) * F.pow(F.lit(q), F.count(F.lit(1)).cast("double"))).alias("own"), F.count(F.lit(1)).alias("n")).join(start, keys)
@@ -98,7 +105,7 @@ def noise_floor(samples: DataFrame, clip: float = 3.0, tolerance: float = 0.01,
     """Noise floor to convergence: keys, sigma, mu, rounds, n. Values are counted before the shuffle; the channel's value
     counts, at most 65,536 rows for raw samples, then meet in one task. The noise window bounds what other input gives."""
     keys = list(keys)
-    spark = ship(samples.sparkSession)
+    ship(samples.sparkSession)
     fields = {f.name: f.dataType.simpleString() for f in samples.schema}
     counts = samples.groupBy(*keys, F.col("value").cast("double").alias("value")).count()
 
@@ -106,7 +113,6 @@ def noise_floor(samples: DataFrame, clip: float = 3.0, tolerance: float = 0.01,
         sigma, mu, rounds, n = converged_noise(frame["value"], frame["count"], clip, tolerance)
         return pd.DataFrame({**{k: [frame[k].iloc[0]] for k in keys}, "sigma": [sigma], "mu": [mu], "rounds": [rounds], "n": [n]})
 
-    del spark
     return counts.groupBy(*keys).applyInPandas(run, ", ".join(f"`{k}` {fields[k]}" for k in keys) + ", sigma double, mu double, rounds int, n long")
 
 
@@ -169,6 +175,12 @@ def trigger_intervals(edges: DataFrame, keys: Iterable[str] = KEYS) -> DataFrame
     return d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("gap").cast("long").alias("total"), F.avg("gap").alias("mean"))
 
 
+def in_order(spikes: DataFrame, keys: Iterable[str] = KEYS) -> DataFrame:
+    """spikes of all channels by time, then keys, in files that follow one another: sorted by ranges, not in one task."""
+    order = ["spike_time", *keys]
+    return spikes.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def buffers(samples: DataFrame, size: int, left: int, right: int, keys: Iterable[str] = KEYS) -> DataFrame:
     """samples dealt to overlapping buffers: buffer, start, stop (exclusive) added; a sample near an edge is in two."""
     keys = list(keys)
@@ -187,12 +199,14 @@ def interior(spikes: DataFrame, left: int, right: int) -> DataFrame:
 
 
 def random_events(spans: DataFrame, rate: float, seed: int = 0, keys: Iterable[str] = KEYS) -> DataFrame:
-    """Noise events without replacement: round(rate x span) sample numbers of each channel (keys, first, span), the same
-    for the same seed. Positions come from a keyed hash order over the channel's own sequence, so no global sort."""
+    """Noise events without replacement: n = round(rate x span) sample numbers of each channel (keys, first, span), the same
+    for the same seed. The span is cut into n even parts and one place is drawn in each by a keyed hash, so no channel is
+    laid out or sorted for it: work and memory are those of the events."""
     keys = list(keys)
-    at = spans.select(*keys, F.round(F.col("span") * rate).alias("n"), F.explode(F.sequence(F.col("first"), F.col("first") + F.col("span") - 1)).alias("spike_time"))
-    nth = Window.partitionBy(*keys).orderBy(F.xxhash64(F.lit(seed), *keys, "spike_time"), "spike_time")
-    return at.withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= F.col("n")).select(*keys, "spike_time")
+    n = F.round(F.col("span") * rate).cast("long")
+    at = spans.withColumn("n", n).where("n > 0").withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    at = at.withColumn("low", F.expr("i * span div n")).withColumn("high", F.expr("(i + 1) * span div n"))
+    return at.select(*keys, (F.col("first") + F.col("low") + keyed_hash(seed, *[F.col(k) for k in keys], F.col("i")) % (F.col("high") - F.col("low"))).alias("spike_time"))
 
 
 def drop_near_spikes(noise: DataFrame, spikes: DataFrame, width: float = 20.0, first_only: bool = False, keys: Iterable[str] = KEYS) -> DataFrame:

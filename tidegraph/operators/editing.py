@@ -6,6 +6,8 @@ gives is one mapping (old id -> new id or removed) that is joined to the long ta
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -15,6 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions import MAX_CLUSTERS
 from ..session import ship
+from . import reports
+from .tables import written
 
 # The actions and what each needs.
 ACTIONS = {
@@ -50,8 +54,8 @@ class Action:
             raise ValueError("frac lies in (0, 1]")
         if self.contam is not None and self.contam < 0:
             raise ValueError("contam is not negative")
-        if self.n_clusters is not None and not 1 <= self.n_clusters <= MAX_CLUSTERS:
-            raise ValueError(f"n_clusters lies in 1..{MAX_CLUSTERS}")
+        if self.n_clusters is not None and not 0 <= self.n_clusters <= MAX_CLUSTERS:
+            raise ValueError(f"n_clusters lies in 0..{MAX_CLUSTERS}, 0 for the automatic choice")
 
 
 def since_consolidate(log: DataFrame) -> DataFrame:
@@ -198,6 +202,203 @@ def remap(spikes: DataFrame, state: State) -> DataFrame:
     return out.withColumn("neuron_id", F.coalesce("to_id", "neuron_id")).drop("to_id", "moved")
 
 
+def replay(spikes: DataFrame, actions: list[Action], trains: DataFrame | None = None) -> DataFrame:
+    """The table of events (neuron_id, spike_time, any others) after manual actions, SHRINK and RECLUSTER included.
+
+    trains (seq, neuron_id, spike_time, any others): the events that action number seq (from 1) gave its neurons: for SHRINK
+    those that its ids keep and those of the outlier neuron (new_ids), which goes; for RECLUSTER those of its new_ids. What
+    an id holds thus comes from the table itself (source 0) or from an action, and later actions move it on. The fold runs
+    on ids and counts; events are moved by one join on (source, id). Merging takes in all events, repeated times too.
+    """
+    spark = spikes.sparkSession
+    both = spikes.withColumn("source", F.lit(0))
+    if trains is not None:
+        both = both.unionByName(trains.withColumnRenamed("seq", "source").withColumn("source", F.col("source").cast("int")).select(*both.columns))
+    n = {(r["source"], r["neuron_id"]): r["count"] for r in both.groupBy("source", "neuron_id").count().collect()}  # a row a neuron
+    holds: dict[int, list[tuple[int, int]]] = {i: [(0, i)] for s, i in n if s == 0}
+    gone: set[int] = set()
+    size = lambda i: sum(n.get(p, 0) for p in holds[i])
+    for seq, a in enumerate(actions, 1):
+        if a.action in ("CONSOLIDATE", "DEBUG"):
+            continue
+        missing = [i for i in a.ids if i not in holds]
+        if missing:
+            raise ValueError(f"{a.action}: no neurons {missing}")
+        if a.action == "KEEP":
+            gone -= set(a.ids)
+        elif a.action == "DELETE":
+            gone |= set(a.ids)
+        elif a.action == "MERGE":
+            master = max(a.ids, key=lambda i: (size(i), -i))
+            for i in a.ids:
+                if i != master:
+                    holds[master] += holds.pop(i)
+                    gone.discard(i)
+            gone.discard(master)
+        elif a.action == "SHRINK":
+            for i in a.ids:
+                holds[i] = [(seq, i)]
+                gone.discard(i)
+            for i in a.new_ids:
+                holds[i] = [(seq, i)]
+                gone.add(i)
+        elif a.action == "RECLUSTER":
+            for i in a.ids:
+                del holds[i]
+                gone.discard(i)
+            for i in a.new_ids:
+                holds[i] = [(seq, i)]
+        else:
+            raise ValueError(f"{a.action} is no manual action")
+    rows = [(s, i, to) for to, ps in holds.items() if to not in gone for s, i in ps]
+    moves = spark.createDataFrame(rows, "source int, neuron_id int, to_id int")
+    out = both.join(moves, ["source", "neuron_id"]).withColumn("neuron_id", F.col("to_id"))
+    return out.select(*spikes.columns)
+
+
+def merged_trains(spikes: DataFrame) -> DataFrame:
+    """neuron_id, n, times: each neuron's events in order, repeated ones kept, in order of neurons. A row a neuron."""
+    out = spikes.groupBy("neuron_id").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("spike_time")).alias("times"))
+    return out.repartitionByRange("neuron_id").sortWithinPartitions("neuron_id")
+
+
+class Store:
+    """A log of edits and the neurons that they lead to, as tables under one folder: log (appended to) and versions of the
+    neurons, of which the log's last CONSOLIDATE names the one that holds."""
+
+    KIND = "seq int, action string, ids array<int>, master_id int, frac double, contam double, n_clusters int, config_tag string, new_ids array<int>, version string"
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.session: list[Action] = []
+        self.expect_clear = False
+
+    def log(self) -> DataFrame:
+        """All saved rows, in order of seq."""
+        try:
+            return self.spark.read.schema(self.KIND).parquet(f"{self.root}/log").orderBy("seq")
+        except Exception as e:  # nothing was saved yet
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return self.spark.createDataFrame([], self.KIND)
+
+    def actions(self) -> list[Action]:
+        return [Action(r["action"], list(r["ids"] or []), r["master_id"], r["frac"], r["contam"], r["n_clusters"], r["config_tag"], list(r["new_ids"] or [])) for r in self.log().collect()]
+
+    def _append(self, actions: list[Action], version: str | None = None, mode: str = "append") -> None:
+        start = 0 if mode == "overwrite" else self.log().count()
+        rows = [(start + i, a.action, a.ids, a.master_id, a.frac, a.contam, a.n_clusters, a.config_tag, a.new_ids, version) for i, a in enumerate(actions, 1)]
+        self.spark.createDataFrame(rows, self.KIND).coalesce(1).write.mode(mode).parquet(f"{self.root}/log")
+
+    def add(self, action: Action) -> None:
+        """To the session; kept only when saved."""
+        action.check()
+        self.session.append(action)
+
+    def undo(self) -> Action | None:
+        return self.session.pop() if self.session else None
+
+    def clear_session(self) -> None:
+        self.session, self.expect_clear = [], False
+
+    def clear_hard(self) -> None:
+        """The next save begins a new log."""
+        self.expect_clear = True
+
+    def save(self) -> None:
+        if self.session or self.expect_clear:
+            self._append(self.session, mode="overwrite" if self.expect_clear else "append")
+        self.clear_session()
+
+    def of_electrode(self, electrode: int) -> DataFrame:
+        return for_electrode(self.log(), electrode)
+
+    def neurons(self) -> DataFrame | None:
+        """The consolidated table, None before the first consolidation."""
+        last = self.log().where("action = 'CONSOLIDATE'").orderBy(F.desc("seq")).limit(1).collect()
+        return self.spark.read.parquet(f"{self.root}/{last[0]['version']}") if last else None
+
+    def consolidate(self, raw: DataFrame, trains: DataFrame | None = None) -> DataFrame:
+        """Applies what was saved since the last CONSOLIDATE to the consolidated neurons (to `raw`, all actions, the first
+        time), writes a new version and then the marker that names it; without new actions nothing is written. A write
+        that fails leaves the version before it in force."""
+        actions, have = self.actions(), self.neurons()
+        last = max((i for i, a in enumerate(actions, 1) if a.action == "CONSOLIDATE"), default=0)
+        new = actions[last:]
+        if not new:
+            return have if have is not None else raw
+        if trains is not None:
+            trains = trains.where(F.col("seq") > last).withColumn("seq", F.col("seq") - last)
+        version = f"neurons-{uuid.uuid4().hex}"
+        out = replay(have if have is not None else raw, new, trains)
+        out.repartitionByRange("neuron_id").sortWithinPartitions("neuron_id", "spike_time").write.parquet(f"{self.root}/{version}")
+        self._append([Action("CONSOLIDATE")], version)
+        return self.neurons()
+
+
+def train_projections(trains: DataFrame, projections: DataFrame) -> DataFrame:
+    """trains (electrode, neuron_id, spike_time) with the projections (electrode, spike_time, any others) of their events:
+    joined on exact times; events without projections are left out."""
+    return trains.join(projections, ["electrode", "spike_time"])
+
+
+class Preview:
+    """What an action would make of one electrode's neurons (neuron_id, spike_time, pc, any others), without touching the
+    table: each step is a frame on the one before it, undo goes back one."""
+
+    def __init__(self, trains: DataFrame, projections: DataFrame, electrode: int, n_samples: float, tau: int = 30):
+        own = train_projections(trains.where(F.col("electrode") == electrode), projections.where(F.col("electrode") == electrode))
+        self.frames, self.n_samples, self.tau = [own.withColumn("status", F.lit(0))], n_samples, tau
+
+    @property
+    def events(self) -> DataFrame:
+        return self.frames[-1]
+
+    def undo(self) -> None:
+        if len(self.frames) > 1:
+            self.frames.pop()
+
+    def report(self) -> DataFrame:
+        """neuron_id, n, contamination, status."""
+        stats = reports.contamination(self.events, self.tau, self.n_samples).select("neuron_id", "n", "contamination")
+        return stats.join(self.events.groupBy("neuron_id").agg(F.max("status").alias("status")), "neuron_id")
+
+    def apply(self, action: Action, label: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+        """The events after the action. RECLUSTER: label gives the pool's events with clust from 1; clusters take the ids that
+        were put in, then new ones behind the largest. SHRINK: events that shrink() does not keep become a neuron with a new
+        id and status -2. More than MAX_CLUSTERS neurons raise."""
+        action.check()
+        e = self.events
+        counts = {r["neuron_id"]: r["count"] for r in e.groupBy("neuron_id").count().collect()}  # a row a neuron of one electrode
+        if any(i not in counts for i in action.ids):
+            raise ValueError("some ids are not there")
+        mine, new = F.col("neuron_id").isin(action.ids), max(counts, default=0) + 1
+        if action.action in ("KEEP", "DELETE"):
+            out = e.withColumn("status", F.when(mine, F.lit(0 if action.action == "KEEP" else -2)).otherwise(F.col("status")))
+        elif action.action == "MERGE":
+            master = max(action.ids, key=lambda i: (counts[i], -i))
+            out = e.withColumn("status", F.when(mine, F.lit(0)).otherwise(F.col("status"))).withColumn("neuron_id", F.when(mine, F.lit(master)).otherwise(F.col("neuron_id")).cast("int"))
+        elif action.action == "RECLUSTER":
+            pool = written(label(e.where(mine)), "pool")
+            k = pool.agg(F.max("clust")).collect()[0][0] or 0
+            if len(counts) + k - len(action.ids) > MAX_CLUSTERS:
+                raise ValueError(f"more than {MAX_CLUSTERS} clusters")
+            ids = (sorted(action.ids) + list(range(new, new + k)))[:k]
+            pool = pool.where("clust > 0").withColumn("neuron_id", F.element_at(F.array(*map(F.lit, ids)), F.col("clust")).cast("int")).withColumn("status", F.lit(0))
+            out = e.where(~mine).unionByName(pool.select(*e.columns))
+        elif action.action == "SHRINK":
+            if len(counts) >= MAX_CLUSTERS:
+                raise ValueError(f"more than {MAX_CLUSTERS} clusters")
+            keep = shrink(e.where(mine), "neuron_id", "spike_time", "pc", action.frac, action.contam, self.n_samples, tau=self.tau)
+            cut = e.where(mine).join(keep.distinct(), ["neuron_id", "spike_time"])
+            cut = cut.withColumn("status", F.when(F.col("keep"), 0).otherwise(-2)).withColumn("neuron_id", F.when(F.col("keep"), F.col("neuron_id")).otherwise(F.lit(new)).cast("int"))
+            out = e.where(~mine).unionByName(cut.select(*e.columns))
+        else:
+            raise ValueError(f"{action.action} is no action of an editor")
+        self.frames.append(out)
+        return out
+
+
 def contamination(times: Column, n_samples: float, tau: int = 30) -> Column:
     """Of a sorted array of times: v n_samples / (tau n^2), v = intervals in (0, tau]; 0 below two events."""
     gaps = F.zip_with(F.slice(times, 2, F.greatest(F.size(times) - 1, F.lit(0))), F.slice(times, 1, F.greatest(F.size(times) - 1, F.lit(0))), lambda b, a: b - a)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import l2_normalise, squared_l2
 from ..session import ship
-from .tables import written
+from .tables import drop, written
 
 
 def distances(traces: DataFrame, group: str, id_col: str, vec: str, normalise: bool = False) -> DataFrame:
@@ -18,13 +18,15 @@ def distances(traces: DataFrame, group: str, id_col: str, vec: str, normalise: b
     return a.join(b, group).where("id_a < id_b").select(group, "id_a", "id_b", squared_l2(F.col("va"), F.col("vb")).alias("d2"))
 
 
-def all_distances(traces: DataFrame, id_col: str, vec: str, blocks: int = 8) -> DataFrame:
-    """id_a < id_b, d2 over all pairs, in blocks x blocks tasks that each hold a part of either side; no single key is hot."""
+def all_distances(traces: DataFrame, id_col: str, vec: str, rows: int = 2_000) -> DataFrame:
+    """id_a < id_b, d2 over all pairs: both sides are dealt to blocks of about `rows`, so that a task holds a part of either
+    side whatever the size of the table, and a pair of blocks meets once."""
+    blocks = max(1, -(-traces.count() // rows))
     own = F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    a = traces.select(F.col(id_col).alias("id_a"), F.col(vec).alias("va"), own.alias("x")).withColumn("y", every)
-    b = traces.select(F.col(id_col).alias("id_b"), F.col(vec).alias("vb"), own.alias("y")).withColumn("x", every)
-    return a.join(b, ["x", "y"]).where("id_a < id_b").select("id_a", "id_b", squared_l2(F.col("va"), F.col("vb")).alias("d2"))
+    a = traces.select(F.col(id_col).alias("id_a"), F.col(vec).alias("va"), own.alias("x")).withColumn("y", F.explode(F.sequence(F.col("x"), F.lit(blocks - 1))))
+    b = traces.select(F.col(id_col).alias("id_b"), F.col(vec).alias("vb"), own.alias("y")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("y"))))
+    met = a.join(b, ["x", "y"]).where((F.col("x") < F.col("y")) | (F.col("id_a") < F.col("id_b")))
+    return met.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), squared_l2(F.col("va"), F.col("vb")).alias("d2"))
 
 
 def neighbour_distances(traces: DataFrame, adjacency: DataFrame, electrode: str, id_col: str, vec: str) -> DataFrame:
@@ -40,21 +42,31 @@ def edges(d: DataFrame, threshold: float, link_identical: bool = False) -> DataF
 
 
 def components(nodes: DataFrame, links: DataFrame, group: str, id_col: str) -> DataFrame:
-    """group, id, component (smallest id): every node is given its own id, then the least of its neighbours' and, to halve
-    the remaining distance, the component of its component, until nothing changes. One flag a round reaches the driver."""
-    e = links.select(group, F.col("id_a").alias("u"), F.col("id_b").alias("v"))
-    e = written(e.unionByName(e.select(group, F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
-    label = written(nodes.select(group, F.col(id_col).alias("id"), F.col(id_col).alias("component")).distinct(), "labels")
-    while True:
-        near = e.join(label.select(group, F.col("id").alias("v"), "component"), [group, "v"]).groupBy(group, F.col("u").alias("id")).agg(F.min("component").alias("near"))
-        new = label.join(near, [group, "id"], "left").select(group, "id", F.col("component").alias("old"), F.least("component", F.coalesce("near", "component")).alias("component"))
-        jump = new.select(group, F.col("id").alias("component"), F.col("component").alias("far"))
-        new = new.join(jump, [group, "component"]).select(group, "id", "old", F.col("far").alias("component"))
-        new = written(new, "labels")
-        changed = not new.where("old <> component").isEmpty()
-        label = new.drop("old")
-        if not changed:
-            return label
+    """group, id, component (smallest id). Each round hooks every component to the smallest next to it, follows the hooks
+    to their end and keeps only the links that still join two, so links and rounds shrink; only components that have links
+    left are touched. One flag a round reaches the driver."""
+    e = links.select(group, F.col("id_a").alias("u"), F.col("id_b").alias("v")).where("u <> v").distinct()
+    e = written(e, "links")
+    label = written(e.select(group, F.explode(F.array("u", "v")).alias("id")).distinct().withColumn("component", F.col("id")), "labels")
+    while not e.isEmpty():
+        both = e.unionByName(e.select(group, F.col("v").alias("u"), F.col("u").alias("v")))
+        hook = written(both.groupBy(group, F.col("u").alias("at")).agg(F.least("at", F.min("v")).alias("to")), "hooks")
+        while True:
+            far = hook.select(group, F.col("at").alias("to"), F.col("to").alias("far"))
+            jump = written(hook.join(far, [group, "to"]).select(group, "at", F.col("far").alias("to"), (F.col("far") < F.col("to")).alias("moved")), "hooks")
+            drop(hook)
+            hook, moved = jump, not jump.where("moved").isEmpty()
+            if not moved:
+                break
+        hook = hook.drop("moved")
+        old = label, e, jump
+        label = written(label.join(hook.withColumnRenamed("at", "component"), [group, "component"], "left").select(group, "id", F.coalesce("to", "component").alias("component")), "labels")
+        u, v = hook.select(group, F.col("at").alias("u"), F.col("to").alias("cu")), hook.select(group, F.col("at").alias("v"), F.col("to").alias("cv"))
+        e = e.join(u, [group, "u"]).join(v, [group, "v"]).where("cu <> cv")
+        e = written(e.select(group, F.least("cu", "cv").alias("u"), F.greatest("cu", "cv").alias("v")).distinct(), "links")
+        drop(*old)
+    own = nodes.select(group, F.col(id_col).alias("id")).distinct()
+    return own.join(label, [group, "id"], "left").select(group, "id", F.coalesce("component", "id").alias("component"))
 
 
 def keepers(label: DataFrame, counts: DataFrame, group: str) -> DataFrame:
@@ -155,21 +167,30 @@ def dendrogram(nodes: DataFrame, links: DataFrame, group: str, id_col: str) -> D
     return nodes.select(group, id_col).distinct().groupBy(group).cogroup(links.groupBy(group)).applyInPandas(run, f"{group} {kind}, step int, threshold double, left array<long>, right array<long>")
 
 
-def global_duplicates(traces: DataFrame, counts: DataFrame, electrode: str, id_col: str, vec: str, threshold: float) -> DataFrame:
-    """master_id, loser_id over every pair of electrodes, pairs within either electrode compared too; losers stay in later
-    comparisons. Components are found per pair of electrodes."""
-    groups = traces.select(electrode).distinct()
-    combos = groups.select(F.col(electrode).alias("e1")).join(groups.select(F.col(electrode).alias("e2")), F.col("e1") < F.col("e2"))
-    combos = combos.select(F.concat_ws("-", "e1", "e2").alias("pair"), F.explode(F.array("e1", "e2")).alias(electrode))
-    d = edges(all_distances(traces, id_col, vec), threshold)
-    where = traces.select(id_col, electrode)
-    d = d.join(where.toDF("id_a", "ea"), "id_a").join(where.toDF("id_b", "eb"), "id_b")
-    across = d.where("ea <> eb").select(F.concat_ws("-", F.least("ea", "eb"), F.greatest("ea", "eb")).alias("pair"), "id_a", "id_b")
-    within = d.where("ea = eb").join(combos.toDF("pair", "ea"), "ea").select("pair", "id_a", "id_b")
-    links = across.unionByName(within)
+def pair_duplicates(links: DataFrame, counts: DataFrame) -> DataFrame:
+    """pair, master_id, loser_id from links (pair, id_a, id_b): of each component of a pair of electrodes the member with the
+    most events stays."""
+    links = written(links, "pair-links")
     touched = links.select("pair", F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
-    label = components(touched, links, "pair", "id")
-    kept = keepers(label, counts, "pair")
+    kept = keepers(components(touched, links, "pair", "id"), counts, "pair")
     return kept.where("id <> keeper").select("pair", F.col("keeper").alias("master_id"), F.col("id").alias("loser_id"))
 
 
+def global_duplicates(traces: DataFrame, counts: DataFrame, electrode: str, id_col: str, vec: str, threshold: float) -> DataFrame:
+    """master_id, loser_id over every pair of electrodes, pairs within either electrode compared too; losers stay in later
+    comparisons. Components are found per pair of electrodes; what an electrode links within itself alone is the same in
+    each of its pairs, so it is repeated only for the pairs that also have links across."""
+    d = written(edges(all_distances(traces, id_col, vec), threshold), "near")
+    where = traces.select(id_col, electrode)
+    d = written(d.join(where.toDF("id_a", "ea"), "id_a").join(where.toDF("id_b", "eb"), "id_b"), "near-electrodes")
+    name = lambda a, b: F.concat_ws("-", F.least(a, b), F.greatest(a, b))
+    across = d.where("ea <> eb").select(name("ea", "eb").alias("pair"), F.least("ea", "eb").alias("e1"), F.greatest("ea", "eb").alias("e2"), "id_a", "id_b")
+    within = d.where("ea = eb").select(F.col("ea").alias("e"), "id_a", "id_b")
+    met = across.select("pair", "e1", "e2").distinct()
+    ends = met.select("pair", F.explode(F.array("e1", "e2")).alias("e"))
+    mixed = pair_duplicates(across.select("pair", "id_a", "id_b").unionByName(ends.join(within, "e").select("pair", "id_a", "id_b")), counts)
+    alone = pair_duplicates(within.select(F.col("e").cast("string").alias("pair"), "id_a", "id_b"), counts).withColumn("e", F.col("pair").cast(traces.schema[electrode].dataType)).drop("pair")
+    groups = traces.select(electrode).distinct()
+    combos = groups.select(F.col(electrode).alias("e1")).join(groups.select(F.col(electrode).alias("e2")), F.col("e1") < F.col("e2"))  # the electrodes of an array, not its rows
+    rest = combos.select(F.concat_ws("-", "e1", "e2").alias("pair"), F.explode(F.array("e1", "e2")).alias("e")).join(met.select("pair"), "pair", "left_anti")
+    return mixed.unionByName(rest.join(alone, "e").select("pair", "master_id", "loser_id"))

@@ -2,61 +2,91 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship
 
 
-def windows(spikes: DataFrame, samples: DataFrame, adjacency: DataFrame, left: int, right: int) -> DataFrame:
+def windows(spikes: DataFrame, samples: DataFrame, adjacency: DataFrame, left: int, right: int, block: int = 256) -> DataFrame:
     """electrode, spike_time, neighbor, ord, pos, value: the samples around each spike on its neighbours.
 
-    Each spike asks for its sample numbers, so the join is by equality on (electrode, sample), whatever the window.
+    Samples are gathered in blocks of sample numbers, and a window asks for the blocks that it lies in, mostly one: the join
+    is by equality on (electrode, block) and its rows are windows, whatever their width; the window is cut out behind it.
     """
+    place = F.struct("sample", "value")
+    have = samples.groupBy(F.col("electrode").alias("neighbor"), F.floor(F.col("sample") / block).alias("block")).agg(F.collect_list(place).alias("held"))
     ask = spikes.select("electrode", "spike_time").join(adjacency.select("electrode", "neighbor", "ord"), "electrode")
-    ask = ask.withColumn("pos", F.explode(F.sequence(F.lit(-left), F.lit(right)))).withColumn("sample", F.col("spike_time") + F.col("pos"))
-    have = samples.select(F.col("electrode").alias("neighbor"), "sample", "value")
-    return ask.join(have, ["neighbor", "sample"]).select("electrode", "spike_time", "neighbor", "ord", "pos", "value")
+    ask = ask.withColumn("block", F.explode(F.sequence(F.floor((F.col("spike_time") - left) / block), F.floor((F.col("spike_time") + right) / block))))
+    near = F.filter("held", lambda x: (x["sample"] >= F.col("spike_time") - left) & (x["sample"] <= F.col("spike_time") + right))
+    out = ask.join(have, ["neighbor", "block"]).select("electrode", "spike_time", "neighbor", "ord", F.explode(near).alias("x"))
+    return out.select("electrode", "spike_time", "neighbor", "ord", (F.col("x.sample") - F.col("spike_time")).cast("int").alias("pos"), F.col("x.value").alias("value"))
 
 
 def spline(y: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Cubic spline through y at 0, 1, 2, ... with not-a-knot ends, evaluated at `at`."""
-    n = len(y)
+    """Cubic spline through y at 0, 1, 2, ... with not-a-knot ends, evaluated at `at`. Rows of y are curves of their own, with
+    the same `at` for all or a row each."""
+    if y.ndim == 1:
+        return spline(y[None], at)[0]
+    rows, n = y.shape
+    at = np.broadcast_to(at, (rows, at.shape[-1]))
     if n < 4:
-        return np.polyval(np.polyfit(np.arange(n), y, n - 1), at)
-    a, r = np.zeros((n, n)), np.zeros(n)
+        return np.stack([np.polyval(np.polyfit(np.arange(n), v, n - 1), t) for v, t in zip(y, at, strict=True)])
+    a, r = np.zeros((n, n)), np.zeros((n, rows))
     for i in range(1, n - 1):
         a[i, i - 1 : i + 2] = 1, 4, 1
-        r[i] = 6 * (y[i - 1] - 2 * y[i] + y[i + 1])
+    r[1:-1] = 6 * (y[:, :-2] - 2 * y[:, 1:-1] + y[:, 2:]).T
     a[0, :3] = a[-1, -3:] = 1, -2, 1  # third derivatives agree on either side of the second and last but one point
-    m = np.linalg.solve(a, r)
+    m = np.linalg.solve(a, r).T
     i = np.clip(np.floor(at).astype(int), 0, n - 2)
     t = at - i
-    return (1 - t) * y[i] + t * y[i + 1] + ((1 - t) ** 3 - (1 - t)) * m[i] / 6 + (t**3 - t) * m[i + 1] / 6
+    take = lambda v, j: np.take_along_axis(v, j, 1)
+    return (1 - t) * take(y, i) + t * take(y, i + 1) + ((1 - t) ** 3 - (1 - t)) * take(m, i) / 6 + (t**3 - t) * take(m, i + 1) / 6
 
 
-def align(wave: np.ndarray, centre: int, reach: float, pitch: float, left: int, right: int) -> np.ndarray:
-    """wave (channels x points) resampled about the lowest point of its first channel within `reach` of `centre`."""
+def align(waves: np.ndarray, centre: int, reach: float, pitch: float, left: int, right: int) -> np.ndarray:
+    """waves (events x channels x points, or those of one event) resampled about the lowest point of the first channel within
+    `reach` of `centre`."""
+    if waves.ndim == 2:
+        return align(waves[None], centre, reach, pitch, left, right)[0]
+    events, channels, points = waves.shape
     at = np.arange(centre - reach, centre + reach + pitch / 2, pitch)
-    best = at[int(np.argmin(spline(wave[0], at)))]
-    grid = best + np.arange(-left, right + 1)
-    return np.stack([spline(w, np.clip(grid, 0, len(w) - 1)) for w in wave])
+    best = at[spline(waves[:, 0], at).argmin(1)]
+    grid = np.clip(best[:, None] + np.arange(-left, right + 1), 0, points - 1)
+    return spline(waves.reshape(-1, points), np.repeat(grid, channels, 0)).reshape(events, channels, -1)
 
 
 def aligned_waveforms(windowed: DataFrame, left: int, right: int, reach: float = 1.0, pitch: float = 1 / 16) -> DataFrame:
     """electrode, spike_time, wave: each spike's channels in `ord` order, aligned below the sample grid, end to end.
-    A group is one spike's window."""
-    ship(windowed.sparkSession)
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        m = frame.pivot_table(index="ord", columns="pos", values="value", sort=True).to_numpy(float)
-        out = align(m, int(-frame["pos"].min()), reach, pitch, left, right)
-        return pd.DataFrame({"electrode": [frame["electrode"].iloc[0]], "spike_time": [frame["spike_time"].iloc[0]], "wave": [out.ravel()]})
 
+    A spike's samples are gathered by an aggregation; those of a batch that have as many channels and points are aligned
+    together. Spikes whose channels have not all the same points (at the recording's ends) are left out.
+    """
+    ship(windowed.sparkSession)
     kind = {f.name: f.dataType.simpleString() for f in windowed.schema}
-    return windowed.groupBy("electrode", "spike_time").applyInPandas(run, f"electrode {kind['electrode']}, spike_time {kind['spike_time']}, wave array<double>")
+    x = F.sort_array(F.collect_list(F.struct("ord", "pos", F.col("value").cast("double").alias("value"))))
+    whole = windowed.groupBy("electrode", "spike_time").agg(x.alias("x"), F.count_distinct("ord").alias("channels"), F.min("pos").alias("first"), F.max("pos").alias("last"))
+    whole = whole.where(F.size("x") == F.col("channels") * (F.col("last") - F.col("first") + 1))
+    rows = whole.select("electrode", "spike_time", F.col("channels").cast("int").alias("channels"), F.col("first").cast("int").alias("first"), F.transform("x", lambda v: v["value"]).alias("x"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            channels, first, values = np.asarray(batch.column(2)), np.asarray(batch.column(3)), batch.column(4)
+            size = np.diff(np.asarray(values.offsets))
+            out: list = [None] * batch.num_rows
+            for shape in set(zip(channels.tolist(), size.tolist(), first.tolist(), strict=True)):
+                at = np.flatnonzero((channels == shape[0]) & (size == shape[1]) & (first == shape[2]))
+                waves = np.asarray(values.take(pa.array(at)).flatten()).reshape(len(at), shape[0], -1)
+                for i, w in zip(at.tolist(), align(waves, -shape[2], reach, pitch, left, right).reshape(len(at), -1), strict=True):
+                    out[i] = w
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.float64()))], ["electrode", "spike_time", "wave"])
+
+    return rows.mapInArrow(run, f"electrode {kind['electrode']}, spike_time {kind['spike_time']}, wave array<double>")
 
 
 def moments(waves: DataFrame, key: str, wave: str) -> DataFrame:

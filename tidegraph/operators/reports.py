@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import keyed_hash
+
 
 def contamination(trains: DataFrame, tau: float, n_samples: Column | float, key: str = "neuron_id", time: str = "spike_time") -> DataFrame:
     """key, n, violations, contamination = v n_samples / (tau n^2) with v intervals in (0, tau]; 0 below two events."""
@@ -88,11 +90,17 @@ def triggered_average(events: DataFrame, frames: DataFrame, depth: int, offset:
 
 
 def split_by_interval(events: DataFrame, lengths: DataFrame, time: str = "spike_time") -> DataFrame:
-    """events cut at the datasets' ends (dataset, ord, length) and rebased to their own starts; nothing outside stays."""
-    run = Window.partitionBy().orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
-    ends = lengths.withColumn("start", F.coalesce(F.sum("length").over(run), F.lit(0))).withColumn("stop", F.col("start") + F.col("length"))
-    d = events.join(ends.select("dataset", "start", "stop"), (F.col(time) >= F.col("start")) & (F.col(time) < F.col("stop")))
-    return d.withColumn(time, F.col(time) - F.col("start")).drop("start", "stop")
+    """events cut at the datasets' ends (dataset, ord, length) and rebased to their own starts; nothing outside stays.
+
+    The time line is cut into as many bins as there are datasets; an event has one bin and a dataset the bins that it
+    touches, three a dataset on average, so the join is by equality however many datasets there are."""
+    run = Window.partitionBy().orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)  # a row a dataset
+    ends = lengths.where("length > 0").withColumn("start", F.coalesce(F.sum("length").over(run), F.lit(0))).withColumn("stop", F.col("start") + F.col("length"))
+    ends = ends.withColumn("width", F.greatest(F.lit(1), F.ceil(F.avg("length").over(Window.partitionBy())))).select("dataset", "start", "stop", "width")
+    width = ends.agg(F.coalesce(F.max("width"), F.lit(1))).collect()[0][0]
+    slots = ends.withColumn("slot", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((F.col("stop") - 1) / width)))).drop("width")
+    d = events.withColumn("slot", F.floor(F.col(time) / width)).join(slots, "slot").where((F.col(time) >= F.col("start")) & (F.col(time) < F.col("stop")))
+    return d.withColumn(time, F.col(time) - F.col("start")).drop("start", "stop", "slot")
 
 
 def concat_with_offsets(events: DataFrame, lengths: DataFrame, time: str = "spike_time") -> DataFrame:
@@ -106,7 +114,7 @@ def display_sample(points: DataFrame, group: str, clust: str, id_col: str, most:
     """floor(f n) rows of each cluster, f = min(1, most / rows of the group), the same for the same seed."""
     total = F.count(F.lit(1)).over(Window.partitionBy(group))
     n = F.count(F.lit(1)).over(Window.partitionBy(group, clust))
-    nth = F.row_number().over(Window.partitionBy(group, clust).orderBy(F.xxhash64(F.lit(seed), id_col), id_col))
+    nth = F.row_number().over(Window.partitionBy(group, clust).orderBy(keyed_hash(seed, F.col(id_col)), id_col))
     d = points.withColumn("total", total).withColumn("n", n).withColumn("nth", nth)
     return d.where(F.col("nth") <= F.floor(F.least(F.lit(1.0), F.lit(float(most)) / F.col("total")) * F.col("n"))).drop("total", "n", "nth")
 

@@ -1,16 +1,43 @@
-"""Tables written between the steps of iterative operators."""
+"""Tables written between the steps of iterative operators, and keyed hashes that do not depend on the engine."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
-    """df through a Parquet table in the folder of spark.checkpoint.dir (or, where unset, the warehouse): cuts the lineage."""
-    spark: SparkSession = df.sparkSession
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A path of its own in the folder of spark.checkpoint.dir (or, where unset, the warehouse). What is written there goes
+    when the application ends."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_tables"
     path = f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """df through a Parquet table in a scratch path: cuts the lineage."""
+    spark: SparkSession = df.sparkSession
+    path = scratch(spark, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._table = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Deletes tables that written() gave and that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "_table", None):
+            spark = df.sparkSession
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def keyed_hash(*parts: Column | int | str) -> Column:
+    """32 bits of the MD5 of the parts as text, joined by '|': any engine gives the same."""
+    text = F.concat_ws("|", *[p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
