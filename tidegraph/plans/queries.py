@@ -1,5 +1,6 @@
-"""Each query applies an operator to whole tables. A channel is a user of `events`, its sample number the place in time; an
-image or point is an embedding, its electrode the label; trains come from `lineitem`, event counts from `orders`."""
+"""Each query applies an operator to whole tables. A channel is a user of `events`, its sample number the place in time; a
+point is an embedding, its channel the label; a neuron is an embedding too, its electrode by the codec of ids (fifteen an
+electrode), its image cut from the vector; trains come from `lineitem`, event counts from `orders`."""
 
 from __future__ import annotations
 
@@ -11,13 +12,16 @@ from pyspark.sql import functions as F
 
 from ..functions import STATUS, cluster_of, electrode_of, l2_normalise, neuron_id, pretty, rate, status_label, to_double
 from ..operators import clustering, compare, detection, editing, graph, linear, reports
-from ..sources import recordings, stages
+from ..operators import images as imaging
+from ..operators.tables import scratch, written
+from ..sources import recordings, settings, stages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 # What gives results that are not trivial on these tables.
 MAX_WIDTH, MIN_GAP, ALPHA, HEAD = 3, 3, 0.2, 10
-LINK = 1.4
+LINK = 1.6
+WITHIN, ACROSS = 1.1, 1.0  # of normalised traces
 AUTO = [editing.Action("AUTO_RM", ids=[2, 16]), editing.Action("AUTO_MERGE", master_id=3, ids=[1, 5]), editing.Action("AUTO_RM_DUP", master_id=3, ids=[17, 4]), editing.Action("AUTO_MERGE", master_id=2, ids=[7, 8])]
 MANUAL = [editing.Action("KEEP", ids=[16]), editing.Action("MERGE", ids=[1, 2]), editing.Action("DELETE", ids=[4]), editing.Action("CONSOLIDATE"), editing.Action("MERGE", ids=[5, 7])]
 BASIS = [(1, [1.0, 0.5, -0.5, 0.25, 0.0, 0.0, 1.0, -1.0]), (2, [0.0, 1.0, 1.0, -1.0, 0.5, -0.5, 0.0, 0.25])]  # repeated along the vector
@@ -61,6 +65,11 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(F.col("label").alias("electrode"), F.col("vec_id").alias("id"), to_double(F.col("embedding")).alias("v"))
 
 
+def neurons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as neurons, fifteen an electrode."""
+    return table(spark, sf_dir, "embeddings").select(electrode_of(F.col("vec_id") + 1).alias("electrode"), F.col("vec_id").alias("id"), to_double(F.col("embedding")).alias("v"))
+
+
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of neuron id: orders of customer id + 1."""
     return table(spark, sf_dir, "orders").groupBy((F.col("o_custkey") - 1).alias("id")).agg(F.count(F.lit(1)).alias("n"))
@@ -114,13 +123,13 @@ def noise_floor_converged(spark, sf_dir):
 
 @query
 def dc_initial_mean(spark, sf_dir):
-    return rounded(detection.first_mean(channels(spark, sf_dir), HEAD), "start_mean")
+    return rounded(detection.first_mean(channels(spark, sf_dir), HEAD, short="drop"), "start_mean")
 
 
 @query
 def dc_removal_ema(spark, sf_dir):
     c = channels(spark, sf_dir).select("electrode", "sample", "value")
-    return rounded(detection.remove_drift(c, detection.first_mean(c, HEAD), ALPHA, block=16), "drift", "filtered")
+    return rounded(detection.remove_drift(c, detection.first_mean(c, HEAD, short="drop"), ALPHA, block=16), "drift", "filtered")
 
 
 @query
@@ -179,25 +188,29 @@ def random_noise_events(spark, sf_dir):
 
 @query
 def stream_detect_equals_batch(spark, sf_dir):
-    """The streaming step folded over each channel in pieces of seven samples."""
-    from ..session import ship
-    from ..streaming import scan_state
-    from ..streaming.detector import EMPTY
+    """The streaming detector over files that follow one another in time, a file a micro-batch, into a Parquet sink."""
+    from ..streaming import detect_stream
 
-    ship(spark)
     s, lim = upright(spark, sf_dir)
+    rows, folder = written(s.join(lim, "electrode"), "stream-rows"), scratch(spark, "stream")
+    step = max(1, -(-rows.agg(F.max("sample") + 1).collect()[0][0] // 3))
+    for i in range(3):
+        rows.where(F.floor(F.col("sample") / step) == i).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    found = detect_stream(stream, max_width=MAX_WIDTH, min_gap=MIN_GAP)
+    run = found.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return rounded(spark.read.schema(found.schema).parquet(f"{folder}/out"), "amplitude", digits=9)
 
-    def run(frame):
-        import pandas as pd
-
-        d = frame.sort_values("sample")
-        rows, state, found = list(zip(d["sample"].tolist(), d["value"].tolist())), EMPTY, []
-        for at in range(0, len(rows), 7):
-            state, new = scan_state(state, rows[at : at + 7], float(d["threshold"].iloc[0]), MAX_WIDTH, MIN_GAP)
-            found += new
-        return pd.DataFrame([(d["electrode"].iloc[0], *f) for f in found], columns=["electrode", "spike_time", "width", "amplitude"])
 
-    return rounded(s.join(lim, "electrode").groupBy("electrode").applyInPandas(run, "electrode long, spike_time long, width long, amplitude double"), "amplitude", digits=9)
+@query
+def spikes_in_order(spark, sf_dir):
+    """The events of all channels with their places in the one order by time, which the sink's files follow."""
+    d = detection.in_order(spikes(spark, sf_dir).select("spike_time", "electrode"))
+    d = written(d.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("nth")), "in-order")
+    before = Window.partitionBy().orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a file
+    sizes = d.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    return d.join(sizes, "part").select((F.col("base") + F.col("nth")).alias("place"), "spike_time", "electrode")
 
 
 # -------------------------------------------------------------------------------------- waveforms, linear algebra
@@ -253,6 +266,14 @@ def eigenvalues_top5(spark, sf_dir):
     return rounded(_axes(spark, sf_dir).select("electrode", "rank", "eigenvalue"), "eigenvalue")
 
 
+@query
+def eigen_invariants(spark, sf_dir):
+    """Sum and sum of squares of all eigenvalues, which SQL knows as the trace and the sum of squares of the covariance."""
+    c = linear.covariance(linear.moments(points(spark, sf_dir), "electrode", "v"), "electrode")
+    e = linear.eigen(c, "electrode", 10**6)
+    return rounded(e.groupBy("electrode").agg(F.sum("eigenvalue").alias("trace"), F.sum(F.col("eigenvalue") * F.col("eigenvalue")).alias("squares")), "trace", "squares")
+
+
 @query
 def whitened_covariance(spark, sf_dir):
     c = linear.covariance(linear.moments(points(spark, sf_dir), "electrode", "v"), "electrode")
@@ -267,6 +288,16 @@ def pc_project(spark, sf_dir):
     return rounded(linear.project(p, m, _axes(spark, sf_dir), "electrode", "id", "v"), "score")
 
 
+@query
+def pc_energy(spark, sf_dir):
+    """Squared scores on all axes, which is each point's squared distance from its channel's mean."""
+    p = points(spark, sf_dir)
+    c = linear.covariance(linear.moments(p, "electrode", "v"), "electrode")
+    m = linear.mean_wave(p, "electrode", "v").groupBy("electrode").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "mean"))), lambda x: x["mean"]).alias("mean"))
+    d = linear.project(p, m, linear.eigen(c, "electrode", 10**6), "electrode", "id", "v")
+    return rounded(d.groupBy("electrode", "id").agg(F.sum(F.col("score") * F.col("score")).alias("energy")), "energy")
+
+
 @query
 def pc_project_fixed_basis(spark, sf_dir):
     p = points(spark, sf_dir)
@@ -287,14 +318,14 @@ def l2_normalize(spark, sf_dir):
 
 @query
 def pairwise_l2(spark, sf_dir):
-    return rounded(graph.distances(points(spark, sf_dir), "electrode", "id", "v"), "d2")
+    return rounded(graph.distances(neurons(spark, sf_dir), "electrode", "id", "v"), "d2")
 
 
 @query
 def neighbor_pairs_l2(spark, sf_dir):
-    e = points(spark, sf_dir).select("electrode").distinct()
+    e = neurons(spark, sf_dir).select("electrode").distinct()
     adjacency = e.select("electrode", F.explode(F.array(F.col("electrode") - 1, F.col("electrode") + 1)).alias("neighbor"))
-    return rounded(graph.neighbour_distances(points(spark, sf_dir), adjacency, "electrode", "id", "v"), "d2")
+    return rounded(graph.neighbour_distances(neurons(spark, sf_dir), adjacency, "electrode", "id", "v"), "d2")
 
 
 @query
@@ -371,30 +402,45 @@ def gmm_bic(spark, sf_dir):
 
 
 def _links(spark, sf_dir):
-    return graph.edges(graph.distances(points(spark, sf_dir), "electrode", "id", "v"), LINK)
+    return graph.edges(graph.distances(neurons(spark, sf_dir), "electrode", "id", "v"), LINK)
 
 
 def _kept(spark, sf_dir):
-    return graph.keepers(graph.components(points(spark, sf_dir), _links(spark, sf_dir), "electrode", "id"), counts(spark, sf_dir), "electrode")
+    return graph.keepers(graph.components(neurons(spark, sf_dir), _links(spark, sf_dir), "electrode", "id"), counts(spark, sf_dir), "electrode")
 
 
 @query
 def merge_components(spark, sf_dir):
-    return graph.components(points(spark, sf_dir), _links(spark, sf_dir), "electrode", "id")
+    return graph.components(neurons(spark, sf_dir), _links(spark, sf_dir), "electrode", "id")
 
 
 @query
 def final_forest(spark, sf_dir):
-    c = graph.components(points(spark, sf_dir), _links(spark, sf_dir), "electrode", "id")
+    c = graph.components(neurons(spark, sf_dir), _links(spark, sf_dir), "electrode", "id")
     return c.groupBy("electrode", "component").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
 
 
 @query
 def merge_dendrogram(spark, sf_dir):
-    d = graph.dendrogram(points(spark, sf_dir), _links(spark, sf_dir), "electrode", "id")
+    d = graph.dendrogram(neurons(spark, sf_dir), _links(spark, sf_dir), "electrode", "id")
     return rounded(d.select("electrode", "step", "threshold", F.array_join("left", ",").alias("left_ids"), F.array_join("right", ",").alias("right_ids")), "threshold")
 
 
+@query
+def dendrogram_cut(spark, sf_dir):
+    """The merge tree cut below 1.5: merges under it, linked by the smallest members of what they join."""
+    d = graph.dendrogram(neurons(spark, sf_dir), _links(spark, sf_dir), "electrode", "id").where("threshold < 1.5")
+    links = d.select("electrode", F.col("left")[0].alias("id_a"), F.col("right")[0].alias("id_b"))
+    return graph.components(neurons(spark, sf_dir), links, "electrode", "id")
+
+
+@query
+def dendrogram_sizes(spark, sf_dir):
+    """Merges of each electrode, and how many neurons the largest tree holds."""
+    d = graph.dendrogram(neurons(spark, sf_dir), _links(spark, sf_dir), "electrode", "id")
+    return d.groupBy("electrode").agg(F.count(F.lit(1)).alias("merges"), F.max(F.size("left") + F.size("right")).cast("long").alias("largest"))
+
+
 @query
 def component_keeper(spark, sf_dir):
     return _kept(spark, sf_dir).select("electrode", "id", "component", "n", "keeper")
@@ -464,9 +510,15 @@ def pretty_print(spark, sf_dir):
 
 @query
 def cluster_report(spark, sf_dir):
-    n = table(spark, sf_dir, "orders").groupBy((F.col("o_custkey")).cast("int").alias("neuron_id")).agg(F.count(F.lit(1)).alias("n_spikes"))
-    d = n.join(_statuses(spark), "neuron_id", "left").select("neuron_id", status_label(F.coalesce("code", F.lit(0)), F.col("master_id")).alias("status"), "n_spikes", F.round(rate(F.col("n_spikes"), F.lit(36_000_000.0)), 6).alias("hz"))
-    return d.orderBy(F.desc("n_spikes"), "neuron_id")
+    """What the cluster table shows: id, colour rank, whether displayed, status, events, rate, contamination, classification."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("int").alias("neuron_id"), F.col("o_orderkey").alias("spike_time"))
+    labels = stages.parse_labels(spark.createDataFrame([(s,) for s in LABELS], "value string"))
+    stats = reports.contamination(o, 500.0, 36_000_000.0)
+    d = stats.join(_statuses(spark), "neuron_id", "left").withColumn("code", F.coalesce("code", F.lit(0)))
+    d = reports.colour_ranks(d.withColumn("g", electrode_of(F.col("neuron_id"))), "g").drop("g")
+    d = stages.label_neurons(d, labels)
+    d = d.select("neuron_id", "hue", (~F.col("code").isin(1, -2)).alias("displayed"), status_label(F.col("code"), F.col("master_id")).alias("status"), F.col("n").alias("n_spikes"), rate(F.col("n"), F.lit(36_000_000.0)).alias("hz"), "contamination", "label")
+    return rounded(d, "hue", "hz", "contamination").orderBy(F.desc("n_spikes"), "neuron_id")
 
 
 @query
@@ -513,6 +565,77 @@ def auto_dry_run(spark, sf_dir):
     return spark.createDataFrame([(i, c, m) for i, (c, m) in sorted(s.items())], "neuron_id int, code int, master_id int")
 
 
+def _edit_store(spark, sf_dir):
+    """A log saved and consolidated twice, the second time with what was added since."""
+    raw = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") % 20 + 1).cast("int").alias("neuron_id"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("spike_time"))
+    store = editing.Store(spark, scratch(spark, "edits"))
+    for a in MANUAL[:3]:
+        store.add(a)
+    store.save()
+    store.consolidate(raw)
+    store.add(MANUAL[4])
+    store.add(editing.Action("DELETE", ids=[11]))
+    store.undo()
+    store.save()
+    store.consolidate(raw)
+    return store
+
+
+@query
+def edit_log(spark, sf_dir):
+    return _edit_store(spark, sf_dir).log().select("seq", "action", F.array_join("ids", ",").alias("ids"))
+
+
+@query
+def consolidated_neurons(spark, sf_dir):
+    d = _edit_store(spark, sf_dir).neurons()
+    return d.groupBy("neuron_id").agg(F.count(F.lit(1)).alias("n"), F.min("spike_time").alias("first"), F.max("spike_time").alias("last"))
+
+
+@query
+def replay_trains(spark, sf_dir):
+    """SHRINK and RECLUSTER with the events that they gave, then a merge and a removal on top."""
+    line, key = F.col("l_linenumber"), (F.col("l_orderkey") % 20 + 1).cast("int")
+    rows = table(spark, sf_dir, "lineitem").select(key.alias("neuron_id"), (F.col("l_orderkey") * 8 + line).alias("spike_time"), line.alias("line"))
+    shrunk = rows.where("neuron_id = 3").select(F.lit(1).alias("seq"), F.when(F.col("line") <= 4, 3).otherwise(21).alias("neuron_id"), "spike_time", "line")
+    again = rows.where("neuron_id in (6, 9)").select(F.lit(2).alias("seq"), F.when(F.col("line") % 2 == 1, 6).otherwise(22).alias("neuron_id"), "spike_time", "line")
+    actions = [editing.Action("SHRINK", [3], frac=0.8, contam=0.1, new_ids=[21]), editing.Action("RECLUSTER", [6, 9], n_clusters=2, config_tag="", new_ids=[6, 22]), editing.Action("MERGE", [1, 6]), editing.Action("DELETE", [8])]
+    out = editing.replay(rows, actions, shrunk.unionByName(again))
+    return out.groupBy("neuron_id").agg(F.count(F.lit(1)).alias("n"), F.sum("spike_time").alias("total"), F.max("line").alias("line"))
+
+
+@query
+def merged_trains(spark, sf_dir):
+    """Trains of customers, two of each ten merged into the first, as arrays in order; with their places by id."""
+    o = table(spark, sf_dir, "orders").select(F.when(F.col("o_custkey") % 10 == 1, F.col("o_custkey") - 1).otherwise(F.col("o_custkey")).alias("neuron_id"), F.col("o_orderkey").alias("spike_time"))
+    return editing.merged_trains(o).select("neuron_id", "n", F.array_join("times", ",").alias("times"))
+
+
+def _supplier_trains(spark, sf_dir):
+    """Trains and projections by supplier; one projection a time."""
+    d = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("electrode"), F.col("l_linenumber").cast("int").alias("neuron_id"), F.col("l_orderkey").alias("spike_time"), "l_quantity", "l_discount")
+    prj = d.where("l_quantity > 10").groupBy("electrode", "spike_time").agg(F.min("l_quantity").cast("double").alias("q"), F.max("l_discount").cast("double").alias("d"))
+    return d.select("electrode", "neuron_id", "spike_time").distinct(), prj.select("electrode", "spike_time", F.array("q", "d").alias("pc"))
+
+
+@query
+def train_projections(spark, sf_dir):
+    d = editing.train_projections(*_supplier_trains(spark, sf_dir))
+    return d.select("electrode", "neuron_id", "spike_time", F.col("pc")[0].alias("pc1"), F.col("pc")[1].alias("pc2"))
+
+
+@query
+def preview_electrode(spark, sf_dir):
+    """Merge, delete and recluster on one electrode, one step undone."""
+    view = editing.Preview(*_supplier_trains(spark, sf_dir), electrode=3, n_samples=1e6, tau=500)
+    view.apply(editing.Action("MERGE", [1, 2]))
+    view.apply(editing.Action("DELETE", [5]))
+    view.undo()
+    view.apply(editing.Action("DELETE", [7]))
+    view.apply(editing.Action("RECLUSTER", [3, 4], n_clusters=2, config_tag=""), lambda e: e.withColumn("clust", F.when(F.col("pc")[0] > 30, 1).otherwise(2)))
+    return rounded(view.report(), "contamination")
+
+
 def _log(spark):
     rows = [(i + 1, a.action, a.ids) for i, a in enumerate(MANUAL)]
     return spark.createDataFrame(rows, "seq int, action string, ids array<int>")
@@ -694,6 +817,280 @@ def electrode_pools(spark, sf_dir):
     return spark.createDataFrame([(i + 1, p.start, p.stop - 1) for i, p in enumerate(reports.pools(n, 12))], "pool long, first long, last long")
 
 
+# ------------------------------------------------------------------------------- images and their neighbourhoods
+
+
+def _line(spark, sf_dir):
+    """Electrodes on a line, each with those next to it."""
+    e = neurons(spark, sf_dir).select("electrode").distinct()
+    return e.select("electrode", F.explode(F.array(F.col("electrode") - 1, F.col("electrode"), F.col("electrode") + 1)).alias("neighbor"))
+
+
+def _images(spark, sf_dir):
+    """Eight samples on each of eight electrodes about a neuron's own."""
+    cut = lambda j: F.struct((F.col("electrode") + j - 4).alias("at"), F.slice("v", 8 * j + 1, 8).alias("wave"))
+    d = neurons(spark, sf_dir).select(F.col("id").alias("neuron_id"), F.explode(F.array(*[cut(j) for j in range(8)])).alias("x"))
+    return d.select("neuron_id", F.col("x.at").alias("electrode"), "x.wave")
+
+
+def _homes(spark, sf_dir):
+    return neurons(spark, sf_dir).select(F.col("id").alias("neuron_id"), "electrode")
+
+
+def _trace_pairs(spark, sf_dir, over):
+    pairs = imaging.electrode_pairs(_line(spark, sf_dir), over, adjacent_only=True)
+    t = imaging.pair_traces(_images(spark, sf_dir), _homes(spark, sf_dir), pairs)
+    return rounded(imaging.trace_distances(t, "pair"), "d2")
+
+
+@query
+def traces_union(spark, sf_dir):
+    return _trace_pairs(spark, sf_dir, "union")
+
+
+@query
+def traces_intersection(spark, sf_dir):
+    return _trace_pairs(spark, sf_dir, "intersection")
+
+
+@query
+def neighbourhood_sets(spark, sf_dir):
+    """Electrodes that the traces of each pair within ten of each other go over, by union and by intersection."""
+    both = [imaging.electrode_pairs(_line(spark, sf_dir), o).where("e2 - e1 <= 10").select("e1", "e2", F.lit(o).alias("over"), F.array_join("electrodes", ",").alias("electrodes")) for o in ("union", "intersection")]
+    return both[0].unionByName(both[1])
+
+
+@query
+def merge_by_images(spark, sf_dir):
+    d = imaging.merge_within(_images(spark, sf_dir), _homes(spark, sf_dir), _line(spark, sf_dir), counts(spark, sf_dir), WITHIN)
+    return d.select("electrode", "action", "master_id", F.array_join("ids", ",").alias("ids"))
+
+
+@query
+def discard_by_images(spark, sf_dir):
+    return imaging.discard_across(_images(spark, sf_dir), _homes(spark, sf_dir), _line(spark, sf_dir), counts(spark, sf_dir), ACROSS, "union", True)
+
+
+@query
+def realigned_images(spark, sf_dir):
+    d = imaging.realigned(neurons(spark, sf_dir).select(F.col("id").alias("neuron_id"), "electrode", F.col("v").alias("wave")))
+    return d.select("neuron_id", "electrode", F.transform("wave", lambda x: F.round(x, 6)).alias("wave"))
+
+
+@query
+def merged_images(spark, sf_dir):
+    """Images of two datasets, the second twice as large, averaged by events; some neurons are in one only."""
+    own = _images(spark, sf_dir)
+    one = own.where("neuron_id % 5 <> 0").withColumn("n", F.col("neuron_id") % 7 + 1)
+    two = own.where("neuron_id % 3 <> 0").withColumn("n", F.col("neuron_id") % 4 + 1).withColumn("wave", F.transform("wave", lambda x: 2 * x))
+    d = imaging.merge_images(one.unionByName(two)).select("neuron_id", "electrode", "n", F.posexplode("wave").alias("i", "x"))
+    return rounded(d, "x")
+
+
+@query
+def clean_datasets(spark, sf_dir):
+    """Cleaning of two datasets on one time line: trains of orders by customer, images of embeddings."""
+    o = table(spark, sf_dir, "orders").select((F.col("o_custkey") - 1).alias("neuron_id"), F.col("o_orderkey").alias("spike_time"))
+    t = o.join(neurons(spark, sf_dir).select(F.col("id").alias("neuron_id")), "neuron_id", "left_semi")
+    end = table(spark, sf_dir, "orders").agg(F.max("o_orderkey").alias("end"))
+    lengths = end.select(F.explode(F.array(F.struct(F.lit("a").alias("dataset"), F.lit(1).alias("ord"), F.floor(F.col("end") / 2).alias("length")), F.struct(F.lit("b").alias("dataset"), F.lit(2).alias("ord"), (F.col("end") + 1 - F.floor(F.col("end") / 2)).alias("length")))).alias("x")).select("x.*")
+    own = _images(spark, sf_dir)
+    images = own.withColumn("n", F.lit(2)).withColumn("dataset", F.lit("a")).unionByName(own.withColumn("n", F.lit(1)).withColumn("dataset", F.lit("b")))
+    d = imaging.clean_datasets(t, lengths, images, _line(spark, sf_dir), _homes(spark, sf_dir), 2, 100.0, 4.0, WITHIN, ACROSS)
+    return d.groupBy("dataset", "neuron_id").agg(F.count(F.lit(1)).alias("n"), F.sum("spike_time").alias("total"))
+
+
+# -------------------------------------------------------------------------------------- recordings and stage tables
+
+
+@query
+def open_recording(spark, sf_dir):
+    """Seconds 10 to 20 of a recording at 1 Hz, read back from its blocks, without what its header says is disconnected."""
+    path = scratch(spark, "recording")
+    recordings.write_recording(channels(spark, sf_dir).select(F.lit("run").alias("dataset"), "electrode", "sample", "value"), path, 1, (1, 4), size=8)
+    r = recordings.Recording(spark, path, "run(10-20)")
+    return rounded(r.scan(connected=True).select("electrode", "sample", "value"), "value", digits=4)
+
+
+@query
+def recording_header(spark, sf_dir):
+    path = scratch(spark, "recording")
+    recordings.write_recording(channels(spark, sf_dir).select(F.lit("run").alias("dataset"), "electrode", "sample", "value"), path, 1, (1, 4))
+    r = recordings.Recording(spark, path, "run(3-)")
+    return spark.createDataFrame([(r.header["dataset"], r.n_electrodes, r.start, r.stop, len(r.disconnected))], "dataset string, electrodes int, start long, stop long, disconnected int")
+
+
+def _grid(spark, sf_dir):
+    """Suppliers on a grid ten wide."""
+    k = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(k.alias("electrode"), (k % 10).cast("double").alias("x"), F.floor(k / 10).cast("double").alias("y"))
+
+
+@query
+def adjacency_usage(spark, sf_dir):
+    both = [recordings.adjacency(_grid(spark, sf_dir), u).withColumn("usage", F.lit(u)) for u in (0, 1, 2)]
+    return both[0].unionByName(both[1]).unionByName(both[2]).select("usage", "electrode", "neighbor", "ord")
+
+
+@query
+def adjacency_degrees(spark, sf_dir):
+    return recordings.degrees(recordings.adjacency(_grid(spark, sf_dir), 2))
+
+
+def _spike_stage(spark, sf_dir, partition_by=None):
+    st = stages.Stages(spark, scratch(spark, "stages"))
+    st.run("run-spikes", lambda: spikes(spark, sf_dir), partition_by=partition_by)
+    return st
+
+
+@query
+def stage_load(spark, sf_dir):
+    return rounded(_spike_stage(spark, sf_dir).load("run-spikes"), "amplitude", digits=9)
+
+
+@query
+def stage_columns(spark, sf_dir):
+    return _spike_stage(spark, sf_dir).load("run-spikes", "electrode", "spike_time")
+
+
+@query
+def stage_electrode(spark, sf_dir):
+    """One electrode's folder of a table that is kept by electrode."""
+    d = _spike_stage(spark, sf_dir, "electrode").load("run-spikes", where=F.col("electrode") == 5)
+    return rounded(d.select(F.col("electrode").cast("long").alias("electrode"), "spike_time", "width", "amplitude"), "amplitude", digits=9)
+
+
+@query
+def stage_cells(spark, sf_dir):
+    """Some electrodes' rows, the bound reaching the files."""
+    return _spike_stage(spark, sf_dir).load("run-spikes", "electrode", "spike_time", where=F.col("electrode").isin(2, 3, 7))
+
+
+@query
+def stage_discovery(spark, sf_dir):
+    st = _spike_stage(spark, sf_dir)
+    st.run("run-edited", lambda: spikes(spark, sf_dir).limit(0))
+    rows = []
+    for pattern in ("*-spikes", "*-neurons", "run-*"):
+        try:
+            found = st.find(pattern)
+            rows.append((pattern, found and found.rstrip("/").rsplit("/", 1)[1]))
+        except ValueError:
+            rows.append((pattern, "several"))
+    return spark.createDataFrame(rows, "pattern string, found string")
+
+
+@query
+def noise_file(spark, sf_dir):
+    """Noise of each channel written as lines, read back by place."""
+    nth = Window.partitionBy().orderBy("e")  # a row a channel
+    sigma = channels(spark, sf_dir).groupBy(F.col("electrode").alias("e")).agg(F.stddev_samp("value").alias("sigma"))
+    d = written(sigma.select(F.row_number().over(nth).alias("electrode"), F.round("sigma", 6).alias("sigma")), "sigma")
+    path = scratch(spark, "noise")
+    stages.write_noise(d, path)
+    return stages.read_noise(spark, path, d.count())
+
+
+@query
+def dataset_list(spark, sf_dir):
+    path = scratch(spark, "list")
+    spark.createDataFrame([(s,) for s in ["", *DATASETS, "  "]], "value string").coalesce(1).write.text(path)
+    return stages.read_lines(spark, path).select(*recordings.dataset_columns(F.col("line")))
+
+
+@query
+def spikes_stage(spark, sf_dir):
+    c, path = channels(spark, sf_dir), scratch(spark, "spikes")
+    edges = detection.trigger_edges(c, F.col("event_type") == "error")
+    stages.spikes_stage(spikes(spark, sf_dir), edges, c.agg(F.max("sample") + 1).collect()[0][0]).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query
+def covariance_stage(spark, sf_dir):
+    """Means, counts and variances of a stage, written and read."""
+    st, p = stages.Stages(spark, scratch(spark, "stages")), points(spark, sf_dir)
+    st.run("run-cov", lambda: linear.covariance(linear.moments(p, "electrode", "v"), "electrode"), partition_by="electrode")
+    st.run("run-mean", lambda: linear.mean_wave(p, "electrode", "v"))
+    c = st.load("run-cov", where=F.col("i") == F.col("j")).select(F.col("electrode").cast("int").alias("electrode"), "i", "cov")
+    return rounded(st.load("run-mean").join(c, ["electrode", "i"]), "mean", "cov")
+
+
+@query
+def model_stage(spark, sf_dir):
+    st = stages.Stages(spark, scratch(spark, "stages"))
+    p = points(spark, sf_dir).withColumn("clust", (F.col("id") % 3).cast("int"))
+    st.run("run-model", lambda: clustering.cluster_stats(p, "electrode", "clust", "v"))
+    return rounded(st.load("run-model", "electrode", "clust", "i", "centroid", "n"), "centroid")
+
+
+@query
+def action_stack(spark, sf_dir):
+    """Automatic actions of a run: removals first, then merges, as one table."""
+    st = stages.Stages(spark, scratch(spark, "stages"))
+    n = neurons(spark, sf_dir).select("electrode", "id").join(counts(spark, sf_dir), "id", "left").where(F.coalesce("n", F.lit(0)) < 5)
+    gone = n.groupBy("electrode").agg(F.array_sort(F.collect_list("id")).alias("ids")).select("electrode", F.lit("AUTO_RM").alias("action"), F.lit(None).cast("long").alias("master_id"), "ids")
+    st.run("run-clean", lambda: gone.unionByName(graph.merge_actions(_kept(spark, sf_dir), "electrode").select("electrode", "action", "master_id", "ids")))
+    return st.load("run-clean").select("electrode", "action", "master_id", F.array_join("ids", ",").alias("ids"))
+
+
+@query
+def label_rewrite(spark, sf_dir):
+    """Labels are rewritten beside the one classification that there was."""
+    folder = scratch(spark, "labels")
+    spark.createDataFrame([(s,) for s in LABELS], "value string").coalesce(1).write.text(f"{folder}/run.classification")
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("neuron_id"), F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit("Edited/"), F.col("n_name"))).otherwise(F.lit("")).alias("label"))
+    return stages.parse_labels(spark.read.text(stages.rewrite_labels(spark, n, folder)))
+
+
+@query
+def neuron_reader(spark, sf_dir):
+    path = scratch(spark, "neurons")
+    export_neurons(spark, sf_dir).write.parquet(path)
+    return stages.read_neurons(spark, path).select("neuron_id", "electrode", "n", F.array_join("times", ",").alias("times"))
+
+
+@query
+def image_reader(spark, sf_dir):
+    """Images appended in two goes, a mean and an error plane; the mean of each is read."""
+    path, own = scratch(spark, "images"), _images(spark, sf_dir).withColumn("n", F.col("neuron_id") % 5 + 1)
+    stages.append_images(own.where("neuron_id % 2 = 0").withColumn("plane", F.lit(0)), path)
+    stages.append_images(own.where("neuron_id % 2 = 1").withColumn("plane", F.lit(0)).unionByName(own.withColumn("plane", F.lit(1)).withColumn("wave", F.transform("wave", lambda x: x * 0))), path)
+    return rounded(stages.read_images(spark, path).select("neuron_id", "n", "electrode", F.posexplode("wave").alias("i", "x")), "x")
+
+
+@query
+def export_projections(spark, sf_dir):
+    p = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("electrode"), F.when(F.col("n_regionkey") > 0, F.array("n_nationkey", "n_regionkey")).otherwise(F.array().cast("array<int>")).alias("pc"))
+    path = scratch(spark, "projections")
+    stages.export_projections(p).write.parquet(path)
+    return spark.read.parquet(path).select("electrode", F.array_join("pc", ",").alias("pc"))
+
+
+@query
+def selected_copy(spark, sf_dir):
+    path, n = scratch(spark, "copy"), table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).cast("int").alias("neuron_id"), F.col("o_orderkey").alias("spike_time"))
+    ids = spark.createDataFrame([(i,) for i in (1, 5, 9, 9, 99)], "neuron_id int")
+    stages.copy_selected(n, ids, path, raw=n.where("neuron_id < 9"))
+    return spark.read.parquet(path)
+
+
+@query
+def nearest_model(spark, sf_dir):
+    p = points(spark, sf_dir).withColumn("clust", (F.col("id") % 3).cast("int"))
+    s = clustering.cluster_stats(p, "electrode", "clust", "v")
+    arr = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("i", c))), lambda x: x[c])
+    m = s.groupBy("electrode", "clust").agg(arr("centroid").alias("centroid"), arr("variance").alias("variance"), F.max("mix_frac").alias("mix_frac"))
+    return stages.nearest_model(p.select("electrode", F.col("id").alias("spike_time"), F.col("v").alias("pc")), m)
+
+
+@query
+def settings_tags(spark, sf_dir):
+    tags = ["", *settings.TAGS]
+    rows = [(t, *(getattr(settings.settings(*[t] * bool(t)), f) for f in ("buffer_size", "landmarks", "retries", "min_spikes", "whitening", "quality_tolerance"))) for t in tags]
+    return spark.createDataFrame(rows, "tag string, buffer_size int, landmarks int, retries int, min_spikes int, whitening boolean, quality_tolerance double")
+
+
 @query
 def set_operations(spark, sf_dir):
     a = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k"))

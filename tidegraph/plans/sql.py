@@ -25,12 +25,17 @@ ADJ = """adj AS (SELECT a.electrode, b.electrode AS neighbor, CASE WHEN b.electr
 PT = """pt AS (SELECT label AS electrode, vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"""
 D2 = PT + """,
 d2 AS (SELECT a.electrode, a.id AS id_a, b.id AS id_b, list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d2 FROM pt a JOIN pt b ON a.electrode = b.electrode)"""
-X8 = """x AS (SELECT label AS electrode, vec_id AS id, i - 1 AS i, CAST(embedding[i] AS DOUBLE) AS x FROM embeddings, range(1, {n}) t(i))"""
+PN = """pn AS (SELECT vec_id // 15 + 2 AS electrode, vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"""
+N2 = PN + """,
+d2 AS (SELECT a.electrode, a.id AS id_a, b.id AS id_b, list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d2 FROM pn a JOIN pn b ON a.electrode = b.electrode)"""
+XS = """x AS (SELECT electrode, id, i - 1 AS i, CAST(v[i] AS DOUBLE) AS x FROM (SELECT label AS electrode, vec_id AS id, embedding AS v, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings))"""
 CNT = """cnt AS (SELECT o_custkey - 1 AS id, count(*) AS n FROM orders GROUP BY 1)"""
-COMP = D2 + """,
-e AS (SELECT electrode, id_a AS u, id_b AS w FROM d2 WHERE d2 > 0 AND d2 < 1.4),
-reach AS (SELECT electrode, id, id AS r FROM pt UNION SELECT e.electrode, reach.id, e.w FROM reach JOIN e ON e.electrode = reach.electrode AND e.u = reach.r),
+COMP = N2 + """,
+e AS (SELECT electrode, id_a AS u, id_b AS w FROM d2 WHERE d2 > 0 AND d2 < {limit}),
+reach AS (SELECT electrode, id, id AS r FROM pn UNION SELECT e.electrode, reach.id, e.w FROM reach JOIN e ON e.electrode = reach.electrode AND e.u = reach.r),
 comp AS (SELECT electrode, id, min(r) AS component FROM reach GROUP BY electrode, id)"""
+CUT = COMP.format(limit=1.5)
+COMP = COMP.format(limit=1.6)
 KEEP = COMP + ", " + CNT + """,
 ck AS (SELECT comp.*, coalesce(n, 0) AS n FROM comp LEFT JOIN cnt ON comp.id = cnt.id),
 kp AS (SELECT *, first_value(id) OVER (PARTITION BY electrode, component ORDER BY n DESC, id) AS keeper, count(*) OVER (PARTITION BY electrode, component) AS members FROM ck)"""
@@ -62,8 +67,13 @@ WEEKS = US + """,
 z AS (SELECT neuron_id, t - (SELECT min(t) FROM us) AS t FROM us),
 w(dataset, start, stop) AS (VALUES ('w1', 0, 604800000000), ('w2', 604800000000, 1468800000000), ('w3', 1468800000000, 1900800000000))"""
 STATUSES = """st(neuron_id, code, master_id) AS (VALUES (1, 0, NULL), (2, 1, NULL), (3, 2, 1), (17, 3, 1), (18, -1, NULL), (20, -2, NULL), (31, 2, 16))"""
-LABEL = """CASE code WHEN 2 THEN 'Merged with ' || master_id || ' (electrode ' || ((master_id - 1) // 15 + 2) || ')' WHEN 3 THEN 'Duplicate of ' || master_id || ' (electrode ' || ((master_id - 1) // 15 + 2) || ')'
-  WHEN 0 THEN 'Kept' WHEN 1 THEN 'Removed' WHEN -2 THEN 'Discarded' ELSE 'Unknown' END"""
+LABEL = """CASE code WHEN 2 THEN 'Merge with ' || master_id WHEN 3 THEN 'Dup. of ID ' || master_id || ', El ' || ((master_id - 1) // 15 + 1)
+  WHEN 0 THEN 'Keep' WHEN 1 THEN 'Contam / Low count' WHEN -2 THEN 'Discard' ELSE 'Unknown' END"""
+
+
+def signed(value: str, digits: int = 6) -> str:
+    """Rounded, and 0 for what rounds to minus zero."""
+    return f"CASE WHEN round({value}, {digits}) = 0 THEN 0.0 ELSE round({value}, {digits}) END"
 
 
 def put(name: str, ctes: str, body: str, recursive: bool = False) -> None:
@@ -95,42 +105,42 @@ put("buffered_scan", CH + ", " + BUF, "SELECT b.electrode, buffer, start, stop,
 put("spike_buffer_interior", CAND + ", " + BUF, "SELECT sp.electrode, spike_time, buffer, start, stop FROM sp JOIN buf b ON sp.electrode = b.electrode AND spike_time >= start + 2 AND spike_time < stop - 3")
 put("time_range_scan", CH, "SELECT electrode, sample, value FROM ch WHERE sample BETWEEN 10 AND 19")
 put("electrode_filter_counts", CAND, "SELECT electrode, count(*) AS n FROM sp GROUP BY electrode HAVING count(*) >= 5")
-put("noise_event_antijoin", CAND, "SELECT electrode, sample AS spike_time FROM ch WHERE sample % 7 = 0 AND NOT EXISTS (SELECT 1 FROM sp WHERE sp.electrode = ch.electrode AND round(sp.spike_time / 4.0) = round(ch.sample / 4.0))")
+put("noise_event_antijoin", CAND, "SELECT electrode, sample AS spike_time FROM ch WHERE NOT EXISTS (SELECT 1 FROM sp WHERE sp.electrode = ch.electrode AND round(sp.spike_time / 4.0) = round(ch.sample / 4.0))")
 put("noise_event_first_only", CAND + """,
-nz AS (SELECT electrode, sample AS spike_time, row_number() OVER (PARTITION BY electrode, round(sample / 8.0) ORDER BY sample) AS nth FROM ch WHERE sample % 7 = 0)""",
+nz AS (SELECT electrode, sample AS spike_time, row_number() OVER (PARTITION BY electrode, round(sample / 8.0) ORDER BY sample) AS nth FROM ch)""",
     "SELECT electrode, spike_time FROM nz WHERE nth > 1 OR NOT EXISTS (SELECT 1 FROM sp WHERE sp.electrode = nz.electrode AND round(sp.spike_time / 8.0) = round(nz.spike_time / 8.0))")
 put("electrode_adjacency", ADJ.format(reach=3), "SELECT electrode, neighbor, CAST(ord AS INTEGER) AS ord FROM adj")
 put("waveform_windows", CAND + ", " + ADJ.format(reach=3), "SELECT sp.electrode, spike_time, neighbor, CAST(ord AS INTEGER) AS ord, CAST(up.sample - spike_time AS INTEGER) AS pos, round(v, 9) AS value FROM sp JOIN adj ON sp.electrode = adj.electrode JOIN up ON up.electrode = neighbor AND up.sample BETWEEN spike_time - 2 AND spike_time + 3")
-put("mean_waveform", X8.format(n=9), "SELECT electrode, CAST(i AS INTEGER) AS i, round(avg(x), 6) AS mean, count(*) AS n FROM x GROUP BY electrode, i")
-COV = X8.format(n=9) + """,
+put("mean_waveform", XS, "SELECT electrode, CAST(i AS INTEGER) AS i, " + signed("avg(x)") + " AS mean, count(*) AS n FROM x GROUP BY electrode, i")
+COV = XS + """,
 cv AS (SELECT a.electrode, a.i, b.i AS j, count(*) AS n, covar_samp(a.x, b.x) AS cov FROM x a JOIN x b ON a.electrode = b.electrode AND a.id = b.id AND a.i <= b.i GROUP BY ALL)"""
-put("covariance_longform", COV, "SELECT electrode, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, n, round(cov, 6) AS cov FROM cv")
-put("covariance_merge", X8.format(n=9) + """,
+put("covariance_longform", COV, "SELECT electrode, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, n, " + signed("cov") + " AS cov FROM cv")
+put("covariance_merge", XS + """,
 cv AS (SELECT a.electrode, a.id % 2 AS part, a.i, b.i AS j, count(*) AS n, covar_samp(a.x, b.x) AS cov FROM x a JOIN x b ON a.electrode = b.electrode AND a.id = b.id AND a.i <= b.i GROUP BY ALL)""",
-    "SELECT electrode, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, CAST(sum(n) AS BIGINT) AS n, round(sum(n * cov) / sum(n), 6) AS cov FROM cv GROUP BY electrode, i, j")
-put("pc_project_fixed_basis", X8.format(n=9) + """,
+    "SELECT electrode, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, CAST(sum(n) AS BIGINT) AS n, " + signed("sum(n * cov) / sum(n)") + " AS cov FROM cv GROUP BY electrode, i, j")
+put("pc_project_fixed_basis", XS + """,
 mn AS (SELECT electrode, i, avg(x) AS m FROM x GROUP BY electrode, i),
 ax(rank, i, a) AS (VALUES (1,0,1.0),(1,1,0.5),(1,2,-0.5),(1,3,0.25),(1,4,0.0),(1,5,0.0),(1,6,1.0),(1,7,-1.0),(2,0,0.0),(2,1,1.0),(2,2,1.0),(2,3,-1.0),(2,4,0.5),(2,5,-0.5),(2,6,0.0),(2,7,0.25))""",
-    "SELECT x.electrode, id, ax.rank, round(sum((x - m) * CAST(a AS DOUBLE)), 6) AS score FROM x JOIN mn ON x.electrode = mn.electrode AND x.i = mn.i JOIN ax ON ax.i = x.i GROUP BY x.electrode, id, ax.rank")
-put("l2_normalize", X8.format(n=9), "SELECT id, CAST(i AS INTEGER) AS i, round(x / sqrt(sum(x * x) OVER (PARTITION BY id)), 6) AS x FROM x")
-put("pairwise_l2", D2, "SELECT electrode, id_a, id_b, round(d2, 6) AS d2 FROM d2 WHERE id_a < id_b")
-put("neighbor_pairs_l2", PT, "SELECT a.electrode AS ea, b.electrode AS eb, a.id AS id_a, b.id AS id_b, round(list_sum(list_transform(list_zip(a.v[1:8], b.v[1:8]), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 6) AS d2 FROM pt a JOIN pt b ON b.electrode = a.electrode + 1")
+    "SELECT x.electrode, id, ax.rank, " + signed("sum((x - m) * CAST(a AS DOUBLE))") + " AS score FROM x JOIN mn ON x.electrode = mn.electrode AND x.i = mn.i JOIN ax ON ax.i = x.i % 8 GROUP BY x.electrode, id, ax.rank")
+put("l2_normalize", XS, "SELECT id, CAST(i AS INTEGER) AS i, " + signed("x / sqrt(sum(x * x) OVER (PARTITION BY id))") + " AS x FROM x")
+put("pairwise_l2", N2, "SELECT CAST(electrode AS INTEGER) AS electrode, id_a, id_b, round(d2, 6) AS d2 FROM d2 WHERE id_a < id_b")
+put("neighbor_pairs_l2", PN, "SELECT CAST(a.electrode AS INTEGER) AS ea, CAST(b.electrode AS INTEGER) AS eb, a.id AS id_a, b.id AS id_b, round(list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 6) AS d2 FROM pn a JOIN pn b ON b.electrode = a.electrode + 1")
 put("nth_neighbor_scale", SCALE, "SELECT electrode, id, round(scale, 6) AS scale FROM sc")
 AFF = SCALE + ", af AS (SELECT d2.electrode, id_a, id_b, d2, a.scale AS sa, b.scale AS sb FROM d2 JOIN sc a ON a.electrode = d2.electrode AND a.id = id_a JOIN sc b ON b.electrode = d2.electrode AND b.id = id_b)"
 put("local_affinity", AFF, "SELECT electrode, id_a, id_b, round(exp(-d2 / (sa * sb)), 6) AS a FROM af")
 put("power_affinity", AFF, "SELECT electrode, id_a, id_b, round(1 / (1 + d2 * sa * sb), 6) AS a FROM af WHERE 1 / (1 + d2 * sa * sb) >= 0.2")
-put("cluster_stats", X8.format(n=5), "SELECT electrode, CAST(id % 3 AS INTEGER) AS clust, CAST(i AS INTEGER) AS i, round(avg(x), 6) AS centroid, round(var_pop(x), 6) AS variance, count(*) AS n, round(count(*) / CAST(sum(count(*)) OVER (PARTITION BY electrode, i) AS DOUBLE), 6) AS mix_frac FROM x GROUP BY electrode, id % 3, i")
-put("nearest_centroid", X8.format(n=65) + """,
+put("cluster_stats", XS, "SELECT electrode, CAST(id % 3 AS INTEGER) AS clust, CAST(i AS INTEGER) AS i, " + signed("avg(x)") + " AS centroid, round(var_pop(x), 6) AS variance, count(*) AS n, round(count(*) / CAST(sum(count(*)) OVER (PARTITION BY electrode, i) AS DOUBLE), 6) AS mix_frac FROM x GROUP BY electrode, id % 3, i")
+put("nearest_centroid", XS + """,
 ce AS (SELECT electrode, id % 3 AS clust, i, avg(x) AS c FROM x GROUP BY ALL),
 ds AS (SELECT x.electrode, x.id, clust, sum((x - c) * (x - c)) AS d2 FROM x JOIN ce ON x.electrode = ce.electrode AND x.i = ce.i GROUP BY ALL)""",
     "SELECT electrode, id, CAST(clust AS INTEGER) AS clust, round(d2, 6) AS d2 FROM (SELECT *, row_number() OVER (PARTITION BY electrode, id ORDER BY d2, clust) AS nth FROM ds) WHERE nth = 1")
 RANK = SCALE + ", rk AS (SELECT electrode, id, row_number() OVER (PARTITION BY electrode ORDER BY round(scale, 9), id) AS rank, count(*) OVER (PARTITION BY electrode) AS n FROM sc)"
 put("knn_distance_rank", RANK, "SELECT electrode, id, CAST(rank AS INTEGER) AS rank FROM rk")
 put("shrink_prefix", RANK, "SELECT electrode, id, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= floor(0.6 * n)")
-put("merge_components", COMP, "SELECT electrode, id, component FROM comp", True)
-put("final_forest", COMP, "SELECT electrode, component, count(*) AS members FROM comp GROUP BY electrode, component HAVING count(*) > 1", True)
-put("component_keeper", KEEP, "SELECT electrode, id, component, n, keeper FROM kp", True)
-put("auto_merge_actions", KEEP, "SELECT electrode, 'AUTO_MERGE' AS action, keeper AS master_id, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids FROM kp WHERE members > 1 AND id <> keeper GROUP BY electrode, keeper", True)
+put("merge_components", COMP, "SELECT CAST(electrode AS INTEGER) AS electrode, id, component FROM comp", True)
+put("final_forest", COMP, "SELECT CAST(electrode AS INTEGER) AS electrode, component, count(*) AS members FROM comp GROUP BY electrode, component HAVING count(*) > 1", True)
+put("component_keeper", KEEP, "SELECT CAST(electrode AS INTEGER) AS electrode, id, component, n, keeper FROM kp", True)
+put("auto_merge_actions", KEEP, "SELECT CAST(electrode AS INTEGER) AS electrode, 'AUTO_MERGE' AS action, keeper AS master_id, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids FROM kp WHERE members > 1 AND id <> keeper GROUP BY electrode, keeper", True)
 GLOB = PT + ", " + CNT + """,
 d AS (SELECT a.electrode AS ea, b.electrode AS eb, a.id AS u, b.id AS w FROM pt a JOIN pt b ON a.id <> b.id WHERE list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) < 1.1 AND list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) > 0),
 cb AS (SELECT DISTINCT x.electrode AS e1, y.electrode AS e2 FROM pt x JOIN (SELECT DISTINCT electrode FROM pt) y ON x.electrode < y.electrode),
@@ -150,8 +160,15 @@ put("status_summary", "", "SELECT CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' TH
 put("default_visible", STATUSES, "SELECT neuron_id, code FROM st WHERE code NOT IN (1, -2)")
 put("colour_ranks", STATUSES, "SELECT neuron_id, round((row_number() OVER (ORDER BY coalesce(master_id, neuron_id), neuron_id) - 1) / CAST(count(*) OVER () AS DOUBLE), 6) AS hue FROM st")
 put("pretty_print", "", "SELECT n_nationkey, '[' || n_nationkey || ' ' || CASE WHEN n_nationkey % 8 = 0 THEN CAST(n_nationkey // 8 AS VARCHAR) ELSE printf('%.2f', n_nationkey / 8.0) END || ' ' || n_regionkey || ']' AS said FROM nation")
-put("cluster_report", STATUSES + ", n AS (SELECT CAST(o_custkey AS INTEGER) AS neuron_id, count(*) AS n_spikes FROM orders GROUP BY 1), j AS (SELECT n.neuron_id, n_spikes, coalesce(code, 0) AS code, master_id FROM n LEFT JOIN st ON n.neuron_id = st.neuron_id)",
-    f"SELECT neuron_id, {LABEL} AS status, n_spikes, round(n_spikes * 20000.0 / 36000000.0, 6) AS hz FROM j")
+put("cluster_report", STATUSES + """,
+o AS (SELECT CAST(o_custkey AS INTEGER) AS neuron_id, o_orderkey AS t FROM orders),
+g AS (SELECT neuron_id, t - lag(t) OVER (PARTITION BY neuron_id ORDER BY t) AS gap FROM o),
+n AS (SELECT neuron_id, count(*) AS n_spikes, count(*) FILTER (gap > 0 AND gap <= 500) AS bad FROM g GROUP BY neuron_id),
+j AS (SELECT n.neuron_id, n_spikes, bad, coalesce(code, 0) AS code, master_id FROM n LEFT JOIN st ON n.neuron_id = st.neuron_id),
+l(id, label) AS (VALUES (3, 'ON/parasol'), (12, ''), (7, 'OFF'))""",
+    f"""SELECT neuron_id, round((row_number() OVER (PARTITION BY floor((neuron_id - 1) / 15.0) ORDER BY coalesce(master_id, neuron_id), neuron_id) - 1) / CAST(count(*) OVER (PARTITION BY floor((neuron_id - 1) / 15.0)) AS DOUBLE), 6) AS hue,
+  code NOT IN (1, -2) AS displayed, {LABEL} AS status, n_spikes, round(n_spikes * 20000.0 / 36000000.0, 6) AS hz,
+  round(CASE WHEN n_spikes < 2 THEN 0.0 ELSE bad * 36000000.0 / (500.0 * n_spikes * n_spikes) END, 6) AS contamination, label FROM j LEFT JOIN l ON l.id = neuron_id""")
 CON = US + """,
 g AS (SELECT neuron_id, t - lag(t) OVER (PARTITION BY neuron_id ORDER BY t) AS gap FROM us),
 v AS (SELECT neuron_id, count(*) AS n, count(*) FILTER (gap > 0 AND gap <= 3600000000) AS violations FROM g GROUP BY neuron_id),
@@ -173,8 +190,8 @@ put("concat_offsets", WEEKS, "SELECT dataset, neuron_id, t AS spike_time FROM z
 put("dataset_strings", "", "SELECT * FROM (VALUES ('a.bin', CAST(10 AS DOUBLE), CAST(20 AS DOUBLE)), ('b.bin', 5, NULL), ('c.bin', 0, 7.5), ('d.bin', 0, NULL)) t(path, start, stop)")
 put("classification_labels", "", "SELECT * FROM (VALUES (3, 'ON/parasol'), (12, ''), (7, 'OFF')) t(neuron_id, label)")
 put("label_join", "l(id, label) AS (VALUES (3, 'ON/parasol'), (12, ''), (7, 'OFF'))", "SELECT n_nationkey AS neuron_id, label FROM nation LEFT JOIN l ON id = n_nationkey")
-put("export_models", "p AS (SELECT label AS electrode, CAST(vec_id % 2 + 1 AS INTEGER) AS clust, count(*) AS n FROM embeddings GROUP BY ALL), s AS (SELECT *, n / CAST(sum(n) OVER (PARTITION BY electrode) AS DOUBLE) AS f FROM p)",
-    "SELECT CAST(e AS INTEGER) AS electrode, coalesce(clust, 1) AS clust, CASE WHEN clust IS NULL THEN 1 ELSE 4 END AS dims, round(coalesce(f, 0.0), 6) AS mix_frac FROM range(0, 14) r(e) LEFT JOIN s ON s.electrode = e")
+put("export_models", "p AS (SELECT label AS electrode, CAST(vec_id % 2 + 1 AS INTEGER) AS clust, count(*) AS n, max(len(embedding)) AS dims FROM embeddings GROUP BY ALL), s AS (SELECT *, n / CAST(sum(n) OVER (PARTITION BY electrode) AS DOUBLE) AS f FROM p), e AS (SELECT CAST(e AS INTEGER) AS e FROM range(0, 14) r(e) UNION SELECT electrode FROM p)",
+    "SELECT e AS electrode, coalesce(clust, 1) AS clust, CAST(coalesce(dims, 1) AS INTEGER) AS dims, round(coalesce(f, 0.0), 6) AS mix_frac FROM e LEFT JOIN s ON s.electrode = e")
 put("export_neurons", CAND, "SELECT CAST(electrode * 15 + width % 3 AS INTEGER) AS neuron_id, CAST(electrode + 2 AS INTEGER) AS electrode, spike_time - 5 AS spike_time FROM sp WHERE width % 3 > 0")
 put("export_spikes", CAND, "SELECT CAST(spike_time AS INTEGER) AS spike_time, CAST(electrode - 1 AS INTEGER) AS electrode FROM sp")
 put("train_intersections", TR, "SELECT electrode, ref_id, other_id, common FROM common")
@@ -186,7 +203,7 @@ put("rate_histogram", US + ", en AS (SELECT neuron_id, min(t) AS lo, max(t) AS h
     "SELECT us.neuron_id, CAST(CASE WHEN hi > lo THEN least(floor((t - lo) * 20 / CAST(hi - lo AS DOUBLE)) + 1, 20) ELSE 1 END AS INTEGER) AS bin, count(*) AS n FROM us JOIN en ON us.neuron_id = en.neuron_id GROUP BY ALL")
 put("autocorrelogram", HOURS, "SELECT neuron_id, bin, n, round(share, 6) AS share FROM share")
 put("acf_smoothed", HOURS, "SELECT neuron_id, bin, round(sum(share) OVER (PARTITION BY neuron_id ORDER BY bin ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) / 8, 6) AS smooth FROM share")
-put("compound_ei", X8.format(n=9) + ", " + CNT, "SELECT electrode, CAST(i AS INTEGER) AS i, CAST(sum(n) AS BIGINT) AS n, round(sum(n * x) / sum(n), 6) AS x FROM x JOIN cnt ON x.id = cnt.id GROUP BY electrode, i")
+put("compound_ei", XS + ", " + CNT, "SELECT electrode, CAST(i AS INTEGER) AS i, CAST(sum(n) AS BIGINT) AS n, " + signed("sum(n * x) / sum(n)") + " AS x FROM x JOIN cnt ON x.id = cnt.id GROUP BY electrode, i")
 STRIDE = CAND + """,
 pl AS (SELECT electrode AS neuron_id, spike_time, row_number() OVER (PARTITION BY electrode ORDER BY spike_time) - 1 AS i, count(*) OVER (PARTITION BY electrode) // 3 AS step FROM sp),
 sd AS (SELECT neuron_id, spike_time FROM pl WHERE step = 0 OR (i > 0 AND i % CASE WHEN step = 0 THEN 1 ELSE step END = 0))"""
@@ -200,3 +217,130 @@ put("electrode_pools", "n AS (SELECT count(*) AS n FROM supplier), e AS (SELECT
 put("set_operations", "a AS (SELECT c_nationkey AS k FROM customer), b AS (SELECT s_nationkey AS k FROM supplier WHERE s_acctbal > 0)",
     "SELECT 'both' AS kind, k FROM (SELECT k FROM a INTERSECT SELECT k FROM b) UNION ALL SELECT 'left', k FROM (SELECT k FROM a EXCEPT SELECT k FROM b) UNION ALL SELECT 'any', k FROM (SELECT k FROM a UNION SELECT k FROM b)")
 put("final_or_raw", "", "SELECT p_partkey, round(CASE WHEN p_size > 25 THEN p_retailprice * 2 ELSE p_retailprice END, 6) AS x FROM part")
+
+
+# ------------------------------------------------------------------------------------- images, edits, stage tables
+
+put("noise_floor_converged", """ch0 AS (SELECT user_id AS electrode, CAST(value AS DOUBLE) AS x FROM events),
+base AS (SELECT electrode, CAST(count(*) AS DOUBLE) AS n, sum(x) AS s, sum(x * x) AS q FROM ch0 GROUP BY electrode),
+rec AS (
+  SELECT electrode, 1 AS rounds, n, s, q, s / n AS mu, sqrt(greatest((q - s * s / n) / greatest(n - 1, 1), 0)) AS sigma, CAST(1e300 AS DOUBLE) AS last FROM base
+  UNION ALL
+  SELECT electrode, rounds, n, s, q, s / n, sqrt(greatest((q - s * s / n) / greatest(n - 1, 1), 0)), sigma FROM (
+    SELECT r.electrode, r.rounds + 1 AS rounds, r.n + coalesce(k.n, 0) AS n, r.s + coalesce(k.s, 0) AS s, r.q + coalesce(k.q, 0) AS q, r.sigma FROM rec r LEFT JOIN (
+      SELECT c.electrode, count(*) AS n, sum(x) AS s, sum(x * x) AS q FROM ch0 c JOIN rec m ON c.electrode = m.electrode WHERE abs(x - m.mu) < 3 * m.sigma GROUP BY c.electrode
+    ) k ON k.electrode = r.electrode WHERE abs(r.last - r.sigma) >= 0.01 AND r.rounds < 1000
+  )
+)""", "SELECT electrode, round(arg_max(sigma, rounds), 6) AS sigma, round(arg_max(mu, rounds), 6) AS mu, CAST(max(rounds) AS INTEGER) AS rounds, CAST(arg_max(n, rounds) AS BIGINT) AS n FROM rec GROUP BY electrode", True)
+HASH = "CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT)"
+put("random_noise_events", CH + """,
+sp AS (SELECT electrode, min(sample) AS first, count(*) AS span, CAST(round(count(*) * 0.2) AS BIGINT) AS n FROM ch GROUP BY electrode),
+ev AS (SELECT electrode, first, i, i * span // n AS low, (i + 1) * span // n AS high FROM (SELECT *, unnest(range(0, n)) AS i FROM sp WHERE n > 0))""",
+    "SELECT electrode, first + low + " + HASH.format(key="'0|' || electrode || '|' || i") + " % (high - low) AS spike_time FROM ev")
+put("display_sample", PT + """,
+d AS (SELECT electrode, CAST(id % 3 AS INTEGER) AS clust, id, count(*) OVER (PARTITION BY electrode) AS total, count(*) OVER (PARTITION BY electrode, id % 3) AS n,
+  row_number() OVER (PARTITION BY electrode, id % 3 ORDER BY """ + HASH.format(key="'0|' || id") + """, id) AS nth FROM pt)""", "SELECT electrode, clust, id FROM d WHERE nth <= floor(least(1.0, CAST(30 AS DOUBLE) / total) * n)")
+put("spikes_in_order", CAND, "SELECT row_number() OVER (ORDER BY spike_time, electrode) - 1 AS place, spike_time, electrode FROM sp")
+put("eigen_invariants", COV, "SELECT electrode, round(sum(CASE WHEN i = j THEN cov ELSE 0 END), 6) AS trace, round(sum(CASE WHEN i = j THEN cov * cov ELSE 2 * cov * cov END), 6) AS squares FROM cv GROUP BY electrode")
+put("pc_energy", XS + ", mn AS (SELECT electrode, i, avg(x) AS m FROM x GROUP BY electrode, i)", "SELECT x.electrode, id, round(sum((x - m) * (x - m)), 6) AS energy FROM x JOIN mn ON x.electrode = mn.electrode AND x.i = mn.i GROUP BY x.electrode, id")
+put("dendrogram_cut", CUT, "SELECT CAST(electrode AS INTEGER) AS electrode, id, component FROM comp", True)
+put("dendrogram_sizes", COMP + ", sz AS (SELECT electrode, component, count(*) AS k FROM comp GROUP BY electrode, component HAVING count(*) > 1)", "SELECT CAST(electrode AS INTEGER) AS electrode, CAST(sum(k - 1) AS BIGINT) AS merges, max(k) AS largest FROM sz GROUP BY electrode", True)
+put("edit_log", "lg(seq, action, ids) AS (VALUES (1, 'KEEP', '16'), (2, 'MERGE', '1,2'), (3, 'DELETE', '4'), (4, 'CONSOLIDATE', ''), (5, 'MERGE', '5,7'), (6, 'CONSOLIDATE', ''))", "SELECT * FROM lg")
+put("consolidated_neurons", LI + f""", t AS (SELECT CAST(l_orderkey % 20 + 1 AS INTEGER) AS id, l_orderkey * 8 + l_linenumber AS t FROM lineitem)""",
+    f"SELECT CAST(CASE WHEN id IN (1, 2) THEN {BIG.format(a=1, b=2)} WHEN id IN (5, 7) THEN {BIG.format(a=5, b=7)} ELSE id END AS INTEGER) AS neuron_id, count(*) AS n, min(t) AS first, max(t) AS last FROM t WHERE id <> 4 GROUP BY 1")
+put("replay_trains", """r AS (SELECT l_orderkey % 20 + 1 AS id, l_orderkey * 8 + l_linenumber AS t, l_linenumber AS line FROM lineitem),
+m AS (SELECT CASE WHEN id = 3 THEN CASE WHEN line <= 4 THEN 3 ELSE 21 END WHEN id IN (6, 9) THEN CASE WHEN line % 2 = 1 THEN 6 ELSE 22 END ELSE id END AS id, t, line FROM r),
+k AS (SELECT id FROM m WHERE id IN (1, 6) GROUP BY id ORDER BY count(*) DESC, id LIMIT 1)""",
+    "SELECT CAST(CASE WHEN m.id IN (1, 6) THEN k.id ELSE m.id END AS INTEGER) AS neuron_id, count(*) AS n, CAST(sum(t) AS BIGINT) AS total, max(line) AS line FROM m, k WHERE m.id NOT IN (21, 8) GROUP BY 1")
+put("merged_trains", "", "SELECT CASE WHEN o_custkey % 10 = 1 THEN o_custkey - 1 ELSE o_custkey END AS neuron_id, count(*) AS n, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS times FROM orders GROUP BY 1")
+ST = """t AS (SELECT DISTINCT l_suppkey AS electrode, CAST(l_linenumber AS INTEGER) AS neuron_id, l_orderkey AS spike_time FROM lineitem),
+p AS (SELECT l_suppkey AS electrode, l_orderkey AS spike_time, CAST(min(l_quantity) AS DOUBLE) AS pc1, CAST(max(l_discount) AS DOUBLE) AS pc2 FROM lineitem WHERE l_quantity > 10 GROUP BY ALL),
+tp AS (SELECT t.electrode, neuron_id, t.spike_time, pc1, pc2 FROM t JOIN p ON t.electrode = p.electrode AND t.spike_time = p.spike_time)"""
+put("train_projections", ST, "SELECT electrode, neuron_id, spike_time, pc1, pc2 FROM tp")
+put("preview_electrode", ST + """,
+o AS (SELECT * FROM tp WHERE electrode = 3),
+big AS (SELECT neuron_id FROM o WHERE neuron_id IN (1, 2) GROUP BY neuron_id ORDER BY count(*) DESC, neuron_id LIMIT 1),
+m AS (SELECT CASE WHEN o.neuron_id IN (1, 2) THEN big.neuron_id WHEN o.neuron_id IN (3, 4) THEN CASE WHEN pc1 > 30 THEN 3 ELSE 4 END ELSE o.neuron_id END AS neuron_id, spike_time, CASE WHEN o.neuron_id = 7 THEN -2 ELSE 0 END AS status FROM o, big),
+g AS (SELECT *, spike_time - lag(spike_time) OVER (PARTITION BY neuron_id ORDER BY spike_time) AS gap FROM m)""",
+    "SELECT CAST(neuron_id AS INTEGER) AS neuron_id, count(*) AS n, round(CASE WHEN count(*) < 2 THEN 0.0 ELSE count(*) FILTER (gap > 0 AND gap <= 500) * 1000000.0 / (500.0 * count(*) * count(*)) END, 6) AS contamination, CAST(max(status) AS INTEGER) AS status FROM g GROUP BY neuron_id")
+# a neuron's image: eight samples on the electrodes home - 4 .. home + 3; its trace over electrodes lo..hi is one slice
+TRACE = PN + """,
+el AS (SELECT DISTINCT electrode AS e FROM pn), pr AS (SELECT a.e AS e1, b.e AS e2, a.e + {lo} AS lo, a.e + {hi} AS hi FROM el a JOIN el b ON b.e = a.e + 1),
+tq AS (SELECT e1 || '-' || e2 AS pair, electrode, id, v[CAST(8 * (lo - electrode + 4) + 1 AS INTEGER):CAST(8 * (hi - electrode + 5) AS INTEGER)] AS t FROM pr JOIN pn ON electrode IN (e1, e2)),
+tr AS (SELECT pair, electrode, id, list_transform(t, lambda y: y / sqrt(list_sum(list_transform(t, lambda x: x * x)))) AS t FROM tq)"""
+PAIRS = ", pd AS (SELECT a.pair, a.id AS id_a, b.id AS id_b, list_sum(list_transform(list_zip(a.t, b.t), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d2 FROM tr a JOIN tr b ON a.pair = b.pair AND a.id <> b.id)"
+for _name, _lo, _hi in (("traces_union", -1, 2), ("traces_intersection", 0, 1)):
+    put(_name, TRACE.format(lo=_lo, hi=_hi) + PAIRS, "SELECT pair, id_a, id_b, round(d2, 6) AS d2 FROM pd WHERE id_a < id_b")
+put("neighbourhood_sets", PN + ", el AS (SELECT DISTINCT electrode AS e FROM pn), p AS (SELECT a.e AS e1, b.e AS e2 FROM el a JOIN el b ON b.e > a.e AND b.e - a.e <= 10)",
+    """SELECT CAST(e1 AS INTEGER) AS e1, CAST(e2 AS INTEGER) AS e2, o AS over, CASE WHEN o = 'union' THEN array_to_string(list_sort(list_distinct([e1 - 1, e1, e1 + 1, e2 - 1, e2, e2 + 1])), ',')
+  ELSE array_to_string(list_filter([e1 - 1, e1, e1 + 1], lambda x: x BETWEEN e2 - 1 AND e2 + 1), ',') END AS electrodes FROM p, (VALUES ('union'), ('intersection')) v(o)""")
+WITHIN = PN + """,
+wt AS (SELECT electrode, id, v[25:48] AS t FROM pn), wn AS (SELECT electrode, id, list_transform(t, lambda y: y / sqrt(list_sum(list_transform(t, lambda x: x * x)))) AS t FROM wt),
+we AS (SELECT a.electrode, a.id AS u, b.id AS w FROM wn a JOIN wn b ON a.electrode = b.electrode AND a.id <> b.id WHERE list_sum(list_transform(list_zip(a.t, b.t), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) < 1.1),"""
+put("merge_by_images", WITHIN + """
+reach AS (SELECT id, id AS r FROM pn UNION SELECT reach.id, we.w FROM reach JOIN we ON we.u = reach.r),
+comp AS (SELECT electrode, reach.id, min(r) AS component FROM reach JOIN pn ON pn.id = reach.id GROUP BY electrode, reach.id), """ + CNT + """,
+kp AS (SELECT comp.*, first_value(comp.id) OVER (PARTITION BY component ORDER BY coalesce(n, 0) DESC, comp.id) AS keeper FROM comp LEFT JOIN cnt ON comp.id = cnt.id)""",
+    "SELECT CAST(electrode AS INTEGER) AS electrode, 'AUTO_MERGE' AS action, keeper AS master_id, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids FROM kp WHERE id <> keeper GROUP BY electrode, keeper", True)
+put("discard_by_images", TRACE.format(lo=-1, hi=2) + PAIRS + """,
+e AS (SELECT pair, id_a AS u, id_b AS w FROM pd WHERE d2 < 1.0),
+reach AS (SELECT pair, u AS id, u AS r FROM e UNION SELECT e.pair, reach.id, e.w FROM reach JOIN e ON e.pair = reach.pair AND e.u = reach.r),
+comp AS (SELECT pair, id, min(r) AS component FROM reach GROUP BY pair, id), """ + CNT + """,
+kp AS (SELECT comp.*, first_value(comp.id) OVER (PARTITION BY pair, component ORDER BY coalesce(n, 0) DESC, comp.id) AS keeper FROM comp LEFT JOIN cnt ON comp.id = cnt.id)""",
+    "SELECT pair, keeper AS master_id, id AS loser_id FROM kp WHERE id <> keeper", True)
+put("merged_images", """im AS (SELECT vec_id AS neuron_id, vec_id // 15 + 2 + (k - 1) // 8 - 4 AS electrode, (k - 1) % 8 AS i, CAST(embedding[k] AS DOUBLE) AS x FROM embeddings, range(1, 65) r(k)),
+b AS (SELECT neuron_id, electrode, i, x, neuron_id % 7 + 1 AS n FROM im WHERE neuron_id % 5 <> 0 UNION ALL SELECT neuron_id, electrode, i, 2 * x, neuron_id % 4 + 1 FROM im WHERE neuron_id % 3 <> 0)""",
+    "SELECT neuron_id, CAST(electrode AS INTEGER) AS electrode, CAST(sum(n) AS BIGINT) AS n, CAST(i AS INTEGER) AS i, " + signed("sum(n * x) / sum(n)") + " AS x FROM b GROUP BY neuron_id, electrode, i")
+put("clean_datasets", """o AS (SELECT o_custkey - 1 AS id, o_orderkey AS t FROM orders WHERE o_custkey - 1 IN (SELECT vec_id FROM embeddings)),
+lim AS (SELECT max(o_orderkey) AS top FROM orders),
+g AS (SELECT id, t - lag(t) OVER (PARTITION BY id ORDER BY t) AS gap FROM o),
+st AS (SELECT id, count(*) AS n, count(*) FILTER (gap > 0 AND gap <= 100) AS bad FROM g GROUP BY id),
+good AS (SELECT id, n FROM st, lim WHERE n >= 4 AND CASE WHEN n < 2 THEN 0 ELSE CAST(bad AS DOUBLE) / (100.0 * n * n) * (top + 1) END <= 4.0),
+pg AS (SELECT vec_id // 15 + 2 AS electrode, vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id IN (SELECT id FROM good)),
+wt AS (SELECT electrode, id, v[25:48] AS t FROM pg), wn AS (SELECT electrode, id, list_transform(t, lambda y: y / sqrt(list_sum(list_transform(t, lambda x: x * x)))) AS t FROM wt),
+we AS (SELECT a.id AS u, b.id AS w FROM wn a JOIN wn b ON a.electrode = b.electrode AND a.id <> b.id WHERE list_sum(list_transform(list_zip(a.t, b.t), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) < 1.1),
+r1 AS (SELECT id, id AS r FROM pg UNION SELECT r1.id, we.w FROM r1 JOIN we ON we.u = r1.r),
+c1 AS (SELECT id, min(r) AS component FROM r1 GROUP BY id),
+k1 AS (SELECT c1.id, n, first_value(c1.id) OVER (PARTITION BY component ORDER BY n DESC, c1.id) AS master FROM c1 JOIN good ON good.id = c1.id),
+mc AS (SELECT master AS id, sum(n) AS n FROM k1 GROUP BY master),
+h AS (SELECT pg.* FROM pg JOIN mc ON mc.id = pg.id),
+el AS (SELECT DISTINCT vec_id // 15 + 2 AS e FROM embeddings), pr AS (SELECT a.e AS e1, b.e AS e2 FROM el a JOIN el b ON b.e = a.e + 1),
+tq AS (SELECT e1 || '-' || e2 AS pair, id, v[CAST(8 * (e1 - electrode + 4) + 1 AS INTEGER):CAST(8 * (e2 - electrode + 5) AS INTEGER)] AS t FROM pr JOIN h ON electrode IN (e1, e2)),
+tr AS (SELECT pair, id, list_transform(t, lambda y: y / sqrt(list_sum(list_transform(t, lambda x: x * x)))) AS t FROM tq),
+e2 AS (SELECT a.pair, a.id AS u, b.id AS w FROM tr a JOIN tr b ON a.pair = b.pair AND a.id <> b.id WHERE list_sum(list_transform(list_zip(a.t, b.t), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) < 1.0),
+r2 AS (SELECT pair, u AS id, u AS r FROM e2 UNION SELECT e2.pair, r2.id, e2.w FROM r2 JOIN e2 ON e2.pair = r2.pair AND e2.u = r2.r),
+c2 AS (SELECT pair, id, min(r) AS component FROM r2 GROUP BY pair, id),
+k2 AS (SELECT c2.*, first_value(c2.id) OVER (PARTITION BY pair, component ORDER BY n DESC, c2.id) AS keeper FROM c2 JOIN mc ON mc.id = c2.id),
+gone AS (SELECT DISTINCT id FROM k2 WHERE id <> keeper),
+fin AS (SELECT k1.master AS id, t FROM o JOIN k1 ON k1.id = o.id WHERE k1.master NOT IN (SELECT id FROM gone))""",
+    "SELECT CASE WHEN t < top // 2 THEN 'a' ELSE 'b' END AS dataset, id AS neuron_id, count(*) AS n, CAST(sum(CASE WHEN t < top // 2 THEN t ELSE t - top // 2 END) AS BIGINT) AS total FROM fin, lim GROUP BY 1, 2", True)
+put("open_recording", CH, "SELECT electrode, sample, round(CAST(CAST(value AS FLOAT) AS DOUBLE), 4) AS value FROM ch WHERE sample >= 10 AND sample < 20 AND electrode NOT IN (1, 4)")
+put("recording_header", CH, "SELECT 'run' AS dataset, CAST(count(DISTINCT electrode) AS INTEGER) AS electrodes, CAST(3 AS BIGINT) AS start, max(sample) + 1 AS stop, 2 AS disconnected FROM ch")
+GRID = "gr AS (SELECT s_suppkey AS e, s_suppkey % 10 AS x, s_suppkey // 10 AS y FROM supplier), ad AS (SELECT a.e AS electrode, b.e AS neighbor, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d2 FROM gr a JOIN gr b ON abs(a.x - b.x) <= 2 AND abs(a.y - b.y) <= 2)"
+put("adjacency_usage", GRID, "SELECT CAST(u AS INTEGER) AS usage, electrode, neighbor, CAST(row_number() OVER (PARTITION BY u, electrode ORDER BY d2, neighbor) - 1 AS INTEGER) AS ord FROM ad, range(0, 3) r(u) WHERE d2 <= u * u")
+put("adjacency_degrees", GRID, "SELECT electrode, count(*) AS degree, max(count(*)) OVER () AS most FROM ad WHERE d2 <= 4 GROUP BY electrode")
+put("stage_load", CAND, "SELECT electrode, spike_time, width, round(amplitude, 9) AS amplitude FROM sp")
+put("stage_columns", CAND, "SELECT electrode, spike_time FROM sp")
+put("stage_electrode", CAND, "SELECT electrode, spike_time, width, round(amplitude, 9) AS amplitude FROM sp WHERE electrode = 5")
+put("stage_cells", CAND, "SELECT electrode, spike_time FROM sp WHERE electrode IN (2, 3, 7)")
+put("stage_discovery", "", "SELECT * FROM (VALUES ('*-spikes', 'run-spikes'), ('*-neurons', NULL), ('run-*', 'several')) t(pattern, found)")
+put("noise_file", CH, "SELECT CAST(row_number() OVER (ORDER BY electrode) AS INTEGER) AS electrode, CASE WHEN row_number() OVER (ORDER BY electrode) = 1 THEN 0.0 ELSE round(stddev_samp(value), 6) END AS sigma FROM ch GROUP BY electrode")
+SQL["dataset_list"] = SQL["dataset_strings"]
+put("spikes_stage", CAND + ", te AS (SELECT *, coalesce(lag(event_type = 'error') OVER (PARTITION BY electrode ORDER BY sample), FALSE) AS before FROM ch)",
+    "SELECT 'spike' AS kind, CAST(spike_time AS INTEGER) AS spike_time, CAST(electrode AS INTEGER) AS electrode FROM sp UNION ALL SELECT 'trigger', CAST(sample AS INTEGER), CAST(electrode AS INTEGER) FROM te WHERE event_type = 'error' AND NOT before UNION ALL SELECT 'n_samples', CAST(max(sample) + 1 AS INTEGER), NULL FROM ch")
+put("covariance_stage", XS, "SELECT electrode, CAST(i AS INTEGER) AS i, " + signed("avg(x)") + " AS mean, count(*) AS n, round(var_samp(x), 6) AS cov FROM x GROUP BY electrode, i")
+put("model_stage", XS, "SELECT electrode, CAST(id % 3 AS INTEGER) AS clust, CAST(i AS INTEGER) AS i, " + signed("avg(x)") + " AS centroid, count(*) AS n FROM x GROUP BY electrode, id % 3, i")
+put("action_stack", KEEP, """SELECT CAST(electrode AS INTEGER) AS electrode, 'AUTO_RM' AS action, NULL AS master_id, string_agg(CAST(pn.id AS VARCHAR), ',' ORDER BY pn.id) AS ids FROM pn LEFT JOIN cnt ON cnt.id = pn.id WHERE coalesce(n, 0) < 5 GROUP BY electrode
+UNION ALL SELECT CAST(electrode AS INTEGER), 'AUTO_MERGE', keeper, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) FROM kp WHERE members > 1 AND id <> keeper GROUP BY electrode, keeper""", True)
+put("label_rewrite", "", "SELECT CAST(n_nationkey AS INTEGER) AS neuron_id, 'Edited/' || n_name AS label FROM nation WHERE n_nationkey % 3 = 0")
+put("neuron_reader", CAND, "SELECT CAST(electrode * 15 + width % 3 AS INTEGER) AS neuron_id, CAST(electrode + 2 AS INTEGER) AS electrode, count(*) AS n, string_agg(CAST(spike_time - 5 AS VARCHAR), ',' ORDER BY spike_time) AS times FROM sp WHERE width % 3 > 0 GROUP BY 1, 2")
+put("image_reader", "", "SELECT vec_id AS neuron_id, vec_id % 5 + 1 AS n, CAST(vec_id // 15 + 2 + (k - 1) // 8 - 4 AS INTEGER) AS electrode, CAST((k - 1) % 8 AS INTEGER) AS i, " + signed("CAST(embedding[k] AS DOUBLE)") + " AS x FROM embeddings, range(1, 65) r(k)")
+put("export_projections", "", "SELECT n_nationkey AS electrode, n_nationkey || ',' || n_regionkey AS pc FROM nation WHERE n_regionkey > 0")
+put("selected_copy", "", "SELECT CAST(o_custkey % 50 AS INTEGER) AS neuron_id, o_orderkey AS spike_time FROM orders WHERE o_custkey % 50 IN (1, 5)")
+put("nearest_model", XS + """,
+md AS (SELECT electrode, id % 3 AS clust, i, avg(x) AS c, var_pop(x) AS v, count(*) AS n FROM x GROUP BY ALL), tot AS (SELECT electrode, i, sum(n) AS t FROM md GROUP BY ALL),
+ft AS (SELECT x.electrode, x.id, md.clust, max(ln(CAST(md.n AS DOUBLE) / t)) - sum((x - c) * (x - c) / v + ln(v)) / 2 AS fit FROM x JOIN md ON md.electrode = x.electrode AND md.i = x.i JOIN tot ON tot.electrode = md.electrode AND tot.i = md.i GROUP BY ALL)""",
+    "SELECT electrode, id AS spike_time, CAST(clust AS INTEGER) AS clust FROM (SELECT *, row_number() OVER (PARTITION BY electrode, id ORDER BY fit DESC, clust) AS nth FROM ft) WHERE nth = 1")
+put("settings_tags", "", """SELECT * FROM (VALUES ('', 16384, 2500, 10, 100, TRUE, CAST(0.015 AS DOUBLE)), ('DEFAULT', 16384, 2500, 10, 100, TRUE, 0.015), ('VINCENT1', 32768, 2500, 3, 500, TRUE, 0.015), ('LIGHT_CLUST', 16384, 1000, 10, 100, TRUE, 0.015),
+  ('VINCENT2', 32768, 2500, 3, 500, TRUE, 0.015), ('QT0.001', 16384, 2500, 3, 500, TRUE, 0.001), ('QT0.005', 16384, 2500, 3, 500, TRUE, 0.005), ('QT0.010', 16384, 2500, 3, 500, TRUE, 0.010), ('QT0.020', 16384, 2500, 3, 500, TRUE, 0.020),
+  ('QT0.025', 16384, 2500, 3, 500, TRUE, 0.025), ('QT0.030', 16384, 2500, 3, 500, TRUE, 0.030), ('NO_WHITE', 16384, 2500, 3, 500, FALSE, 0.015)) t(tag, buffer_size, landmarks, retries, min_spikes, whitening, quality_tolerance)""")
