@@ -252,7 +252,7 @@ def test_dataset_strings(spark):
 
 
 def test_settings():
-    assert settings.settings("light").landmarks == 1_000 and settings.settings().landmarks == 2_500
+    assert settings.settings("LIGHT_CLUST").landmarks == 1_000 and settings.settings().landmarks == 2_500
     assert settings.parse_overrides(["% note", "", "landmarks = 7; % few", "whitening = true"]) == {"landmarks": 7, "whitening": True}
     for bad in (["landmarks"], ["unknown = 3"], ["__import__('os') = 1"]):
         with pytest.raises(ValueError):
