@@ -4,7 +4,9 @@ Writing goes through Spark's text sink, so it works on any store that Spark writ
 executors and tasks that run again. The sink ends every row with a separator, which cannot be empty. A gzip member ends
 with its length in four bytes, the last of them zero for anything under 16 MB: rows are members less that byte, and the
 separator is the zero byte. A longer record is followed by an empty member, which ends with a zero byte too and inflates
-to nothing. Files hold RECORDS records at most, each begins with a warcinfo record.
+to nothing. Files hold RECORDS records at most, each begins with a warcinfo record. The sink parts files by rows, not by
+bytes: where a file has grown to ARCHIVE_BYTES before its rows are full, empty members fill it up, so no archive grows past
+what a reader can hold.
 
 Reading checks each member: it must inflate with the right CRC to a version line, headers, a block of the stated length
 and a matching block digest. When a check fails, the reader searches byte by byte for the next place where a member (or
@@ -29,6 +31,7 @@ VERSION = b"WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
 LEAST_REVISIT = 100  # bytes; shorter payloads are never revisits
 RECORDS = 1_000  # a file
+ARCHIVE_BYTES = 256 << 20  # after which no more records are put in a file
 _EMPTY_MEMBER = zlib.compressobj(6, zlib.DEFLATED, 31).flush()
 
 
@@ -167,7 +170,7 @@ def read_archive(data: bytes) -> Iterator[Record | Gap]:
 # ----------------------------------------------------------------------------------------------------- Spark
 
 
-def write(pages: DataFrame, path: str, least_revisit: int = LEAST_REVISIT, records: int = RECORDS) -> None:
+def write(pages: DataFrame, path: str, least_revisit: int = LEAST_REVISIT, records: int = RECORDS, most: int = ARCHIVE_BYTES) -> None:
     """One record a row of pages (page_id, url, html) in .gz archives under path.
 
     A null html is an empty payload. Of equal payloads of least_revisit bytes or more the smallest page_id is written as
@@ -181,15 +184,18 @@ def write(pages: DataFrame, path: str, least_revisit: int = LEAST_REVISIT, recor
     info = member(record("warcinfo", [("WARC-Record-ID", "<urn:x-info:tidegraph>"), ("WARC-Date", DATE), ("Content-Type", "application/warc-fields")], b"software: tidegraph\r\nformat: WARC File Format 1.1\r\n"))[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = 0
+        n = size = 0
         for batch in (part for whole in batches for part in parts(whole, 200)):
             out = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if size > most:
+                    out += [_EMPTY_MEMBER[:-1]] * (-n % records)
+                    n += -n % records
                 if n % records == 0:
                     out.append(info)
-                    n += 1
+                    n, size = n + 1, len(info)
                 out.append(member(page_record(*row))[:-1])
-                n += 1
+                n, size = n + 1, size + len(out[-1])
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
     rows = p.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
@@ -235,7 +241,8 @@ def round_trip(pages: DataFrame, path: str | None = None) -> DataFrame:
     """Writes pages, reads the archives back: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
     What a revisit refers to gives its payload's length; its digest is in its own header. Length and digest of a response
-    are taken from the payload that was read. Nulls and repeated rows: see write(). No rows: no rows.
+    are taken from the payload that was read. Nulls and repeated rows: see write(). No rows: no rows. Very long pages are
+    records of their own size; archives stay bounded. Columns other than page_id, url and html are ignored.
     """
     spark = pages.sparkSession
     if path is None:
