@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from .common import _IS_SPACE, arrow_map, words
 
 LABELLED, UNLABELLED = 3_000, 3_000
-LONGEST = 50_000  # characters of a text that is learned from
 ROUNDS = 5
 HASHED = 64  # buckets for sources and for languages
 NAMES = "lower upper digit mark other space mean_word long_word short_word word_repeat pair_repeat top_word line_repeat stops caps_word marked_word".split()
@@ -171,15 +170,16 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled: int = UNLABELLED, longest: int = LONGEST) -> CoTrained | None:
+def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> CoTrained | None:
     """Learns from bounded, reproducible samples; never from the labels of rows whose crc32(doc_id) mod 3 is 1."""
     by_hash = lambda d: d.orderBy(F.xxhash64("doc_id"), "doc_id")
     own = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"))
     parts = [by_hash(own.where(F.col("quality") == q)).limit(labelled // 2) for q in (0, 1)]
     free = by_hash(docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").join(labels.select("doc_id"), "doc_id", "left_anti")).limit(unlabelled).withColumn("quality", F.lit(None).cast("int"))
     ids = F.broadcast(parts[0].unionByName(parts[1]).unionByName(free))  # bounded: labelled + unlabelled rows of two numbers
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "source", "lang").join(ids, "doc_id").where(F.coalesce(F.length("text"), F.lit(0)) <= longest)
-    seen = arrow_map(rows.select("doc_id", F.col("text").cast("binary"), "source", "lang", "quality"), _sample_views, "doc_id long, content array<double>, metadata array<double>, quality int").collect()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "source", "lang").join(ids, "doc_id")
+    seen = arrow_map(rows.select("doc_id", F.col("text").cast("binary"), "source", "lang", "quality"), _sample_views, "doc_id long, content array<double>, metadata array<double>, quality int")
+    seen = by_hash(seen).limit(labelled + unlabelled).collect()  # an id may be there many times
     seen.sort(key=lambda r: r["doc_id"])
     known, rest = [r for r in seen if r["quality"] is not None], [r for r in seen if r["quality"] is None]
     both = lambda rs: (np.array([r["content"] for r in rs]).reshape(-1, len(NAMES)), np.array([r["metadata"] for r in rs]).reshape(-1, 2 * HASHED + 24))
@@ -195,7 +195,7 @@ def score(docs: DataFrame, model: CoTrained | None) -> DataFrame:
     """(doc_id, score, predicted) for each row of docs (doc_id, text, source, lang); score is P(quality = 1).
 
     Nulls: a null text counts as empty and is scored on its metadata and an all-zero content view; a null source or
-    language is a value of its own. Without a model (labels of one kind only) every score is 0.5. Repeated rows: a row
+    language is a value of its own. Very long texts are scored whole. Without a model (labels of one kind only) every score is 0.5. Repeated rows: a row
     each. No rows: no rows. Other columns are ignored.
     """
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
