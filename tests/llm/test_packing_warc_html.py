@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidegraph.llm import html_text, packing, queries, warc
 
@@ -194,3 +195,18 @@ def test_very_long_texts_are_packed(spark, path):
     want = [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, 1]
     assert np.frombuffer(b"".join(r.ids for r in got if r.doc_id == 1), "<u4").tolist() == want
     assert all(r.length == 4096 for r in got if r.doc_id == 1 and r.piece < len(want) // 4096)
+
+
+def test_archives_are_bounded_in_bytes(spark, tmp_path):
+    import hashlib
+    import os
+
+    r = random.Random(3)
+    pages = [(i, f"http://x/{i}", "".join(r.choices("abcdefgh", k=4_000))) for i in range(60)]
+    d = spark.createDataFrame(pages, "page_id long, url string, html string").withColumns({"payload": F.lit(1), "digest": F.lit("x"), "value": F.lit(b"y")}).coalesce(1)
+    warc.write(d, str(tmp_path / "a"), records=20, most=10_000)
+    sizes = [os.path.getsize(tmp_path / "a" / n) for n in os.listdir(tmp_path / "a") if n.startswith("part-")]
+    assert len(sizes) > 6 and max(sizes) < 15_000
+    got = warc.read(spark, str(tmp_path / "a"))
+    assert warc.quarantine(got).count() == 0
+    assert sorted(hashlib.sha256(x.payload).hexdigest() for x in got.where("kind = 'response'").collect()) == sorted(hashlib.sha256(h.encode()).hexdigest() for _, _, h in pages)
