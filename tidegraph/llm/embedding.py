@@ -14,17 +14,22 @@ to miss a pair at the threshold with MISS (at cosine 0.95 a bit agrees with prob
 Scale: equal vectors are one class with a weight from the start, so thousands of copies are one row. Buckets are joined to
 themselves on the band by an equi-join that can split; the code estimate is part of its condition, and so is the rule that
 a pair which shares one of the first rotation's bands, as nearly all close pairs do, is met in the first such band only.
-Vectors themselves are moved only for survivors. What grows with the square of a group is the links themselves, where its
-members differ: each is counted, as n_links asks.
+Vectors themselves are moved only for survivors.
+
+A large group of near copies has links by the square of its size, and n_links asks for their number. Most need not be made
+one by one: a vector that is linked to the first of its bucket, its middle, has an exact angle to it, and two vectors whose
+angles to the same middle add up to less than the threshold's angle are linked for certain. These are counted by angle; all
+other pairs go through the codes.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, connected_components, discard, list_array, materialize, ship, signed
@@ -32,6 +37,7 @@ from .common import arrow_map, connected_components, discard, list_array, materi
 THRESHOLD = 0.95
 MISS = 1e-4
 LEAST_BITS, MOST_BITS = 12, 32
+STEPS = 4_096  # of the angle that the threshold stands for
 QUERY_BITS = 4
 BOUND = 4.0  # standard deviations of the code's error that are allowed for
 
@@ -139,7 +145,7 @@ def _exact(threshold: float):
         else:
             cos = _cosine(x, y)
         keep = pa.array(cos >= threshold)
-        return pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["u", "v"])
+        return pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep), pa.array(cos).filter(keep)], ["u", "v", "cos"])
 
     return run
 
@@ -149,6 +155,51 @@ def _cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1)))
 
 
+def _one_of(longest: int, test: Callable[[int], Column]) -> Column:
+    """test(words) for two codes of that many words each."""
+    if longest == 1:
+        return test(1)
+    out = F.lit(False)
+    for w in range(1, longest + 1):
+        out = out | ((F.size("a_code") == w) & (F.size("b_code") == w) & test(w))
+    return out
+
+
+def _confirmed(pairs: DataFrame, codes: DataFrame, threshold: float) -> DataFrame:
+    """(u, v, cos) of those of pairs (u, v) that reach the threshold in double precision."""
+    vec = codes.select("node", F.col("v").alias("x"))
+    both = pairs.join(vec.toDF("u", "xu"), "u").join(vec.toDF("v", "xv"), "v").select("u", "v", "xu", "xv")
+    return arrow_map(both, _exact(threshold), "u long, v long, cos double", 2_000)
+
+
+def _middles(codes: DataFrame, longest: int, threshold: float) -> DataFrame:
+    """(node, middle, step): for vectors that are linked to the first member of a bucket of theirs (of several, the one that
+    shares most buckets), that vector and the angle between, in steps of the threshold's angle. The codes decide which of
+    these pairs are recomputed, as they do for all others; there is one a vector."""
+    bands = codes.select("node", F.explode("bands").alias("band"))
+    firsts = materialize(bands.groupBy("band").agg(F.min("node").alias("at"), F.max("node").alias("last")).where("at < last").select("band", "at"), "firsts")
+    best = bands.join(firsts, "band").where("node > at").groupBy("node", "at").count().groupBy("node").agg(F.max_by("at", F.struct(F.col("count"), -F.col("at"))).alias("at"))
+    side = lambda p: codes.select(*[F.col(c).alias(p + c) for c in ("node", "code", "planes", *FACTS)])
+    met = best.join(side("a_"), F.col("node") == F.col("a_node")).join(side("b_"), F.col("at") == F.col("b_node")).where(_one_of(longest, lambda w: upper_bound("a_", "b_", w) >= threshold))
+    met = _confirmed(met.select(F.col("node").alias("u"), F.col("at").alias("v")), codes, threshold)
+    angle = F.acos(F.least(F.col("cos"), F.lit(1.0)))
+    out = materialize(met.select(F.col("u").alias("node"), F.col("v").alias("middle"), F.floor(angle / math.acos(threshold) * STEPS).cast("int").alias("step")), "middles")
+    discard(firsts)
+    return out
+
+
+def _sure_links(members: DataFrame) -> DataFrame:
+    """(node, sure): how many vectors have the same middle and an angle to it that leaves no doubt, from (node, middle, step,
+    weight). Counted on steps: at most STEPS rows a middle, however many vectors share it."""
+    steps = materialize(members.groupBy("middle", "step").agg(F.sum("weight").alias("w")), "steps")
+    asks = steps.select("middle", (STEPS - 3 - F.col("step")).alias("upto"), F.lit(0).cast("long").alias("w"), F.col("step").alias("of"))
+    run = Window.partitionBy("middle").orderBy("upto", F.col("of").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    both = steps.select("middle", F.col("step").alias("upto"), "w", F.lit(None).cast("int").alias("of")).unionByName(asks)
+    within = both.withColumn("all", F.sum("w").over(run)).where("of is not null").select("middle", F.col("of").alias("step"), "all")
+    own = F.when(2 * F.col("step") + 3 <= STEPS, F.col("weight")).otherwise(F.lit(0))
+    return members.join(materialize(within, "within"), ["middle", "step"]).select("node", (F.col("all") - own).alias("sure"))
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row a row of vectors (vec_id, embedding): vec_id, n_links, component_id, kept.
 
@@ -166,32 +217,33 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     members = materialize(real.withColumns({"same1": F.xxhash64("v"), "same2": F.xxhash64(F.lit(2), "v")}), "members")
     classes = materialize(members.groupBy(*same).agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight")), "classes")
     reps = members.join(classes.select(F.col("id").alias("vec_id"), *same), ["vec_id", *same]).select(F.col("vec_id").alias("id"), "v", *same)
-    reps = materialize(reps.withColumn("node", F.monotonically_increasing_id()), "representatives")  # an id can stand for several classes
+    reps = reps.repartitionByRange("id").sortWithinPartitions("id", *same).withColumn("node", F.monotonically_increasing_id())  # in order of ids; an id can stand for several classes
+    reps = materialize(reps, "representatives")
     bits, n_bands = bands_for(reps.count(), threshold)
     schema = "node long, v array<double>, code array<long>, planes array<long>, " + ", ".join(f"{f} double" for f in FACTS) + ", bands array<long>"
     codes = materialize(arrow_map(reps.select("node", "v"), _codes(bits, n_bands), schema, 2_000), "codes")
-    bands = codes.select(F.explode("bands").alias("band"), "node", "code", "planes", *FACTS)
-    sides = [bands.select("band", *[F.col(c).alias(p + c) for c in bands.columns if c != "band"]) for p in ("a_", "b_")]
     longest = codes.agg(F.max(F.size("code"))).collect()[0][0] or 1
+    middles = _middles(codes, longest, threshold)
+    near = codes.join(middles, "node", "left").withColumns({"middle": F.coalesce("middle", -1 - F.col("node")), "step": F.coalesce("step", F.lit(STEPS))})
+    bands = near.select(F.explode("bands").alias("band"), "node", "middle", "step", "code", "planes", *FACTS)
+    sides = [bands.select("band", *[F.col(c).alias(p + c) for c in bands.columns if c != "band"]) for p in ("a_", "b_")]
     nth = F.shiftright(sides[0]["band"], 32).bitwiseAND(F.lit(1023))
-    may = F.lit(False)
-    for w in range(1, longest + 1):
-        one = (upper_bound("a_", "b_", w) >= threshold) & ~met_before("a_", "b_", nth, w, bits)
-        may = one if longest == 1 else may | ((F.size("a_code") == w) & (F.size("b_code") == w) & one)
-    pairs = sides[0].join(sides[1], (sides[0]["band"] == sides[1]["band"]) & (F.col("a_node") < F.col("b_node")) & may)
+    may = _one_of(longest, lambda w: (upper_bound("a_", "b_", w) >= threshold) & ~met_before("a_", "b_", nth, w, bits))
+    sure = (F.col("a_middle") == F.col("b_middle")) & (F.col("a_step") + F.col("b_step") + 3 <= STEPS)
+    pairs = sides[0].join(sides[1], (sides[0]["band"] == sides[1]["band"]) & (F.col("a_node") < F.col("b_node")) & ~sure & may)
     pairs = materialize(pairs.select(F.col("a_node").alias("u"), F.col("b_node").alias("v")).distinct(), "pairs")
-    vec = codes.select("node", F.col("v").alias("x"))
-    both = pairs.join(vec.toDF("u", "xu"), "u").join(vec.toDF("v", "xv"), "v").select("u", "v", "xu", "xv")
-    links = materialize(arrow_map(both, _exact(threshold), "u long, v long", 2_000), "links")
+    links = materialize(_confirmed(pairs, codes, threshold).select("u", "v"), "links")
     labels = connected_components(links, "vectors")
     facts = reps.select("node", *same).join(classes.select(*same, "weight"), same)
     ends = links.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("to")), F.struct(F.col("v").alias("node"), F.col("u").alias("to")))).alias("e")).select("e.*")
     degree = ends.join(facts.select(F.col("node").alias("to"), "weight"), "to").groupBy("node").agg(F.sum("weight").alias("more"))
-    facts = facts.join(degree, "node", "left").join(labels, F.col("node") == F.col("id"), "left").select(*same, "node", F.coalesce("component", "node").alias("component"), (F.col("weight") - 1 + F.coalesce("more", F.lit(0))).alias("n"))
+    counted = _sure_links(middles.join(facts.select("node", "weight"), "node"))
+    facts = facts.join(degree, "node", "left").join(counted, "node", "left").join(labels, F.col("node") == F.col("id"), "left")
+    facts = facts.select(*same, "node", F.coalesce("component", "node").alias("component"), (F.col("weight") - 1 + F.coalesce("more", F.lit(0)) + F.coalesce("sure", F.lit(0))).alias("n"))
     facts = materialize(facts, "degrees")
     found = members.select("vec_id", *same).join(facts, same).select("vec_id", "node", "component", "n")
     found = materialize(found, "found")
-    discard(codes, pairs, links, labels, facts)
+    discard(codes, middles, pairs, links, labels, facts)
     # an id with several vectors joins their components
     several = materialize(found.groupBy("vec_id").agg(F.min("component").alias("u"), F.max("component").alias("w")).where("u < w").select("vec_id", "u"), "several")
     if not several.isEmpty():
