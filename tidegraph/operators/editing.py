@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import MAX_CLUSTERS
@@ -60,8 +60,8 @@ class Action:
 
 def since_consolidate(log: DataFrame) -> DataFrame:
     """Rows after the last CONSOLIDATE; all without one."""
-    mark = F.coalesce(F.max(F.when(F.col("action") == "CONSOLIDATE", F.col("seq"))).over(Window.partitionBy()), F.lit(-1))
-    return log.withColumn("mark", mark).where("seq > mark").drop("mark")
+    mark = log.where("action = 'CONSOLIDATE'").agg(F.coalesce(F.max("seq"), F.lit(-1)).alias("mark"))  # one row
+    return log.join(F.broadcast(mark), F.col("seq") > F.col("mark")).drop("mark")
 
 
 def for_electrode(log: DataFrame, electrode: int) -> DataFrame:

@@ -25,10 +25,6 @@ WITHIN, ACROSS = 1.1, 1.0  # of normalised traces
 AUTO = [editing.Action("AUTO_RM", ids=[2, 16]), editing.Action("AUTO_MERGE", master_id=3, ids=[1, 5]), editing.Action("AUTO_RM_DUP", master_id=3, ids=[17, 4]), editing.Action("AUTO_MERGE", master_id=2, ids=[7, 8])]
 MANUAL = [editing.Action("KEEP", ids=[16]), editing.Action("MERGE", ids=[1, 2]), editing.Action("DELETE", ids=[4]), editing.Action("CONSOLIDATE"), editing.Action("MERGE", ids=[5, 7])]
 BASIS = [(1, [1.0, 0.5, -0.5, 0.25, 0.0, 0.0, 1.0, -1.0]), (2, [0.0, 1.0, 1.0, -1.0, 0.5, -0.5, 0.0, 0.25])]  # repeated along the vector
-CHAIN = [(1, 2), (2, 3), (3, 4), (10, 11), (11, 12), (20, 21)]
-STATUSES = [(1, 0, None), (2, 1, None), (3, 2, 1), (17, 3, 1), (18, -1, None), (20, -2, None), (31, 2, 16)]
-DATASETS = ["a.bin(10-20)", "b.bin(5-)", "c.bin(-7.5)", "d.bin"]
-LABELS = ["3 All/ON/parasol", "x All/no", "12 All/", "7 All/OFF", "9 Other/z"]
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -464,7 +460,9 @@ def duplicates_by_master(spark, sf_dir):
 
 @query
 def shorten_duplicate_chains(spark, sf_dir):
-    return graph.shorten_chains(spark.createDataFrame(CHAIN, "master_id int, loser_id int"))
+    """Every customer but each third lost to the one with half its number."""
+    k = F.col("c_custkey")
+    return graph.shorten_chains(table(spark, sf_dir, "customer").where(k % 3 != 0).select(F.floor(k / 2).cast("int").alias("master_id"), k.cast("int").alias("loser_id")))
 
 
 # ----------------------------------------------------------------------------------------------- codes, edits
@@ -477,13 +475,28 @@ def id_codec(spark, sf_dir):
     return n.select("electrode", "clust", "neuron_id", electrode_of(F.col("neuron_id")).alias("back_electrode"), cluster_of(F.col("neuron_id")).alias("back_clust"))
 
 
-def _statuses(spark):
-    return spark.createDataFrame(STATUSES, "neuron_id int, code int, master_id int")
+def _statuses(spark, sf_dir):
+    """A status for every customer's neuron; merged and duplicate ones have a master."""
+    k, code = F.col("c_custkey"), (F.col("c_custkey") * 7 % 6 - 2).cast("int")
+    return table(spark, sf_dir, "customer").select((k + 1).cast("int").alias("neuron_id"), code.alias("code"), F.when(code >= 2, F.floor(k / 3) + 1).cast("int").alias("master_id"))
+
+
+def _label_lines(spark, sf_dir):
+    """Classification lines of nations, every fourth of them not one."""
+    n = F.col("n_nationkey")
+    return table(spark, sf_dir, "nation").select(F.concat(F.when(n % 4 == 3, F.lit("x")).otherwise(F.lit("")), n.cast("string"), F.lit(" All/"), F.when(n % 5 == 0, F.lit("")).otherwise(F.col("n_name"))).alias("value"))
+
+
+def _dataset_strings(spark, sf_dir):
+    """Strings of all four forms."""
+    n = F.col("n_nationkey")
+    form = F.when(n % 4 == 0, F.concat(F.lit("("), n, F.lit("-"), n + 10, F.lit(")"))).when(n % 4 == 1, F.concat(F.lit("("), n, F.lit("-)"))).when(n % 4 == 2, F.concat(F.lit("(-"), n, F.lit(".5)"))).otherwise(F.lit(""))
+    return table(spark, sf_dir, "nation").select(F.concat(F.lower(F.regexp_replace("n_name", "[^A-Za-z0-9]", "_")), F.lit(".bin"), form).alias("s"))
 
 
 @query
 def status_labels(spark, sf_dir):
-    return _statuses(spark).select("neuron_id", status_label(F.col("code"), F.col("master_id")).alias("label"))
+    return _statuses(spark, sf_dir).select("neuron_id", status_label(F.col("code"), F.col("master_id")).alias("label"))
 
 
 @query
@@ -494,12 +507,12 @@ def status_summary(spark, sf_dir):
 
 @query
 def default_visible(spark, sf_dir):
-    return _statuses(spark).where(~F.col("code").isin(1, -2)).select("neuron_id", "code")
+    return _statuses(spark, sf_dir).where(~F.col("code").isin(1, -2)).select("neuron_id", "code")
 
 
 @query
 def colour_ranks(spark, sf_dir):
-    return rounded(reports.colour_ranks(_statuses(spark).withColumn("g", F.lit(1)), "g").select("neuron_id", "hue"), "hue")
+    return rounded(reports.colour_ranks(_statuses(spark, sf_dir).withColumn("g", electrode_of(F.col("neuron_id"))), "g").select("neuron_id", "hue"), "hue")
 
 
 @query
@@ -512,9 +525,9 @@ def pretty_print(spark, sf_dir):
 def cluster_report(spark, sf_dir):
     """What the cluster table shows: id, colour rank, whether displayed, status, events, rate, contamination, classification."""
     o = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("int").alias("neuron_id"), F.col("o_orderkey").alias("spike_time"))
-    labels = stages.parse_labels(spark.createDataFrame([(s,) for s in LABELS], "value string"))
+    labels = stages.parse_labels(_label_lines(spark, sf_dir))
     stats = reports.contamination(o, 500.0, 36_000_000.0)
-    d = stats.join(_statuses(spark), "neuron_id", "left").withColumn("code", F.coalesce("code", F.lit(0)))
+    d = stats.join(_statuses(spark, sf_dir), "neuron_id", "left").withColumn("code", F.coalesce("code", F.lit(0)))
     d = reports.colour_ranks(d.withColumn("g", electrode_of(F.col("neuron_id"))), "g").drop("g")
     d = stages.label_neurons(d, labels)
     d = d.select("neuron_id", "hue", (~F.col("code").isin(1, -2)).alias("displayed"), status_label(F.col("code"), F.col("master_id")).alias("status"), F.col("n").alias("n_spikes"), rate(F.col("n"), F.lit(36_000_000.0)).alias("hz"), "contamination", "label")
@@ -636,19 +649,21 @@ def preview_electrode(spark, sf_dir):
     return rounded(view.report(), "contamination")
 
 
-def _log(spark):
-    rows = [(i + 1, a.action, a.ids) for i, a in enumerate(MANUAL)]
-    return spark.createDataFrame(rows, "seq int, action string, ids array<int>")
+def _log(spark, sf_dir):
+    """An order is an action on two customers' neurons; those of a whole thousand consolidate."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey").cast("int")
+    action = F.when(k % 1000 == 0, "CONSOLIDATE").when(k % 3 == 0, "KEEP").when(k % 3 == 1, "DELETE").otherwise("MERGE")
+    return table(spark, sf_dir, "orders").select(k.alias("seq"), action.alias("action"), F.when(action == "CONSOLIDATE", F.array().cast("array<int>")).otherwise(F.array(c, c + 7)).alias("ids"))
 
 
 @query
 def actions_since_consolidate(spark, sf_dir):
-    return editing.since_consolidate(_log(spark)).select("seq", "action", F.array_join("ids", ",").alias("ids"))
+    return editing.since_consolidate(_log(spark, sf_dir)).select("seq", "action", F.array_join("ids", ",").alias("ids"))
 
 
 @query
 def actions_of_electrode(spark, sf_dir):
-    return editing.for_electrode(_log(spark), 3).select("seq", "action")
+    return editing.for_electrode(_log(spark, sf_dir), 3).select("seq", "action")
 
 
 @query
@@ -679,18 +694,17 @@ def concat_offsets(spark, sf_dir):
 
 @query
 def dataset_strings(spark, sf_dir):
-    d = spark.createDataFrame([(s,) for s in DATASETS], "s string")
-    return d.select(*recordings.dataset_columns(F.col("s")))
+    return _dataset_strings(spark, sf_dir).select(*recordings.dataset_columns(F.col("s")))
 
 
 @query
 def classification_labels(spark, sf_dir):
-    return stages.parse_labels(spark.createDataFrame([(s,) for s in LABELS], "value string"))
+    return stages.parse_labels(_label_lines(spark, sf_dir))
 
 
 @query
 def label_join(spark, sf_dir):
-    labels = stages.parse_labels(spark.createDataFrame([(s,) for s in LABELS], "value string"))
+    labels = stages.parse_labels(_label_lines(spark, sf_dir))
     n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("neuron_id"))
     return stages.label_neurons(n, labels)
 
@@ -994,7 +1008,8 @@ def noise_file(spark, sf_dir):
 @query
 def dataset_list(spark, sf_dir):
     path = scratch(spark, "list")
-    spark.createDataFrame([(s,) for s in ["", *DATASETS, "  "]], "value string").coalesce(1).write.text(path)
+    blank = spark.createDataFrame([("",), ("  ",)], "value string")
+    _dataset_strings(spark, sf_dir).toDF("value").unionByName(blank).write.text(path)
     return stages.read_lines(spark, path).select(*recordings.dataset_columns(F.col("line")))
 
 
@@ -1038,7 +1053,7 @@ def action_stack(spark, sf_dir):
 def label_rewrite(spark, sf_dir):
     """Labels are rewritten beside the one classification that there was."""
     folder = scratch(spark, "labels")
-    spark.createDataFrame([(s,) for s in LABELS], "value string").coalesce(1).write.text(f"{folder}/run.classification")
+    _label_lines(spark, sf_dir).coalesce(1).write.text(f"{folder}/run.classification")
     n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("neuron_id"), F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit("Edited/"), F.col("n_name"))).otherwise(F.lit("")).alias("label"))
     return stages.parse_labels(spark.read.text(stages.rewrite_labels(spark, n, folder)))
 

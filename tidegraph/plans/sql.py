@@ -66,7 +66,8 @@ share AS (SELECT *, CASE WHEN sum(CAST(n AS DOUBLE) * n) OVER (PARTITION BY neur
 WEEKS = US + """,
 z AS (SELECT neuron_id, t - (SELECT min(t) FROM us) AS t FROM us),
 w(dataset, start, stop) AS (VALUES ('w1', 0, 604800000000), ('w2', 604800000000, 1468800000000), ('w3', 1468800000000, 1900800000000))"""
-STATUSES = """st(neuron_id, code, master_id) AS (VALUES (1, 0, NULL), (2, 1, NULL), (3, 2, 1), (17, 3, 1), (18, -1, NULL), (20, -2, NULL), (31, 2, 16))"""
+STATUSES = """st AS (SELECT CAST(c_custkey + 1 AS INTEGER) AS neuron_id, CAST(c_custkey * 7 % 6 - 2 AS INTEGER) AS code, CASE WHEN c_custkey * 7 % 6 - 2 >= 2 THEN CAST(c_custkey // 3 + 1 AS INTEGER) END AS master_id FROM customer)"""
+LINES = """l(id, label) AS (SELECT CAST(n_nationkey AS INTEGER), CASE WHEN n_nationkey % 5 = 0 THEN '' ELSE n_name END FROM nation WHERE n_nationkey % 4 <> 3)"""
 LABEL = """CASE code WHEN 2 THEN 'Merge with ' || master_id WHEN 3 THEN 'Dup. of ID ' || master_id || ', El ' || ((master_id - 1) // 15 + 1)
   WHEN 0 THEN 'Keep' WHEN 1 THEN 'Contam / Low count' WHEN -2 THEN 'Discard' ELSE 'Unknown' END"""
 
@@ -151,21 +152,21 @@ kp AS (SELECT comp.*, first_value(comp.id) OVER (PARTITION BY pair, component OR
 dup AS (SELECT pair, keeper AS master_id, id AS loser_id FROM kp WHERE id <> keeper)"""
 put("global_duplicate_pairs", GLOB, "SELECT pair, master_id, loser_id FROM dup", True)
 put("duplicates_by_master", GLOB, "SELECT master_id, string_agg(CAST(loser_id AS VARCHAR), ',' ORDER BY loser_id) AS ids FROM (SELECT DISTINCT master_id, loser_id FROM dup) GROUP BY master_id", True)
-put("shorten_duplicate_chains", """l(m, x) AS (VALUES (1, 2), (2, 3), (3, 4), (10, 11), (11, 12), (20, 21)),
+put("shorten_duplicate_chains", """l AS (SELECT CAST(c_custkey // 2 AS INTEGER) AS m, CAST(c_custkey AS INTEGER) AS x FROM customer WHERE c_custkey % 3 <> 0),
 up AS (SELECT m, x FROM l UNION SELECT l.m, up.x FROM up JOIN l ON l.x = up.m)""",
     "SELECT m AS master_id, x AS loser_id FROM up WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.x = up.m)", True)
 put("id_codec", "", "SELECT CAST(s_suppkey + 1 AS INTEGER) AS electrode, CAST(c AS INTEGER) AS clust, CAST((s_suppkey - 1) * 15 + c AS INTEGER) AS neuron_id, CAST(s_suppkey + 1 AS INTEGER) AS back_electrode, CAST(c AS INTEGER) AS back_clust FROM supplier, range(1, 16) r(c)")
 put("status_labels", STATUSES, f"SELECT neuron_id, {LABEL} AS label FROM st")
 put("status_summary", "", "SELECT CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE -1 END AS code, count(*) AS n FROM orders GROUP BY 1")
 put("default_visible", STATUSES, "SELECT neuron_id, code FROM st WHERE code NOT IN (1, -2)")
-put("colour_ranks", STATUSES, "SELECT neuron_id, round((row_number() OVER (ORDER BY coalesce(master_id, neuron_id), neuron_id) - 1) / CAST(count(*) OVER () AS DOUBLE), 6) AS hue FROM st")
+put("colour_ranks", STATUSES, "SELECT neuron_id, round((row_number() OVER (PARTITION BY floor((neuron_id - 1) / 15.0) ORDER BY coalesce(master_id, neuron_id), neuron_id) - 1) / CAST(count(*) OVER (PARTITION BY floor((neuron_id - 1) / 15.0)) AS DOUBLE), 6) AS hue FROM st")
 put("pretty_print", "", "SELECT n_nationkey, '[' || n_nationkey || ' ' || CASE WHEN n_nationkey % 8 = 0 THEN CAST(n_nationkey // 8 AS VARCHAR) ELSE printf('%.2f', n_nationkey / 8.0) END || ' ' || n_regionkey || ']' AS said FROM nation")
 put("cluster_report", STATUSES + """,
 o AS (SELECT CAST(o_custkey AS INTEGER) AS neuron_id, o_orderkey AS t FROM orders),
 g AS (SELECT neuron_id, t - lag(t) OVER (PARTITION BY neuron_id ORDER BY t) AS gap FROM o),
 n AS (SELECT neuron_id, count(*) AS n_spikes, count(*) FILTER (gap > 0 AND gap <= 500) AS bad FROM g GROUP BY neuron_id),
 j AS (SELECT n.neuron_id, n_spikes, bad, coalesce(code, 0) AS code, master_id FROM n LEFT JOIN st ON n.neuron_id = st.neuron_id),
-l(id, label) AS (VALUES (3, 'ON/parasol'), (12, ''), (7, 'OFF'))""",
+""" + LINES,
     f"""SELECT neuron_id, round((row_number() OVER (PARTITION BY floor((neuron_id - 1) / 15.0) ORDER BY coalesce(master_id, neuron_id), neuron_id) - 1) / CAST(count(*) OVER (PARTITION BY floor((neuron_id - 1) / 15.0)) AS DOUBLE), 6) AS hue,
   code NOT IN (1, -2) AS displayed, {LABEL} AS status, n_spikes, round(n_spikes * 20000.0 / 36000000.0, 6) AS hz,
   round(CASE WHEN n_spikes < 2 THEN 0.0 ELSE bad * 36000000.0 / (500.0 * n_spikes * n_spikes) END, 6) AS contamination, label FROM j LEFT JOIN l ON l.id = neuron_id""")
@@ -181,15 +182,17 @@ put("apply_manual_actions", LI, f"SELECT CAST(CASE WHEN id IN (1, 2) THEN {BIG.f
 put("incremental_actions", LI, f"SELECT CAST(CASE WHEN id IN (5, 7) THEN {BIG.format(a=5, b=7)} ELSE id END AS INTEGER) AS neuron_id, CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY 1")
 put("auto_dry_run", LI + f", m AS (SELECT {BIG.format(a=7, b=8)} AS k)", """SELECT id AS neuron_id, CASE WHEN id = 2 THEN 1 WHEN id IN (1, 5) THEN 2 WHEN id IN (17, 4) THEN 3 WHEN id IN (7, 8) AND id <> k THEN 2 ELSE 0 END AS code,
   CASE WHEN id IN (1, 5, 17, 4) THEN 3 WHEN id IN (7, 8) AND id <> k THEN k END AS master_id FROM c, m""")
-LOG = "lg(seq, action, ids) AS (VALUES (1, 'KEEP', [16]), (2, 'MERGE', [1, 2]), (3, 'DELETE', [4]), (4, 'CONSOLIDATE', []), (5, 'MERGE', [5, 7]))"
+LOG = """lg AS (SELECT o_orderkey AS seq, CASE WHEN o_orderkey % 1000 = 0 THEN 'CONSOLIDATE' WHEN o_orderkey % 3 = 0 THEN 'KEEP' WHEN o_orderkey % 3 = 1 THEN 'DELETE' ELSE 'MERGE' END AS action,
+  CASE WHEN o_orderkey % 1000 = 0 THEN [] ELSE [o_custkey, o_custkey + 7] END AS ids FROM orders)"""
 put("actions_since_consolidate", LOG, "SELECT seq, action, array_to_string(ids, ',') AS ids FROM lg WHERE seq > (SELECT coalesce(max(seq), -1) FROM lg WHERE action = 'CONSOLIDATE')")
 put("actions_of_electrode", LOG, "SELECT seq, action FROM lg WHERE len(list_filter(ids, lambda x: x BETWEEN 16 AND 30)) > 0")
 put("missing_ids", "", "SELECT CAST(id AS BIGINT) AS neuron_id FROM (VALUES (1), (5), (1000000000)) a(id) WHERE id NOT IN (SELECT c_custkey FROM customer)")
 put("split_by_interval", WEEKS, "SELECT dataset, neuron_id, t - start AS spike_time FROM z JOIN w ON t >= start AND t < stop")
 put("concat_offsets", WEEKS, "SELECT dataset, neuron_id, t AS spike_time FROM z JOIN w ON t >= start AND t < stop")
-put("dataset_strings", "", "SELECT * FROM (VALUES ('a.bin', CAST(10 AS DOUBLE), CAST(20 AS DOUBLE)), ('b.bin', 5, NULL), ('c.bin', 0, 7.5), ('d.bin', 0, NULL)) t(path, start, stop)")
-put("classification_labels", "", "SELECT * FROM (VALUES (3, 'ON/parasol'), (12, ''), (7, 'OFF')) t(neuron_id, label)")
-put("label_join", "l(id, label) AS (VALUES (3, 'ON/parasol'), (12, ''), (7, 'OFF'))", "SELECT n_nationkey AS neuron_id, label FROM nation LEFT JOIN l ON id = n_nationkey")
+put("dataset_strings", "n AS (SELECT n_nationkey AS k, regexp_replace(lower(n_name), '[^a-z0-9]', '_', 'g') || '.bin' AS path FROM nation)",
+    "SELECT path, CAST(CASE WHEN k % 4 IN (0, 1) THEN k ELSE 0 END AS DOUBLE) AS start, CASE k % 4 WHEN 0 THEN CAST(k + 10 AS DOUBLE) WHEN 2 THEN k + CAST(0.5 AS DOUBLE) END AS stop FROM n")
+put("classification_labels", LINES, "SELECT id AS neuron_id, label FROM l")
+put("label_join", LINES, "SELECT n_nationkey AS neuron_id, label FROM nation LEFT JOIN l ON id = n_nationkey")
 put("export_models", "p AS (SELECT label AS electrode, CAST(vec_id % 2 + 1 AS INTEGER) AS clust, count(*) AS n, max(len(embedding)) AS dims FROM embeddings GROUP BY ALL), s AS (SELECT *, n / CAST(sum(n) OVER (PARTITION BY electrode) AS DOUBLE) AS f FROM p), e AS (SELECT CAST(e AS INTEGER) AS e FROM range(0, 14) r(e) UNION SELECT electrode FROM p)",
     "SELECT e AS electrode, coalesce(clust, 1) AS clust, CAST(coalesce(dims, 1) AS INTEGER) AS dims, round(coalesce(f, 0.0), 6) AS mix_frac FROM e LEFT JOIN s ON s.electrode = e")
 put("export_neurons", CAND, "SELECT CAST(electrode * 15 + width % 3 AS INTEGER) AS neuron_id, CAST(electrode + 2 AS INTEGER) AS electrode, spike_time - 5 AS spike_time FROM sp WHERE width % 3 > 0")
