@@ -113,6 +113,11 @@ def test_merge_tree():
     assert t.cut(0.5) == [[1, 2], [3], [4]] and t.cut(1) == [[1, 2, 3, 4]]
 
 
+def test_rectangles():
+    t = graph.MergeTree([1, 2, 3, 4, 5], [(0.5, 3, 4), (0.1, 1, 2), (0.9, 2, 3)])
+    assert t.rectangles() == [(0.9, 1.9, 0, 4), (0.1, 0.9, 0, 2), (0.0, 0.1, 0, 1), (0.0, 0.1, 1, 2), (0.5, 0.9, 2, 4), (0.0, 0.5, 2, 3), (0.0, 0.5, 3, 4), (0.0, 1.0, 4, 5)]
+
+
 def test_chains(spark):
     got = graph.shorten_chains(spark.createDataFrame([(1, 2), (2, 3), (3, 4)], "master_id int, loser_id int")).collect()
     assert sorted(map(tuple, got)) == [(1, 2), (1, 3), (1, 4)]
@@ -152,7 +157,9 @@ def test_stride(spark):
     four = spark.createDataFrame([(1, t) for t in range(4)], "neuron_id int, spike_time long")
     assert reports.stride_sample(four, 10).count() == 4
     twelve = spark.createDataFrame([(1, t) for t in range(12)], "neuron_id int, spike_time long")
-    assert sorted(r.spike_time for r in reports.stride_sample(twelve, 4).collect()) == [3, 6, 9]
+    assert sorted(r.spike_time for r in reports.stride_sample(twelve, 4).collect()) == [0, 3, 6, 9]  # the very first one too
+    later = twelve.unionByName(twelve.selectExpr("2 AS neuron_id", "spike_time + 1 AS spike_time"))
+    assert sorted(r.spike_time for r in reports.stride_sample(later, 4).where("neuron_id = 2").collect()) == [4, 7, 10]
 
 
 def test_covariance(spark):

@@ -142,6 +142,26 @@ class MergeTree:
     def thresholds(self) -> list[float]:
         return [d for d, _, _ in self.merges]
 
+    def rectangles(self) -> list[tuple[float, float, int, int]]:
+        """(low, high, first, end) of every part that holds between two thresholds: it is merged at low (0 for single nodes) and
+        taken in at high (a root: one above its own), and covers places first..end of an order in which parts lie together.
+        Roots come by their smallest member, each before what it was merged from, the left side first."""
+        made = {tuple(sorted(a + b)): (d, tuple(a), tuple(b)) for d, a, b in self.merges}
+        out: list[tuple[float, float, int, int]] = []
+        todo, at = [], 0
+        for _, members in sorted(self.members.items()):
+            part = tuple(members)
+            todo.append((part, (made[part][0] if part in made else 0.0) + 1, at))
+            at += len(part)
+        todo.reverse()
+        while todo:
+            part, high, first = todo.pop()
+            low, left, right = made.get(part, (0.0, (), ()))
+            out.append((low, high, first, first + len(part)))
+            if left:
+                todo += [(right, low, first + len(left)), (left, low, first)]
+        return out
+
     def depth(self) -> int:
         level = dict.fromkeys(self.lead, 0)
         for _, a, b in self.merges:

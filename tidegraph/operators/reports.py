@@ -51,10 +51,13 @@ def smoothed(d: DataFrame, key: str, order: str, value: str, taps: int = 8) -> D
 
 
 def stride_sample(trains: DataFrame, target: int, key: str = "neuron_id", time: str = "spike_time") -> DataFrame:
-    """About `target` events a train by a whole stride: all if it is 0, else the 0-based places i > 0 that it divides."""
+    """About `target` events a train by a whole stride: all if it is 0, else the 0-based places i > 0 that it divides. The
+    very first event of all trains is kept whatever its place (of several at that time, the one of the smallest key)."""
     w = Window.partitionBy(key)
-    d = trains.withColumn("i", F.row_number().over(w.orderBy(time)) - 1).withColumn("step", F.floor(F.count(F.lit(1)).over(w) / target))
-    return d.where("step = 0 or (i > 0 and i % step = 0)").drop("i", "step")
+    start = trains.agg(F.min(F.struct(time, key)).alias("start"))  # one row
+    d = trains.crossJoin(F.broadcast(start)).withColumn("i", F.row_number().over(w.orderBy(time)) - 1).withColumn("step", F.floor(F.count(F.lit(1)).over(w) / target))
+    first = (F.col("i") == 0) & (F.struct(time, key) == F.col("start"))
+    return d.where((F.col("step") == 0) | ((F.col("i") > 0) & (F.col("i") % F.col("step") == 0)) | first).drop("i", "step", "start")
 
 
 def average_image(trains: DataFrame, samples: DataFrame, left: int, right: int, electrodes: DataFrame | None = None) -> DataFrame:

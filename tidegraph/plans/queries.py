@@ -182,8 +182,7 @@ def random_noise_events(spark, sf_dir):
     return detection.random_events(spans, 0.2)
 
 
-@query
-def stream_detect_equals_batch(spark, sf_dir):
+def _streamed(spark, sf_dir, alpha):
     """The streaming detector over files that follow one another in time, a file a micro-batch, into a Parquet sink."""
     from ..streaming import detect_stream
 
@@ -193,12 +192,23 @@ def stream_detect_equals_batch(spark, sf_dir):
     for i in range(3):
         rows.where(F.floor(F.col("sample") / step) == i).coalesce(1).write.mode("append").parquet(f"{folder}/in")
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
-    found = detect_stream(stream, max_width=MAX_WIDTH, min_gap=MIN_GAP)
+    found = detect_stream(stream, max_width=MAX_WIDTH, min_gap=MIN_GAP, alpha=alpha)
     run = found.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
     run.awaitTermination()
     return rounded(spark.read.schema(found.schema).parquet(f"{folder}/out"), "amplitude", digits=9)
 
 
+@query
+def stream_detect_equals_batch(spark, sf_dir):
+    return _streamed(spark, sf_dir, 0.0)
+
+
+@query
+def stream_filtered_detect(spark, sf_dir):
+    """With the drift filter's memory carried between micro-batches."""
+    return _streamed(spark, sf_dir, ALPHA)
+
+
 @query
 def spikes_in_order(spark, sf_dir):
     """The events of all channels with their places in the one order by time, which the sink's files follow."""

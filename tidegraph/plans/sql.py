@@ -209,7 +209,8 @@ put("acf_smoothed", HOURS, "SELECT neuron_id, bin, round(sum(share) OVER (PARTIT
 put("compound_ei", XS + ", " + CNT, "SELECT electrode, CAST(i AS INTEGER) AS i, CAST(sum(n) AS BIGINT) AS n, " + signed("sum(n * x) / sum(n)") + " AS x FROM x JOIN cnt ON x.id = cnt.id GROUP BY electrode, i")
 STRIDE = CAND + """,
 pl AS (SELECT electrode AS neuron_id, spike_time, row_number() OVER (PARTITION BY electrode ORDER BY spike_time) - 1 AS i, count(*) OVER (PARTITION BY electrode) // 3 AS step FROM sp),
-sd AS (SELECT neuron_id, spike_time FROM pl WHERE step = 0 OR (i > 0 AND i % CASE WHEN step = 0 THEN 1 ELSE step END = 0))"""
+sd AS (SELECT neuron_id, spike_time FROM pl WHERE step = 0 OR (i > 0 AND i % CASE WHEN step = 0 THEN 1 ELSE step END = 0)
+  OR (i = 0 AND (spike_time, neuron_id) = (SELECT (spike_time, neuron_id) FROM pl ORDER BY spike_time, neuron_id LIMIT 1)))"""
 put("ei_stride_sample", STRIDE, "SELECT neuron_id, spike_time FROM sd")
 put("ei_average", STRIDE + ", " + ADJ.format(reach=2), "SELECT neuron_id, up.electrode, CAST(up.sample - spike_time AS INTEGER) AS pos, count(*) AS n, round(avg(v), 9) AS mean FROM sd JOIN adj ON adj.electrode = neuron_id JOIN up ON up.electrode = adj.neighbor AND up.sample BETWEEN spike_time - 2 AND spike_time + 6 GROUP BY ALL")
 put("asof_trigger", CAND + ", tt AS (SELECT *, coalesce(lag(event_type = 'error') OVER (PARTITION BY electrode ORDER BY sample), FALSE) AS was_error FROM ch), tg AS (SELECT electrode, sample AS trigger_time FROM tt WHERE event_type = 'error' AND NOT was_error)",
@@ -222,6 +223,14 @@ put("set_operations", "a AS (SELECT c_nationkey AS k FROM customer), b AS (SELEC
 put("final_or_raw", "", "SELECT p_partkey, round(CASE WHEN p_size > 25 THEN p_retailprice * 2 ELSE p_retailprice END, 6) AS x FROM part")
 
 
+UPF = CH + """,
+lim AS (SELECT electrode, avg(value) AS mu, stddev_samp(value) AS threshold FROM ch GROUP BY electrode),
+raw AS (SELECT ch.electrode, ch.sample, mu - ch.value AS v, threshold FROM ch JOIN lim ON ch.electrode = lim.electrode),
+em AS (SELECT electrode, sample, threshold, v AS drift, CAST(0.0 AS DOUBLE) AS f FROM raw WHERE sample = 0 UNION ALL
+  SELECT r.electrode, r.sample, r.threshold, 0.8 * e.drift + 0.2 * r.v, r.v - (0.8 * e.drift + 0.2 * r.v) FROM em e JOIN raw r ON r.electrode = e.electrode AND r.sample = e.sample + 1),
+up AS (SELECT electrode, sample, f AS v, threshold FROM em)"""
+put("stream_filtered_detect", UPF + CAND[len(UP) :], "SELECT electrode, spike_time, width, round(amplitude, 9) AS amplitude FROM sp", True)
+
 # ------------------------------------------------------------------------------------- images, edits, stage tables
 
 put("noise_floor_converged", """ch0 AS (SELECT user_id AS electrode, CAST(value AS DOUBLE) AS x FROM events),
