@@ -210,3 +210,56 @@ def test_archives_are_bounded_in_bytes(spark, tmp_path):
     got = warc.read(spark, str(tmp_path / "a"))
     assert warc.quarantine(got).count() == 0
     assert sorted(hashlib.sha256(x.payload).hexdigest() for x in got.where("kind = 'response'").collect()) == sorted(hashlib.sha256(h.encode()).hexdigest() for _, _, h in pages)
+
+
+HAND_LABELLED = [
+    (
+        """<!doctype html><html lang=en><head><meta charset=utf-8><title>Bread - Blog</title><style>p{color:red}</style><script>for(i=0;i<n;i++){f('</p>')}</script></head>
+<body class="home"><div id="wrapper"><div class="site-header"><a href="/">My kitchen</a><p class="tagline">Notes on food</p></div>
+<ul class="menu"><li><a href="/a">Home</a></li><li><a href="/b">Recipes</a></li><li><a href="/c">About me</a></li></ul>
+<div class="post-content"><h1>How to bake bread</h1><p title="first>Flour, water, salt and time are all that a good loaf needs; everything else is habit.</p>
+<p>Mix <math><mi>a</mi><mo>=</mo><mn>500</mn></math> grams of flour with water. Let it rest for an hour, then fold it.</p><ol><li>Heat the oven to its highest mark.</li><li>Bake the loaf for forty minutes.</li></ol>
+<blockquote>Good bread is slow bread, as my grandmother used to say.</blockquote></div>
+<div class="share-buttons"><a href="#">Tweet</a> <a href="#">Share</a></div>
+<div id="comments"><h3>2 comments</h3><div class="comment"><p>Great recipe, thank you very much for it!</p></div><div class="comment"><p>Mine did not rise at all.</p></div></div>
+<div class="sidebar"><h3>Popular</h3><ul><li><a href="/1">Ten soups</a></li><li><a href="/2">Cheese</a></li></ul></div><div class="footer">&copy; 2020 My kitchen. All rights reserved.</div></div></body></html>""",
+        """How to bake bread
+Flour, water, salt and time are all that a good loaf needs; everything else is habit.
+Mix a=500 grams of flour with water. Let it rest for an hour, then fold it.
+Heat the oven to its highest mark.
+Bake the loaf for forty minutes.
+Good bread is slow bread, as my grandmother used to say.""",
+    ),
+    (
+        """<html><body><header><nav><a href=/>News</a><a href=/w>World</a><a href=/s>Sport</a></nav></header><main><article><h1>River rises after storm</h1>
+<p>The river rose by two metres overnight, officials said on Monday, and several roads were closed.</p><aside class="related"><h2>Related</h2><ul><li><a href=/x>Storm warning issued</a></li></ul></aside>
+<p>&ldquo;We have not seen this in years&rdquo;, said the mayor. <br>Schools stay shut until Wednesday.</p><div class="ad-slot">Advertisement: buy a boat today</div><h2>What happens next</h2><p>More rain is expected.</p></article></main>
+<div class="newsletter"><p>Sign up for our newsletter.</p><form><input name=mail><button>Subscribe</button></form></div><footer><p>Contact us. Terms of use.</p></footer></body></html>""",
+        """River rises after storm
+The river rose by two metres overnight, officials said on Monday, and several roads were closed.
+“We have not seen this in years”, said the mayor. Schools stay shut until Wednesday.
+What happens next
+More rain is expected.""",
+    ),
+    (
+        """<html><body><div class="topbar"><form action=/find><input name=q><button>Search</button></form></div><div class="cookie-banner">This site uses cookies. <a href=#>Accept</a></div>
+<div class="layout"><div class="toc"><ul><li><a href="#i">Install</a></li><li><a href="#u">Use</a></li></ul></div><section class="content"><h1>The sort tool</h1><p>This tool sorts lines of text. It reads a file and writes the lines in order.</p><h2>Install</h2><pre>make
+make install</pre><h2>Use</h2><p>Give the name of a file as the first argument.</p><table><tr><th>Option</th><th>Meaning</th></tr><tr><td>-r</td><td>reverse the order</td></tr></table></section></div><div class="bottom">Built with care.</div></body></html>""",
+        """The sort tool
+This tool sorts lines of text. It reads a file and writes the lines in order.
+Install
+make make install
+Use
+Give the name of a file as the first argument.
+Option
+Meaning
+-r
+reverse the order""",
+    ),
+]
+
+
+def test_hand_labelled_pages():
+    """Pages written by hand in layouts of their own, with an unclosed quote, a formula, a script's odd text and a table."""
+    w, pair = html_text.train()
+    assert html_text.main_texts([h for h, _ in HAND_LABELLED], w, pair) == [t for _, t in HAND_LABELLED]
