@@ -420,7 +420,11 @@ def shrink(points: DataFrame, key: str, time: str, vec: str, frac: float, target
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         x, t = np.stack(frame[vec].to_numpy()).astype(float), frame[time].to_numpy()
-        d = np.concatenate([np.sort(((x[i : i + 500, None] - x[None]) ** 2).sum(2), 1)[:, min(neighbours, len(x)) - 1] for i in range(0, len(x), 500)])
+        d, size, k = [], (x * x).sum(1), min(neighbours, len(x)) - 1
+        for i in range(0, len(x), 500):  # 500 x n distances at once
+            near = np.partition(np.maximum(size[i : i + 500, None] + size[None] - 2 * x[i : i + 500] @ x.T, 0), k, axis=1)
+            d.append(near[:, k])
+        d = np.concatenate(d)
         order = np.lexsort((t, d))[: int(np.floor(frac * len(x)))]
         low, high = 0, len(order)
         if contamination_of(t[order], n_samples, tau) < target:
