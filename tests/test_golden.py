@@ -92,6 +92,19 @@ def test_stream(spark, tmp_path):
     assert sorted(r.spike_time for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [3, 14]
 
 
+def test_ring_of_samples():
+    from tidegraph.streaming import push
+
+    rows = [(i, float(i), i in (1, 4, 5, 11)) for i in range(13)]
+    for cut in (1, 4, 13):
+        state, found = ((), (), ()), []
+        for at in range(0, 13, cut):
+            state, new = push(state, rows[at : at + cut], 2, 3)
+            found += new
+            assert len(state[0]) <= 6
+        assert found == [(4, [2.0, 3.0, 4.0, 5.0, 6.0, 7.0]), (5, [3.0, 4.0, 5.0, 6.0, 7.0, 8.0])]
+
+
 def test_codec(spark):
     d = spark.createDataFrame([(2, 1, 1), (2, 15, 15), (3, 1, 16)], "e int, c int, n int")
     for r in d.select("*", neuron_id(F.col("e"), F.col("c")).alias("id"), electrode_of(F.col("n")).alias("be"), cluster_of(F.col("n")).alias("bc")).collect():

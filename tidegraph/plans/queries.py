@@ -182,31 +182,46 @@ def random_noise_events(spark, sf_dir):
     return detection.random_events(spans, 0.2)
 
 
-def _streamed(spark, sf_dir, alpha):
-    """The streaming detector over files that follow one another in time, a file a micro-batch, into a Parquet sink."""
-    from ..streaming import detect_stream
-
-    s, lim = upright(spark, sf_dir)
-    rows, folder = written(s.join(lim, "electrode"), "stream-rows"), scratch(spark, "stream")
+def _streamed(spark, rows, run):
+    """run over files of rows that follow one another in time, a file a micro-batch, into a Parquet sink; what came out."""
+    rows, folder = written(rows, "stream-rows"), scratch(spark, "stream")
     step = max(1, -(-rows.agg(F.max("sample") + 1).collect()[0][0] // 3))
     for i in range(3):
         rows.where(F.floor(F.col("sample") / step) == i).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
-    found = detect_stream(stream, max_width=MAX_WIDTH, min_gap=MIN_GAP, alpha=alpha)
-    run = found.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
-    run.awaitTermination()
-    return rounded(spark.read.schema(found.schema).parquet(f"{folder}/out"), "amplitude", digits=9)
+    found = run(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in"))
+    found.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(found.schema).parquet(f"{folder}/out")
+
+
+def _stream_detect(spark, sf_dir, alpha):
+    from ..streaming import detect_stream
+
+    s, lim = upright(spark, sf_dir)
+    found = _streamed(spark, s.join(lim, "electrode"), lambda d: detect_stream(d, max_width=MAX_WIDTH, min_gap=MIN_GAP, alpha=alpha))
+    return rounded(found, "amplitude", digits=9)
 
 
 @query
 def stream_detect_equals_batch(spark, sf_dir):
-    return _streamed(spark, sf_dir, 0.0)
+    return _stream_detect(spark, sf_dir, 0.0)
 
 
 @query
 def stream_filtered_detect(spark, sf_dir):
     """With the drift filter's memory carried between micro-batches."""
-    return _streamed(spark, sf_dir, ALPHA)
+    return _stream_detect(spark, sf_dir, ALPHA)
+
+
+@query
+def stream_windows(spark, sf_dir):
+    """Waveforms of the events, cut while the samples pass by."""
+    from ..streaming import window_stream
+
+    s, _ = upright(spark, sf_dir)
+    hits = spikes(spark, sf_dir).select("electrode", F.col("spike_time").alias("sample"), F.lit(True).alias("hit"))
+    rows = s.join(hits, ["electrode", "sample"], "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
+    found = _streamed(spark, rows, lambda d: window_stream(d, 2, 3))
+    return rounded(found.select("electrode", "spike_time", F.posexplode("wave").alias("pos", "value")).withColumn("pos", F.col("pos") - 2), "value", digits=9)
 
 
 @query
@@ -936,6 +951,15 @@ def open_recording(spark, sf_dir):
     return rounded(r.scan(connected=True).select("electrode", "sample", "value"), "value", digits=4)
 
 
+@query
+def synthetic_recording(spark, sf_dir):
+    """A made recording with two planted units, written as blocks and read back."""
+    path = scratch(spark, "synthetic")
+    recordings.to_blocks(recordings.synthetic(spark, 4, 5_000, [(2, 50, 611), (3, 90, 937)]), 4_096).write.parquet(path)
+    d = recordings.scan(spark.read.parquet(path), size=4_096)
+    return rounded(d.select("electrode", "sample", "value"), "value", digits=2)
+
+
 @query
 def recording_header(spark, sf_dir):
     path = scratch(spark, "recording")

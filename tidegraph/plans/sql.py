@@ -327,6 +327,12 @@ gone AS (SELECT DISTINCT id FROM k2 WHERE id <> keeper),
 fin AS (SELECT k1.master AS id, t FROM o JOIN k1 ON k1.id = o.id WHERE k1.master NOT IN (SELECT id FROM gone))""",
     "SELECT CASE WHEN t < top // 2 THEN 'a' ELSE 'b' END AS dataset, id AS neuron_id, count(*) AS n, CAST(sum(CASE WHEN t < top // 2 THEN t ELSE t - top // 2 END) AS BIGINT) AS total FROM fin, lim GROUP BY 1, 2", True)
 put("open_recording", CH, "SELECT electrode, sample, round(CAST(CAST(value AS FLOAT) AS DOUBLE), 4) AS value FROM ch WHERE sample >= 10 AND sample < 20 AND electrode NOT IN (1, 4)")
+put("synthetic_recording", """g AS (SELECT CAST(e AS INTEGER) AS electrode, s AS sample FROM range(1, 5) a(e), range(0, 5000) b(s)),
+u AS (SELECT *, (""" + HASH.format(key="'1|' || electrode || '|' || sample") + " + 1) / CAST(4294967297 AS DOUBLE) AS u0, (" + HASH.format(key="'2|' || electrode || '|' || sample") + """ + 1) / CAST(4294967297 AS DOUBLE) AS u1, abs(electrode - 2) AS n0, abs(electrode - 3) AS n1, (sample - 50) % 611 AS p0, (sample - 90) % 937 AS p1 FROM g)""",
+    """SELECT electrode, sample, round(CAST(CAST(CASE WHEN electrode = 1 THEN CASE WHEN sample % 2000 < 5 THEN -1500.0 ELSE 0.0 END ELSE sqrt(-2 * ln(u0)) * cos(2 * 3.141592653589793 * u1) * 10 + 20 * sin(sample / CAST(3000 AS DOUBLE))
+  + CASE WHEN n0 <= 1 AND sample >= 50 AND p0 < 10 THEN -200 * exp(-((p0 - 4) * (p0 - 4)) / CAST(2 AS DOUBLE)) / (1 + 2 * n0) ELSE 0 END
+  + CASE WHEN n1 <= 1 AND sample >= 90 AND p1 < 10 THEN -240 * exp(-((p1 - 4) * (p1 - 4)) / CAST(3 AS DOUBLE)) / (1 + 2 * n1) ELSE 0 END END AS FLOAT) AS DOUBLE), 2) AS value FROM u""")
+put("stream_windows", CAND, "SELECT sp.electrode, spike_time, CAST(up.sample - spike_time AS INTEGER) AS pos, round(v, 9) AS value FROM sp JOIN up ON up.electrode = sp.electrode AND up.sample BETWEEN spike_time - 2 AND spike_time + 3 JOIN (SELECT electrode, max(sample) AS top FROM ch GROUP BY electrode) e ON e.electrode = sp.electrode WHERE spike_time >= 2 AND spike_time + 3 <= top")
 put("recording_header", CH, "SELECT 'run' AS dataset, CAST(count(DISTINCT electrode) AS INTEGER) AS electrodes, CAST(3 AS BIGINT) AS start, max(sample) + 1 AS stop, 2 AS disconnected FROM ch")
 GRID = "gr AS (SELECT s_suppkey AS e, s_suppkey % 10 AS x, s_suppkey // 10 AS y FROM supplier), ad AS (SELECT a.e AS electrode, b.e AS neighbor, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d2 FROM gr a JOIN gr b ON abs(a.x - b.x) <= 2 AND abs(a.y - b.y) <= 2)"
 put("adjacency_usage", GRID, "SELECT CAST(u AS INTEGER) AS usage, electrode, neighbor, CAST(row_number() OVER (PARTITION BY u, electrode ORDER BY d2, neighbor) - 1 AS INTEGER) AS ord FROM ad, range(0, 3) r(u) WHERE d2 <= u * u")

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.tables import keyed_hash
+
 BLOCKS = "dataset string, electrode int, block_id long, start_sample long, values array<float>"
 
 
@@ -118,7 +120,7 @@ def synthetic(spark: SparkSession, electrodes: int, n_samples: int, units: list[
     """A recording with planted units (electrode, first, period), noise and drift: dataset, electrode, sample, value.
     Electrode 1 is the trigger channel. Every value is an expression of its place, so nothing is built on the driver."""
     s = spark.range(electrodes * n_samples).select((F.col("id") / n_samples).cast("int").alias("e"), (F.col("id") % n_samples).alias("sample")).withColumn("electrode", F.col("e") + 1)
-    u = [(F.pmod(F.xxhash64(F.lit(seed + k), "electrode", "sample"), F.lit(1 << 24)) + 1) / F.lit(float(1 << 24) + 1) for k in (0, 1)]
+    u = [(keyed_hash(seed + k, F.col("electrode"), F.col("sample")) + 1) / F.lit(float(1 << 32) + 1) for k in (0, 1)]
     noise = F.sqrt(-2 * F.log(u[0])) * F.cos(2 * 3.141592653589793 * u[1]) * sigma + 20 * F.sin(F.col("sample") / 3_000)
     value = F.when(F.col("electrode") == 1, F.when(F.col("sample") % ttl_every < 5, -1_500.0).otherwise(0.0)).otherwise(noise)
     for i, (el, first, period) in enumerate(units):
