@@ -943,7 +943,7 @@ def clean_datasets(spark, sf_dir):
 
 
 @query
-def open_recording(spark, sf_dir):
+def recording_range(spark, sf_dir):
     """Seconds 10 to 20 of a recording at 1 Hz, read back from its blocks, without what its header says is disconnected."""
     path = scratch(spark, "recording")
     recordings.write_recording(channels(spark, sf_dir).select(F.lit("run").alias("dataset"), "electrode", "sample", "value"), path, 1, (1, 4), size=8)

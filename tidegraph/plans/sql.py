@@ -326,7 +326,7 @@ k2 AS (SELECT c2.*, first_value(c2.id) OVER (PARTITION BY pair, component ORDER
 gone AS (SELECT DISTINCT id FROM k2 WHERE id <> keeper),
 fin AS (SELECT k1.master AS id, t FROM o JOIN k1 ON k1.id = o.id WHERE k1.master NOT IN (SELECT id FROM gone))""",
     "SELECT CASE WHEN t < top // 2 THEN 'a' ELSE 'b' END AS dataset, id AS neuron_id, count(*) AS n, CAST(sum(CASE WHEN t < top // 2 THEN t ELSE t - top // 2 END) AS BIGINT) AS total FROM fin, lim GROUP BY 1, 2", True)
-put("open_recording", CH, "SELECT electrode, sample, round(CAST(CAST(value AS FLOAT) AS DOUBLE), 4) AS value FROM ch WHERE sample >= 10 AND sample < 20 AND electrode NOT IN (1, 4)")
+put("recording_range", CH, "SELECT electrode, sample, round(CAST(CAST(value AS FLOAT) AS DOUBLE), 4) AS value FROM ch WHERE sample >= 10 AND sample < 20 AND electrode NOT IN (1, 4)")
 put("synthetic_recording", """g AS (SELECT CAST(e AS INTEGER) AS electrode, s AS sample FROM range(1, 5) a(e), range(0, 5000) b(s)),
 u AS (SELECT *, (""" + HASH.format(key="'1|' || electrode || '|' || sample") + " + 1) / CAST(4294967297 AS DOUBLE) AS u0, (" + HASH.format(key="'2|' || electrode || '|' || sample") + """ + 1) / CAST(4294967297 AS DOUBLE) AS u1, abs(electrode - 2) AS n0, abs(electrode - 3) AS n1, (sample - 50) % 611 AS p0, (sample - 90) % 937 AS p1 FROM g)""",
     """SELECT electrode, sample, round(CAST(CAST(CASE WHEN electrode = 1 THEN CASE WHEN sample % 2000 < 5 THEN -1500.0 ELSE 0.0 END ELSE sqrt(-2 * ln(u0)) * cos(2 * 3.141592653589793 * u1) * 10 + 20 * sin(sample / CAST(3000 AS DOUBLE))
