@@ -1,6 +1,7 @@
 """The pipeline's stages against brute force, each on its own input."""
 
 import duckdb
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_text_operators import brute_cut, brute_near
@@ -35,3 +36,35 @@ def test_registered():
 
     ops = sorted(int(q[2:].split("_")[0]) for q in e.queries() if q.startswith("op"))
     assert ops == list(range(1, 11)) and "pipeline" in e.queries()
+
+
+def test_stages_on_columns_of_any_name(spark, small):
+    names = ["row_key", "kept_text", "toxic_score", "score", "_score", "size", "kept", "row", "copies", "node", "key"]
+    docs = table(spark, small, "documents").withColumns({n: F.concat(F.lit(n), F.col("doc_id")) for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = materialize(stage(spark, docs, small), name)
+        assert docs.columns[-len(names) :] == names, name
+        assert docs.where(" or ".join(f"{n} <> concat('{n}', doc_id)" for n in names)).count() == 0, name
+    assert docs.count() > 0 and corpus_pipeline.pack(spark, docs, small).count() > 0
+
+
+def test_stages_on_no_rows_and_on_odd_ones(spark, small):
+    docs = table(spark, small, "documents")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), small).count() == 0, name
+    odd = spark.createDataFrame([(None, "a b c", None, None, 5), (1, None, "en", "s", None), (1, None, "en", "s", None), (2, "", None, "s", 0), (2, "", None, "s", 0)], docs.schema)
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        out = stage(spark, odd, small)
+        assert out.columns == odd.columns and {(r.doc_id, r.text) for r in out.collect()} == {(None, "a b c"), (1, None), (2, "")}, name
+    for _, stage in corpus_pipeline.STAGES[3:]:
+        stage(spark, odd, small).collect()
+
+
+def test_scoring_of_very_long_texts_and_clashing_columns(spark, small):
+    from tidegraph.llm import quality
+
+    docs, labels = table(spark, small, "documents"), table(spark, small, "labels")
+    model = quality.fit(docs, labels)
+    long = spark.createDataFrame([(1, "some plain words of prose. " * 100_000, "en", "web", "x", 0)], "doc_id long, text string, lang string, source string, predicted string, content int")
+    [r] = quality.score(long, model).collect()
+    assert 0 <= r.score <= 1
