@@ -362,3 +362,21 @@ ft AS (SELECT x.electrode, x.id, md.clust, max(ln(CAST(md.n AS DOUBLE) / t)) - s
 put("settings_tags", "", """SELECT * FROM (VALUES ('', 16384, 2500, 10, 100, TRUE, CAST(0.015 AS DOUBLE)), ('DEFAULT', 16384, 2500, 10, 100, TRUE, 0.015), ('VINCENT1', 32768, 2500, 3, 500, TRUE, 0.015), ('LIGHT_CLUST', 16384, 1000, 10, 100, TRUE, 0.015),
   ('VINCENT2', 32768, 2500, 3, 500, TRUE, 0.015), ('QT0.001', 16384, 2500, 3, 500, TRUE, 0.001), ('QT0.005', 16384, 2500, 3, 500, TRUE, 0.005), ('QT0.010', 16384, 2500, 3, 500, TRUE, 0.010), ('QT0.020', 16384, 2500, 3, 500, TRUE, 0.020),
   ('QT0.025', 16384, 2500, 3, 500, TRUE, 0.025), ('QT0.030', 16384, 2500, 3, 500, TRUE, 0.030), ('NO_WHITE', 16384, 2500, 3, 500, FALSE, 0.015)) t(tag, buffer_size, landmarks, retries, min_spikes, whitening, quality_tolerance)""")
+# an edge merges two parts if the edges before it do not connect its ends; the parts are what those edges reach
+put("merge_dendrogram", N2 + """,
+e AS (SELECT electrode, id_a AS u, id_b AS w, d2, row_number() OVER (PARTITION BY electrode ORDER BY d2, id_a, id_b) AS k FROM d2 WHERE id_a < id_b AND d2 > 0 AND d2 < 1.6),
+b AS (SELECT electrode, k, u AS a, w AS z FROM e UNION ALL SELECT electrode, k, w, u FROM e),
+r AS (SELECT * FROM (SELECT electrode, k, 0 AS side, u AS n FROM e UNION ALL SELECT electrode, k, 1, w FROM e) UNION SELECT r.electrode, r.k, r.side, b.z FROM r JOIN b ON b.electrode = r.electrode AND b.k < r.k AND b.a = r.n),
+s AS (SELECT electrode, k, side, min(n) AS low, string_agg(CAST(n AS VARCHAR), ',' ORDER BY n) AS ids FROM r GROUP BY ALL)""",
+    """SELECT CAST(e.electrode AS INTEGER) AS electrode, CAST(row_number() OVER (PARTITION BY e.electrode ORDER BY e.k) AS INTEGER) AS step, round(e.d2, 6) AS threshold,
+  CASE WHEN x.low < y.low THEN x.ids ELSE y.ids END AS left_ids, CASE WHEN x.low < y.low THEN y.ids ELSE x.ids END AS right_ids
+  FROM e JOIN s x ON x.electrode = e.electrode AND x.k = e.k AND x.side = 0 JOIN s y ON y.electrode = e.electrode AND y.k = e.k AND y.side = 1 WHERE x.low <> y.low""", True)
+# the contamination of every prefix of the ranking, then the halving
+put("shrink_to_target", SCALE + """,
+rk AS (SELECT electrode, id * 13 % 997 AS t, row_number() OVER (PARTITION BY electrode ORDER BY scale * scale, id * 13 % 997) AS rk, CAST(floor(0.8 * count(*) OVER (PARTITION BY electrode)) AS BIGINT) AS m FROM sc),
+gp AS (SELECT electrode, l, t - lag(t) OVER (PARTITION BY electrode, l ORDER BY t) AS gap FROM rk JOIN range(1, 100000) r(l) ON l <= m AND rk <= l),
+ct AS (SELECT electrode, l, count(*) FILTER (gap > 0 AND gap <= 30) * 1000.0 / (30.0 * l * l) AS c FROM gp GROUP BY electrode, l),
+bs AS (SELECT x.electrode, CASE WHEN c < 0.5 THEN x.m ELSE 0 END AS low, x.m AS high FROM (SELECT DISTINCT electrode, m FROM rk) x JOIN ct ON ct.electrode = x.electrode AND ct.l = x.m
+  UNION ALL SELECT bs.electrode, CASE WHEN c < 0.5 THEN (low + high) // 2 ELSE low END, CASE WHEN c < 0.5 THEN high ELSE (low + high) // 2 END FROM bs JOIN ct ON ct.electrode = bs.electrode AND ct.l = (low + high) // 2 WHERE high - low > 1),
+kn AS (SELECT electrode, max(low) AS n FROM bs GROUP BY electrode)""",
+    "SELECT rk.electrode, t, rk <= n AS keep FROM rk JOIN kn ON kn.electrode = rk.electrode", True)
