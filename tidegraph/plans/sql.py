@@ -380,3 +380,22 @@ bs AS (SELECT x.electrode, CASE WHEN c < 0.5 THEN x.m ELSE 0 END AS low, x.m AS
   UNION ALL SELECT bs.electrode, CASE WHEN c < 0.5 THEN (low + high) // 2 ELSE low END, CASE WHEN c < 0.5 THEN high ELSE (low + high) // 2 END FROM bs JOIN ct ON ct.electrode = bs.electrode AND ct.l = (low + high) // 2 WHERE high - low > 1),
 kn AS (SELECT electrode, max(low) AS n FROM bs GROUP BY electrode)""",
     "SELECT rk.electrode, t, rk <= n AS keep FROM rk JOIN kn ON kn.electrode = rk.electrode", True)
+# each round takes the one exchange that brings most, while any does
+_COST = "list_sum(list_transform(range(1, n + 1), lambda p: list_sum(list_transform(range(1, n + 1), lambda q: mm[{o}[p]][{o}[q]] * abs(p - q)))))"
+put("block_diag_order", XS + """,
+me AS (SELECT electrode, i, avg(x) AS m FROM x GROUP BY electrode, i), lab AS (SELECT electrode, row_number() OVER (ORDER BY electrode) AS k FROM (SELECT DISTINCT electrode FROM me)),
+nr AS (SELECT la.k AS ka, lb.k AS kb, exp(-sum((a.m - b.m) * (a.m - b.m))) AS w FROM me a JOIN me b ON a.i = b.i JOIN lab la ON la.electrode = a.electrode JOIN lab lb ON lb.electrode = b.electrode GROUP BY la.k, lb.k),
+mt AS (SELECT list(r ORDER BY ka) AS mm, count(*) AS n FROM (SELECT ka, list(w ORDER BY kb) AS r FROM nr GROUP BY ka)),
+st AS (
+  SELECT 0 AS round, range(1, n + 1) AS o, """ + _COST.format(o="range(1, n + 1)") + """ AS cost FROM mt
+  UNION ALL
+  SELECT round, o, cost FROM (
+    SELECT round + 1 AS round, arg_min(o2, {'c': c2, 'i': i, 'j': j}) AS o, min(c2) AS cost, min(cost) AS was, min(n) AS n FROM (
+      SELECT *, """ + _COST.format(o="o2") + """ AS c2 FROM (
+        SELECT st.round, st.cost, mt.mm, mt.n, i, j, list_transform(range(1, mt.n + 1), lambda p: CASE WHEN p = i THEN st.o[j] WHEN p = j THEN st.o[i] ELSE st.o[p] END) AS o2 FROM st, mt, (SELECT a.k AS i, b.k AS j FROM lab a JOIN lab b ON a.k < b.k) x
+      )
+    ) GROUP BY round
+  ) WHERE cost < was - 1e-12 AND round <= 2 * n
+),
+fin AS (SELECT o FROM st ORDER BY round DESC LIMIT 1)""",
+    "SELECT CAST(p - 1 AS INTEGER) AS place, lab.electrode FROM (SELECT unnest(range(1, len(o) + 1)) AS p, unnest(o) AS k FROM fin) f JOIN lab ON lab.k = f.k", True)
