@@ -62,6 +62,7 @@ def discard(*tables: DataFrame) -> None:
         if path := getattr(df, "_table", None):
             fs, p = _file_system(df.sparkSession, path)
             fs.delete(p, True)
+            fs.cancelDeleteOnExit(p)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
