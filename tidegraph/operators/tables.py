@@ -34,7 +34,9 @@ def drop(*tables: DataFrame) -> None:
         if path := getattr(df, "_table", None):
             spark = df.sparkSession
             p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            fs.delete(p, True)
+            fs.cancelDeleteOnExit(p)
 
 
 def keyed_hash(*parts: Column | int | str) -> Column:
