@@ -37,6 +37,7 @@ from .common import arrow_map, connected_components, discard, list_array, materi
 THRESHOLD = 0.95
 MISS = 1e-4
 LEAST_BITS, MOST_BITS = 12, 32
+MIDDLE_BANDS = 12
 STEPS = 4_096  # of the angle that the threshold stands for
 QUERY_BITS = 4
 BOUND = 4.0  # standard deviations of the code's error that are allowed for
@@ -172,11 +173,43 @@ def _confirmed(pairs: DataFrame, codes: DataFrame, threshold: float) -> DataFram
     return arrow_map(both, _exact(threshold), "u long, v long, cos double", 2_000)
 
 
+def _candidates(codes: DataFrame, middles: DataFrame, longest: int, threshold: float, bits: int) -> DataFrame:
+    """(u, v) of pairs that share a band, are not linked for certain, and whose codes leave room for a link.
+
+    A bucket may hold thousands around one middle, and a few others. What is not of the bucket's most frequent middle meets
+    all that has another middle than its own; and what lies so far out that its angle does not settle its links meets those of its own
+    middle. So the many never meet each other, and no pair is left out."""
+    near = codes.join(middles, "node", "left").withColumns({"middle": F.coalesce("middle", -1 - F.col("node")), "step": F.coalesce("step", F.lit(STEPS))})
+    near = materialize(near.select("bands", "node", "middle", "step", "code", "planes", *FACTS), "placed")
+    kinds = near.select(F.explode("bands").alias("band"), "middle").groupBy("band", "middle").agg(F.count(F.lit(1)).alias("n"))
+    kinds = kinds.groupBy("band").agg(F.max_by("middle", F.struct("n", "middle")).alias("most"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    kinds = materialize(kinds.select("band", "most"), "kinds")
+    bands = near.select(F.explode("bands").alias("band"), *[c for c in near.columns if c != "bands"])
+    mixed = materialize(bands.join(kinds, "band"), "buckets")
+    side = lambda d, p: d.select("band", *[F.col(c).alias(p + c) for c in d.columns if c != "band"])
+    a, b = side(mixed.where("middle <> most").drop("most"), "a_"), side(mixed, "b_")
+    may = lambda nth: _one_of(longest, lambda w: (upper_bound("a_", "b_", w) >= threshold) & ~met_before("a_", "b_", nth, w, bits))
+    nth = lambda band: F.shiftright(band, 32).bitwiseAND(F.lit(1023))
+    once = (F.col("b_middle") == F.col("b_most")) | (F.col("a_node") > F.col("b_node"))
+    across = a.join(b, (a["band"] == b["band"]) & (F.col("a_middle") != F.col("b_middle")) & once & may(nth(a["band"])))
+    far = near.where((2 * F.col("step") + 3 > STEPS) & (F.col("middle") >= 0))
+    far = far.select(F.explode("bands").alias("band"), *[c for c in near.columns if c != "bands"])
+    own = bands.join(far.select("middle").distinct(), "middle", "left_semi").select(*far.columns)
+    c, d = side(far, "a_"), side(own, "b_")
+    once = (2 * F.col("b_step") + 3 <= STEPS) | (F.col("a_node") > F.col("b_node"))
+    within = c.join(d, (c["band"] == d["band"]) & (F.col("a_middle") == F.col("b_middle")) & (F.col("a_node") != F.col("b_node")) & (F.col("a_step") + F.col("b_step") + 3 > STEPS) & once & may(nth(c["band"])))
+    ends = [x.select(F.least("a_node", "b_node").alias("u"), F.greatest("a_node", "b_node").alias("v")) for x in (across, within)]
+    out = materialize(ends[0].unionByName(ends[1]).distinct(), "pairs")
+    discard(near, kinds, mixed)
+    return out
+
+
 def _middles(codes: DataFrame, longest: int, threshold: float) -> DataFrame:
     """(node, middle, step): for vectors that are linked to the first member of a bucket of theirs (of several, the one that
     shares most buckets), that vector and the angle between, in steps of the threshold's angle. The codes decide which of
-    these pairs are recomputed, as they do for all others; there is one a vector."""
-    bands = codes.select("node", F.explode("bands").alias("band"))
+    these pairs are recomputed, as they do for all others; there is one a vector. The first MIDDLE_BANDS bands are enough: what
+    finds no middle there goes the way of all others."""
+    bands = codes.select("node", F.explode(F.slice("bands", 1, MIDDLE_BANDS)).alias("band"))
     firsts = materialize(bands.groupBy("band").agg(F.min("node").alias("at"), F.max("node").alias("last")).where("at < last").select("band", "at"), "firsts")
     best = bands.join(firsts, "band").where("node > at").groupBy("node", "at").count().groupBy("node").agg(F.max_by("at", F.struct(F.col("count"), -F.col("at"))).alias("at"))
     side = lambda p: codes.select(*[F.col(c).alias(p + c) for c in ("node", "code", "planes", *FACTS)])
@@ -224,14 +257,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     codes = materialize(arrow_map(reps.select("node", "v"), _codes(bits, n_bands), schema, 2_000), "codes")
     longest = codes.agg(F.max(F.size("code"))).collect()[0][0] or 1
     middles = _middles(codes, longest, threshold)
-    near = codes.join(middles, "node", "left").withColumns({"middle": F.coalesce("middle", -1 - F.col("node")), "step": F.coalesce("step", F.lit(STEPS))})
-    bands = near.select(F.explode("bands").alias("band"), "node", "middle", "step", "code", "planes", *FACTS)
-    sides = [bands.select("band", *[F.col(c).alias(p + c) for c in bands.columns if c != "band"]) for p in ("a_", "b_")]
-    nth = F.shiftright(sides[0]["band"], 32).bitwiseAND(F.lit(1023))
-    may = _one_of(longest, lambda w: (upper_bound("a_", "b_", w) >= threshold) & ~met_before("a_", "b_", nth, w, bits))
-    sure = (F.col("a_middle") == F.col("b_middle")) & (F.col("a_step") + F.col("b_step") + 3 <= STEPS)
-    pairs = sides[0].join(sides[1], (sides[0]["band"] == sides[1]["band"]) & (F.col("a_node") < F.col("b_node")) & ~sure & may)
-    pairs = materialize(pairs.select(F.col("a_node").alias("u"), F.col("b_node").alias("v")).distinct(), "pairs")
+    pairs = _candidates(codes, middles, longest, threshold, bits)
     links = materialize(_confirmed(pairs, codes, threshold).select("u", "v"), "links")
     labels = connected_components(links, "vectors")
     facts = reps.select("node", *same).join(classes.select(*same, "weight"), same)
