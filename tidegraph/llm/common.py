@@ -16,8 +16,11 @@ from ..session import ship
 # ---------------------------------------------------------------------------------------------- shared tables
 
 
-SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 PART_BYTES = 8 << 20
+WRITING = {  # holds while a table is written: shuffle files go when the execution ends, Python workers get small batches
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(PART_BYTES),
+}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,14 +35,16 @@ def _file_system(spark: SparkSession, path: str):
 
 
 @contextmanager
-def without_shuffles(spark: SparkSession) -> Iterator[None]:
-    """What is executed within removes its shuffle files when it ends; the setting is put back."""
-    before = spark.conf.get(SHUFFLES, None)
-    spark.conf.set(SHUFFLES, "true")
+def writing(spark: SparkSession) -> Iterator[None]:
+    """Settings for what is executed within; they are put back as they were."""
+    before = {k: spark.conf.get(k, None) for k in WRITING}
+    for k, v in WRITING.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(SHUFFLES, before) if before is not None else spark.conf.unset(SHUFFLES)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
@@ -47,7 +52,7 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     table goes when discard() is called for it, or else when the application ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    with without_shuffles(spark):
+    with writing(spark):
         df.write.parquet(path)
     fs, p = _file_system(spark, path)
     fs.deleteOnExit(p)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, parts, shared_dir, ship
+from .common import materialize, parts, shared_dir, ship, writing
 
 VERSION = b"WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
@@ -199,7 +199,8 @@ def write(pages: DataFrame, path: str, least_revisit: int = LEAST_REVISIT, recor
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
     rows = p.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
-    rows.write.option("lineSep", "\x00").option("maxRecordsPerFile", records).mode("errorifexists").text(path)
+    with writing(pages.sparkSession):
+        rows.write.option("lineSep", "\x00").option("maxRecordsPerFile", records).mode("errorifexists").text(path)
 
 
 RECORD = "archive string, offset long, kind string, record_id string, target_uri string, refers_to string, payload_digest string, payload binary, gap_length long, gap_reason string"
