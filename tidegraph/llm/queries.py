@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding, html_text, minhash, mixing, packing, quality, substring, topk, toxicity, warc
+from . import divergence, embedding, exact, html_text, infill, minhash, mixing, packing, quality, substring, topk, toxicity, warc
 from .common import table
 
 
@@ -63,6 +63,18 @@ def op10_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.transform(table(spark, sf_dir, "documents").select("doc_id", "text"), with_output=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_co_training": op1_quality_co_training,
     "op2_mix_sources": op2_mix_sources,
@@ -74,4 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_main_text": op8_html_main_text,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_pivot_top_k": op10_pivot_top_k,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }

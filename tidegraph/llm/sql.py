@@ -105,6 +105,58 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 5
 """
 
+OP11 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
+)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256 FROM d WINDOW w AS (PARTITION BY t)
+"""
+
+OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT id, lang, source, translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM (SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM d)
+), k AS (
+  SELECT lang, term, CAST(count(*) AS HUGEINT) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 10
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), c AS (
+  SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM w SEMI JOIN k USING (lang, term) GROUP BY ALL
+), x AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.total, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS s, sum(k.total) OVER (PARTITION BY g.lang, g.source) AS sl, count(*) OVER (PARTITION BY g.lang, g.source) AS v
+  FROM g JOIN k ON g.lang = k.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), p AS (
+  SELECT lang, source, term, n, 1 + (1000000000 * (n + 2)) // CAST(s + 2 * v AS HUGEINT) AS p, 1 + (1000000000 * (total + 2)) // CAST(sl + 2 * v AS HUGEINT) AS q FROM x
+), e AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS BIGINT) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), o AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(e.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN e ON e.lang = a.lang AND e.source = a.source AND e.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT) FROM p WHERE n > 0 AND p > q
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM o
+)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 10
+"""
+
+OP13 = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || CAST(doc_id AS VARCHAR)) AS h FROM documents
+), u AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS u, [CAST('0x' || h[i:i + 7] AS BIGINT) FOR i IN [1, 9, 17, 25]] AS h FROM t
+), c AS (
+  SELECT doc_id, text, u, h, CAST(len(u) AS BIGINT) AS n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a, greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b,
+    CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR h[3] % 100 >= 90 THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u
+), f AS (
+  SELECT doc_id, text, n, form, CASE WHEN form <> 'plain' THEN coalesce(array_to_string(u[:a], ''), '') END AS p, CASE WHEN form <> 'plain' THEN coalesce(array_to_string(u[a + 1:b], ''), '') END AS m,
+    CASE WHEN form <> 'plain' THEN coalesce(array_to_string(u[b + 1:], ''), '') END AS s FROM c
+)
+SELECT doc_id, n, form, CAST(length(p) AS BIGINT) AS prefix_chars, CAST(length(m) AS BIGINT) AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256 FROM f
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_mix_sources": OP2,
     "op3_substring_dedup": OP3,
@@ -112,4 +164,7 @@ ORACLE_SQL: dict[str, str] = {
     "op6_warc_salvage": OP6,
     "op7_minhash_near_dedup": OP7,
     "op10_pivot_top_k": OP10,
+    "op11_exact_dedup": OP11,
+    "op12_source_divergence": OP12,
+    "op13_fill_in_middle": OP13,
 }
