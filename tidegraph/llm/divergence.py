@@ -23,10 +23,14 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST_DOCS, TOP, SMOOTH = 10, 10, 2
 
 
+def lowered(text: Column) -> Column:
+    """A-Z lower-cased and nothing else."""
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
 def terms(text: Column) -> Column:
-    """The terms of a text in order, A-Z lower-cased and nothing else."""
-    low = lambda t: F.when(F.octet_length(t) == F.char_length(t), F.lower(t)).otherwise(F.translate(t, UPPER, LOWER))
-    return F.transform(F.filter(F.split(text, BETWEEN), lambda t: t != ""), low)
+    """The terms of a text in order; there may be an empty string before and after them."""
+    return F.split(lowered(text), BETWEEN)
 
 
 def share(count: Column, n: Column, v: Column) -> Column:
@@ -46,10 +50,10 @@ def divergence(p: Column, q: Column) -> Column:
 
 def counts(docs: DataFrame) -> DataFrame:
     """lang, source, term, n (occurrences), docs (documents that hold it), from lang, source, text without nulls."""
-    t = docs.select("lang", "source", terms(F.col("text")).alias("t"))
-    every = F.transform("t", lambda x: F.struct(x.alias("term"), F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("docs")))
-    once = F.transform(F.array_distinct("t"), lambda x: F.struct(x.alias("term"), F.lit(0).cast("long").alias("n"), F.lit(1).cast("long").alias("docs")))
-    return t.select("lang", "source", F.inline(F.concat(every, once))).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    t = docs.select("lang", "source", terms(F.col("text")).alias("t")).withColumn("size", F.size("t"))
+    t = t.select("lang", "source", "size", F.posexplode(F.concat("t", F.array_distinct("t"))).alias("at", "term"))  # all terms, then each once
+    every = F.col("at") < F.col("size")
+    return t.groupBy("lang", "source", "term").agg(F.count_if(every).alias("n"), F.count_if(~every).alias("docs")).where("term <> ''")
 
 
 def wide(counted: DataFrame, sources: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
@@ -81,9 +85,10 @@ def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP) -> DataFrame
     whole = materialize(lists.join(sums, "lang").join(each, "lang"), "whole")  # a row a language that keeps terms
 
     r = rows.join(whole, "lang").withColumn("p", F.transform("v", lambda c, i: share(c, F.col("ns")[i], F.col("terms"))))
-    top_place = F.size("p") - 1
-    ahead = F.transform("p", lambda x, i: F.when(i < top_place, F.transform(F.slice("p", i + 2, top_place - i), lambda y, j: F.struct(i.alias("a"), (i + 1 + j).alias("b"), divergence(x, y).alias("value")))))
-    pairs = r.select("lang", F.inline(F.flatten(F.filter(ahead, lambda x: x.isNotNull())))).groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
+    ahead = F.transform("p", lambda x, i: F.transform(F.slice("p", i + 2, F.size("p")), lambda y: divergence(x, y)))
+    pairs = r.select("lang", F.posexplode(F.flatten(ahead)).alias("at", "value")).groupBy("lang", "at").agg(F.sum("value").alias("value"))
+    order = F.transform("sources", lambda _, i: F.transform(F.slice("sources", i + 2, F.size("sources")), lambda _, j: F.struct(i.alias("a"), (i + 1 + j).alias("b"))))
+    pairs = lists.select("lang", F.posexplode(F.flatten(order)).alias("at", "x")).join(pairs, ["lang", "at"]).select("lang", "x.a", "x.b", "value")
     pairs = materialize(pairs, "pairs")  # each pair once
     both = pairs.select("lang", F.inline(F.array(F.struct(F.col("a").alias("place"), F.col("b").alias("other"), "value"), F.struct(F.col("b").alias("place"), F.col("a").alias("other"), "value"))))
     names = places.select("lang", "place", "source").join(lists, "lang")
