@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from .common import discard, materialize
 
 SPACE = r"[\x20\x09-\x0D]+"
-MOST_BUCKETS = 1 << 18  # and so at most as many hot keys; both are broadcast
+MOST_BUCKETS = 1 << 18  # directory and hot keys, at most HOT_PART as many, are broadcast
+HOT_PART = 4  # a key of more than this part of a bucket is dealt out by itself, so that few keys never split a bucket to great depth
 MOST_DEPTH = 20  # bits of the directory
 MOST_SENT = 1 << 20  # repeated keys that are broadcast, 16 MB
 PER_OWNER = 4  # buckets of an owner; its load is at most a bucket over the mean
@@ -62,12 +63,12 @@ def directory(keys: DataFrame, owners: int, bytes_each: int = 0) -> tuple[DataFr
 
     Doubling from one slot on, all buckets at once: counts by the longest prefix are rolled up to each shorter one, and a
     slot's bucket is that of the shortest prefix that is not overfull. The capacity is total / (PER_OWNER x owners), or
-    bytes_each, but never so small that there could be more than MOST_BUCKETS buckets. Keys heavier than a bucket are
-    left out of the weights: they are dealt out in pages.
+    bytes_each, but never so small that there could be more than MOST_BUCKETS buckets. Keys heavier than a HOT_PART-th of
+    a bucket are left out of the weights: they are dealt out by themselves, in pages of a bucket at most.
     """
     total = keys.agg(F.coalesce(F.sum("weight"), F.lit(0)).cast("long")).collect()[0][0]
     capacity = max(bytes_each or -(-total // (PER_OWNER * owners)), -(-2 * total // MOST_BUCKETS), 1)
-    fine = keys.where(F.col("weight") <= capacity).groupBy(_prefix("key", MOST_DEPTH).alias("p")).agg(F.sum("weight").alias("weight"))
+    fine = keys.where(F.col("weight") * HOT_PART <= capacity).groupBy(_prefix("key", MOST_DEPTH).alias("p")).agg(F.sum("weight").alias("weight"))
     level = fine.select(F.explode(F.sequence(F.lit(0), F.lit(MOST_DEPTH))).alias("depth"), "p", "weight")
     shift = F.lit(MOST_DEPTH) - F.col("depth")
     level = level.withColumn("prefix", F.call_function("shiftrightunsigned", F.col("p"), shift)).groupBy("depth", "prefix").agg(F.sum("weight").alias("weight"))
@@ -102,13 +103,13 @@ def build(docs: DataFrame, bytes_each: int = 0, bits: int = 64, sent: int = MOST
     if few:
         text = text.join(F.broadcast(keys.select("key")), "key", "left_semi")
     found, depth, capacity = directory(keys if few else rows.groupBy("key").agg(F.sum(F.col("n") * F.col("weight")).alias("weight")), owners, bytes_each)
-    hot = keys.where(F.col("weight") > capacity).select(F.col("key").alias("hot_key"), F.ceil(F.col("weight") / capacity).cast("long").alias("pages"))
+    hot = keys.where(F.col("weight") * HOT_PART > capacity).select(F.col("key").alias("hot_key"), F.ceil(F.col("weight") / capacity).cast("long").alias("pages"))
     dealt = text.join(F.broadcast(hot), F.col("key") == F.col("hot_key"), "left").withColumn("slot", _prefix("key", depth))
     dealt = dealt.join(F.broadcast(found.select("slot", "owner")), "slot", "left")
     page = F.pmod(F.xxhash64("doc_id", "key"), F.col("pages"))
     first = F.pmod(F.col("key"), F.lit(owners))  # hot keys are not in the directory's weights
     owner = F.when(F.col("pages").isNotNull(), F.pmod(first + page, F.lit(owners))).otherwise(F.coalesce(F.col("owner"), F.lit(0))).cast("int")
-    dealt = dealt.select(owner.alias("owner"), "key", "text", "doc_id", F.col("pages").isNotNull().alias("paged"))
+    dealt = dealt.select(owner.alias("owner"), "key", "text", "doc_id", (F.coalesce("pages", F.lit(0)) > 1).alias("paged"))
     chained = dealt.repartitionById(owners, F.col("owner")).groupBy("owner", "key", "text", "paged").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     sha = F.unhex(F.sha2(F.col("text"), 256)).alias("sha")
     chained = materialize(chained.select("owner", "key", F.when(F.col("paged"), F.col("text")).alias("text"), sha, "keep_id", "group_size"), "chained")
