@@ -1,7 +1,9 @@
 """Events of a multi-channel recording: drift removal, noise floor, threshold crossings, events, triggers.
 
-samples is (electrode, sample, value); more key columns, such as a dataset, are named in `keys`. Order is by sample, and
-everything sequential is a window over the keys. The drift filter is cut into blocks, so that one channel is no bottleneck.
+samples is (electrode, sample, value); more key columns, such as a dataset, are named in `keys`. Order is by sample. What is
+sequential runs within blocks of a channel, as the recording is stored: a block is summed up in a row (how it begins and ends, how
+many runs begin in it), those rows are scanned in the order of blocks, and each block starts with what the scan brings it. So a channel
+is never sorted or held in one piece, and its blocks are dealt out like those of others.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from ..session import ship
 from .tables import keyed_hash, written
 
 KEYS = ("electrode",)
+BLOCK = 16_384  # places of a block: samples, or the times of events
 TTL_ELECTRODE, TTL_SIGMA, TTL_THRESHOLD, TTL_AMPLITUDE = 1, 100.0, 1000.0, 1500.0
 
 
@@ -122,56 +125,95 @@ def thresholds(noise: DataFrame, factor: float = 4.0) -> DataFrame:
     return noise.select("electrode", (sigma * factor).alias("threshold"))
 
 
-def _hot(samples: DataFrame, limits: DataFrame, keys: list[str]) -> DataFrame:
-    s = samples.join(limits, keys).withColumn("hot", F.col("value") < -F.col("threshold"))  # strictly below
-    return s.withColumn("was", F.coalesce(F.lag("hot").over(Window.partitionBy(*keys).orderBy("sample")), F.lit(False)))
+def _carried(ends: DataFrame, keys: list[str], **over: Column) -> DataFrame:
+    """Block summaries (keys, block, ...) with columns over the blocks of the channel that come before: a row a block is sorted,
+    not a row a sample."""
+    order = Window.partitionBy(*keys).orderBy("block")
+    return ends.withColumns({n: c.over(order.rowsBetween(Window.unboundedPreceding, -1)) for n, c in over.items()})
+
+
+def previous(d: DataFrame, column: str, order: str, keys: Iterable[str] = KEYS, block: int = BLOCK) -> DataFrame:
+    """d with `previous`: the value of `column` in the row before, by the whole-numbered `order` within the keys; null in the
+    first row. Rows alike in keys and order come in no order of their own."""
+    keys = list(keys)
+    d = d.withColumn("block", F.floor(F.col(order) / block))
+    within = Window.partitionBy(*keys, "block").orderBy(order)
+    ends = d.groupBy(*keys, "block").agg(F.max_by(F.struct(F.col(column).alias("x")), order).alias("end"))
+    ends = _carried(ends, keys, before=F.last("end")).select(*keys, "block", "before")
+    d = d.withColumn("lag", F.lag(F.struct(F.col(column).alias("x"))).over(within)).join(ends, [*keys, "block"])
+    return d.withColumn("previous", F.coalesce("lag", "before")["x"]).drop("block", "lag", "before")
 
 
-def crossings(samples: DataFrame, limits: DataFrame, keys: Iterable[str] = KEYS) -> DataFrame:
-    """keys, sample, direction: 'up' at the first sample beyond the threshold, 'down' at the first one back."""
+def _hot(samples: DataFrame, hot: Column, keys: list[str], block: int = BLOCK) -> DataFrame:
+    """samples with hot, was (the sample before was hot) and run, the number of the last run of hot samples that has begun.
+
+    A block's summary is whether it begins and ends hot and how many runs begin behind its first sample; whether its first
+    sample begins one too depends on the end of the block before. Two scans over the summaries give each block the state that it
+    starts from and the number of runs before it.
+    """
+    s = samples.withColumn("hot", F.coalesce(hot, F.lit(False))).withColumn("block", F.floor(F.col("sample") / block))
+    within = Window.partitionBy(*keys, "block").orderBy("sample")
+    s = s.withColumn("lag", F.lag("hot").over(within))
+    begins = F.when(F.col("hot") & ~F.col("lag"), 1).otherwise(0)  # null in a block's first row
+    ends = s.groupBy(*keys, "block").agg(F.min_by("hot", "sample").alias("first"), F.max_by("hot", "sample").alias("last"), F.sum(begins).alias("inner"))
+    ends = _carried(ends, keys, before=F.last("last")).withColumn("before", F.coalesce("before", F.lit(False)))
+    ends = ends.withColumn("starts", F.col("inner") + F.when(F.col("first") & ~F.col("before"), 1).otherwise(0))
+    ends = _carried(ends, keys, base=F.sum("starts")).select(*keys, "block", "before", F.coalesce("base", F.lit(0)).alias("base"))
+    s = s.join(ends, [*keys, "block"]).withColumn("was", F.coalesce("lag", "before"))
+    runs = F.sum(F.when(F.col("hot") & ~F.col("was"), 1).otherwise(0)).over(within.rowsBetween(Window.unboundedPreceding, 0))
+    return s.withColumn("run", F.col("base") + runs).drop("block", "lag", "before", "base")
+
+
+def _below(samples: DataFrame, limits: DataFrame, keys: list[str], block: int) -> DataFrame:
+    return _hot(samples.join(limits, keys), F.col("value") < -F.col("threshold"), keys, block)  # strictly below
+
+
+def crossings(samples: DataFrame, limits: DataFrame, keys: Iterable[str] = KEYS, block: int = BLOCK) -> DataFrame:
+    """keys, sample, direction: 'up' at the first sample beyond the threshold, 'down' at the first one back. A null value is
+    not beyond it."""
     keys = list(keys)
-    s = _hot(samples, limits, keys).where(F.col("hot") != F.col("was"))
+    s = _below(samples, limits, keys, block).where(F.col("hot") != F.col("was"))
     return s.select(*keys, "sample", F.when(F.col("hot"), F.lit("up")).otherwise(F.lit("down")).alias("direction"))
 
 
-def candidates(samples: DataFrame, limits: DataFrame, keys: Iterable[str] = KEYS) -> DataFrame:
+def candidates(samples: DataFrame, limits: DataFrame, keys: Iterable[str] = KEYS, block: int = BLOCK) -> DataFrame:
     """keys, up, down, width, spike_time, amplitude: one row a run beyond the threshold that has come back.
 
-    The frame takes in the first sample back; spike_time is that of the lowest value, the first on ties.
+    The frame takes in the first sample back; spike_time is that of the lowest value, the first on ties. A run may go over
+    any number of blocks: its number is the same in all of them, and its parts are summed before they meet.
     """
     keys = list(keys)
-    order = Window.partitionBy(*keys).orderBy("sample")
-    s = _hot(samples, limits, keys).withColumn("run", F.sum(F.when(F.col("hot") & ~F.col("was"), 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    s = s.where(F.col("hot") | F.col("was"))
+    s = _below(samples, limits, keys, block).where(F.col("hot") | F.col("was"))
     runs = s.groupBy(*keys, "run").agg(
-        F.min("sample").alias("up"), F.max(F.when(~F.col("hot"), F.col("sample"))).alias("down"), F.min(F.struct("value", "sample")).alias("low"),
+        F.min("sample").alias("up"), F.max(F.when(~F.col("hot"), F.col("sample"))).alias("down"), F.min(F.when(F.col("value").isNotNull(), F.struct("value", "sample"))).alias("low"),
     )
     return runs.where("down is not null").select(*keys, "up", "down", (F.col("down") - F.col("up")).alias("width"), F.col("low.sample").alias("spike_time"), (-F.col("low.value")).alias("amplitude"))
 
 
-def keep_rule(found: DataFrame, max_width: int = 50, min_gap: int = 5, keys: Iterable[str] = KEYS) -> DataFrame:
+def keep_rule(found: DataFrame, max_width: int = 50, min_gap: int = 5, keys: Iterable[str] = KEYS, block: int = BLOCK) -> DataFrame:
     """found with kept: narrow enough, and far enough from the candidate before it, kept or not."""
-    last = F.lag("spike_time").over(Window.partitionBy(*keys).orderBy("spike_time"))
-    return found.withColumn("gap", F.col("spike_time") - last).withColumn("kept", (F.col("width") <= max_width) & (F.col("gap").isNull() | (F.col("gap") > min_gap)))
+    d = previous(found, "spike_time", "spike_time", keys, block)
+    d = d.withColumn("gap", F.col("spike_time") - F.col("previous")).drop("previous")
+    return d.withColumn("kept", (F.col("width") <= max_width) & (F.col("gap").isNull() | (F.col("gap") > min_gap)))
 
 
-def detect(samples: DataFrame, limits: DataFrame, max_width: int = 50, min_gap: int = 5, keys: Iterable[str] = KEYS) -> DataFrame:
+def detect(samples: DataFrame, limits: DataFrame, max_width: int = 50, min_gap: int = 5, keys: Iterable[str] = KEYS, block: int = BLOCK) -> DataFrame:
     """The events: keys, spike_time, width, amplitude."""
-    found = keep_rule(candidates(samples, limits, keys), max_width, min_gap, keys)
+    found = keep_rule(candidates(samples, limits, keys, block), max_width, min_gap, keys, block)
     return found.where("kept").select(*keys, "spike_time", "width", "amplitude")
 
 
-def trigger_edges(samples: DataFrame, hot: Column | None = None, keys: Iterable[str] = KEYS) -> DataFrame:
+def trigger_edges(samples: DataFrame, hot: Column | None = None, keys: Iterable[str] = KEYS, block: int = BLOCK) -> DataFrame:
     """keys, sample, amplitude at each rising edge of a trigger channel."""
-    hot = F.col("value") < -TTL_THRESHOLD if hot is None else hot
-    s = samples.withColumn("hot", hot).withColumn("was", F.coalesce(F.lag("hot").over(Window.partitionBy(*keys).orderBy("sample")), F.lit(False)))
+    keys = list(keys)
+    s = _hot(samples, F.col("value") < -TTL_THRESHOLD if hot is None else hot, keys, block)
     return s.where("hot AND NOT was").select(*keys, "sample", F.lit(TTL_AMPLITUDE).alias("amplitude"))
 
 
-def trigger_intervals(edges: DataFrame, keys: Iterable[str] = KEYS) -> DataFrame:
+def trigger_intervals(edges: DataFrame, keys: Iterable[str] = KEYS, block: int = BLOCK) -> DataFrame:
     """keys, n, total and mean of the intervals between triggers."""
-    gap = F.col("sample") - F.lag("sample").over(Window.partitionBy(*keys).orderBy("sample"))
-    d = edges.withColumn("gap", gap).where("gap is not null")
+    keys = list(keys)
+    d = previous(edges, "sample", "sample", keys, block).withColumn("gap", F.col("sample") - F.col("previous")).where("gap is not null")
     return d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("gap").cast("long").alias("total"), F.avg("gap").alias("mean"))
 
 
@@ -198,15 +240,39 @@ def interior(spikes: DataFrame, left: int, right: int) -> DataFrame:
     return spikes.where((F.col("spike_time") >= F.col("start") + left) & (F.col("spike_time") < F.col("stop") - right))
 
 
+ROUNDS, WALK = 4, 256
+
+
+def shuffled_place(i: Column, span: Column, *key: Column | int | str) -> Column:
+    """Where place i of [0, span) comes to under a keyed permutation of [0, span).
+
+    A Feistel network permutes the smallest square of a power of two that holds the span: the two halves of a number change
+    places, one of them mixed with a keyed hash of the other, ROUNDS times. Numbers that fall outside go through it again, which keeps it a
+    permutation of those inside; at least a quarter of the square is inside, so that WALK passes fail with probability 1e-32, and then raise.
+    """
+    half = F.pow(F.lit(2.0), F.ceil(F.log2(F.sqrt(F.greatest(span, F.lit(1)).cast("double"))))).cast("long")
+    half = F.when(half * half < span, half * 2).otherwise(half)
+    div = lambda a, b: F.call_function("div", a, b)
+
+    def once(x: Column) -> Column:
+        mixed = lambda s, r: F.struct(s["b"].alias("a"), s["a"].bitwiseXOR(keyed_hash(*key, r, s["b"]) % half).alias("b"))
+        out = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), F.struct(div(x, half).alias("a"), (x % half).alias("b")), mixed)
+        return out["a"] * half + out["b"]
+
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), once(i.cast("long")), lambda x, _: F.when(x < span, x).otherwise(once(x)))
+    return F.when(end < span, end).otherwise(F.raise_error(F.lit("a place was not found")).cast("long"))
+
+
 def random_events(spans: DataFrame, rate: float, seed: int = 0, keys: Iterable[str] = KEYS) -> DataFrame:
-    """Noise events without replacement: n = round(rate x span) sample numbers of each channel (keys, first, span), the same
-    for the same seed. The span is cut into n even parts and one place is drawn in each by a keyed hash, so no channel is
-    laid out or sorted for it: work and memory are those of the events."""
+    """Noise events without replacement: n = round(rate x span) sample numbers of each channel (keys, first, span), every
+    set of n alike likely, the same for the same seed. They are the first n places of the span under a keyed permutation, so no channel
+    is laid out or sorted for it: work and memory are those of the events. rate is at most 1; rows without a span give none."""
+    if not 0 <= rate <= 1:
+        raise ValueError("rate lies in [0, 1]")
     keys = list(keys)
-    n = F.round(F.col("span") * rate).cast("long")
-    at = spans.withColumn("n", n).where("n > 0").withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-    at = at.withColumn("low", F.expr("i * span div n")).withColumn("high", F.expr("(i + 1) * span div n"))
-    return at.select(*keys, (F.col("first") + F.col("low") + keyed_hash(seed, *[F.col(k) for k in keys], F.col("i")) % (F.col("high") - F.col("low"))).alias("spike_time"))
+    at = spans.withColumn("n", F.round(F.col("span") * rate).cast("long")).where("n > 0")
+    at = at.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    return at.select(*keys, (F.col("first") + shuffled_place(F.col("i"), F.col("span"), seed, *[F.col(k) for k in keys])).alias("spike_time"))
 
 
 def drop_near_spikes(noise: DataFrame, spikes: DataFrame, width: float = 20.0, first_only: bool = False, keys: Iterable[str] = KEYS) -> DataFrame:
