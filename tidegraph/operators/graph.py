@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import l2_normalise, squared_l2
 from ..session import ship
+from .nearby import near_pairs
 from .tables import drop, written
 
 
@@ -18,17 +19,6 @@ def distances(traces: DataFrame, group: str, id_col: str, vec: str, normalise: b
     return a.join(b, group).where("id_a < id_b").select(group, "id_a", "id_b", squared_l2(F.col("va"), F.col("vb")).alias("d2"))
 
 
-def all_distances(traces: DataFrame, id_col: str, vec: str, rows: int = 2_000) -> DataFrame:
-    """id_a < id_b, d2 over all pairs: both sides are dealt to blocks of about `rows`, so that a task holds a part of either
-    side whatever the size of the table, and a pair of blocks meets once."""
-    blocks = max(1, -(-traces.count() // rows))
-    own = F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int")
-    a = traces.select(F.col(id_col).alias("id_a"), F.col(vec).alias("va"), own.alias("x")).withColumn("y", F.explode(F.sequence(F.col("x"), F.lit(blocks - 1))))
-    b = traces.select(F.col(id_col).alias("id_b"), F.col(vec).alias("vb"), own.alias("y")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("y"))))
-    met = a.join(b, ["x", "y"]).where((F.col("x") < F.col("y")) | (F.col("id_a") < F.col("id_b")))
-    return met.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), squared_l2(F.col("va"), F.col("vb")).alias("d2"))
-
-
 def neighbour_distances(traces: DataFrame, adjacency: DataFrame, electrode: str, id_col: str, vec: str) -> DataFrame:
     """id_a, id_b, d2 between different electrodes that are adjacent (electrode, neighbor)."""
     a, b = (traces.select(F.col(electrode).alias(f"e{s}"), F.col(id_col).alias(f"id_{s}"), F.col(vec).alias(f"v{s}")) for s in "ab")
@@ -83,7 +73,7 @@ def merge_actions(kept: DataFrame, group: str, action: str = "AUTO_MERGE") -> Da
 
 
 def duplicates_by_master(pairs_: DataFrame) -> DataFrame:
-    """master_id, ids: all losers of a master over all comparisons."""
+    """master_id, ids: all losers of a master over all comparisons, in order."""
     return pairs_.groupBy("master_id").agg(F.array_sort(F.collect_set("loser_id")).alias("ids"))
 
 
@@ -196,21 +186,57 @@ def pair_duplicates(links: DataFrame, counts: DataFrame) -> DataFrame:
     return kept.where("id <> keeper").select("pair", F.col("keeper").alias("master_id"), F.col("id").alias("loser_id"))
 
 
-def global_duplicates(traces: DataFrame, counts: DataFrame, electrode: str, id_col: str, vec: str, threshold: float) -> DataFrame:
-    """master_id, loser_id over every pair of electrodes, pairs within either electrode compared too; losers stay in later
-    comparisons. Components are found per pair of electrodes; what an electrode links within itself alone is the same in
-    each of its pairs, so it is repeated only for the pairs that also have links across."""
-    d = written(edges(all_distances(traces, id_col, vec), threshold), "near")
+def across_pairs(electrodes: DataFrame, across: DataFrame, within: DataFrame, counts: DataFrame, changed: DataFrame | None = None) -> DataFrame:
+    """e1, e2, master_id, loser_id of the comparisons of all pairs of electrodes (electrode), each of which takes in what is linked
+    within either one too; losers stay in other comparisons.
+
+    across: e1 < e2, id_a, id_b; within: e, id_a, id_b. changed (e1, e2, id_a, id_b, linked): links within one electrode that this pair
+    of electrodes sees otherwise. Most pairs have no link across and see nothing otherwise: what they find is what
+    each of their electrodes finds alone, which is there once, with e2 null, not once a pair; spread() lays it out.
+    """
+    across, within = written(across.select("e1", "e2", "id_a", "id_b"), "across"), written(within.select("e", "id_a", "id_b"), "within")
+    met = across.select("e1", "e2")
+    if changed is not None:
+        changed = written(changed.select("e1", "e2", "id_a", "id_b", "linked"), "changed")
+        met = met.unionByName(changed.select("e1", "e2"))
+    met = written(met.distinct(), "met")
+    ends = met.select("e1", "e2", F.explode(F.array("e1", "e2")).alias("e"))
+    own = ends.join(within, "e").select("e1", "e2", "id_a", "id_b")
+    if changed is not None:
+        own = own.join(changed, ["e1", "e2", "id_a", "id_b"], "left_anti").unionByName(changed.where("linked").drop("linked"))
+    name = F.concat_ws("-", "e1", "e2").alias("pair")
+    kind = electrodes.schema["electrode"].dataType
+    end = lambda i: F.element_at(F.split("pair", "(?<=[0-9])-"), i).cast(kind)
+    mixed = pair_duplicates(across.unionByName(own).select(name, "id_a", "id_b"), counts)
+    mixed = mixed.select(end(1).alias("e1"), end(2).alias("e2"), "master_id", "loser_id")
+    alone = pair_duplicates(within.select(F.col("e").cast("string").alias("pair"), "id_a", "id_b"), counts)
+    alone = alone.select(F.col("pair").cast(kind).alias("e1"), "master_id", "loser_id")
+    n = electrodes.select("electrode").distinct().count()
+    busy = ends.groupBy(F.col("e").alias("e1")).agg(F.count(F.lit(1)).alias("partners"))
+    alone = alone.join(busy, "e1", "left").where(F.coalesce("partners", F.lit(0)) < n - 1)  # some pair of it meets nothing
+    return mixed.unionByName(alone.select("e1", F.lit(None).cast(kind).alias("e2"), "master_id", "loser_id"))
+
+
+def spread(found: DataFrame, electrodes: DataFrame, met: DataFrame) -> DataFrame:
+    """pair, master_id, loser_id for each pair of electrodes by itself, from across_pairs(); met: the pairs (e1, e2) that have rows of
+    their own or see links otherwise."""
+    e = electrodes.select("electrode").distinct()
+    combos = e.toDF("e1").join(e.toDF("e2"), F.col("e1") < F.col("e2")).join(met.select("e1", "e2").distinct(), ["e1", "e2"], "left_anti")
+    name = F.concat_ws("-", "e1", "e2").alias("pair")
+    alone = found.where("e2 is null").select(F.col("e1").alias("e"), "master_id", "loser_id")
+    rest = combos.select(name, F.explode(F.array("e1", "e2")).alias("e")).join(alone, "e")
+    return found.where("e2 is not null").select(name, "master_id", "loser_id").unionByName(rest.select("pair", "master_id", "loser_id"))
+
+
+def trace_links(traces: DataFrame, electrode: str, id_col: str, vec: str, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Links of plain vectors: across (e1 < e2, id_a, id_b) and within (e, id_a, id_b) electrodes, by an exact threshold join."""
+    d = written(edges(near_pairs(traces, id_col, vec, threshold), threshold), "near")
     where = traces.select(id_col, electrode)
     d = written(d.join(where.toDF("id_a", "ea"), "id_a").join(where.toDF("id_b", "eb"), "id_b"), "near-electrodes")
-    name = lambda a, b: F.concat_ws("-", F.least(a, b), F.greatest(a, b))
-    across = d.where("ea <> eb").select(name("ea", "eb").alias("pair"), F.least("ea", "eb").alias("e1"), F.greatest("ea", "eb").alias("e2"), "id_a", "id_b")
-    within = d.where("ea = eb").select(F.col("ea").alias("e"), "id_a", "id_b")
-    met = across.select("pair", "e1", "e2").distinct()
-    ends = met.select("pair", F.explode(F.array("e1", "e2")).alias("e"))
-    mixed = pair_duplicates(across.select("pair", "id_a", "id_b").unionByName(ends.join(within, "e").select("pair", "id_a", "id_b")), counts)
-    alone = pair_duplicates(within.select(F.col("e").cast("string").alias("pair"), "id_a", "id_b"), counts).withColumn("e", F.col("pair").cast(traces.schema[electrode].dataType)).drop("pair")
-    groups = traces.select(electrode).distinct()
-    combos = groups.select(F.col(electrode).alias("e1")).join(groups.select(F.col(electrode).alias("e2")), F.col("e1") < F.col("e2"))  # the electrodes of an array, not its rows
-    rest = combos.select(F.concat_ws("-", "e1", "e2").alias("pair"), F.explode(F.array("e1", "e2")).alias("e")).join(met.select("pair"), "pair", "left_anti")
-    return mixed.unionByName(rest.join(alone, "e").select("pair", "master_id", "loser_id"))
+    across = d.where("ea <> eb").select(F.least("ea", "eb").alias("e1"), F.greatest("ea", "eb").alias("e2"), "id_a", "id_b")
+    return across, d.where("ea = eb").select(F.col("ea").alias("e"), "id_a", "id_b")
+
+
+def global_duplicates(traces: DataFrame, counts: DataFrame, electrode: str, id_col: str, vec: str, threshold: float) -> DataFrame:
+    """across_pairs() of plain vectors."""
+    return across_pairs(traces.select(F.col(electrode).alias("electrode")), *trace_links(traces, electrode, id_col, vec, threshold), counts)

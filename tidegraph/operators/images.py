@@ -6,14 +6,15 @@ end, in order of electrode, at length one.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import dot
+from ..functions import dot, squared_l2
 from ..session import ship
 from . import graph, linear, reports
 from .tables import written
@@ -60,6 +61,10 @@ def spline_argmin(y: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.concatenate([linear.spline(y[i : i + 1_000], at).argmin(1) for i in range(0, len(y), 1_000)])
 
 
+def squared(x: Column) -> Column:
+    return dot(x, x)
+
+
 def neighbourhoods(adjacency: DataFrame) -> DataFrame:
     """electrode, near: its neighbours and itself, in order, from (electrode, neighbor)."""
     return adjacency.groupBy("electrode").agg(F.sort_array(F.collect_set("neighbor")).alias("near"))
@@ -107,13 +112,120 @@ def merge_within(images: DataFrame, homes: DataFrame, adjacency: DataFrame, coun
     return graph.merge_actions(graph.keepers(label, counts, "electrode"), "electrode")
 
 
-def discard_across(images: DataFrame, homes: DataFrame, adjacency: DataFrame, counts: DataFrame, threshold: float, over: str = "union", adjacent_only: bool = False) -> DataFrame:
-    """pair, master_id, loser_id over pairs of electrodes, by traces over the union (or intersection) of neighbourhoods;
+def discard_adjacent(images: DataFrame, homes: DataFrame, adjacency: DataFrame, counts: DataFrame, threshold: float, over: str = "intersection") -> DataFrame:
+    """pair, master_id, loser_id over pairs of adjacent electrodes, by traces over the intersection (or union) of neighbourhoods;
     neurons of the same electrode are compared there too, and losers stay in later comparisons."""
-    t = pair_traces(images, homes, electrode_pairs(adjacency, over, adjacent_only))
+    t = pair_traces(images, homes, electrode_pairs(adjacency, over, adjacent_only=True))
     return graph.pair_duplicates(graph.edges(trace_distances(t, "pair"), threshold), counts)
 
 
+SURE = 1e-9  # of cosines: what is nearer to the threshold is computed
+
+
+class AcrossImages:
+    """Links between images over the union of two neighbourhoods, for every pair of electrodes, without every pair of neurons.
+
+    Traces are unit vectors over the union of the neighbourhoods of both homes. With c the threshold's cosine and all energy split into
+    what lies on one neighbourhood and on the rest, the cosine of two traces is at most that of the difference of their angles towards the
+    split. So two neurons of different homes can be linked only if one of them has a share of at least sin^2(asin(c) / 2) of its
+    energy on the neighbourhood of the other: it visits that electrode. Only visitors meet an electrode's neurons.
+
+    Two neurons of one home are compared with every second electrode in view, whose neighbourhood adds p and q of their energy at
+    home. The cosine there lies between (c1 - sqrt(pq)) / sqrt((1 + p)(1 + q)) and the same with a plus, c1 being that at home;
+    only where the threshold lies between is it computed, and an electrode that adds nothing to either needs no row at all.
+
+    images: neuron_id, electrode, wave (electrodes without a row are zero); homes: neuron_id, electrode; adjacency: electrode, neighbor.
+    """
+
+    def __init__(self, images: DataFrame, homes: DataFrame, adjacency: DataFrame, threshold: float):
+        self.threshold, self.least = threshold, 1 - threshold / 2
+        self.images = written(images.select("neuron_id", "electrode", "wave", dot(F.col("wave"), F.col("wave")).alias("energy")).where("energy > 0"), "images")
+        self.homes = homes.select("neuron_id", F.col("electrode").alias("home"))
+        self.near = written(neighbourhoods(adjacency.join(homes.select("electrode").distinct(), "electrode", "left_semi")), "neighbourhoods")
+        self.seen = written(self._seen(), "seen")
+
+    def _seen(self) -> DataFrame:
+        """neuron_id, home, other, full (energy on the neighbourhood of `other`), more (the part of it that is not on its home's), base
+        (energy on its home's): a row for each electrode on whose neighbourhood the neuron has energy, its home included."""
+        own = self.near.select(F.col("electrode").alias("home"), F.col("near").alias("own"))
+        e = self.images.select("neuron_id", F.col("electrode").alias("at"), "energy").join(self.homes, "neuron_id").join(own, "home")
+        at_home = F.when(F.array_contains("own", F.col("at")), F.col("energy"))
+        base = e.groupBy("neuron_id").agg(F.coalesce(F.sum(at_home), F.lit(0.0)).alias("base"))
+        member = self.near.select(F.col("electrode").alias("other"), F.explode("near").alias("at"))
+        more = F.when(~F.array_contains("own", F.col("at")), F.col("energy"))
+        s = e.join(member, "at").groupBy("neuron_id", "home", "other").agg(F.sum("energy").alias("full"), F.coalesce(F.sum(more), F.lit(0.0)).alias("more"))
+        return s.join(base, "neuron_id")
+
+    def visits(self) -> DataFrame:
+        """neuron_id, home, other: electrodes whose neurons a neuron can be linked with."""
+        share = math.sin(math.asin(max(self.least, 0.0)) / 2) ** 2
+        return self.seen.where("other <> home").where(F.col("full") >= (share - SURE) * (F.col("base") + F.col("more"))).select("neuron_id", "home", "other")
+
+    def candidates(self) -> DataFrame:
+        """e1 < e2, id_a, id_b: neurons of different electrodes of which one visits the other's, with the homes ha, hb."""
+        if self.least <= 0:  # opposite directions would be near enough: no share is too small
+            a, b = self.homes.toDF("id_a", "ha"), self.homes.toDF("id_b", "hb")
+            met = a.join(b, F.col("ha") < F.col("hb"))
+        else:
+            host = self.homes.select(F.col("neuron_id").alias("host"), F.col("home").alias("other"))
+            met = self.visits().join(host, "other")
+            first = F.col("home") < F.col("other")
+            side = lambda a, b: F.when(first, F.col(a)).otherwise(F.col(b))
+            met = met.select(side("neuron_id", "host").alias("id_a"), side("home", "other").alias("ha"), side("host", "neuron_id").alias("id_b"), side("other", "home").alias("hb")).distinct()
+        return met.select(F.col("ha").alias("e1"), F.col("hb").alias("e2"), "id_a", "id_b", "ha", "hb")
+
+    def distances(self, asked: DataFrame) -> DataFrame:
+        """asked (e1, e2, id_a, id_b, ...) with d2 between the two traces over the union of the neighbourhoods of e1 and e2; e2 may
+        be null, then over that of e1. Neurons without energy there have no trace and no row."""
+        one, two = self.near.toDF("e1", "n1"), self.near.toDF("e2", "n2")
+        a = asked.join(one, "e1").join(two, "e2", "left").withColumn("at", F.explode(F.array_union("n1", F.coalesce("n2", F.array().cast(self.near.schema["near"].dataType)))))
+        for s in ("a", "b"):
+            a = a.join(self.images.select(F.col("neuron_id").alias(f"id_{s}"), F.col("electrode").alias("at"), F.col("wave").alias(f"w{s}"), F.col("energy").alias(f"n{s}")), [f"id_{s}", "at"], "left")
+        keys = list(asked.columns)
+        parts = F.collect_list(F.when(F.col("na").isNotNull() | F.col("nb").isNotNull(), F.struct("at", "wa", "wb")))
+        a = a.groupBy(*keys).agg(F.sum("na").alias("na"), F.sum("nb").alias("nb"), parts.alias("parts")).where("na > 0 AND nb > 0")
+        unit = lambda w, n: F.transform(w, lambda v: v / F.sqrt(n))
+        apart = lambda x: F.when(x["wa"].isNull(), squared(unit(x["wb"], F.col("nb")))).when(x["wb"].isNull(), squared(unit(x["wa"], F.col("na")))).otherwise(squared_l2(unit(x["wa"], F.col("na")), unit(x["wb"], F.col("nb"))))
+        return a.withColumn("d2", F.aggregate(F.transform(F.array_sort("parts"), apart), F.lit(0.0), lambda s, v: s + v)).drop("na", "nb", "parts")
+
+    def links(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """across, within, changed, as graph.across_pairs() takes them."""
+        linked = (F.col("d2") < self.threshold) & (F.col("d2") > 0)
+        across = self.distances(self.candidates()).where(linked).select("e1", "e2", "id_a", "id_b")
+        a = self.homes.select(F.col("home").alias("e"), F.col("neuron_id").alias("id_a"))
+        twins = a.join(a.withColumnRenamed("id_a", "id_b"), "e").where("id_a < id_b")
+        at_home = self.distances(twins.select(F.col("e").alias("e1"), F.lit(None).cast(self.near.schema["electrode"].dataType).alias("e2"), "id_a", "id_b"))
+        at_home = written(at_home.select(F.col("e1").alias("e"), "id_a", "id_b", "d2"), "at-home")
+        more = self.seen.where("more > 0 AND other <> home").select("neuron_id", F.col("home").alias("e"), "other", "more", "base")
+        ends = [twins.join(more.select("e", F.col("neuron_id").alias(f"id_{s}"), "other"), ["e", f"id_{s}"]).select("e", "other", "id_a", "id_b") for s in "ab"]
+        asked = ends[0].unionByName(ends[1]).distinct().join(at_home, ["e", "id_a", "id_b"], "left")
+        for s in ("a", "b"):
+            asked = asked.join(more.select("e", "other", F.col("neuron_id").alias(f"id_{s}"), (F.col("more") / F.nullif(F.col("base"), F.lit(0.0))).alias(f"p{s}"), F.lit(True).alias(f"m{s}")), ["e", "other", f"id_{s}"], "left")
+            asked = asked.withColumn(f"p{s}", F.when(F.col(f"m{s}").isNull(), F.lit(0.0)).otherwise(F.col(f"p{s}")))
+        cosine, both, size = 1 - F.col("d2") / 2, F.sqrt(F.col("pa") * F.col("pb")), F.sqrt((1 + F.col("pa")) * (1 + F.col("pb")))
+        low, high = (cosine - both) / size, (cosine + both) / size
+        sure = F.coalesce((cosine < 1 - SURE) & ((low > self.least + SURE) | (high < self.least - SURE)), F.lit(False))
+        asked = written(asked.select("e", "other", "id_a", "id_b", F.coalesce(linked, F.lit(False)).alias("was"), sure.alias("sure"), (low > self.least).alias("above")), "asked")
+        settled = asked.where("sure").select("e", "other", "id_a", "id_b", "was", F.col("above").alias("linked"))
+        open_ = asked.where("NOT sure").select("e", "other", "id_a", "id_b", "was", F.col("e").alias("e1"), F.col("other").alias("e2"))
+        open_ = asked.where("NOT sure").select("e", "other", "id_a", "id_b", "was").join(self.distances(open_.drop("e", "other", "was")).withColumnsRenamed({"e1": "e", "e2": "other"}), ["e", "other", "id_a", "id_b"], "left")
+        decided = settled.unionByName(open_.select("e", "other", "id_a", "id_b", "was", F.coalesce(linked, F.lit(False)).alias("linked")))
+        changed = decided.where("was <> linked").select(F.least("e", "other").alias("e1"), F.greatest("e", "other").alias("e2"), "id_a", "id_b", "linked")
+        return across, at_home.where(linked).select("e", "id_a", "id_b"), changed
+
+
+def discard_across(images: DataFrame, homes: DataFrame, adjacency: DataFrame, counts: DataFrame, threshold: float, laid_out: bool = False) -> DataFrame:
+    """e1, e2, master_id, loser_id over every pair of electrodes that have neurons, by traces over the union of neighbourhoods;
+    neurons of the same electrode are compared in each pair too, and losers stay in later comparisons. e2 is null for what an electrode finds alone, in all
+    its pairs that have nothing else; laid_out: pair, master_id, loser_id with such rows once a pair."""
+    across, within, changed = AcrossImages(images, homes, adjacency, threshold).links()
+    across, changed = written(across, "across-links"), written(changed, "changed-links")
+    found = graph.across_pairs(homes.select("electrode"), across, within, counts, changed)
+    if not laid_out:
+        return found
+    return graph.spread(found, homes.select("electrode"), across.select("e1", "e2").unionByName(changed.select("e1", "e2")))
+
+
 def clean_datasets(trains: DataFrame, lengths: DataFrame, images: DataFrame, adjacency: DataFrame, homes: DataFrame, least: int, tau: float, most_contamination: float, within: float, across: float) -> DataFrame:
     """dataset, neuron_id, spike_time: trains of several datasets on one time line (dataset, ord, length), cleaned together.
 
@@ -132,6 +244,6 @@ def clean_datasets(trains: DataFrame, lengths: DataFrame, images: DataFrame, adj
     rest = here.join(merged, "neuron_id", "left_anti")
     more = counts.join(merged.toDF("master_id", "id"), "id").groupBy(F.col("master_id").alias("id")).agg(F.sum("n").alias("more"))
     counts = counts.join(more, "id", "left").select("id", (F.col("n") + F.coalesce("more", F.lit(0))).alias("n"))
-    gone = discard_across(whole, rest, adjacency, counts, across, "intersection", True).select(F.col("loser_id").alias("neuron_id")).distinct()
+    gone = discard_adjacent(whole, rest, adjacency, counts, across).select(F.col("loser_id").alias("neuron_id")).distinct()
     kept = trains.join(good.select("neuron_id"), "neuron_id", "left_semi").join(merged, "neuron_id", "left").withColumn("neuron_id", F.coalesce("master_id", "neuron_id")).drop("master_id")
     return reports.split_by_interval(kept.join(gone, "neuron_id", "left_anti"), lengths).select("dataset", "neuron_id", "spike_time")
