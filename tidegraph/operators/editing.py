@@ -1,11 +1,14 @@
 """The edit log: actions, their checks, replay over neurons, dry runs, undo, shrinking.
 
-Actions are few and depend on their order, so the fold runs on the driver over ids and counts, never over events; what it
-gives is one mapping (old id -> new id or removed) that is joined to the long table of events.
+What an action does depends on those before it, but only on those that it shares ids with, directly or through others. So a
+log is cut into the connected components of its ids; each is folded by itself, over ids and counts, never over events, and what
+comes out is one mapping (old id -> new id or removed) that is joined to the long table of events. An editor's session,
+a handful of actions, is folded where it is, over the ids that it names.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -17,8 +20,8 @@ from pyspark.sql import functions as F
 
 from ..functions import MAX_CLUSTERS
 from ..session import ship
-from . import reports
-from .tables import written
+from . import graph, reports
+from .tables import publish, published, text_of, written
 
 # The actions and what each needs.
 ACTIONS = {
@@ -136,7 +139,7 @@ def apply_auto(state: State, actions: list[Action]) -> State:
             if not ids:
                 continue
             master = max(ids, key=lambda i: (state.counts[i], -i))
-            ids = [i for i in ids if i != master]
+        ids = [i for i in ids if i != master]
         total = sum(state.counts[i] for i in ids)
         merge = a.action == "AUTO_MERGE"
         state._send(ids, master if merge else None)
@@ -193,6 +196,67 @@ def dry_run(counts: dict[int, int], actions: list[Action], elevated: set[int] =
     return {i: (c, top.get(i)) for i, (c, _) in status.items()}
 
 
+LOG = "seq int, action string, ids array<int>, master_id int, new_ids array<int>, new_counts array<long>"
+
+
+def log_table(spark: SparkSession, actions: list[Action]) -> DataFrame:
+    """A session's actions as rows, seq from 1."""
+    return spark.createDataFrame([(i, a.action, a.ids, a.master_id, a.new_ids, a.new_counts) for i, a in enumerate(actions, 1)], LOG)
+
+
+def fold(log: DataFrame, counts: DataFrame, elevated: DataFrame | None = None, automatic: bool = False) -> DataFrame:
+    """What the actions of a log (seq, action, ids, master_id, new_ids, new_counts) make of the neurons (counts: neuron_id, n) that they name:
+    neuron_id, there (it is left), to_id (where its events are now; null: removed), n, code, master_id, label, elevated.
+
+    Rows are those of named neurons that are or were there. Actions that share ids, directly or through others, are one component
+    of a graph and are folded in the order of seq in one task; components share nothing, so they are folded side by side. Neither
+    the log nor the counts are gathered. automatic: apply_auto(), else apply_manual(), whose errors end the job.
+    """
+    spark = ship(log.sparkSession)
+    log = log.where(~F.col("action").isin("CONSOLIDATE", "DEBUG")).select("seq", "action", "ids", "master_id", "new_ids", "new_counts")
+    every = F.array_distinct(F.concat(F.coalesce("ids", F.array().cast("array<int>")), F.coalesce("new_ids", F.array().cast("array<int>")), F.when(F.col("master_id").isNull(), F.array().cast("array<int>")).otherwise(F.array("master_id"))))
+    log = written(log.withColumn("named", every).where(F.size("named") > 0).withColumn("first", F.array_min("named")), "log")
+    named = log.select(F.lit(0).alias("g"), "first", F.explode("named").alias("id"))
+    part = graph.components(named, named.select("g", F.col("first").alias("id_a"), F.col("id").alias("id_b")), "g", "id").select("id", "component")
+    part = written(part, "log-parts")
+    actions = log.join(part.withColumnRenamed("id", "first"), "first").drop("first", "named")
+    guarded = elevated.select(F.col("neuron_id").alias("id"), F.lit(True).alias("guarded")).distinct() if elevated is not None else part.select("id", F.lit(True).alias("guarded")).limit(0)
+    have = counts.select(F.col("neuron_id").cast("int").alias("id"), "n").join(part, "id").join(guarded, "id", "left").select("component", "id", "n", F.coalesce("guarded", F.lit(False)).alias("guarded"))
+
+    def run(a: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        todo = [Action(r.action, [int(i) for i in r.ids], None if pd.isna(r.master_id) else int(r.master_id), new_ids=[int(i) for i in r.new_ids if r.new_ids is not None], new_counts=[int(i) for i in r.new_counts]) for r in a.sort_values("seq").itertuples()]
+        start = {int(i): int(n) for i, n in zip(c["id"], c["n"], strict=True)}
+        s = State(dict(start), {int(i) for i in c["id"][c["guarded"].astype(bool)]})
+        s = (apply_auto if automatic else apply_manual)(s, todo)
+        rows = []
+        for i in sorted({*start, *s.counts}):
+            code, master = s.status.get(i, (0, None))
+            top, seen = master, {i}
+            while top in s.status and s.status[top][1] is not None and top not in seen:  # masters that went elsewhere themselves
+                seen.add(top)
+                top = s.status[top][1]
+            rows.append((i, i in s.counts, s.into.get(i, i), s.counts.get(i, 0), code, top, s.labels.get(i), i in s.elevated))
+        out = pd.DataFrame(rows, columns=["neuron_id", "there", "to_id", "n", "code", "master_id", "label", "elevated"])
+        return out.astype({"to_id": "Int32", "master_id": "Int32"})
+
+    kind = "neuron_id int, there boolean, to_id int, n long, code int, master_id int, label string, elevated boolean"
+    have = have.select(*[F.col(c).alias(c) for c in have.columns])  # both sides come from one table
+    return actions.groupBy("component").cogroup(have.groupBy("component")).applyInPandas(run, kind)
+
+
+def remap_by(spikes: DataFrame, folded: DataFrame) -> DataFrame:
+    """The long table of events after a fold(): one join with a row a named neuron."""
+    moves = folded.where("to_id is null OR to_id <> neuron_id").select("neuron_id", "to_id", F.lit(True).alias("moved"))
+    out = spikes.join(moves, "neuron_id", "left").where("moved is null or to_id is not null")
+    return out.withColumn("neuron_id", F.coalesce("to_id", "neuron_id")).select(*spikes.columns)
+
+
+def dry_run_by(counts: DataFrame, folded: DataFrame) -> DataFrame:
+    """neuron_id, code, master_id of every neuron if the automatic actions of a fold() were applied; 0 for those that stay."""
+    d = counts.select(F.col("neuron_id").cast("int").alias("neuron_id")).join(folded.select("neuron_id", "code", "master_id"), "neuron_id", "left")
+    return d.withColumn("code", F.coalesce("code", F.lit(0)))
+
+
 def remap(spikes: DataFrame, state: State) -> DataFrame:
     """The long table of events after the edits: one join with the mapping, which has a row a changed neuron."""
     spark: SparkSession = spikes.sparkSession
@@ -208,13 +272,14 @@ def replay(spikes: DataFrame, actions: list[Action], trains: DataFrame | None =
     trains (seq, neuron_id, spike_time, any others): the events that action number seq (from 1) gave its neurons: for SHRINK
     those that its ids keep and those of the outlier neuron (new_ids), which goes; for RECLUSTER those of its new_ids. What
     an id holds thus comes from the table itself (source 0) or from an action, and later actions move it on. The fold runs
-    on ids and counts; events are moved by one join on (source, id). Merging takes in all events, repeated times too.
+    on the ids that the actions name and their counts; events are moved by one join on (source, id). Merging takes in all events, repeated times too.
     """
     spark = spikes.sparkSession
     both = spikes.withColumn("source", F.lit(0))
     if trains is not None:
         both = both.unionByName(trains.withColumnRenamed("seq", "source").withColumn("source", F.col("source").cast("int")).select(*both.columns))
-    n = {(r["source"], r["neuron_id"]): r["count"] for r in both.groupBy("source", "neuron_id").count().collect()}  # a row a neuron
+    named = spark.createDataFrame([(i,) for i in sorted({i for a in actions for i in [*a.ids, *a.new_ids]})], "neuron_id int")
+    n = {(r["source"], r["neuron_id"]): r["count"] for r in both.join(named, "neuron_id", "left_semi").groupBy("source", "neuron_id").count().collect()}  # a row a named neuron
     holds: dict[int, list[tuple[int, int]]] = {i: [(0, i)] for s, i in n if s == 0}
     gone: set[int] = set()
     size = lambda i: sum(n.get(p, 0) for p in holds[i])
@@ -250,10 +315,10 @@ def replay(spikes: DataFrame, actions: list[Action], trains: DataFrame | None =
                 holds[i] = [(seq, i)]
         else:
             raise ValueError(f"{a.action} is no manual action")
-    rows = [(s, i, to) for to, ps in holds.items() if to not in gone for s, i in ps]
-    moves = spark.createDataFrame(rows, "source int, neuron_id int, to_id int")
-    out = both.join(moves, ["source", "neuron_id"]).withColumn("neuron_id", F.col("to_id"))
-    return out.select(*spikes.columns)
+    goes = {p: to for to, ps in holds.items() if to not in gone for p in ps}
+    moves = spark.createDataFrame([(s, i, goes.get((s, i))) for s, i in n], "source int, neuron_id int, to_id int").withColumn("named", F.lit(True))
+    out = both.join(moves, ["source", "neuron_id"], "left").where("to_id is not null OR (named is null AND source = 0)")
+    return out.withColumn("neuron_id", F.coalesce("to_id", "neuron_id")).select(*spikes.columns)
 
 
 def merged_trains(spikes: DataFrame) -> DataFrame:
@@ -263,8 +328,13 @@ def merged_trains(spikes: DataFrame) -> DataFrame:
 
 
 class Store:
-    """A log of edits and the neurons that they lead to, as tables under one folder: log (appended to) and versions of the
-    neurons, of which the log's last CONSOLIDATE names the one that holds."""
+    """A log of edits and the neurons that they lead to, as tables under one folder, for any number of editors at once.
+
+    A version is a small file that lists the log's parts in order; the one with the largest number holds. To add, an editor writes its rows as
+    a new part and then publishes the next version, which only one can do: who is late reads the version that came
+    between and lists its part behind it. Sequence numbers follow from the order of parts, so none is lost or given
+    twice, and nothing that is written becomes visible before its version is. The log's last CONSOLIDATE names the table of neurons that holds.
+    """
 
     KIND = "seq int, action string, ids array<int>, master_id int, frac double, contam double, n_clusters int, config_tag string, new_ids array<int>, version string"
 
@@ -273,22 +343,47 @@ class Store:
         self.session: list[Action] = []
         self.expect_clear = False
 
+    def version(self) -> tuple[int, list[dict]]:
+        """Number and parts of the version that holds; 0 and none before the first."""
+        found = published(self.spark, f"{self.root}/versions")
+        return (int(found[-1].split(".")[0]), json.loads(text_of(self.spark, f"{self.root}/versions/{found[-1]}"))["parts"]) if found else (0, [])
+
+    def _rows(self, parts: list[dict]) -> DataFrame:
+        if not parts:
+            return self.spark.createDataFrame([], self.KIND)
+        starts, at = [], 0
+        for p in parts:
+            starts.append((p["part"], at))
+            at += p["n"]
+        rows = self.spark.read.schema(self.KIND + ", part string").parquet(*[f"{self.root}/{p['part']}" for p in parts])
+        rows = rows.join(self.spark.createDataFrame(starts, "part string, start int"), "part")
+        return rows.withColumn("seq", F.col("start") + F.col("seq")).drop("part", "start").orderBy("seq")
+
     def log(self) -> DataFrame:
         """All saved rows, in order of seq."""
-        try:
-            return self.spark.read.schema(self.KIND).parquet(f"{self.root}/log").orderBy("seq")
-        except Exception as e:  # nothing was saved yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return self.spark.createDataFrame([], self.KIND)
+        return self._rows(self.version()[1])
 
-    def actions(self) -> list[Action]:
-        return [Action(r["action"], list(r["ids"] or []), r["master_id"], r["frac"], r["contam"], r["n_clusters"], r["config_tag"], list(r["new_ids"] or [])) for r in self.log().collect()]
+    @staticmethod
+    def _read(rows: DataFrame) -> list[Action]:
+        return [Action(r["action"], list(r["ids"] or []), r["master_id"], r["frac"], r["contam"], r["n_clusters"], r["config_tag"], list(r["new_ids"] or [])) for r in rows.collect()]
 
-    def _append(self, actions: list[Action], version: str | None = None, mode: str = "append") -> None:
-        start = 0 if mode == "overwrite" else self.log().count()
-        rows = [(start + i, a.action, a.ids, a.master_id, a.frac, a.contam, a.n_clusters, a.config_tag, a.new_ids, version) for i, a in enumerate(actions, 1)]
-        self.spark.createDataFrame(rows, self.KIND).coalesce(1).write.mode(mode).parquet(f"{self.root}/log")
+    def actions(self) -> list[Action]:
+        return self._read(self.log())
+
+    def _append(self, actions: list[Action], version: str | None = None, fresh: bool = False, after: int | None = None) -> bool:
+        """Adds the actions behind all others (fresh: in their place). after: only if that version still holds."""
+        new = []
+        if actions:
+            part = f"log-{uuid.uuid4().hex}"
+            rows = [(i, a.action, a.ids, a.master_id, a.frac, a.contam, a.n_clusters, a.config_tag, a.new_ids, version, part) for i, a in enumerate(actions, 1)]
+            self.spark.createDataFrame(rows, self.KIND + ", part string").coalesce(1).write.parquet(f"{self.root}/{part}")
+            new = [{"part": part, "n": len(rows)}]
+        while True:
+            base, parts = self.version()
+            if after is not None and base != after:
+                return False
+            if publish(self.spark, f"{self.root}/versions/{base + 1:012d}.json", json.dumps({"parts": new if fresh else parts + new})):
+                return True
 
     def add(self, action: Action) -> None:
         """To the session; kept only when saved."""
@@ -307,7 +402,7 @@ class Store:
 
     def save(self) -> None:
         if self.session or self.expect_clear:
-            self._append(self.session, mode="overwrite" if self.expect_clear else "append")
+            self._append(self.session, fresh=self.expect_clear)
         self.clear_session()
 
     def of_electrode(self, electrode: int) -> DataFrame:
@@ -315,25 +410,30 @@ class Store:
 
     def neurons(self) -> DataFrame | None:
         """The consolidated table, None before the first consolidation."""
-        last = self.log().where("action = 'CONSOLIDATE'").orderBy(F.desc("seq")).limit(1).collect()
+        return self._consolidated(self.log())
+
+    def _consolidated(self, log: DataFrame) -> DataFrame | None:
+        last = log.where("action = 'CONSOLIDATE'").orderBy(F.desc("seq")).limit(1).collect()
         return self.spark.read.parquet(f"{self.root}/{last[0]['version']}") if last else None
 
     def consolidate(self, raw: DataFrame, trains: DataFrame | None = None) -> DataFrame:
         """Applies what was saved since the last CONSOLIDATE to the consolidated neurons (to `raw`, all actions, the first
-        time), writes a new version and then the marker that names it; without new actions nothing is written. A write
-        that fails leaves the version before it in force."""
-        actions, have = self.actions(), self.neurons()
-        last = max((i for i, a in enumerate(actions, 1) if a.action == "CONSOLIDATE"), default=0)
-        new = actions[last:]
-        if not new:
-            return have if have is not None else raw
-        if trains is not None:
-            trains = trains.where(F.col("seq") > last).withColumn("seq", F.col("seq") - last)
-        version = f"neurons-{uuid.uuid4().hex}"
-        out = replay(have if have is not None else raw, new, trains)
-        out.repartitionByRange("neuron_id").sortWithinPartitions("neuron_id", "spike_time").write.parquet(f"{self.root}/{version}")
-        self._append([Action("CONSOLIDATE")], version)
-        return self.neurons()
+        time), writes a new table and then the marker that names it; without new actions nothing is written. A write
+        that fails leaves the version before it in force; where another editor was faster, it is done again on top of that."""
+        while True:
+            base, parts = self.version()
+            log = self._rows(parts)
+            actions, have = self._read(log), self._consolidated(log)
+            last = max((i for i, a in enumerate(actions, 1) if a.action == "CONSOLIDATE"), default=0)
+            new = actions[last:]
+            if not new:
+                return have if have is not None else raw
+            own = trains.where(F.col("seq") > last).withColumn("seq", F.col("seq") - last) if trains is not None else None
+            version = f"neurons-{uuid.uuid4().hex}"
+            out = replay(have if have is not None else raw, new, own)
+            out.repartitionByRange("neuron_id").sortWithinPartitions("neuron_id", "spike_time").write.parquet(f"{self.root}/{version}")
+            if self._append([Action("CONSOLIDATE")], version, after=base):
+                return self.spark.read.parquet(f"{self.root}/{version}")
 
 
 def train_projections(trains: DataFrame, projections: DataFrame) -> DataFrame:

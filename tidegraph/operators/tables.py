@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +40,53 @@ def drop(*tables: DataFrame) -> None:
             fs.cancelDeleteOnExit(p)
 
 
+def _located(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def publish(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small file whole, or leaves the one that there is and gives False: of several who try at once, one succeeds.
+
+    The text is written beside it first; then the name is taken, by a hard link on a local disk, else by a rename, which must refuse to
+    replace (as HDFS does).
+    """
+    jvm, (fs, p) = spark.sparkContext._jvm, _located(spark, path)
+    draft = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        if fs.getUri().getScheme() != "file":
+            return bool(fs.rename(draft, p))
+        file = lambda x: jvm.java.io.File(x.toUri().getPath()).toPath()
+        jvm.java.nio.file.Files.createLink(file(p), file(draft))
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" not in str(e.java_exception):
+            raise
+        return False
+    finally:
+        fs.delete(draft, False)
+
+
+def published(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files that were published in a folder, in order."""
+    fs, p = _located(spark, folder)
+    if not fs.exists(p):
+        return []
+    return sorted(n for n in (f.getPath().getName() for f in fs.listStatus(p)) if not n.endswith((".tmp", ".crc")))
+
+
+def text_of(spark: SparkSession, path: str) -> str:
+    fs, p = _located(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def keyed_hash(*parts: Column | int | str) -> Column:
     """32 bits of the MD5 of the parts as text, joined by '|': any engine gives the same."""
     text = F.concat_ws("|", *[p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts])
