@@ -6,8 +6,6 @@ channel of any size costs memory for its landmarks only.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -21,6 +19,10 @@ from .tables import written
 # choice, k-means replicates and iterations, retries, most dropped rows, posterior that a row of a mixture must exceed.
 LANDMARKS, POINTS, NEIGHBOUR, VECTORS, MOST, TOLERANCE = 2_500, 20_000, 5, 20, 15, 0.015
 REPLICATES, ITERATIONS, RETRIES, MOST_DROPPED, POSTERIOR = 5, 200, 10, 0.01, 0.5
+# Fixed value: products with the matrix at most, while leading vectors are sought.
+PRODUCTS = 300
+DENSE = 400  # rows up to which all eigenvectors cost less than the leading ones
+PART_ROWS = 50_000  # rows that meet one copy of a model
 
 
 # -------------------------------------------------------------------------------------------------- SQL parts
@@ -131,6 +133,43 @@ def align_axes(x: np.ndarray, rounds: int = 200, rate: float = 1.0, least_gain:
     return z, quality
 
 
+def leading(a: np.ndarray, k: int, rng: np.random.Generator, most: int = PRODUCTS, tolerance: float = 1e-12, steps: int = 6) -> tuple[np.ndarray, np.ndarray]:
+    """The k largest eigenvalues of a symmetric matrix, largest first, and their vectors, without the others.
+
+    Block Lanczos with full orthogonalisation, restarted from the best vectors: a block a few vectors wider than k is multiplied
+    `steps` times, the matrix is reduced to what they span and solved there. It ends when every residual |a v - w v| is below
+    tolerance x the largest value, no longer shrinks, or after `most` products. A block holds repeated eigenvalues too, as a graph of several parts has.
+    """
+    n, width = len(a), min(len(a), k + 8)
+    if n <= max(DENSE, 3 * width):
+        w, v = np.linalg.eigh(a)
+        return w[::-1][:k], v[:, ::-1][:, :k]
+    q, products, before = np.linalg.qr(rng.normal(size=(n, width)))[0], 0, np.inf
+    aq = a @ q
+    while True:
+        basis, images = [q], [aq]
+        for _ in range(steps - 1):
+            new = images[-1]
+            for _ in range(2):  # once leaves what rounding brings back
+                for b in basis:
+                    new = new - b @ (b.T @ new)
+            new = np.linalg.qr(new)[0]
+            basis.append(new)
+            images.append(a @ new)
+            products += 1
+        span, image = np.concatenate(basis, 1), np.concatenate(images, 1)
+        small = span.T @ image
+        w, y = np.linalg.eigh((small + small.T) / 2)
+        w, y = w[::-1][:width], y[:, ::-1][:, :width]
+        q, aq = span @ y, image @ y
+        residual = np.sqrt(((aq - q * w) ** 2).sum(0))[:k].max()
+        if residual <= tolerance * abs(w[0]) or residual > 0.5 * before and residual < 1e-8 * abs(w[0]) or products >= most:
+            return w[:k], q[:, :k]
+        before = residual
+        q, r = np.linalg.qr(q)  # orthogonal again, with the products to match
+        aq = np.linalg.solve(r.T, aq.T).T
+
+
 def spectral(x: np.ndarray, rng: np.random.Generator, most: int = MOST, k: int | None = None, landmarks: int = LANDMARKS, neighbour: int = NEIGHBOUR, tolerance: float = TOLERANCE, kernel: str = "gauss") -> dict:
     """A fitted model: landmarks, their scales, the chosen eigenvectors, centroids on the unit sphere, k and quality."""
     mark = x if len(x) <= landmarks else x[np.sort(rng.choice(len(x), landmarks, replace=False))]
@@ -140,8 +179,7 @@ def spectral(x: np.ndarray, rng: np.random.Generator, most: int = MOST, k: int |
     a = np.exp(-d2 / np.outer(scale, scale)) if kernel == "gauss" else 1 / (1 + d2 * np.outer(scale, scale))
     np.fill_diagonal(a, 0)
     degree = np.maximum(a.sum(1), 1e-300)
-    w, v = np.linalg.eigh(a / np.sqrt(np.outer(degree, degree)))
-    w, v = w[::-1][:VECTORS], v[:, ::-1][:, :VECTORS]
+    w, v = leading(a / np.sqrt(np.outer(degree, degree)), VECTORS, rng)
     if k is None:
         most = min(most, v.shape[1], len(mark))
         quality, z = {1: -np.inf}, v[:, :1]
@@ -236,7 +274,7 @@ def cluster(points: DataFrame, group: str, id_col: str, vec: str, method: str =
     The landmarks of a group, at most `landmarks` (LANDMARKS for spectral clustering, else POINTS) by a hash of the id, meet in one task and are fitted; then all rows are
     placed in batches against the fitted models, which have a bounded size each; in mixtures by the largest posterior, 0 where
     none exceeds POSTERIOR. Numerical failures are tried again with
-    another seed; a group that keeps failing is left at 0.
+    another seed; a group that keeps failing is left at 0. Rows of a null group are left out.
     """
     spark = ship(points.sparkSession)
     landmarks = landmarks or (LANDMARKS if method == "spectral" else POINTS)
@@ -267,26 +305,21 @@ def cluster(points: DataFrame, group: str, id_col: str, vec: str, method: str =
 
         return pd.DataFrame({group: [key], "model": [pickle.dumps(model)], "k": [model["k"] if model else 0]})
 
-    models = chosen.join(size, group).groupBy(group).applyInPandas(fit, f"{group} {kind[group]}, model binary, k int")
+    models = written(chosen.join(size, group).groupBy(group).applyInPandas(fit, f"{group} {kind[group]}, model binary, k int"), "models")
 
-    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(rows: pd.DataFrame, fitted: pd.DataFrame) -> pd.DataFrame:
         import pickle
 
-        last: tuple = (None, None)
-        for whole in frames:
-            for at in range(0, len(whole), 1_000):
-                for raw, part in whole.iloc[at : at + 1_000].groupby("model", sort=False):
-                    if last[0] != raw:
-                        last = raw, pickle.loads(raw)
-                    m, x = last[1], np.stack(part[vec].to_numpy()).astype(float)
-                    if m is None:
-                        label = np.zeros(len(x), int)
-                    elif "mark" in m:
-                        label = assign(m, x)
-                    elif "shares" in m:
-                        label = likeliest(m, x)
-                    else:
-                        label = square_distances(x, m["centroids"]).argmin(1) + 1
-                    yield pd.DataFrame({group: part[group], id_col: part[id_col], "clust": label.astype(np.int32), "k": part["k"]})
-
-    return points.select(group, id_col, vec).join(models, group).mapInPandas(place, f"{group} {kind[group]}, {id_col} {kind[id_col]}, clust int, k int")
+        if not len(rows) or not len(fitted):
+            return pd.DataFrame({group: [], id_col: [], "clust": [], "k": []})
+        m, label = pickle.loads(fitted["model"].iloc[0]), np.zeros(len(rows), np.int32)
+        for at in range(0, len(rows) if m is not None else 0, 1_000):
+            x = np.stack(rows[vec].iloc[at : at + 1_000].to_numpy()).astype(float)
+            label[at : at + 1_000] = assign(m, x) if "mark" in m else likeliest(m, x) if "shares" in m else square_distances(x, m["centroids"]).argmin(1) + 1
+        return pd.DataFrame({group: rows[group], id_col: rows[id_col], "clust": label, "k": np.int32(fitted["k"].iloc[0])})
+
+    # A group is cut into parts of about PART_ROWS rows; a copy of its model travels to each part, not to each row.
+    parts = size.select(group, F.ceil(F.col("size") / PART_ROWS).cast("int").alias("parts"))
+    rows = points.select(group, id_col, vec).join(parts, group).withColumn("part", F.pmod(F.xxhash64(id_col), F.col("parts")).cast("int")).drop("parts")
+    models = models.join(parts, group).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    return rows.groupBy(group, "part").cogroup(models.groupBy(group, "part")).applyInPandas(place, f"{group} {kind[group]}, {id_col} {kind[id_col]}, clust int, k int")

@@ -17,13 +17,17 @@ def windows(spikes: DataFrame, samples: DataFrame, adjacency: DataFrame, left: i
     """electrode, spike_time, neighbor, ord, pos, value: the samples around each spike on its neighbours.
 
     Samples are gathered in blocks of sample numbers, and a window asks for the blocks that it lies in, mostly one: the join
-    is by equality on (electrode, block) and its rows are windows, whatever their width; the window is cut out behind it.
+    is by equality on (electrode, block) and its rows are windows, whatever their width; the window is cut out behind it, by
+    place where the block has no gap.
     """
     place = F.struct("sample", "value")
-    have = samples.groupBy(F.col("electrode").alias("neighbor"), F.floor(F.col("sample") / block).alias("block")).agg(F.collect_list(place).alias("held"))
+    have = samples.groupBy(F.col("electrode").alias("neighbor"), F.floor(F.col("sample") / block).alias("block"))
+    have = have.agg(F.array_sort(F.collect_list(place)).alias("held"), F.min("sample").alias("from"), F.max("sample").alias("to"))
     ask = spikes.select("electrode", "spike_time").join(adjacency.select("electrode", "neighbor", "ord"), "electrode")
     ask = ask.withColumn("block", F.explode(F.sequence(F.floor((F.col("spike_time") - left) / block), F.floor((F.col("spike_time") + right) / block))))
-    near = F.filter("held", lambda x: (x["sample"] >= F.col("spike_time") - left) & (x["sample"] <= F.col("spike_time") + right))
+    low, high = F.greatest(F.col("spike_time") - left, F.col("from")), F.least(F.col("spike_time") + right, F.col("to"))
+    gaps = F.filter("held", lambda x: (x["sample"] >= low) & (x["sample"] <= high))
+    near = F.when(F.size("held") == F.col("to") - F.col("from") + 1, F.slice("held", (low - F.col("from") + 1).cast("int"), F.greatest(high - low + 1, F.lit(0)).cast("int"))).otherwise(gaps)
     out = ask.join(have, ["neighbor", "block"]).select("electrode", "spike_time", "neighbor", "ord", F.explode(near).alias("x"))
     return out.select("electrode", "spike_time", "neighbor", "ord", (F.col("x.sample") - F.col("spike_time")).cast("int").alias("pos"), F.col("x.value").alias("value"))
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ship
 from .tables import keyed_hash
 
 
@@ -85,11 +87,53 @@ def last_trigger(events: DataFrame, triggers: DataFrame, key: str, time: str) ->
     return out.where("kind = 1").select(*events.columns, "trigger_time")
 
 
+FRAMES, NEURONS, VALUES = 4_096, 128, 512  # of one product
+
+
 def triggered_average(events: DataFrame, frames: DataFrame, depth: int, offset: int = -1) -> DataFrame:
-    """neuron_id, back (0..depth-1), n, mean: the stimulus value (frame, value) `back` frames before an event's frame."""
-    e = events.select("neuron_id", F.explode(F.sequence(F.lit(0), F.lit(depth - 1))).alias("back"), (F.col("frame") + offset).alias("at"))
-    e = e.withColumn("frame", F.col("at") - F.col("back"))
-    return e.join(frames, "frame").groupBy("neuron_id", "back").agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"))
+    """neuron_id, back (0..depth-1), n, mean (an array): the average stimulus frame (frame, values) `back` frames before an event's
+    frame, moved by offset, over the n events for which that frame is there.
+
+    Events (neuron_id, frame) are counted by neuron and frame first. Counts and frames then meet as matrices, a block of
+    frames x a group of neurons x a stretch of values at a time, a bounded size each, and `depth` products give that block's
+    sums; the blocks' sums are added up map-side. Frames are equally long; other ones raise. No events or no frames: no rows.
+    """
+    ship(events.sparkSession)
+    kinds = {f.name: f.dataType.simpleString() for f in events.schema}
+    counted = events.groupBy("neuron_id", "frame").agg(F.count(F.lit(1)).alias("c"))
+    counted = counted.withColumn("block", F.floor(F.col("frame") / FRAMES))
+    groups = max(1, -(-events.select("neuron_id").distinct().count() // NEURONS))
+    size = frames.agg(F.coalesce(F.max(F.size("values")), F.lit(0))).collect()[0][0]
+    stretches = max(1, -(-size // VALUES))
+    counted = counted.withColumn("g", F.pmod(F.xxhash64("neuron_id"), F.lit(groups)).cast("int")).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(stretches - 1))))
+    first, last = F.floor((F.col("frame") - offset) / FRAMES), F.floor((F.col("frame") - offset + depth - 1) / FRAMES)  # of events that see the frame
+    seen = frames.select("frame", F.transform("values", lambda v: v.cast("double")).alias("values"), F.explode(F.sequence(first, last)).alias("block"))
+    seen = seen.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(stretches - 1)))).withColumn("values", F.slice("values", F.col("s") * VALUES + 1, F.lit(VALUES)))
+    seen = seen.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+
+    def run(c: pd.DataFrame, f: pd.DataFrame) -> pd.DataFrame:
+        if not len(c) or not len(f):
+            return pd.DataFrame([], columns=["neuron_id", "back", "s", "n", "sums"])
+        low = int(c["block"].iloc[0]) * FRAMES
+        x = np.stack(f["values"].to_numpy())
+        stack, there = np.zeros((FRAMES + depth - 1, x.shape[1])), np.zeros(FRAMES + depth - 1)
+        at = f["frame"].to_numpy() - (low + offset - depth + 1)  # place 0 is the earliest frame that the block's events see
+        stack[at], there[at] = x, 1
+        ids, row = np.unique(c["neuron_id"].to_numpy(), return_inverse=True)
+        m = np.zeros((len(ids), FRAMES))
+        np.add.at(m, (row, c["frame"].to_numpy() - low), c["c"].to_numpy())
+        rows = []
+        for back in range(depth):
+            shift = slice(depth - 1 - back, depth - 1 - back + FRAMES)
+            sums, n = m @ stack[shift], m @ there[shift]
+            rows += [(i, back, c["s"].iloc[0], int(k), v) for i, k, v in zip(ids, n, sums, strict=True) if k]
+        return pd.DataFrame(rows, columns=["neuron_id", "back", "s", "n", "sums"])
+
+    keys = ["block", "g", "s"]
+    part = counted.groupBy(*keys).cogroup(seen.groupBy(*keys)).applyInPandas(run, f"neuron_id {kinds['neuron_id']}, back int, s int, n long, sums array<double>")
+    total = part.select("neuron_id", "back", "s", "n", F.posexplode("sums").alias("i", "x")).groupBy("neuron_id", "back", "s", "i").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
+    mean = F.transform(F.array_sort(F.collect_list(F.struct("s", "i", (F.col("x") / F.col("n")).alias("x")))), lambda v: v["x"])
+    return total.groupBy("neuron_id", "back").agg(F.max("n").alias("n"), mean.alias("mean"))
 
 
 def split_by_interval(events: DataFrame, lengths: DataFrame, time: str = "spike_time") -> DataFrame:
@@ -140,6 +184,31 @@ def pools(n: int, workers: int) -> list[range]:
     return [range(a, b) for a, b in zip(edge, edge[1:])]
 
 
+def pool_table(electrodes: DataFrame, workers: int) -> DataFrame:
+    """pool, first, last of pools() over as many electrodes as there are rows."""
+    n = electrodes.agg(F.count(F.lit(1)).alias("n"))  # one row
+    edge = lambda i: F.floor(F.col("n") * i / workers + 0.5)
+    d = n.select("n", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(workers).cast("long"))).alias("pool"))
+    return d.select("pool", (edge(F.col("pool") - 1) + 1).alias("first"), edge(F.col("pool")).alias("last"))
+
+
+def ordered(nodes: DataFrame, weights: DataFrame, id_col: str) -> DataFrame:
+    """place, id_col: block_order() of the nodes, from the weights of their pairs (id_a, id_b, weight); 1 on the diagonal, 0 for
+    pairs without a row. One matrix is one task: the clusters or electrodes of a display."""
+    ship(nodes.sparkSession)
+    kind = {f.name: f.dataType.simpleString() for f in nodes.schema}[id_col]
+
+    def run(a: pd.DataFrame, w: pd.DataFrame) -> pd.DataFrame:
+        ids = np.sort(a["id"].to_numpy())
+        m = np.eye(len(ids))
+        x, y = np.searchsorted(ids, w["id_a"]), np.searchsorted(ids, w["id_b"])
+        m[x, y] = m[y, x] = w["weight"]
+        return pd.DataFrame({"place": np.arange(len(ids), dtype=np.int32), id_col: ids[block_order(m)]})
+
+    one = F.lit(0).alias("g")
+    return nodes.select(one, F.col(id_col).alias("id")).groupBy("g").cogroup(weights.select(one, "id_a", "id_b", "weight").groupBy("g")).applyInPandas(run, f"place int, {id_col} {kind}")
+
+
 def block_order(m: np.ndarray) -> list[int]:
     """An order of rows and columns that gathers mass near the diagonal: 2 n rounds of the best single exchange."""
     n = len(m)

@@ -6,7 +6,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,12 +13,13 @@ from ..functions import STATUS, cluster_of, electrode_of, l2_normalise, neuron_i
 from ..operators import clustering, compare, detection, editing, graph, linear, reports
 from ..operators import images as imaging
 from ..operators.tables import scratch, written
-from ..sources import recordings, settings, stages
+from ..sources import datasource, recordings, settings, stages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 # What gives results that are not trivial on these tables.
 MAX_WIDTH, MIN_GAP, ALPHA, HEAD = 3, 3, 0.2, 10
+BLOCK = 16  # of short channels; runs and gaps go over the blocks' ends
 LINK = 1.6
 WITHIN, ACROSS = 1.1, 1.0  # of normalised traces
 AUTO = [editing.Action("AUTO_RM", ids=[2, 16]), editing.Action("AUTO_MERGE", master_id=3, ids=[1, 5]), editing.Action("AUTO_RM_DUP", master_id=3, ids=[17, 4]), editing.Action("AUTO_MERGE", master_id=2, ids=[7, 8])]
@@ -92,13 +92,13 @@ def spike_detect(spark, sf_dir):
 
 @query
 def spike_candidates(spark, sf_dir):
-    c = detection.keep_rule(detection.candidates(*upright(spark, sf_dir)), MAX_WIDTH, MIN_GAP)
+    c = detection.keep_rule(detection.candidates(*upright(spark, sf_dir), block=BLOCK), MAX_WIDTH, MIN_GAP, block=BLOCK)
     return rounded(c, "amplitude", digits=9)
 
 
 @query
 def threshold_crossings(spark, sf_dir):
-    return detection.crossings(*upright(spark, sf_dir))
+    return detection.crossings(*upright(spark, sf_dir), block=BLOCK)
 
 
 @query
@@ -130,12 +130,12 @@ def dc_removal_ema(spark, sf_dir):
 
 @query
 def ttl_edges(spark, sf_dir):
-    return detection.trigger_edges(channels(spark, sf_dir), F.col("event_type") == "error")
+    return detection.trigger_edges(channels(spark, sf_dir), F.col("event_type") == "error", block=BLOCK)
 
 
 @query
 def ttl_intervals(spark, sf_dir):
-    return rounded(detection.trigger_intervals(detection.trigger_edges(channels(spark, sf_dir), F.col("event_type") == "error")), "mean")
+    return rounded(detection.trigger_intervals(detection.trigger_edges(channels(spark, sf_dir), F.col("event_type") == "error"), block=BLOCK), "mean")
 
 
 @query
@@ -151,9 +151,36 @@ def spike_buffer_interior(spark, sf_dir):
     return detection.interior(spikes(spark, sf_dir).select("electrode", "spike_time").join(b, ["electrode", "spike_time"]), 2, 3)
 
 
+def _recorded(spark, sf_dir):
+    """The channels as a recording on disk, in files of sixteen samples of all channels."""
+    path = scratch(spark, "recording")
+    datasource.write(channels(spark, sf_dir), path, size=16)
+    return path
+
+
 @query
 def time_range_scan(spark, sf_dir):
-    return channels(spark, sf_dir).where((F.col("sample") >= 10) & (F.col("sample") < 20)).select("electrode", "sample", "value")
+    """The bounds reach the source, which opens only the files that hold them."""
+    d = datasource.read(spark, _recorded(spark, sf_dir))
+    return d.where((F.col("sample") >= 10) & (F.col("sample") < 20)).select("electrode", "sample", "value")
+
+
+@query
+def recording_electrodes(spark, sf_dir):
+    """Two channels from a sample on."""
+    return datasource.read(spark, _recorded(spark, sf_dir)).where(F.col("electrode").isin(3, 8) & (F.col("sample") >= 20))
+
+
+@query
+def recording_stream(spark, sf_dir):
+    """A recording read as a stream, three files a micro-batch, gives its samples once each."""
+    folder = scratch(spark, "recording-stream")
+    d = datasource.stream(spark, _recorded(spark, sf_dir), blocks_per_batch=3)
+    run = d.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").start()
+    run.processAllAvailable()
+    run.stop()
+    d = spark.read.schema(d.schema).parquet(f"{folder}/out")
+    return rounded(d.groupBy("electrode").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("sample").alias("samples"), F.sum("value").alias("total")), "total", digits=4)
 
 
 @query
@@ -342,6 +369,12 @@ def pairwise_l2(spark, sf_dir):
     return rounded(graph.distances(neurons(spark, sf_dir), "electrode", "id", "v"), "d2")
 
 
+@query
+def pairwise_l2_channels(spark, sf_dir):
+    """All pairs of a channel's points, a tenth of the table in each channel."""
+    return rounded(graph.distances(points(spark, sf_dir), "electrode", "id", "v"), "d2")
+
+
 @query
 def neighbor_pairs_l2(spark, sf_dir):
     e = neurons(spark, sf_dir).select("electrode").distinct()
@@ -435,6 +468,14 @@ def merge_components(spark, sf_dir):
     return graph.components(neurons(spark, sf_dir), _links(spark, sf_dir), "electrode", "id")
 
 
+@query
+def merge_components_channels(spark, sf_dir):
+    """Components of large channels, linked by the exact threshold join."""
+    p = points(spark, sf_dir)
+    within = graph.trace_links(p, "electrode", "id", "v", 1.1)[1].withColumnRenamed("e", "electrode")
+    return graph.components(p, within, "electrode", "id")
+
+
 @query
 def final_forest(spark, sf_dir):
     c = graph.components(neurons(spark, sf_dir), _links(spark, sf_dir), "electrode", "id")
@@ -474,7 +515,10 @@ def auto_merge_actions(spark, sf_dir):
 
 @query
 def global_duplicate_pairs(spark, sf_dir):
-    return graph.global_duplicates(points(spark, sf_dir), counts(spark, sf_dir), "electrode", "id", "v", 1.1)
+    """Each pair of electrodes by itself."""
+    p = points(spark, sf_dir)
+    across, within = graph.trace_links(p, "electrode", "id", "v", 1.1)
+    return graph.spread(graph.across_pairs(p.select("electrode"), across, within, counts(spark, sf_dir)), p.select("electrode"), across)
 
 
 @query
@@ -571,36 +615,56 @@ def clean_filter(spark, sf_dir):
     return reports.clean_filter(contamination(spark, sf_dir), 60, 1.0).select("neuron_id", "n", "removed")
 
 
-def _neurons(spark, sf_dir) -> dict[int, int]:
-    """Counts of the twenty neurons that the literal actions are about."""
-    c = table(spark, sf_dir, "lineitem").groupBy((F.col("l_orderkey") % 20 + 1).cast("int").alias("id")).agg(F.count(F.lit(1)).alias("n"))
-    return {r["id"]: r["n"] for r in c.collect()}
+def _edited(spark, sf_dir):
+    """Events of the twenty neurons that the literal actions are about."""
+    return table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") % 20 + 1).cast("int").alias("neuron_id"))
+
 
+def _sizes(rows):
+    return rows.groupBy("neuron_id").agg(F.count(F.lit(1)).alias("n"))
 
-def _state(spark, sf_dir, state):
-    spikes_ = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") % 20 + 1).cast("int").alias("neuron_id"))
-    return editing.remap(spikes_, state).groupBy("neuron_id").agg(F.count(F.lit(1)).alias("n"))
+
+def _applied(spark, sf_dir, log, elevated=(), automatic=False):
+    rows = _edited(spark, sf_dir)
+    guarded = spark.createDataFrame([(i,) for i in elevated], "neuron_id int")
+    return _sizes(editing.remap_by(rows, editing.fold(log, _sizes(rows), guarded, automatic)))
 
 
 @query
 def apply_auto_actions(spark, sf_dir):
-    return _state(spark, sf_dir, editing.apply_auto(editing.State(_neurons(spark, sf_dir), {16}), AUTO))
+    return _applied(spark, sf_dir, editing.log_table(spark, AUTO), [16], True)
 
 
 @query
 def apply_manual_actions(spark, sf_dir):
-    return _state(spark, sf_dir, editing.apply_manual(editing.State(_neurons(spark, sf_dir)), MANUAL))
+    return _applied(spark, sf_dir, editing.log_table(spark, MANUAL))
 
 
 @query
 def incremental_actions(spark, sf_dir):
-    return _state(spark, sf_dir, editing.incremental(editing.State(_neurons(spark, sf_dir)), MANUAL))
+    return _applied(spark, sf_dir, editing.since_consolidate(editing.log_table(spark, MANUAL)))
 
 
 @query
 def auto_dry_run(spark, sf_dir):
-    s = editing.dry_run(_neurons(spark, sf_dir), AUTO, {16})
-    return spark.createDataFrame([(i, c, m) for i, (c, m) in sorted(s.items())], "neuron_id int, code int, master_id int")
+    n = _sizes(_edited(spark, sf_dir))
+    return editing.dry_run_by(n, editing.fold(editing.log_table(spark, AUTO), n, spark.createDataFrame([(16,)], "neuron_id int"), True))
+
+
+def _order_log(spark, sf_dir):
+    """An action for each order: on customers' neurons next to each other, those of a hundred at most linked with each other."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey").cast("int")
+    low = c - c % 100 + 1
+    ids = F.array(c + 1, low + (c * 7 + k) % 100, low + k % 100)
+    action = F.when(k % 4 == 0, "AUTO_RM").when(k % 4 == 1, "AUTO_RM_DUP").otherwise("AUTO_MERGE")
+    return table(spark, sf_dir, "orders").select(k.cast("int").alias("seq"), action.alias("action"), F.array_distinct(F.slice(ids, 2, 2)).cast("array<int>").alias("ids"), F.when(action != "AUTO_RM", c + 1).cast("int").alias("master_id"), F.array().cast("array<int>").alias("new_ids"), F.array().cast("array<long>").alias("new_counts"))
+
+
+@query
+def auto_log_applied(spark, sf_dir):
+    """A long log of automatic actions on customers' neurons, in the order of orders: status of every neuron."""
+    n = _sizes(table(spark, sf_dir, "orders").select((F.col("o_custkey") + 1).cast("int").alias("neuron_id")))
+    return editing.dry_run_by(n, editing.fold(_order_log(spark, sf_dir), n, automatic=True))
 
 
 def _edit_store(spark, sf_dir):
@@ -828,9 +892,18 @@ def asof_trigger(spark, sf_dir):
 @query
 def sta_average(spark, sf_dir):
     c = channels(spark, sf_dir)
-    frames = c.groupBy(F.floor(F.col("sample") / 2).alias("frame")).agg(F.avg("value").alias("value"))
+    frames = c.groupBy(F.floor(F.col("sample") / 2).alias("frame")).agg(F.array(F.avg("value")).alias("values"))
     e = spikes(spark, sf_dir).select(F.col("electrode").alias("neuron_id"), F.floor(F.col("spike_time") / 2).alias("frame"))
-    return rounded(reports.triggered_average(e, frames, 5), "mean", digits=9)
+    return rounded(reports.triggered_average(e, frames, 5).withColumn("mean", F.col("mean")[0]), "mean", digits=9)
+
+
+@query
+def sta_frames(spark, sf_dir):
+    """Average of the 30 stimulus frames before an event: a frame is an embedding, 64 values."""
+    frames = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("frame"), F.col("embedding").alias("values"))
+    e = spikes(spark, sf_dir).select(F.col("electrode").alias("neuron_id"), F.col("spike_time").alias("frame"))
+    d = reports.triggered_average(e, frames, 30).select("neuron_id", "back", "n", F.posexplode("mean").alias("i", "mean"))
+    return rounded(d, "mean", digits=7)
 
 
 @query
@@ -841,19 +914,16 @@ def display_sample(spark, sf_dir):
 
 @query
 def block_diag_order(spark, sf_dir):
+    """An order of the channels by how alike their mean points are."""
     p = points(spark, sf_dir)
-    c = p.select("electrode", F.posexplode("v").alias("i", "x")).groupBy("electrode", "i").agg(F.avg("x").alias("x")).orderBy("electrode", "i").collect()
-    labels = sorted({r["electrode"] for r in c})  # the few electrodes' mean points
-    m = np.array([[r["x"] for r in c if r["electrode"] == g] for g in labels])
-    d = np.exp(-((m[:, None] - m[None]) ** 2).sum(2))
-    order = reports.block_order(d)
-    return spark.createDataFrame([(i, int(labels[o])) for i, o in enumerate(order)], "place int, electrode int")
+    m = linear.mean_wave(p, "electrode", "v").groupBy("electrode").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "mean"))), lambda x: x["mean"]).alias("v"))
+    near = graph.distances(m.withColumn("all", F.lit(0)), "all", "electrode", "v").select("id_a", "id_b", F.exp(-F.col("d2")).alias("weight"))
+    return reports.ordered(m.select("electrode"), near, "electrode")
 
 
 @query
 def electrode_pools(spark, sf_dir):
-    n = table(spark, sf_dir, "supplier").count()
-    return spark.createDataFrame([(i + 1, p.start, p.stop - 1) for i, p in enumerate(reports.pools(n, 12))], "pool long, first long, last long")
+    return reports.pool_table(table(spark, sf_dir, "supplier"), 12)
 
 
 # ------------------------------------------------------------------------------- images and their neighbourhoods
@@ -907,7 +977,8 @@ def merge_by_images(spark, sf_dir):
 
 @query
 def discard_by_images(spark, sf_dir):
-    return imaging.discard_across(_images(spark, sf_dir), _homes(spark, sf_dir), _line(spark, sf_dir), counts(spark, sf_dir), ACROSS, "union", True)
+    """Every pair of electrodes."""
+    return imaging.discard_across(_images(spark, sf_dir), _homes(spark, sf_dir), _line(spark, sf_dir), counts(spark, sf_dir), ACROSS, laid_out=True)
 
 
 @query
@@ -953,9 +1024,12 @@ def recording_range(spark, sf_dir):
 
 @query
 def synthetic_recording(spark, sf_dir):
-    """A made recording with two planted units, written as blocks and read back."""
+    """A made recording: an electrode for each nation, a sample for each customer, a planted unit for each region; written as
+    blocks and read back."""
     path = scratch(spark, "synthetic")
-    recordings.to_blocks(recordings.synthetic(spark, 4, 5_000, [(2, 50, 611), (3, 90, 937)]), 4_096).write.parquet(path)
+    electrodes, samples = (table(spark, sf_dir, t).count() for t in ("nation", "customer"))
+    units = [(2 + 4 * r["r_regionkey"], 50 + 10 * r["r_regionkey"], 211 + 30 * r["r_regionkey"]) for r in table(spark, sf_dir, "region").orderBy("r_regionkey").collect()]
+    recordings.to_blocks(recordings.synthetic(spark, electrodes, samples, units), 4_096).write.parquet(path)
     d = recordings.scan(spark.read.parquet(path), size=4_096)
     return rounded(d.select("electrode", "sample", "value"), "value", digits=2)
 
@@ -1135,9 +1209,13 @@ def nearest_model(spark, sf_dir):
 
 @query
 def settings_tags(spark, sf_dir):
+    """The settings that each supplier's runs have, its tag going by its number."""
+    names = ("buffer_size", "landmarks", "retries", "min_spikes", "whitening", "quality_tolerance")
     tags = ["", *settings.TAGS]
-    rows = [(t, *(getattr(settings.settings(*[t] * bool(t)), f) for f in ("buffer_size", "landmarks", "retries", "min_spikes", "whitening", "quality_tolerance"))) for t in tags]
-    return spark.createDataFrame(rows, "tag string, buffer_size int, landmarks int, retries int, min_spikes int, whitening boolean, quality_tolerance double")
+    rows = [(i, t, *(getattr(settings.settings(*[t] * bool(t)), f) for f in names)) for i, t in enumerate(tags)]  # a row a tag
+    known = spark.createDataFrame(rows, "place long, tag string, buffer_size int, landmarks int, retries int, min_spikes int, whitening boolean, quality_tolerance double")
+    runs = table(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_suppkey") % len(tags)).alias("place"))
+    return runs.join(known, "place").select("s_suppkey", "tag", *names)
 
 
 @query

@@ -35,6 +35,7 @@ e AS (SELECT electrode, id_a AS u, id_b AS w FROM d2 WHERE d2 > 0 AND d2 < {limi
 reach AS (SELECT electrode, id, id AS r FROM pn UNION SELECT e.electrode, reach.id, e.w FROM reach JOIN e ON e.electrode = reach.electrode AND e.u = reach.r),
 comp AS (SELECT electrode, id, min(r) AS component FROM reach GROUP BY electrode, id)"""
 CUT = COMP.format(limit=1.5)
+CHANNELS = COMP.format(limit=1.1).replace(N2, D2).replace("FROM pn", "FROM pt")
 COMP = COMP.format(limit=1.6)
 KEEP = COMP + ", " + CNT + """,
 ck AS (SELECT comp.*, coalesce(n, 0) AS n FROM comp LEFT JOIN cnt ON comp.id = cnt.id),
@@ -125,6 +126,8 @@ ax(rank, i, a) AS (VALUES (1,0,1.0),(1,1,0.5),(1,2,-0.5),(1,3,0.25),(1,4,0.0),(1
     "SELECT x.electrode, id, ax.rank, " + signed("sum((x - m) * CAST(a AS DOUBLE))") + " AS score FROM x JOIN mn ON x.electrode = mn.electrode AND x.i = mn.i JOIN ax ON ax.i = x.i % 8 GROUP BY x.electrode, id, ax.rank")
 put("l2_normalize", XS, "SELECT id, CAST(i AS INTEGER) AS i, " + signed("x / sqrt(sum(x * x) OVER (PARTITION BY id))") + " AS x FROM x")
 put("pairwise_l2", N2, "SELECT CAST(electrode AS INTEGER) AS electrode, id_a, id_b, round(d2, 6) AS d2 FROM d2 WHERE id_a < id_b")
+put("pairwise_l2_channels", D2, "SELECT electrode, id_a, id_b, round(d2, 6) AS d2 FROM d2 WHERE id_a < id_b")
+put("merge_components_channels", CHANNELS, "SELECT electrode, id, component FROM comp", True)
 put("neighbor_pairs_l2", PN, "SELECT CAST(a.electrode AS INTEGER) AS ea, CAST(b.electrode AS INTEGER) AS eb, a.id AS id_a, b.id AS id_b, round(list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 6) AS d2 FROM pn a JOIN pn b ON b.electrode = a.electrode + 1")
 put("nth_neighbor_scale", SCALE, "SELECT electrode, id, round(scale, 6) AS scale FROM sc")
 AFF = SCALE + ", af AS (SELECT d2.electrode, id_a, id_b, d2, a.scale AS sa, b.scale AS sb FROM d2 JOIN sc a ON a.electrode = d2.electrode AND a.id = id_a JOIN sc b ON b.electrode = d2.electrode AND b.id = id_b)"
@@ -217,6 +220,9 @@ put("asof_trigger", CAND + ", tt AS (SELECT *, coalesce(lag(event_type = 'error'
     "SELECT sp.electrode, spike_time, trigger_time FROM sp ASOF LEFT JOIN tg ON sp.electrode = tg.electrode AND spike_time >= trigger_time")
 put("sta_average", CAND + ", fm AS (SELECT sample // 2 AS frame, avg(value) AS value FROM ch GROUP BY 1)",
     "SELECT electrode AS neuron_id, CAST(back AS INTEGER) AS back, count(*) AS n, round(avg(fm.value), 9) AS mean FROM sp, range(0, 5) r(back) JOIN fm ON fm.frame = sp.spike_time // 2 - 1 - back GROUP BY ALL")
+put("sta_frames", CAND, "SELECT electrode AS neuron_id, CAST(back AS INTEGER) AS back, count(*) AS n, CAST(k - 1 AS INTEGER) AS i, round(avg(CAST(embedding[k] AS DOUBLE)), 7) AS mean FROM sp, range(0, 30) r(back) JOIN embeddings ON vec_id = sp.spike_time - 1 - back, range(1, 65) c(k) GROUP BY electrode, back, k")
+put("recording_electrodes", CH, "SELECT electrode, sample, value FROM ch WHERE electrode IN (3, 8) AND sample >= 20")
+put("recording_stream", CH, "SELECT electrode, count(*) AS n, count(DISTINCT sample) AS samples, round(sum(value), 4) AS total FROM ch GROUP BY electrode")
 put("electrode_pools", "n AS (SELECT count(*) AS n FROM supplier), e AS (SELECT i, CAST(floor(n * i / 12.0 + 0.5) AS BIGINT) + 1 AS edge FROM n, range(0, 13) r(i))", "SELECT CAST(i AS BIGINT) AS pool, lag(edge) OVER (ORDER BY i) AS first, edge - 1 AS last FROM e QUALIFY i > 0")
 put("set_operations", "a AS (SELECT c_nationkey AS k FROM customer), b AS (SELECT s_nationkey AS k FROM supplier WHERE s_acctbal > 0)",
     "SELECT 'both' AS kind, k FROM (SELECT k FROM a INTERSECT SELECT k FROM b) UNION ALL SELECT 'left', k FROM (SELECT k FROM a EXCEPT SELECT k FROM b) UNION ALL SELECT 'any', k FROM (SELECT k FROM a UNION SELECT k FROM b)")
@@ -245,10 +251,20 @@ rec AS (
   )
 )""", "SELECT electrode, round(arg_max(sigma, rounds), 6) AS sigma, round(arg_max(mu, rounds), 6) AS mu, CAST(max(rounds) AS INTEGER) AS rounds, CAST(arg_max(n, rounds) AS BIGINT) AS n FROM rec GROUP BY electrode", True)
 HASH = "CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT)"
+# four rounds of a Feistel network over the smallest square of a power of two, again while the number lies outside the span
 put("random_noise_events", CH + """,
 sp AS (SELECT electrode, min(sample) AS first, count(*) AS span, CAST(round(count(*) * 0.2) AS BIGINT) AS n FROM ch GROUP BY electrode),
-ev AS (SELECT electrode, first, i, i * span // n AS low, (i + 1) * span // n AS high FROM (SELECT *, unnest(range(0, n)) AS i FROM sp WHERE n > 0))""",
-    "SELECT electrode, first + low + " + HASH.format(key="'0|' || electrode || '|' || i") + " % (high - low) AS spike_time FROM ev")
+hf AS (SELECT *, (SELECT min(CAST(pow(2, k) AS BIGINT)) FROM range(0, 32) t(k) WHERE pow(4, k) >= span) AS half FROM sp WHERE n > 0),
+walk AS (
+  SELECT electrode, first, span, n, i, half, i AS x, 0 AS pass FROM (SELECT *, unnest(range(0, n)) AS i FROM hf)
+  UNION ALL SELECT electrode, first, span, n, i, half, a * half + b AS x, pass + 1 FROM (
+    WITH r0 AS (SELECT electrode, first, span, n, i, half, x // half AS a, x % half AS b, pass FROM walk WHERE pass = 0 OR x >= span),
+    r1 AS (SELECT * REPLACE (b AS a, xor(a, """ + HASH.format(key="'0|' || electrode || '|1|' || b") + """ % half) AS b) FROM r0),
+    r2 AS (SELECT * REPLACE (b AS a, xor(a, """ + HASH.format(key="'0|' || electrode || '|2|' || b") + """ % half) AS b) FROM r1),
+    r3 AS (SELECT * REPLACE (b AS a, xor(a, """ + HASH.format(key="'0|' || electrode || '|3|' || b") + """ % half) AS b) FROM r2),
+    r4 AS (SELECT * REPLACE (b AS a, xor(a, """ + HASH.format(key="'0|' || electrode || '|4|' || b") + """ % half) AS b) FROM r3)
+    SELECT * FROM r4)
+)""", "SELECT electrode, first + x AS spike_time FROM walk WHERE pass > 0 AND x < span", True)
 put("display_sample", PT + """,
 d AS (SELECT electrode, CAST(id % 3 AS INTEGER) AS clust, id, count(*) OVER (PARTITION BY electrode) AS total, count(*) OVER (PARTITION BY electrode, id % 3) AS n,
   row_number() OVER (PARTITION BY electrode, id % 3 ORDER BY """ + HASH.format(key="'0|' || id") + """, id) AS nth FROM pt)""", "SELECT electrode, clust, id FROM d WHERE nth <= floor(least(1.0, CAST(30 AS DOUBLE) / total) * n)")
@@ -278,11 +294,11 @@ g AS (SELECT *, spike_time - lag(spike_time) OVER (PARTITION BY neuron_id ORDER
 # a neuron's image: eight samples on the electrodes home - 4 .. home + 3; its trace over electrodes lo..hi is one slice
 TRACE = PN + """,
 el AS (SELECT DISTINCT electrode AS e FROM pn), pr AS (SELECT a.e AS e1, b.e AS e2, a.e + {lo} AS lo, a.e + {hi} AS hi FROM el a JOIN el b ON b.e = a.e + 1),
-tq AS (SELECT e1 || '-' || e2 AS pair, electrode, id, v[CAST(8 * (lo - electrode + 4) + 1 AS INTEGER):CAST(8 * (hi - electrode + 5) AS INTEGER)] AS t FROM pr JOIN pn ON electrode IN (e1, e2)),
-tr AS (SELECT pair, electrode, id, list_transform(t, lambda y: y / sqrt(list_sum(list_transform(t, lambda x: x * x)))) AS t FROM tq)"""
-PAIRS = ", pd AS (SELECT a.pair, a.id AS id_a, b.id AS id_b, list_sum(list_transform(list_zip(a.t, b.t), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d2 FROM tr a JOIN tr b ON a.pair = b.pair AND a.id <> b.id)"
+tq AS MATERIALIZED (SELECT e1 || '-' || e2 AS pair, electrode, id, v[CAST(8 * (lo - electrode + 4) + 1 AS INTEGER):CAST(8 * (hi - electrode + 5) AS INTEGER)] AS t FROM pr JOIN pn ON electrode IN (e1, e2)),
+tn AS MATERIALIZED (SELECT *, sqrt(list_inner_product(t, t)) AS size FROM tq), tr AS MATERIALIZED (SELECT pair, electrode, id, list_transform(t, lambda y: y / size) AS t FROM tn)"""
+PAIRS = ", pd AS (SELECT a.pair, a.id AS id_a, b.id AS id_b, list_distance(a.t, b.t) * list_distance(a.t, b.t) AS d2 FROM tr a JOIN tr b ON a.pair = b.pair AND a.id < b.id)"
 for _name, _lo, _hi in (("traces_union", -1, 2), ("traces_intersection", 0, 1)):
-    put(_name, TRACE.format(lo=_lo, hi=_hi) + PAIRS, "SELECT pair, id_a, id_b, round(d2, 6) AS d2 FROM pd WHERE id_a < id_b")
+    put(_name, TRACE.format(lo=_lo, hi=_hi) + PAIRS, "SELECT pair, id_a, id_b, round(d2, 6) AS d2 FROM pd")
 put("neighbourhood_sets", PN + ", el AS (SELECT DISTINCT electrode AS e FROM pn), p AS (SELECT a.e AS e1, b.e AS e2 FROM el a JOIN el b ON b.e > a.e AND b.e - a.e <= 10)",
     """SELECT CAST(e1 AS INTEGER) AS e1, CAST(e2 AS INTEGER) AS e2, o AS over, CASE WHEN o = 'union' THEN array_to_string(list_sort(list_distinct([e1 - 1, e1, e1 + 1, e2 - 1, e2, e2 + 1])), ',')
   ELSE array_to_string(list_filter([e1 - 1, e1, e1 + 1], lambda x: x BETWEEN e2 - 1 AND e2 + 1), ',') END AS electrodes FROM p, (VALUES ('union'), ('intersection')) v(o)""")
@@ -294,8 +310,12 @@ reach AS (SELECT id, id AS r FROM pn UNION SELECT reach.id, we.w FROM reach JOIN
 comp AS (SELECT electrode, reach.id, min(r) AS component FROM reach JOIN pn ON pn.id = reach.id GROUP BY electrode, reach.id), """ + CNT + """,
 kp AS (SELECT comp.*, first_value(comp.id) OVER (PARTITION BY component ORDER BY coalesce(n, 0) DESC, comp.id) AS keeper FROM comp LEFT JOIN cnt ON comp.id = cnt.id)""",
     "SELECT CAST(electrode AS INTEGER) AS electrode, 'AUTO_MERGE' AS action, keeper AS master_id, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids FROM kp WHERE id <> keeper GROUP BY electrode, keeper", True)
-put("discard_by_images", TRACE.format(lo=-1, hi=2) + PAIRS + """,
-e AS (SELECT pair, id_a AS u, id_b AS w FROM pd WHERE d2 < 1.0),
+# every pair of electrodes: a neuron's trace over both neighbourhoods, zero where it has no image
+put("discard_by_images", PN + """,
+el AS (SELECT DISTINCT electrode AS e FROM pn), pr AS (SELECT a.e AS e1, b.e AS e2, list_sort(list_distinct([a.e - 1, a.e, a.e + 1, b.e - 1, b.e, b.e + 1])) AS u FROM el a JOIN el b ON b.e > a.e),
+tq AS (SELECT e1 || '-' || e2 AS pair, id, flatten(list_transform(u, lambda e: CASE WHEN e - electrode BETWEEN -4 AND 3 THEN v[CAST(8 * (e - electrode + 4) + 1 AS INTEGER):CAST(8 * (e - electrode + 5) AS INTEGER)] ELSE [0.0 FOR i IN range(8)] END)) AS t FROM pr JOIN pn ON electrode IN (e1, e2)),
+tr AS (SELECT pair, id, list_transform(t, lambda y: y / sqrt(list_sum(list_transform(t, lambda x: x * x)))) AS t FROM tq),
+e AS (SELECT a.pair, a.id AS u, b.id AS w FROM tr a JOIN tr b ON a.pair = b.pair AND a.id <> b.id WHERE list_distance(a.t, b.t) * list_distance(a.t, b.t) < 1.0),
 reach AS (SELECT pair, u AS id, u AS r FROM e UNION SELECT e.pair, reach.id, e.w FROM reach JOIN e ON e.pair = reach.pair AND e.u = reach.r),
 comp AS (SELECT pair, id, min(r) AS component FROM reach GROUP BY pair, id), """ + CNT + """,
 kp AS (SELECT comp.*, first_value(comp.id) OVER (PARTITION BY pair, component ORDER BY coalesce(n, 0) DESC, comp.id) AS keeper FROM comp LEFT JOIN cnt ON comp.id = cnt.id)""",
@@ -327,11 +347,13 @@ gone AS (SELECT DISTINCT id FROM k2 WHERE id <> keeper),
 fin AS (SELECT k1.master AS id, t FROM o JOIN k1 ON k1.id = o.id WHERE k1.master NOT IN (SELECT id FROM gone))""",
     "SELECT CASE WHEN t < top // 2 THEN 'a' ELSE 'b' END AS dataset, id AS neuron_id, count(*) AS n, CAST(sum(CASE WHEN t < top // 2 THEN t ELSE t - top // 2 END) AS BIGINT) AS total FROM fin, lim GROUP BY 1, 2", True)
 put("recording_range", CH, "SELECT electrode, sample, round(CAST(CAST(value AS FLOAT) AS DOUBLE), 4) AS value FROM ch WHERE sample >= 10 AND sample < 20 AND electrode NOT IN (1, 4)")
-put("synthetic_recording", """g AS (SELECT CAST(e AS INTEGER) AS electrode, s AS sample FROM range(1, 5) a(e), range(0, 5000) b(s)),
-u AS (SELECT *, (""" + HASH.format(key="'1|' || electrode || '|' || sample") + " + 1) / CAST(4294967297 AS DOUBLE) AS u0, (" + HASH.format(key="'2|' || electrode || '|' || sample") + """ + 1) / CAST(4294967297 AS DOUBLE) AS u1, abs(electrode - 2) AS n0, abs(electrode - 3) AS n1, (sample - 50) % 611 AS p0, (sample - 90) % 937 AS p1 FROM g)""",
-    """SELECT electrode, sample, round(CAST(CAST(CASE WHEN electrode = 1 THEN CASE WHEN sample % 2000 < 5 THEN -1500.0 ELSE 0.0 END ELSE sqrt(-2 * ln(u0)) * cos(2 * 3.141592653589793 * u1) * 10 + 20 * sin(sample / CAST(3000 AS DOUBLE))
-  + CASE WHEN n0 <= 1 AND sample >= 50 AND p0 < 10 THEN -200 * exp(-((p0 - 4) * (p0 - 4)) / CAST(2 AS DOUBLE)) / (1 + 2 * n0) ELSE 0 END
-  + CASE WHEN n1 <= 1 AND sample >= 90 AND p1 < 10 THEN -240 * exp(-((p1 - 4) * (p1 - 4)) / CAST(3 AS DOUBLE)) / (1 + 2 * n1) ELSE 0 END END AS FLOAT) AS DOUBLE), 2) AS value FROM u""")
+put("synthetic_recording", """g AS (SELECT CAST(e AS INTEGER) AS electrode, s AS sample FROM (SELECT unnest(range(1, (SELECT count(*) + 1 FROM nation))) AS e), (SELECT unnest(range(0, (SELECT count(*) FROM customer))) AS s)),
+u AS (SELECT *, (""" + HASH.format(key="'1|' || electrode || '|' || sample") + " + 1) / CAST(4294967297 AS DOUBLE) AS u0, (" + HASH.format(key="'2|' || electrode || '|' || sample") + """ + 1) / CAST(4294967297 AS DOUBLE) AS u1 FROM g),
+n AS (SELECT r_regionkey AS i, 2 + 4 * r_regionkey AS e, 50 + 10 * r_regionkey AS first, 211 + 30 * r_regionkey AS period FROM region),
+q AS (SELECT u.electrode, u.sample, sum(-(200 + 40 * i) * exp(-(((sample - first) % period - 4) * ((sample - first) % period - 4)) / CAST(2 + i AS DOUBLE)) / (1 + 2 * abs(electrode - e))) AS x
+  FROM u JOIN n ON abs(electrode - e) <= 1 AND sample >= first AND (sample - first) % period < 10 GROUP BY ALL)""",
+    """SELECT u.electrode, u.sample, round(CAST(CAST(CASE WHEN u.electrode = 1 THEN CASE WHEN u.sample % 2000 < 5 THEN -1500.0 ELSE 0.0 END
+  ELSE sqrt(-2 * ln(u0)) * cos(2 * 3.141592653589793 * u1) * 10 + 20 * sin(u.sample / CAST(3000 AS DOUBLE)) + coalesce(x, 0) END AS FLOAT) AS DOUBLE), 2) AS value FROM u LEFT JOIN q ON q.electrode = u.electrode AND q.sample = u.sample""")
 put("stream_windows", CAND, "SELECT sp.electrode, spike_time, CAST(up.sample - spike_time AS INTEGER) AS pos, round(v, 9) AS value FROM sp JOIN up ON up.electrode = sp.electrode AND up.sample BETWEEN spike_time - 2 AND spike_time + 3 JOIN (SELECT electrode, max(sample) AS top FROM ch GROUP BY electrode) e ON e.electrode = sp.electrode WHERE spike_time >= 2 AND spike_time + 3 <= top")
 put("recording_header", CH, "SELECT 'run' AS dataset, CAST(count(DISTINCT electrode) AS INTEGER) AS electrodes, CAST(3 AS BIGINT) AS start, max(sample) + 1 AS stop, 2 AS disconnected FROM ch")
 GRID = "gr AS (SELECT s_suppkey AS e, s_suppkey % 10 AS x, s_suppkey // 10 AS y FROM supplier), ad AS (SELECT a.e AS electrode, b.e AS neighbor, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d2 FROM gr a JOIN gr b ON abs(a.x - b.x) <= 2 AND abs(a.y - b.y) <= 2)"
@@ -359,9 +381,9 @@ put("nearest_model", XS + """,
 md AS (SELECT electrode, id % 3 AS clust, i, avg(x) AS c, var_pop(x) AS v, count(*) AS n FROM x GROUP BY ALL), tot AS (SELECT electrode, i, sum(n) AS t FROM md GROUP BY ALL),
 ft AS (SELECT x.electrode, x.id, md.clust, max(ln(CAST(md.n AS DOUBLE) / t)) - sum((x - c) * (x - c) / v + ln(v)) / 2 AS fit FROM x JOIN md ON md.electrode = x.electrode AND md.i = x.i JOIN tot ON tot.electrode = md.electrode AND tot.i = md.i GROUP BY ALL)""",
     "SELECT electrode, id AS spike_time, CAST(clust AS INTEGER) AS clust FROM (SELECT *, row_number() OVER (PARTITION BY electrode, id ORDER BY fit DESC, clust) AS nth FROM ft) WHERE nth = 1")
-put("settings_tags", "", """SELECT * FROM (VALUES ('', 16384, 2500, 10, 100, TRUE, CAST(0.015 AS DOUBLE)), ('DEFAULT', 16384, 2500, 10, 100, TRUE, 0.015), ('VINCENT1', 32768, 2500, 3, 500, TRUE, 0.015), ('LIGHT_CLUST', 16384, 1000, 10, 100, TRUE, 0.015),
+put("settings_tags", "", """SELECT s_suppkey, tag, buffer_size, landmarks, retries, min_spikes, whitening, quality_tolerance FROM supplier JOIN (SELECT *, row_number() OVER () - 1 AS place FROM (VALUES ('', 16384, 2500, 10, 100, TRUE, CAST(0.015 AS DOUBLE)), ('DEFAULT', 16384, 2500, 10, 100, TRUE, 0.015), ('VINCENT1', 32768, 2500, 3, 500, TRUE, 0.015), ('LIGHT_CLUST', 16384, 1000, 10, 100, TRUE, 0.015),
   ('VINCENT2', 32768, 2500, 3, 500, TRUE, 0.015), ('QT0.001', 16384, 2500, 3, 500, TRUE, 0.001), ('QT0.005', 16384, 2500, 3, 500, TRUE, 0.005), ('QT0.010', 16384, 2500, 3, 500, TRUE, 0.010), ('QT0.020', 16384, 2500, 3, 500, TRUE, 0.020),
-  ('QT0.025', 16384, 2500, 3, 500, TRUE, 0.025), ('QT0.030', 16384, 2500, 3, 500, TRUE, 0.030), ('NO_WHITE', 16384, 2500, 3, 500, FALSE, 0.015)) t(tag, buffer_size, landmarks, retries, min_spikes, whitening, quality_tolerance)""")
+  ('QT0.025', 16384, 2500, 3, 500, TRUE, 0.025), ('QT0.030', 16384, 2500, 3, 500, TRUE, 0.030), ('NO_WHITE', 16384, 2500, 3, 500, FALSE, 0.015)) t(tag, buffer_size, landmarks, retries, min_spikes, whitening, quality_tolerance)) k ON k.place = s_suppkey % 12""")
 # an edge merges two parts if the edges before it do not connect its ends; the parts are what those edges reach
 put("merge_dendrogram", N2 + """,
 e AS (SELECT electrode, id_a AS u, id_b AS w, d2, row_number() OVER (PARTITION BY electrode ORDER BY d2, id_a, id_b) AS k FROM d2 WHERE id_a < id_b AND d2 > 0 AND d2 < 1.6),
