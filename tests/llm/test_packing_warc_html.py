@@ -87,6 +87,40 @@ def test_salvage(compressed):
     assert list(warc.read_archive(b"")) == []
 
 
+def test_an_archive_compressed_as_one():
+    raw = [page(i, bytes([65 + i]) * (50 + 300 * i)) for i in range(6)]
+    whole = b"".join(raw)
+    got = list(warc.read_archive(warc.member(whole)))
+    assert [x.kind for x in got] == ["response"] * 6 and [x.block.endswith(bytes([65 + i])) for i, x in enumerate(got)] == [True] * 6
+    broken = bytearray(whole)  # one record within is damaged: the others are read
+    broken[len(raw[0]) + len(raw[1]) // 2] ^= 0xFF
+    got = list(warc.read_archive(warc.member(bytes(broken)) + warc.member(raw[5])))
+    assert [type(x).__name__ for x in got] == ["Record", "Gap", *["Record"] * 5]
+    assert got[1].length == len(raw[1]) and "within the member" in got[1].reason
+    tail = list(warc.read_archive(warc.member(raw[0] + b"tail")))
+    assert [type(x).__name__ for x in tail] == ["Record", "Gap"] and tail[1].length == 4
+    rng = np.random.default_rng(2)
+    noisy = [page(i, rng.integers(0, 256, 20_000, np.uint8).tobytes()) for i in range(6)]
+    cut = warc.member(b"".join(noisy))
+    got = list(warc.read_archive(cut[: len(cut) * 7 // 10]))  # broken off: what came whole before that is kept
+    assert [type(x).__name__ for x in got[:4]] == ["Record"] * 4 and isinstance(got[-1], warc.Gap)
+
+
+def test_many_damaged_members_cost_no_more_than_their_bytes():
+    import time
+
+    one = warc.member(page(1, b"x" * 400))
+    bad = bytearray(one)
+    bad[len(bad) // 2] ^= 0xFF
+    began = time.time()
+    got = list(warc.read_archive(bytes(bad) * 8_000 + one))
+    assert time.time() - began < 5 and [type(x).__name__ for x in got] == ["Gap", "Record"] and got[0].length == 8_000 * len(bad)
+    lines = b"WARC/1.1\r\nA: b\r\n" * 20_000  # headers that never end
+    began = time.time()
+    assert [type(x).__name__ for x in warc.read_archive(lines)] == ["Gap"]
+    assert time.time() - began < 60
+
+
 def test_long_members_end_with_a_zero_byte():
     big = warc.member(bytes(17 << 20), 1)
     assert big[-1] == 0 and next(iter([warc._inflate(memoryview(big), 0)]))[0] == bytes(17 << 20)
@@ -147,6 +181,43 @@ def test_page_oddities(spark):
     assert got == [(1, text, len(text)), (1, text, len(text)), (2, "", 0), (3, "", 0), (4, "cut he", 6), (5, "Title\nwhole text here, and more.\nsecond", 39)]
 
 
+LONG = ("A plain sentence of a story that goes on. It has another one, and a third that follows. " * 4).strip()
+
+
+@pytest.mark.parametrize("body", [
+    f"<div>{LONG}</div><div>{LONG}</div>", f"<div><p>{LONG}</p><p>{LONG}</p></div>", f"<p>{LONG}</p><p>{LONG}</p>", f"<div><div>{LONG}</div></div><div>{LONG}</div>",
+f"<section><p>{LONG}</p></section><section><p>{LONG}</p></section>", f"<center><p>{LONG}</p><p>{LONG}</p></center>",
+])
+def test_pages_that_say_little_of_themselves(body):
+    w, pair = html_text.train()
+    nav = "<nav><ul><li><a href=/a>Home</a></li><li><a href=/b>About us</a></li></ul></nav>"
+    assert html_text.main_texts([f"<html><body>{nav}{body}<footer>&copy; x</footer></body></html>"], w, pair) == [f"{LONG}\n{LONG}"]
+
+
+def test_headers_of_articles_and_slashes():
+    w, pair = html_text.train()
+    article = f"<html><body><header class=site><p>Site</p></header><article><header><h1>Title of it all</h1></header><p>{LONG}</p></article></body></html>"
+    assert html_text.main_texts([article], w, pair) == [f"Title of it all\n{LONG}"]
+    more = f"<article><h1>Title</h1><p>{LONG}</p><div class='more'><p>{LONG} {LONG}</p></div></article>"  # much text, whatever its class says
+    assert html_text.main_texts([more], w, pair) == [f"Title\n{LONG}\n{LONG} {LONG}"]
+    page = "<html><body><article><p>" + LONG + "</p>{}<p>" + LONG + "</p></article></body></html>"
+    hidden = ['<script src="a.js" />var a=1;</script>', "<style/>p{}</style>", "<template/>x</template>", "<svg><title/><desc/><script/></svg>", "<svg/><script src=/x/>y</script>", "<math><annotation/></math>"]
+    for h in hidden:
+        assert html_text.main_texts([page.format(h)], w, pair) == [f"{LONG}\n{LONG}"], h
+
+
+def test_deep_pages_in_proportion():
+    import time
+
+    w, pair = html_text.train()
+    took = []
+    for n in (20_000, 80_000):
+        began = time.time()
+        html_text.main_texts(["<div>" * n + LONG], w, pair)
+        took.append(time.time() - began)
+    assert took[1] < 10 * took[0] + 1
+
+
 def test_raw_text_elements_end_at_their_own_tag():
     w, pair = html_text.train()
     page = "<html><head>{}</head><body><article><h1>Title</h1><p>whole text here, and more.</p>{}<p>second one, after it.</p></article>{}</body></html>"

@@ -35,7 +35,7 @@ def test_registered():
     import __spark_entry__ as e
 
     ops = sorted(int(q[2:].split("_")[0]) for q in e.queries() if q.startswith("op"))
-    assert ops == list(range(1, 11)) and "pipeline" in e.queries()
+    assert ops == list(range(1, 14)) and "pipeline" in e.queries()
 
 
 def test_stages_on_columns_of_any_name(spark, small):
@@ -60,6 +60,18 @@ def test_stages_on_no_rows_and_on_odd_ones(spark, small):
         stage(spark, odd, small).collect()
 
 
+def test_rows_that_near_dedup_keeps(spark):
+    """Null ids and texts all stay; of an id and text that repeat one row does, whichever way the rows are dealt."""
+    kind = "doc_id long, text string, source string"
+    rows = [(None, "a b c", "x"), (None, "a b c", "y"), (None, "a b c", "x"), (5, None, "x"), (5, None, "x"), (5, None, "z"), (7, "one two", "p"), (7, "one two", "q"), (7, "one two", "q"), (7, "three", "q"), (8, "four", "r"), (8, "four", "r")]
+    out = [corpus_pipeline.near_dedup(spark, spark.createDataFrame(r, kind).repartition(n), "").collect() for r, n in ((rows, 1), (rows[::-1], 5))]
+    got = [sorted(map(tuple, o), key=str) for o in out]
+    assert got[0] == got[1]
+    left = [tuple(r) for r in got[0] if r[0] not in (7, 8)]
+    assert left == sorted(rows[:6], key=str)
+    assert [r[:2] for r in got[0] if r[0] in (7, 8)] == [(7, "one two"), (7, "three"), (8, "four")]
+
+
 def test_scoring_of_very_long_texts_and_clashing_columns(spark, small):
     from tidegraph.llm import quality
 

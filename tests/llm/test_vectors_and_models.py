@@ -149,7 +149,10 @@ def test_embedding_of_repeated_ids(spark):
     near = lambda v, k: [x + (0.1 if i == k else 0.0) for i, x in enumerate(v)]
     rows = [(1, a, "s", 0), (1, b, "s", 0), (1, a, "s", 0), (5, near(a, 6), "s", 0), (6, near(b, 7), "s", 0), (7, c, "s", 0)]
     got = sorted((r.vec_id, r.n_links, r.component_id) for r in embedding.near_duplicates(vectors(spark, rows)).collect())
-    assert got == [(1, 2, 1)] * 3 + [(5, 1, 1), (6, 1, 1), (7, 0, 7)]
+    assert got == [(1, 1, 1)] * 3 + [(5, 1, 1), (6, 1, 1), (7, 0, 7)]
+    close = [(1, a, "s", 0), (1, near(a, 6), "s", 0), (2, near(a, 7), "s", 0)]  # each has the other two, whatever their ids
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in embedding.near_duplicates(vectors(spark, close)).collect())
+    assert got == [(1, 2, 1), (1, 2, 1), (2, 2, 1)]
 
 
 def test_bands_miss_few_pairs():

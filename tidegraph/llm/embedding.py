@@ -238,16 +238,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
 
     Nulls: a null or empty vector, one of zeros, or one with a null or non-finite component links with nothing (n_links 0)
     and is kept. A row with a null id is no node: component_id null, kept. Repeated rows count once; an id with several
-    different vectors has one component_id, and its n_links adds up the links of each. Vectors of other lengths link among
-    themselves. No rows: no rows. Other columns are ignored. Every link found is confirmed in double precision.
+    different vectors has one component_id, and each of them its own n_links, which counts the id's other vectors too. Vectors of
+    other lengths link among themselves. No rows: no rows. Other columns are ignored. Every link found is confirmed in double precision.
     """
     ship(vectors.sparkSession)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda c: c.cast("double")).alias("v"))
     ok = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists("v", lambda c: c != 0) & F.col("vec_id").isNotNull()
-    real = rows.where(F.coalesce(ok, F.lit(False))).withColumn("v", F.transform("v", lambda c: F.when(c == 0, F.lit(0.0)).otherwise(c))).distinct()
+    rows = rows.select("vec_id", F.when(F.coalesce(ok, F.lit(False)), F.transform("v", lambda c: F.when(c == 0, F.lit(0.0)).otherwise(c))).alias("v"))
     # equal vectors, told by 128 bits, are one class; its smallest id stands for it
     same = ["same1", "same2"]
-    members = materialize(real.withColumns({"same1": F.xxhash64("v"), "same2": F.xxhash64(F.lit(2), "v")}), "members")
+    rows = rows.withColumns({"same1": F.when(F.col("v").isNotNull(), F.xxhash64("v")), "same2": F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(2), "v"))})
+    members = materialize(rows.where(F.col("v").isNotNull()).distinct(), "members")
     classes = materialize(members.groupBy(*same).agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight")), "classes")
     reps = members.join(classes.select(F.col("id").alias("vec_id"), *same), ["vec_id", *same]).select(F.col("vec_id").alias("id"), "v", *same)
     reps = reps.repartitionByRange("id").sortWithinPartitions("id", *same).withColumn("node", F.monotonically_increasing_id())  # in order of ids; an id can stand for several classes
@@ -267,16 +268,15 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     facts = facts.join(degree, "node", "left").join(counted, "node", "left").join(labels, F.col("node") == F.col("id"), "left")
     facts = facts.select(*same, "node", F.coalesce("component", "node").alias("component"), (F.col("weight") - 1 + F.coalesce("more", F.lit(0)) + F.coalesce("sure", F.lit(0))).alias("n"))
     facts = materialize(facts, "degrees")
-    found = members.select("vec_id", *same).join(facts, same).select("vec_id", "node", "component", "n")
+    found = members.select("vec_id", *same).join(facts, same).select("vec_id", *same, "component", "n")
     found = materialize(found, "found")
     discard(codes, middles, pairs, links, labels, facts)
     # an id with several vectors joins their components
     several = materialize(found.groupBy("vec_id").agg(F.min("component").alias("u"), F.max("component").alias("w")).where("u < w").select("vec_id", "u"), "several")
     if not several.isEmpty():
         ties = connected_components(found.join(several, "vec_id").select("u", F.col("component").alias("v")), "ids")
-        found = found.join(ties.toDF("component", "joined"), "component", "left").select("vec_id", F.coalesce("joined", "component").alias("component"), "n")
+        found = found.join(ties.toDF("component", "joined"), "component", "left").select("vec_id", *same, F.coalesce("joined", "component").alias("component"), "n")
     least = materialize(found.groupBy("component").agg(F.min("vec_id").alias("component_id")), "least")
-    found = found.join(least, "component").groupBy("vec_id").agg(F.sum("n").cast("long").alias("n"), F.min("component_id").alias("component_id"))
-    out = rows.select("vec_id").join(found, "vec_id", "left")
+    out = rows.select("vec_id", *same).join(found.join(least, "component").drop("component"), ["vec_id", *same], "left")
     out = out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

@@ -39,6 +39,7 @@ BLOCK = set(TAGS) - INLINE
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = set("script style title noscript template iframe textarea select annotation annotation-xml metadata desc defs".split())  # never shown, or a form
 RAW = set("script style title textarea iframe noscript".split())  # text up to their own end tag, whatever it looks like
+FOREIGN = {"svg", "math"}  # only within these does a slash end an element where it begins
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"tbody", "thead", "tr", "td", "th"}, "tfoot": {"tbody", "thead", "tr", "td", "th"}, "option": {"option"}}
 BARRIER = {"table", "ul", "ol", "dl", "body", "html", "article", "section", "div", "td", "th", "menu", "select"}
 # A tag's quoted values may hold anything. A quote that is never closed, or only by the quote that opens another tag's value,
@@ -73,7 +74,7 @@ class Page:
     def __init__(self, source: str):
         self.parent, self.depth, self.tag, self.words = [-1], [0], ["html"], [()]
         self.runs: list[tuple[int, str, int]] = []  # node, text, characters of it in links
-        stack, parts, linked, in_link, at, skip, pos = [0], [], 0, False, 0, None, 0
+        stack, parts, linked, in_link, at, skip, pos, foreign = [0], [], 0, False, 0, None, 0, 0
 
         def flush():
             nonlocal parts, linked
@@ -97,7 +98,8 @@ class Page:
             if skip is None:
                 say(source[at : m.start()])
                 at = pos
-            if name in RAW and not close and not attrs.endswith("/"):  # no tokens before its end tag
+            alone = foreign > 0 and bool(attrs) and attrs.endswith("/")
+            if name in RAW and not close and not alone:  # no tokens before its end tag
                 end = _RAW_END[name].search(source, pos)
                 pos = end.end() if end else len(source)
                 at = pos if skip is None else at
@@ -108,8 +110,10 @@ class Page:
                 continue
             if name is None:
                 continue
+            if name in FOREIGN:
+                foreign = max(0, foreign - 1) if close else foreign + (not attrs.endswith("/"))
             if name in UNSEEN:
-                if not close and not attrs.endswith("/"):
+                if not close and not alone:
                     skip = name
                 continue
             if name == "a":
@@ -156,12 +160,18 @@ class Page:
 
 # --------------------------------------------------------------------------------------------------- features
 
+_FRAMES = [GROUP_NAMES.index(g) for g in ("frame", "form")]
 _LENGTHS = np.array([1, 20, 60, 150, 400, 1000])
 _N_KEY = len(KEYWORDS)
-_OFF = np.cumsum([0, len(TAGS), len(GROUPS), _N_KEY, _N_KEY, 7, 5, 4, 7, 3])
+_OFF = np.cumsum([0, len(TAGS), len(GROUPS), _N_KEY, _N_KEY, 7, 5, 4, 7, 3, 7])
 N_FEATURES = int(_OFF[-1])
 
 
+def _levels(depth: np.ndarray) -> list[np.ndarray]:
+    """The nodes of each depth, in order."""
+    return np.split(np.argsort(depth, kind="stable"), np.cumsum(np.bincount(depth))[:-1])
+
+
 def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of the forest of the pages: (node, feature) pairs as two arrays, parents, groups of kinds, depths."""
     base = np.concatenate(([0], np.cumsum([len(p.tag) for p in pages])))
@@ -183,7 +193,7 @@ def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
                     key[b + i, k] = True
     above = key.copy()  # a key word of any element around
     total, total_link = own.copy(), linked.copy()
-    levels = [np.flatnonzero(depth == d) for d in range(int(depth.max()) + 1)]
+    levels = _levels(depth)
     for idx in levels[1:]:
         above[idx] |= above[parent[idx]]
     for idx in levels[:0:-1]:
@@ -196,6 +206,9 @@ def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
         _OFF[6] + np.minimum(stops, 3).astype(int), _OFF[7] + np.searchsorted(_LENGTHS, total, side="right"), _OFF[8] + np.minimum(np.maximum(depth - 1, 0) // 2, 2),
     ]
     node, feat = [np.tile(np.arange(n), len(fix))], [np.concatenate(fix)]
+    quiet = np.flatnonzero(~above.any(1) & ~np.isin(group, _FRAMES))  # nothing says what it is: its length says more then
+    node.append(quiet)
+    feat.append(_OFF[9] + np.searchsorted(_LENGTHS, own[quiet], side="right"))
     for off, m in ((_OFF[2], key), (_OFF[3], above & ~key)):
         i, j = np.nonzero(m)
         node.append(i)
@@ -208,7 +221,7 @@ def messages(score: np.ndarray, pair: np.ndarray, parent: np.ndarray, group: np.
     n = len(score)
     up, sent = np.zeros((n, 2)), np.zeros((n, 2))
     up[:, 1] = score
-    levels = [np.flatnonzero(depth == d) for d in range(int(depth.max()) + 1)]
+    levels = _levels(depth)
     for idx in levels[:0:-1]:
         x = up[idx][:, None, :] + pair[group[idx]]
         sent[idx] = np.logaddexp(x[:, :, 0], x[:, :, 1])
@@ -285,12 +298,19 @@ def labelled_pages(n: int, seed: int = 5) -> list[tuple[str, str]]:
         top = [boiler(k) for k in ("header", "nav", "notice", "ad", "form") if r.random() < 0.5]
         r.shuffle(top)
         body = []
+        plain = r.random() < 0.3  # nothing around the text says what it is
+        para = "div" if plain and r.random() < 0.5 else "p"
         if r.random() < 0.8:
-            body.append(block("h1", r.randint(1, 12), True, stop=r.random() < 0.5))
+            title = block("h1", r.randint(1, 12), True, stop=r.random() < 0.5)
+            body.append(f"<header>{title}</header>" if not plain and r.random() < 0.15 else title)
         for _i in range(r.choice([1, 2, 3, 5, 8, 12])):
             x = r.random()
-            if x < 0.72:
-                body.append(block("p", r.choice([1, 2, 4, 10, 30, 60, 120]), True))
+            if x < 0.64:
+                body.append(block(para, r.choice([1, 2, 4, 10, 30, 60, 120] if para == "p" else [10, 30, 60, 120]), True))
+            elif x < 0.67:
+                body.append(block("div", r.choice([10, 30, 60, 120]), True))
+            elif x < 0.72:  # a class that promises something else, about much text
+                body.append(f"<div{cls(r.choice(['side', 'social', 'content', 'frame']))}>" + "".join(block("p", r.choice([30, 60, 120]), True) for _ in range(r.randint(1, 3))) + "</div>")
             elif x < 0.78:
                 body.append(block(r.choice(["h2", "h3"]), r.randint(1, 6), True, stop=False))
             elif x < 0.84:
@@ -303,6 +323,8 @@ def labelled_pages(n: int, seed: int = 5) -> list[tuple[str, str]]:
             else:
                 body.append(boiler(r.choice(["ad", "side", "form", "notice", "ad"])))
         frame = r.choice([("<article>", "</article>")] * 3 + [(f"<article{cls('content')}>", "</article>"), ("<main>", "</main>"), (f"<div{cls('content')}>", "</div>"), ("<main><article>", "</article></main>"), (f"<div class=\"wrap\"><div{cls('content')}>", "</div></div>"), ("<section>", "</section>")])
+        if plain:
+            frame = r.choice([("<div>", "</div>"), ("<div>", "</div>"), ("", ""), ("<div><div>", "</div></div>"), ("<section><div>", "</div></section>"), ("<center>", "</center>")])
         tail = [boiler(k) for k in ("comment", "side", "ad", "form") if r.random() < 0.4]
         inside = r.random() < 0.2
         page = "".join(top) + frame[0] + "".join(body) + ("".join(tail) if inside else "") + frame[1] + ("" if inside else "".join(tail)) + (boiler("footer") if r.random() < 0.8 else "")

@@ -9,8 +9,11 @@ bytes: where a file has grown to ARCHIVE_BYTES before its rows are full, empty m
 what a reader can hold.
 
 Reading checks each member: it must inflate with the right CRC to a version line, headers, a block of the stated length
-and a matching block digest. When a check fails, the reader searches byte by byte for the next place where a member (or
-in an uncompressed archive a version line) passes all checks, goes on from there, and logs the gap. Nothing raises.
+and a matching block digest, or to several such records (an archive compressed as one). When a check fails, the reader
+searches for the next place where a member (or in an uncompressed archive a version line) passes all checks, goes
+on from there, and logs the gap; each place is looked at once, so damage costs no more than what it damaged. Within a member that
+holds several records the search goes on behind a damaged one, and of a member that breaks off the records before the
+break are kept. Nothing raises.
 """
 
 from __future__ import annotations
@@ -84,13 +87,15 @@ class Gap:
 
 
 _LINE = re.compile(rb"WARC/1\.[01]\r\n")
+_MAGIC = b"\x1f\x8b\x08"
+MOST_HEADERS = 1 << 18  # bytes of a record's headers; more are damage
 
 
-def _parse(raw: bytes, at: int, exact: bool) -> tuple[Record, int] | str:
-    """The record at `at` of raw and where it ends, or what is wrong. exact: it must end where raw ends."""
+def _parse(raw: bytes, at: int) -> tuple[Record, int] | str:
+    """The record at `at` of raw and where it ends, or what is wrong."""
     if not (m := _LINE.match(raw, at)):
         return "no version line"
-    end = raw.find(b"\r\n\r\n", m.end() - 2)
+    end = raw.find(b"\r\n\r\n", m.end() - 2, m.end() + MOST_HEADERS)
     if end < 0:
         return "headers do not end"
     headers: dict[str, str] = {}
@@ -105,8 +110,6 @@ def _parse(raw: bytes, at: int, exact: bool) -> tuple[Record, int] | str:
     begin, stop = end + 4, end + 4 + int(length)
     if raw[stop : stop + 4] != b"\r\n\r\n":
         return "block does not end where it says"
-    if exact and stop + 4 != len(raw):
-        return "bytes after the record"
     block = raw[begin:stop]
     digest = headers.get("warc-block-digest", "")
     if digest.startswith("sha256:") and hashlib.sha256(block).hexdigest() != digest[7:].lower():
@@ -114,55 +117,78 @@ def _parse(raw: bytes, at: int, exact: bool) -> tuple[Record, int] | str:
     return Record(headers.get("warc-type", ""), headers, block, at), stop + 4
 
 
-def _inflate(data: memoryview, at: int, step: int = 1 << 15) -> tuple[bytes, int] | str:
-    """The member at `at` and where it ends; fed bit by bit, so that what follows is not copied each time."""
+def _inflate(data: memoryview, at: int, step: int = 1 << 15) -> tuple[bytes, int, str]:
+    """The member at `at`, where it ends, and what is wrong with it ('' for nothing; then what comes before the damage);
+    fed bit by bit, so that what follows is not copied each time."""
     d, parts, fed = zlib.decompressobj(31), [], at
     try:
         while not d.eof and fed < len(data):
             parts.append(d.decompress(data[fed : fed + step]))
             fed = min(fed + step, len(data))
     except zlib.error as e:
-        return f"gzip: {e}"
-    if not d.eof:
-        return "gzip: cut short"
-    return b"".join(parts), fed - len(d.unused_data)
+        return b"".join(parts), fed, f"gzip: {e}"
+    return b"".join(parts), fed - len(d.unused_data), "" if d.eof else "gzip: cut short"
+
+
+def _within(raw: bytes, offset: int) -> list[Record | Gap]:
+    """The records of an inflated member and the gaps between them; those have the member's offset and inflated lengths."""
+    out: list[Record | Gap] = []
+    at, bad, why = 0, None, ""
+    while at < len(raw):
+        got = _parse(raw, at)
+        if isinstance(got, str):
+            if bad is None:
+                bad, why = at, got
+            line = _LINE.search(raw, at + 1)
+            at = line.start() if line else len(raw)
+            continue
+        if bad is not None:
+            out.append(Gap(offset, at - bad, f"within the member, from byte {bad}: {why}"))
+            bad = None
+        got[0].offset = offset
+        out.append(got[0])
+        at = got[1]
+    if bad is not None:
+        out.append(Gap(offset, len(raw) - bad, f"within the member, from byte {bad}: {why}"))
+    return out
 
 
 def read_archive(data: bytes) -> Iterator[Record | Gap]:
-    """The records of an archive, compressed by record or not, and the gaps between what could be read."""
+    """The records of an archive, compressed by record, as a whole or not at all, and the gaps between what could be read."""
     view, at, n = memoryview(data), 0, len(data)
-    bad, why = None, ""
+    bad, why, line = None, "", 0  # line: no version line lies between what was searched and it
     while at < n:
-        got: tuple[Record, int] | str | None
-        if data[at : at + 3] == b"\x1f\x8b\x08":
-            inflated = _inflate(view, at)
-            if isinstance(inflated, str):
-                got = inflated
-            elif inflated[0] == b"":
-                got = None
-                after = inflated[1]
-            else:
-                got = _parse(inflated[0], 0, True)
-                if not isinstance(got, str):
-                    got[0].offset = at
-                    got = got[0], inflated[1]
+        found: list[Record | Gap] = []
+        after, wrong = at, ""
+        if data[at : at + 3] == _MAGIC:
+            raw, after, wrong = _inflate(view, at)
+            if not wrong and raw:
+                found = _within(raw, at)
+                if not any(isinstance(x, Record) for x in found):
+                    wrong = found[0].reason.partition(": ")[2]
+            elif raw.count(b"WARC/1.") > 1:  # broken off among several records: the last one that begins is not whole
+                found = [x for x in _within(raw[: raw.rfind(b"WARC/1.")], at) if isinstance(x, Record)]
         else:
-            got = _parse(data, at, False)
-        if isinstance(got, str):
+            got = _parse(data, at)
+            if isinstance(got, str):
+                wrong = got
+            else:
+                found, after = [got[0]], got[1]
+        if wrong:
+            yield from found
             if bad is None:
-                bad, why = at, got
-            line = _LINE.search(data, at + 1)
-            magic = data.find(b"\x1f\x8b\x08", at + 1, line.start() if line else n)
-            at = magic if magic >= 0 else line.start() if line else n
+                bad, why = at, wrong
+            if line <= at:
+                m = _LINE.search(data, at + 1)
+                line = m.start() if m else n
+            magic = data.find(_MAGIC, at + 1, line)
+            at = magic if magic >= 0 else line
             continue
         if bad is not None:
             yield Gap(bad, at - bad, why)
             bad = None
-        if got is None:
-            at = after
-            continue
-        yield got[0]
-        at = got[1]
+        yield from found
+        at = after
     if bad is not None:
         yield Gap(bad, n - bad, why)
 
