@@ -35,11 +35,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each group, and one row of an id whose text repeats."""
+    """Keeps the smallest id of each group. Of rows that share an id and a text, neither of them null, one stays: the one whose other
+    columns have the smallest hash, so that reruns agree. Rows with a null id or text all stay."""
+    names = [F.col(f"`{c}`") for c in docs.columns]
     gone = minhash.near_duplicates(docs.select("doc_id", "text")).where(~F.col("kept")).select("doc_id").distinct()
-    out = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
-    again = docs.groupBy("doc_id", F.xxhash64("text")).count().where("count > 1")  # narrow; most corpora have no such row
-    return out if again.isEmpty() else out.dropDuplicates(["doc_id", "text"])
+    out = docs.join(gone, "doc_id", "left_anti").select(*names)
+    real = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    again = real.groupBy(F.col("doc_id").alias("of"), F.xxhash64("text").alias("of_text")).agg(F.count(F.lit(1)).alias("rows"), F.min(F.xxhash64(*names)).alias("least"), F.lit(True).alias("again")).where("rows > 1")
+    if again.isEmpty():  # narrow; most corpora have no such row
+        return out
+    rows = out.select(F.struct(*names).alias("row"), F.col("doc_id").alias("id"), F.col("text").isNotNull().alias("said"), F.xxhash64("text").alias("text_key"), F.xxhash64(*names).alias("key"))
+    rows = rows.join(again, (F.col("id") == F.col("of")) & (F.col("text_key") == F.col("of_text")) & F.col("said"), "left")
+    single = rows.where("again is null").select("row.*")
+    return single.unionByName(rows.where("again AND key = least").dropDuplicates(["id", "text_key", "key"]).select("row.*"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
