@@ -9,10 +9,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared(spark: SparkSession, fallback: str) -> str:
+    """The folder of spark.checkpoint.dir; where it is unset, one in the warehouse. A warehouse on the local disk will not do on a
+    cluster, where each executor would write to its own: that raises."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    base, master = spark.conf.get("spark.sql.warehouse.dir").rstrip("/"), spark.sparkContext.master
+    if master != "local" and not master.startswith("local[") and _located(spark, base)[0].getUri().getScheme() == "file":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{base}/{fallback}"
+
+
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A path of its own in the folder of spark.checkpoint.dir (or, where unset, the warehouse). What is written there goes
-    when the application ends."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_tables"
+    """A path of its own in the shared() folder. What is written there goes when the application ends."""
+    base = shared(spark, "_tables")
     path = f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
