@@ -90,14 +90,14 @@ def test_top_k(spark, n):
     r = np.random.default_rng(n)
     rows = [(i, [float(c) for c in (r.normal(size=8) * r.uniform(0.1, 3) if i % 3 else np.ones(8) * (i % 5))]) for i in range(n)]
     bad = [(10_000, None), (10_050, [float("inf")] * 8), (10_100, [None] * 8), (None, [1.0] * 8)] if n else []
-    got = topk.top_k(vectors(spark, [(i, x, "s", 0) for i, x in rows + bad]), every=50, ring=40, pivots=6, sample=100).collect()
+    got = topk.top_k(vectors(spark, [(i, x, "s", 0) for i, x in rows + bad]), every=50, ring=10, pivots=6, sample=100, block=60).collect()
     assert {tuple(x) for x in got} == brute_top(rows, 50, 5) and len(got) == len({tuple(x) for x in got})
 
 
 def test_top_k_of_each_length(spark):
     r = np.random.default_rng(8)
     rows = {d: [(i, [float(c) for c in r.normal(size=d)]) for i in ids] for d, ids in ((8, range(0, 400)), (5, range(400, 520)), (3, [550, 551]), (2, [600]), (4, [701, 702]))}
-    got = topk.top_k(vectors(spark, [(i, x, "s", 0) for part in rows.values() for i, x in part]), every=50, ring=40, pivots=6, sample=100).collect()
+    got = topk.top_k(vectors(spark, [(i, x, "s", 0) for part in rows.values() for i, x in part]), every=50, ring=10, pivots=6, sample=100, block=60).collect()
     assert {tuple(x) for x in got} == set().union(*(brute_top(part, 50, 5) for part in rows.values())) and len(got) == 8 * 5 + 3 * 5 + 1
 
 
@@ -114,7 +114,7 @@ def test_top_k_of_repeated_ids(spark):
                 score[i] = max(score.get(i, -math.inf), max(int(x @ y) for j, y in v if j == q))
         best = sorted((-s, i) for i, s in score.items())[:5]
         want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
-    got = topk.top_k(vectors(spark, [(i, x, "s", 0) for i, x in rows]), every=50, ring=30, pivots=6, sample=100).collect()
+    got = topk.top_k(vectors(spark, [(i, x, "s", 0) for i, x in rows]), every=50, ring=5, pivots=6, sample=100, block=30).collect()
     assert {tuple(x) for x in got} == want and len(got) == len(want)
 
 
@@ -122,10 +122,23 @@ def test_top_k_shares_annuli_among_tasks(spark, monkeypatch):
     r = np.random.default_rng(4)
     rows = [(i, [float(c) for c in (r.normal(size=8) + 3 * np.eye(8)[i % 8])]) for i in range(900)]
     monkeypatch.setattr(topk, "CELLS", 64)
-    got = topk.top_k(vectors(spark, [(i, x, "s", 0) for i, x in rows]), every=2, ring=20, pivots=8, sample=200).collect()
+    got = topk.top_k(vectors(spark, [(i, x, "s", 0) for i, x in rows]), every=2, ring=20, pivots=8, sample=200, block=100).collect()
     assert {tuple(x) for x in got} == brute_top(rows, 2, 5)
 
 
+def test_little_of_a_clustered_table_is_scored(spark):
+    """Where vectors lie in clusters the bounds leave a small part of the table; where their directions are independent, most of it."""
+    r = np.random.default_rng(5)
+    centre = r.normal(size=(60, 24))
+    near = vectors(spark, [(i, [float(c) for c in centre[i % 60] + 0.05 * r.normal(size=24)], "s", 0) for i in range(3_000)])
+    assert topk.share_reached(near) < 0.2
+    rows = [(x["vec_id"], list(x["embedding"])) for x in near.collect()]
+    got = topk.top_k(near).collect()
+    assert {tuple(x) for x in got} == brute_top(rows, 50, 5)
+    far = vectors(spark, [(i, [float(c) for c in r.normal(size=24)], "s", 0) for i in range(1_000)])
+    assert 0.2 < topk.share_reached(far) <= 1
+
+
 def test_embedding_recall_on_planted_pairs(spark):
     """Of 3,000 vectors with pairs just above the threshold, found against brute force."""
     r = np.random.default_rng(7)

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.tables import shared
 from ..session import ship
 
 # ---------------------------------------------------------------------------------------------- shared tables
@@ -25,8 +26,7 @@ WRITING = {  # holds while a table is written: shuffle files go when the executi
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one in the warehouse where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    return found.rstrip("/") if found else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tidegraph"
+    return shared(spark, "_tidegraph")
 
 
 def _file_system(spark: SparkSession, path: str):

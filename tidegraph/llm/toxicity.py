@@ -33,7 +33,6 @@ DIM = 6
 WORD_BITS, CHAR_BITS = 16, 16
 RUN, OPENING = 4, 6  # bytes
 SAMPLE = 3_000  # labelled texts at most that are learned from, half of them toxic if there are so many
-LONGEST, SLICE = 50_000, 2_000  # characters; a longer text is learned from by that much of it, in slices spread over all of it
 PREDICT = 0.7
 RATE = 1.0  # step of the embedding tables
 BETWEEN = 0.5  # where the decision lies between the highest clean and the lowest toxic text
@@ -423,16 +422,13 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> dict[str, np.ndarray] | None:
-    """A network trained on a bounded, reproducible sample of the labelled rows that may be learned from."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict[str, np.ndarray] | None:
+    """A network trained on a bounded, reproducible sample of the labelled rows that may be learned from, on every window of their
+    whole texts. What training holds is about twenty bytes a word of those rows; windows are embedded a bounded number at a time."""
     own = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).where(~held_out()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     ids = [own.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2) for y in (0, 1)]
     ids = F.broadcast(ids[0].unionByName(ids[1]))  # at most `sample` rows of two numbers
-    slices = longest // SLICE
-    step = (F.length("text") - SLICE) / (slices - 1)
-    spread = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(slices - 1)), lambda i: F.substring("text", F.floor(i * step).cast("int") + 1, F.lit(SLICE))), " ")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id").where("text is not null")
-    rows = rows.select("doc_id", "toxic", F.when(F.length("text") <= longest, F.col("text")).otherwise(spread).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id").where("text is not null").select("doc_id", "toxic", "text")
     rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample).collect()  # an id may be there many times
     rows = sorted({(r["doc_id"], r["text"].encode()): r["toxic"] for r in rows}.items())
     return train([k[1] for k, _ in rows], [v for _, v in rows])
