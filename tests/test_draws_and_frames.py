@@ -98,3 +98,32 @@ def test_a_model_goes_to_each_part(spark, monkeypatch):
     assert all(want[i] == (0, 0) for i in range(600, 620)) and len({want[i][0] for i in range(3)}) == 3
     empty = clustering.cluster(p.limit(0), "electrode", "id", "v", "kmeans", k=3)
     assert empty.collect() == [] and F.col is not None
+
+
+def test_scales_and_affinities_without_a_table_of_pairs(spark, monkeypatch):
+    monkeypatch.setattr(clustering, "ROWS_AT_ONCE", 7)
+    rng = np.random.default_rng(6)
+    rows = [(i % 3, i, rng.normal(size=5).tolist()) for i in range(90)] + [(9, 200 + i, [0.0] * 5) for i in range(3)]
+    p = spark.createDataFrame(rows, "electrode int, id long, v array<double>")
+    d = clustering.pairs(p, "electrode", "id", "v", 25)
+    scale = clustering.local_scale(d, "electrode")
+    got = clustering.landmark_scales(p, "electrode", "id", "v", landmarks=25)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, scale.collect()))
+    for kernel, cut in (("gauss", 0.0), ("power", 0.2)):
+        want = sorted((tuple(r)[:3], round(r["a"], 12)) for r in clustering.affinity(d, scale, "electrode", kernel, cut).collect())
+        found = clustering.landmark_affinity(p, "electrode", "id", "v", kernel, cut, landmarks=25)
+        assert sorted((tuple(r)[:3], round(r["a"], 12)) for r in found.collect()) == want and want
+    assert clustering.landmark_affinity(p.limit(0), "electrode", "id", "v").collect() == []
+
+
+@pytest.mark.parametrize("bins", [2, 5, 40, 4_096])
+def test_noise_from_bins_is_that_of_all_values(spark, bins):
+    rng = np.random.default_rng(7)
+    channels = {1: rng.normal(size=3_000) * 5, 2: np.concatenate((rng.normal(size=500), rng.normal(size=40) * 60)), 3: np.round(rng.normal(size=800) * 4), 4: np.array([2.0] * 20), 5: rng.standard_cauchy(600), 6: np.array([1.0]), 7: rng.normal(size=900) + 1_000}
+    rows = [(e, float(v)) for e, x in channels.items() for v in x] + [(1, None), (2, float("nan")), (8, None)]
+    got = {r["electrode"]: r for r in detection.noise_floor(spark.createDataFrame(rows, "electrode int, value double"), bins=bins).collect()}
+    assert set(got) == set(channels)
+    for e, x in channels.items():
+        sigma, mu, rounds, n = detection.converged_noise(x.tolist())
+        assert (got[e]["rounds"], got[e]["n"]) == (rounds, n), e
+        assert abs(got[e]["sigma"] - sigma) < 1e-9 * max(1, abs(mu)) and abs(got[e]["mu"] - mu) < 1e-9 * max(1, abs(mu))

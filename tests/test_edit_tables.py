@@ -130,3 +130,21 @@ def test_a_crash_before_the_version_changes_nothing(spark, tmp_path, monkeypatch
     again.clear_hard()
     again.save()
     assert again.log().count() == 0 and again.neurons() is None
+
+
+def test_rows_are_checked_as_actions_are(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(400):
+        pick = lambda *x: rng.choice(x)
+        rows.append((i, pick(*editing.ACTIONS, "NO_SUCH"), pick([], [1], [2, 2], [1, 5], [0, 3], [-1]), pick(None, 4), pick(None, 0.0, 0.5, 1.0, 1.5), pick(None, -0.1, 0.0, 2.0), pick(None, -1, 0, 15, 16), pick(None, "", "TAG")))
+    log = spark.createDataFrame(rows, "seq int, action string, ids array<int>, master_id int, frac double, contam double, n_clusters int, config_tag string")
+    for r in editing.invalid(log).collect():
+        try:
+            Action(r["action"], list(r["ids"]), r["master_id"], r["frac"], r["contam"], r["n_clusters"], r["config_tag"]).check()
+            said = None
+        except ValueError as e:
+            said = str(e)
+        assert r["wrong"] == said, r
+    short = editing.invalid(spark.createDataFrame([("MERGE", [1, 2]), ("SHRINK", [1]), (None, [1])], "action string, ids array<int>")).collect()
+    assert [r["wrong"] for r in short] == [None, "SHRINK needs frac", "unknown action None"]

@@ -6,6 +6,8 @@ channel of any size costs memory for its landmarks only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -58,6 +60,61 @@ def affinity(d: DataFrame, scales: DataFrame, group: str, kernel: str = "gauss",
     return d.select(group, "id_a", "id_b", a.alias("a")).where(F.col("a") >= cut_off)
 
 
+ROWS_AT_ONCE = 200  # landmarks that meet all others of their group in one task
+
+
+def _against(m: DataFrame, group: str, id_col: str, landmarks: int, run: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """run(some of a group's landmarks, all of them), in parts of about ROWS_AT_ONCE: a task holds a part's distances, no pair is
+    a row before it is a result."""
+    ship(m.sparkSession)
+    blocks = -(-landmarks // ROWS_AT_ONCE)
+    a = m.withColumn("part", F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int"))
+    b = m.select(*[F.col(c).alias(c) for c in m.columns]).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    return a.groupBy(group, "part").cogroup(b.groupBy(group, "part")).applyInPandas(run, schema)
+
+
+def _square_distances(a: pd.Series, b: pd.Series) -> np.ndarray:
+    """Rows x rows, added up component by component as SQL does."""
+    x, y = np.stack(a.to_numpy()).astype(float), np.stack(b.to_numpy()).astype(float)
+    out = np.zeros((len(x), len(y)))
+    for i in range(x.shape[1]):
+        out += (x[:, i, None] - y[None, :, i]) ** 2
+    return out
+
+
+def landmark_scales(points: DataFrame, group: str, id_col: str, vec: str, nth: int = NEIGHBOUR, landmarks: int = LANDMARKS) -> DataFrame:
+    """local_scale() of each landmark without a table of pairs; groups of fewer than nth landmarks have no rows."""
+    kind = {f.name: f.dataType.simpleString() for f in points.schema}
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or len(b) < nth:
+            return pd.DataFrame([], columns=[group, "id", "scale"])
+        d = np.partition(_square_distances(a[vec], b[vec]), nth - 1, axis=1)[:, nth - 1]
+        return pd.DataFrame({group: a[group], "id": a[id_col], "scale": np.sqrt(d)})
+
+    m = written(marks(points.select(group, id_col, vec), group, id_col, landmarks), "landmarks")
+    return _against(m, group, id_col, landmarks, run, f"{group} {kind[group]}, id {kind[id_col]}, scale double")
+
+
+def landmark_affinity(points: DataFrame, group: str, id_col: str, vec: str, kernel: str = "gauss", cut_off: float = 0.0, nth: int = NEIGHBOUR, landmarks: int = LANDMARKS) -> DataFrame:
+    """affinity() of all pairs of a group's landmarks, without a table of their distances."""
+    kind = {f.name: f.dataType.simpleString() for f in points.schema}
+    m = marks(points.select(group, id_col, vec), group, id_col, landmarks)
+    scales = landmark_scales(points, group, id_col, vec, nth, landmarks).withColumnRenamed("id", id_col)
+    m = written(m.join(scales, [group, id_col]), "scaled")
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a):
+            return pd.DataFrame([], columns=[group, "id_a", "id_b", "a"])
+        d, s = _square_distances(a[vec], b[vec]), np.outer(a["scale"], b["scale"])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            w = np.exp(-d / s) if kernel == "gauss" else 1 / (1 + d * s)
+        i, j = np.nonzero(w >= cut_off)
+        return pd.DataFrame({group: a[group].iloc[0], "id_a": a[id_col].to_numpy()[i], "id_b": b[id_col].to_numpy()[j], "a": w[i, j]})
+
+    return _against(m, group, id_col, landmarks, run, f"{group} {kind[group]}, id_a {kind[id_col]}, id_b {kind[id_col]}, a double")
+
+
 def nearest_centroid(points: DataFrame, centroids: DataFrame, group: str, id_col: str, vec: str) -> DataFrame:
     """group, id, clust, d2: centroids (group, clust, centroid), few a group, ties to the smaller cluster."""
     d = points.join(centroids, group).select(group, id_col, "clust", squared_l2(F.col(vec), F.col("centroid")).alias("d2"))

@@ -9,14 +9,15 @@ is never sorted or held in one piece, and its blocks are dealt out like those of
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship
-from .tables import keyed_hash, written
+from .tables import drop, keyed_hash, written
 
 KEYS = ("electrode",)
 BLOCK = 16_384  # places of a block: samples, or the times of events
@@ -89,34 +90,75 @@ def noise_rounds(samples: DataFrame, rounds: int, keys: Iterable[str] = KEYS, cl
 
 def converged_noise(values: Iterable[float], counts: Iterable[int] | None = None, clip: float = 3.0, tolerance: float = 0.01, most: int = 1000) -> tuple[float, float, int, int]:
     """(sigma, mu, rounds, running count) of one channel, from its values or its value counts."""
-    import numpy as np
+    x = np.asarray(values if isinstance(values, np.ndarray) else list(values), float)
+    c = np.ones(len(x)) if counts is None else np.asarray(counts if isinstance(counts, np.ndarray) else list(counts), float)
+    return binned_noise(x, x, c, c * x, c * x * x, clip, tolerance, most)[:4]
 
-    x = np.asarray(list(values), float)
-    c = np.ones(len(x)) if counts is None else np.asarray(list(counts), float)
+
+def binned_noise(low: np.ndarray, high: np.ndarray, c: np.ndarray, s1: np.ndarray, s2: np.ndarray, clip: float = 3.0, tolerance: float = 0.01, most: int = 1000) -> tuple[float, float, int, int, list[int]]:
+    """Rounds on bins (least and largest value, count, sum and sum of squares of each): sigma, mu, rounds, running count, and which bins a
+    bound fell into, so that only part of them should have been counted; without any the result is that of the values. Such a bin is
+    counted by its mean, which shows about where later rounds' bounds come to."""
     n = s = q = 0.0
-    sigma, mu, rounds = math.inf, 0.0, 0
+    sigma, mu, rounds, cut = math.inf, 0.0, 0, np.zeros(len(c), bool)
+    middle = s1 / np.maximum(c, 1)
     while rounds < most:
-        stay = np.abs(x - mu) < clip * sigma if rounds else np.ones(len(x), bool)
-        n, s, q = n + c[stay].sum(), s + (c * x)[stay].sum(), q + (c * x * x)[stay].sum()
+        if rounds:
+            inner, outer = np.abs(low - mu) < clip * sigma, np.abs(high - mu) < clip * sigma
+            cut |= (inner != outer) | (~inner & (low < mu) & (high > mu))
+            stay = np.where(inner == outer, inner, np.abs(middle - mu) < clip * sigma)
+        else:
+            stay = np.ones(len(c), bool)
+        n, s, q = n + c[stay].sum(), s + s1[stay].sum(), q + s2[stay].sum()
         last, sigma, mu, rounds = sigma, math.sqrt(max((q - s * s / n) / max(n - 1, 1), 0.0)), s / n, rounds + 1
         if abs(last - sigma) < tolerance:
             break
-    return sigma, mu, rounds, int(n)
+    return sigma, mu, rounds, int(n), np.flatnonzero(cut).tolist()
+
+
+NOISE_BINS = 4_096
 
 
-def noise_floor(samples: DataFrame, clip: float = 3.0, tolerance: float = 0.01, keys: Iterable[str] = KEYS) -> DataFrame:
-    """Noise floor to convergence: keys, sigma, mu, rounds, n. Values are counted before the shuffle; the channel's value
-    counts, at most 65,536 rows for raw samples, then meet in one task. The noise window bounds what other input gives."""
+def noise_floor(samples: DataFrame, clip: float = 3.0, tolerance: float = 0.01, keys: Iterable[str] = KEYS, bins: int = NOISE_BINS) -> DataFrame:
+    """Noise floor to convergence: keys, sigma, mu, rounds, n, as from all values.
+
+    Values are summed into at most `bins` bins of a channel before the shuffle, so any number of values of any kind meets
+    as a bounded row. Rounds run on the bins; where a bound falls into a bin of several values, those of that bin, a thin slice
+    near the bound, are counted one by one in a further pass and the rounds run again, until none does. Values that are null,
+    infinite or no number are left out; a channel without others has no row.
+    """
     keys = list(keys)
     ship(samples.sparkSession)
     fields = {f.name: f.dataType.simpleString() for f in samples.schema}
-    counts = samples.groupBy(*keys, F.col("value").cast("double").alias("value")).count()
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        sigma, mu, rounds, n = converged_noise(frame["value"], frame["count"], clip, tolerance)
-        return pd.DataFrame({**{k: [frame[k].iloc[0]] for k in keys}, "sigma": [sigma], "mu": [mu], "rounds": [rounds], "n": [n]})
-
-    return counts.groupBy(*keys).applyInPandas(run, ", ".join(f"`{k}` {fields[k]}" for k in keys) + ", sigma double, mu double, rounds int, n long")
+    kept = samples.select(*keys, F.col("value").cast("double").alias("value")).where((F.abs("value") < float("inf")) & ~F.isnan("value"))
+    ends = written(kept.groupBy(*keys).agg(F.min("value").alias("least"), F.max("value").alias("most")), "noise-ends")
+    width = (F.col("most") - F.col("least")) / bins
+    kept = kept.join(ends, keys).withColumn("bin", F.when(width > 0, F.least(F.floor((F.col("value") - F.col("least")) / width), F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")).select(*keys, "bin", "value")
+    sums = lambda d, *by: d.groupBy(*keys, *by).agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count(F.lit(1)).alias("c"), F.sum("value").alias("s1"), F.sum(F.col("value") * F.col("value")).alias("s2"))
+    table = written(sums(kept, "bin"), "noise-bins")
+    names, spec = ["bin", "low", "high", "c", "s1", "s2"], ", ".join(f"`{k}` {fields[k]}" for k in keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for x in batch.column(len(keys)):
+                b, low, high, c, s1, s2 = (x.values.field(n).to_numpy(False) for n in names)
+                *found, cut = binned_noise(low, high, c.astype(float), s1, s2, clip, tolerance)
+                out.append((*found, sorted({int(b[i]) for i in cut})))
+            columns = [pa.array([o[j] for o in out], t) for j, t in enumerate((pa.float64(), pa.float64(), pa.int32(), pa.int64(), pa.list_(pa.int32())))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *columns], [*keys, "sigma", "mu", "rounds", "n", "cut"])
+
+    while True:
+        channel = table.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("low", *[n for n in names if n != "low"]))).alias("x"))
+        result = written(channel.mapInArrow(run, spec + ", sigma double, mu double, rounds int, n long, cut array<int>"), "noise-rounds")
+        cut = result.select(*keys, F.explode("cut").alias("bin"))
+        if cut.isEmpty():
+            drop(table, ends)
+            return result.drop("cut")
+        exact = sums(kept.join(cut, [*keys, "bin"], "left_semi"), "bin", "value").drop("value")
+        old = table
+        table = written(table.join(cut, [*keys, "bin"], "left_anti").unionByName(exact), "noise-bins")
+        drop(old, result)
 
 
 def thresholds(noise: DataFrame, factor: float = 4.0) -> DataFrame:

@@ -61,6 +61,26 @@ class Action:
             raise ValueError(f"n_clusters lies in 0..{MAX_CLUSTERS}, 0 for the automatic choice")
 
 
+def invalid(log: DataFrame) -> DataFrame:
+    """log with `wrong`: what Action.check() says of the row, null if it is sound. Rows may come from elsewhere, so columns that log lacks
+    are taken as null."""
+    have = {c.lower() for c in log.columns}
+    col = lambda c, kind: F.col(c).cast(kind) if c in have else F.lit(None).cast(kind)
+    kinds = {"ids": "array<long>", "master_id": "long", "frac": "double", "contam": "double", "n_clusters": "long", "config_tag": "string"}
+    c = {n: col(n, k) for n, k in kinds.items()}
+    lacks = lambda need: F.coalesce(F.size(c[need]), F.lit(0)) < 1 if need == "ids" else c[need].isNull()
+    rules = [(~F.coalesce(F.col("action").isin(list(ACTIONS)), F.lit(False)), F.concat(F.lit("unknown action "), F.coalesce("action", F.lit("None"))))]
+    for kind, needs in ACTIONS.items():
+        rules += [((F.col("action") == kind) & lacks(need), F.lit(f"{kind} needs {need}")) for need in needs]
+    rules += [
+        ((F.col("action") == "MERGE") & (F.size(F.array_distinct(c["ids"])) < 2), F.lit("MERGE needs two ids or more")),
+        (F.exists(c["ids"], lambda i: i.isNull() | (i < 1)), F.lit("ids are whole numbers from 1")),
+        ((c["frac"] <= 0) | (c["frac"] > 1), F.lit("frac lies in (0, 1]")), (c["contam"] < 0, F.lit("contam is not negative")),
+        ((c["n_clusters"] < 0) | (c["n_clusters"] > MAX_CLUSTERS), F.lit(f"n_clusters lies in 0..{MAX_CLUSTERS}, 0 for the automatic choice")),
+    ]
+    return log.withColumn("wrong", F.coalesce(*[F.when(rule, said) for rule, said in rules]))
+
+
 def since_consolidate(log: DataFrame) -> DataFrame:
     """Rows after the last CONSOLIDATE; all without one."""
     mark = log.where("action = 'CONSOLIDATE'").agg(F.coalesce(F.max("seq"), F.lit(-1)).alias("mark"))  # one row

@@ -329,6 +329,15 @@ def whitened_covariance(spark, sf_dir):
     return rounded(linear.whitened(c, c.select("electrode").distinct().join(n, how="cross"), "electrode"), "cov")
 
 
+@query
+def whitened_identity(spark, sf_dir):
+    """A covariance whitened by itself is the identity: each point as eight waves of eight values."""
+    p = points(spark, sf_dir).select("electrode", F.explode(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda j: F.slice("v", 8 * j + 1, F.lit(8)))).alias("v"))
+    c = linear.covariance(linear.moments(p, "electrode", "v"), "electrode")
+    d = linear.whitened(c, c, "electrode")
+    return d.select("electrode", "i", "j", (F.round("cov", 6) + F.lit(0.0)).alias("cov"))
+
+
 @query
 def pc_project(spark, sf_dir):
     p = points(spark, sf_dir)
@@ -384,19 +393,17 @@ def neighbor_pairs_l2(spark, sf_dir):
 
 @query
 def nth_neighbor_scale(spark, sf_dir):
-    return rounded(clustering.local_scale(clustering.pairs(points(spark, sf_dir), "electrode", "id", "v"), "electrode"), "scale")
+    return rounded(clustering.landmark_scales(points(spark, sf_dir), "electrode", "id", "v"), "scale")
 
 
 @query
 def local_affinity(spark, sf_dir):
-    d = clustering.pairs(points(spark, sf_dir), "electrode", "id", "v")
-    return rounded(clustering.affinity(d, clustering.local_scale(d, "electrode"), "electrode"), "a")
+    return rounded(clustering.landmark_affinity(points(spark, sf_dir), "electrode", "id", "v"), "a")
 
 
 @query
 def power_affinity(spark, sf_dir):
-    d = clustering.pairs(points(spark, sf_dir), "electrode", "id", "v")
-    return rounded(clustering.affinity(d, clustering.local_scale(d, "electrode"), "electrode", "power", 0.2), "a")
+    return rounded(clustering.landmark_affinity(points(spark, sf_dir), "electrode", "id", "v", "power", 0.2), "a")
 
 
 @query
@@ -415,7 +422,7 @@ def nearest_centroid(spark, sf_dir):
 
 @query
 def knn_distance_rank(spark, sf_dir):
-    s = clustering.local_scale(clustering.pairs(points(spark, sf_dir), "electrode", "id", "v"), "electrode")
+    s = clustering.landmark_scales(points(spark, sf_dir), "electrode", "id", "v")
     return s.select("electrode", "id", F.row_number().over(Window.partitionBy("electrode").orderBy(F.round("scale", 9), "id")).alias("rank"))
 
 
@@ -755,6 +762,16 @@ def actions_of_electrode(spark, sf_dir):
     return editing.for_electrode(_log(spark, sf_dir), 3).select("seq", "action")
 
 
+@query
+def action_checks(spark, sf_dir):
+    """An action for each order, sound or not, and what is wrong with it."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey").cast("int")
+    action = F.element_at(F.array(*map(F.lit, ["KEEP", "MERGE", "SHRINK", "RECLUSTER", "AUTO_MERGE", "RENAME", "CONSOLIDATE"])), (k % 7 + 1).cast("int"))
+    ids = F.when(k % 5 == 0, F.array().cast("array<int>")).when(k % 5 == 1, F.array(c, c)).otherwise(F.array(c - 2, c + 5))
+    log = table(spark, sf_dir, "orders").select(k.alias("seq"), action.alias("action"), ids.alias("ids"), F.when(k % 3 > 0, c).alias("master_id"), ((k % 11) / 8).alias("frac"), F.when(k % 13 > 0, k % 4 - 1).cast("double").alias("contam"), (k % 19 - 1).cast("int").alias("n_clusters"), F.when(k % 2 == 0, F.lit("")).alias("config_tag"))
+    return editing.invalid(log).select("seq", "action", "wrong")
+
+
 @query
 def missing_ids(spark, sf_dir):
     asked = spark.createDataFrame([(i,) for i in (1, 5, 10**9)], "neuron_id long")
@@ -1113,6 +1130,25 @@ def noise_file(spark, sf_dir):
     return stages.read_noise(spark, path, d.count())
 
 
+@query
+def noise_table(spark, sf_dir):
+    """The copy of the noise in binary form."""
+    sigma = channels(spark, sf_dir).groupBy(F.col("electrode").alias("electrode")).agg(F.stddev_samp("value").alias("sigma"))
+    path = scratch(spark, "noise")
+    stages.write_noise(sigma, path, f"{path}-table")
+    return rounded(spark.read.parquet(f"{path}-table"), "sigma")
+
+
+@query
+def projections_reader(spark, sf_dir):
+    """Projections kept by electrode, read back."""
+    path = scratch(spark, "kept-projections")
+    p = _supplier_trains(spark, sf_dir)[1]
+    stages.write_projections(p, path)
+    d = stages.read_projections(spark, path)
+    return d.select(F.col("electrode").cast("long").alias("electrode"), "spike_time", F.col("pc")[0].alias("pc1"), F.col("pc")[1].alias("pc2"))
+
+
 @query
 def dataset_list(spark, sf_dir):
     path = scratch(spark, "list")

@@ -223,6 +223,15 @@ put("sta_average", CAND + ", fm AS (SELECT sample // 2 AS frame, avg(value) AS v
 put("sta_frames", CAND, "SELECT electrode AS neuron_id, CAST(back AS INTEGER) AS back, count(*) AS n, CAST(k - 1 AS INTEGER) AS i, round(avg(CAST(embedding[k] AS DOUBLE)), 7) AS mean FROM sp, range(0, 30) r(back) JOIN embeddings ON vec_id = sp.spike_time - 1 - back, range(1, 65) c(k) GROUP BY electrode, back, k")
 put("recording_electrodes", CH, "SELECT electrode, sample, value FROM ch WHERE electrode IN (3, 8) AND sample >= 20")
 put("recording_stream", CH, "SELECT electrode, count(*) AS n, count(DISTINCT sample) AS samples, round(sum(value), 4) AS total FROM ch GROUP BY electrode")
+put("noise_table", CH, "SELECT CAST(electrode AS INTEGER) AS electrode, round(CASE WHEN electrode = 1 THEN 0.0 ELSE stddev_samp(value) END, 6) AS sigma FROM ch GROUP BY electrode")
+put("projections_reader", "", "SELECT l_suppkey AS electrode, l_orderkey AS spike_time, CAST(min(l_quantity) AS DOUBLE) AS pc1, CAST(max(l_discount) AS DOUBLE) AS pc2 FROM lineitem WHERE l_quantity > 10 GROUP BY l_suppkey, l_orderkey")
+put("whitened_identity", "", "SELECT electrode, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, CASE WHEN i = j THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS cov FROM (SELECT DISTINCT label AS electrode FROM embeddings), range(0, 8) a(i), range(0, 8) b(j) WHERE i <= j")
+put("action_checks", """a AS (SELECT o_orderkey AS k, o_custkey AS c, ['KEEP', 'MERGE', 'SHRINK', 'RECLUSTER', 'AUTO_MERGE', 'RENAME', 'CONSOLIDATE'][o_orderkey % 7 + 1] AS action FROM orders),
+b AS (SELECT *, k % 5 = 0 AS none, k % 5 = 1 AS twice, CASE WHEN k % 5 = 0 THEN NULL WHEN k % 5 = 1 THEN c ELSE c - 2 END AS low, (k % 11) / 8.0 AS frac, CASE WHEN k % 13 > 0 THEN k % 4 - 1 END AS contam, k % 19 - 1 AS clusters FROM a)""",
+    """SELECT k AS seq, action, CASE WHEN action = 'RENAME' THEN 'unknown action RENAME' WHEN none AND action <> 'CONSOLIDATE' AND action <> 'AUTO_MERGE' THEN action || ' needs ids' WHEN action = 'SHRINK' AND contam IS NULL THEN 'SHRINK needs contam'
+  WHEN action = 'RECLUSTER' AND k % 2 = 1 THEN 'RECLUSTER needs config_tag' WHEN action = 'AUTO_MERGE' AND k % 3 = 0 THEN 'AUTO_MERGE needs master_id' WHEN action = 'AUTO_MERGE' AND none THEN 'AUTO_MERGE needs ids'
+  WHEN action = 'MERGE' AND twice THEN 'MERGE needs two ids or more' WHEN low < 1 THEN 'ids are whole numbers from 1' WHEN frac <= 0 OR frac > 1 THEN 'frac lies in (0, 1]' WHEN contam < 0 THEN 'contam is not negative'
+  WHEN clusters < 0 OR clusters > 15 THEN 'n_clusters lies in 0..15, 0 for the automatic choice' END AS wrong FROM b""")
 put("electrode_pools", "n AS (SELECT count(*) AS n FROM supplier), e AS (SELECT i, CAST(floor(n * i / 12.0 + 0.5) AS BIGINT) + 1 AS edge FROM n, range(0, 13) r(i))", "SELECT CAST(i AS BIGINT) AS pool, lag(edge) OVER (ORDER BY i) AS first, edge - 1 AS last FROM e QUALIFY i > 0")
 put("set_operations", "a AS (SELECT c_nationkey AS k FROM customer), b AS (SELECT s_nationkey AS k FROM supplier WHERE s_acctbal > 0)",
     "SELECT 'both' AS kind, k FROM (SELECT k FROM a INTERSECT SELECT k FROM b) UNION ALL SELECT 'left', k FROM (SELECT k FROM a EXCEPT SELECT k FROM b) UNION ALL SELECT 'any', k FROM (SELECT k FROM a UNION SELECT k FROM b)")

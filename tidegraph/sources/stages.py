@@ -56,9 +56,12 @@ class Stages:
         return d.select(*columns) if columns else d
 
 
-def write_noise(noise: DataFrame, path: str) -> None:
-    """One sigma a line in electrode order, the trigger channel as 0."""
+def write_noise(noise: DataFrame, path: str, table: str | None = None) -> None:
+    """One sigma a line in electrode order, the trigger channel as 0; at `table` a copy in binary form, electrode and sigma, for
+    further use."""
     value = F.when(F.col("electrode") == 1, F.lit(0.0)).otherwise(F.col("sigma"))
+    if table:
+        noise.select(F.col("electrode").cast("int").alias("electrode"), value.cast("double").alias("sigma")).write.parquet(table)
     noise.repartitionByRange(1, "electrode").sortWithinPartitions("electrode").select(value.cast("string").alias("value")).write.text(path)  # a row an electrode
 
 
@@ -157,6 +160,17 @@ def export_projections(projections: DataFrame) -> DataFrame:
     return projections.where(F.size("pc") > 0)
 
 
+def write_projections(projections: DataFrame, path: str) -> None:
+    """(electrode, spike_time, pc) of electrodes that have any, a folder an electrode."""
+    export_projections(projections).select("electrode", "spike_time", "pc").write.partitionBy("electrode").parquet(path)
+
+
+def read_projections(spark: SparkSession, path: str, electrode: int | None = None) -> DataFrame:
+    """electrode, spike_time, pc: all, or one electrode's, of which only its folder is read; one that has none has no rows."""
+    d = spark.read.parquet(path).select("electrode", "spike_time", "pc")
+    return d if electrode is None else d.where(F.col("electrode") == electrode)
+
+
 def copy_selected(neurons: DataFrame, ids: DataFrame, path: str, raw: DataFrame | None = None) -> None:
     """Rows whose id is in the list (and in `raw`, if given), to a new table; refuses an existing one."""
     if raw is not None:
