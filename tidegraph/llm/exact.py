@@ -72,11 +72,11 @@ def directory(keys: DataFrame, owners: int, bytes_each: int = 0) -> tuple[DataFr
     level = fine.select(F.explode(F.sequence(F.lit(0), F.lit(MOST_DEPTH))).alias("depth"), "p", "weight")
     shift = F.lit(MOST_DEPTH) - F.col("depth")
     level = level.withColumn("prefix", F.call_function("shiftrightunsigned", F.col("p"), shift)).groupBy("depth", "prefix").agg(F.sum("weight").alias("weight"))
-    level = level.where((F.col("weight") <= capacity) | (F.col("depth") == MOST_DEPTH))  # not overfull
-    up = F.call_function("shiftrightunsigned", F.col("prefix"), F.lit(1))
-    parent = level.select((F.col("depth") + 1).alias("depth"), F.explode(F.array(F.col("prefix") * 2, F.col("prefix") * 2 + 1)).alias("prefix"))
-    level = level.withColumn("up", up).join(parent, ["depth", "prefix"], "left_anti")  # the shortest: its parent was overfull
-    level = materialize(level.select("depth", "prefix", "weight"), "buckets")
+    overfull = (F.col("weight") > capacity) & (F.col("depth") < MOST_DEPTH)
+    halves = level.where(overfull).select((F.col("depth") + 1).alias("depth"), F.explode(F.array(F.col("prefix") * 2, F.col("prefix") * 2 + 1)).alias("prefix"))
+    root = keys.sparkSession.range(1).select(F.lit(0).alias("depth"), F.col("id").alias("prefix"))
+    buckets = level.where(~overfull).join(halves.unionByName(root), ["depth", "prefix"], "left_semi")  # what an overfull bucket splits into
+    level = materialize(buckets.select("depth", "prefix", "weight"), "buckets")
     bits = level.agg(F.coalesce(F.max("depth"), F.lit(0))).collect()[0][0]
     wide = F.call_function("shiftleft", F.lit(1).cast("long"), F.lit(bits) - F.col("depth"))
     order = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
