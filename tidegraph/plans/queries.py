@@ -1094,7 +1094,7 @@ def stage_columns(spark, sf_dir):
 
 @query
 def stage_electrode(spark, sf_dir):
-    """One electrode's folder of a table that is kept by electrode."""
+    """One electrode's rows of a table that is kept by electrode."""
     d = _spike_stage(spark, sf_dir, "electrode").load("run-spikes", where=F.col("electrode") == 5)
     return rounded(d.select(F.col("electrode").cast("long").alias("electrode"), "spike_time", "width", "amplitude"), "amplitude", digits=9)
 

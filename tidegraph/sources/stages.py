@@ -13,6 +13,12 @@ SPIKES = "dataset string, spike_time long, electrode int"
 NEURON_SPIKES = "neuron_id int, spike_time long"
 
 
+def kept_by(df: DataFrame, key: str) -> DataFrame:
+    """df dealt and sorted by key, so that each key's rows lie together in a file (several, where it outweighs one): a filter on the
+    key reads the pages that hold it. There are as many files as the rows need, however many keys there are."""
+    return df.hint("rebalance", key).sortWithinPartitions(key)
+
+
 class Stages:
     """Tables of an analysis under one folder. A stage is computed if it is asked for and missing, or forced."""
 
@@ -45,8 +51,8 @@ class Stages:
 
     def run(self, name: str, make: Callable[[], DataFrame], requested: bool = True, force: bool = False, partition_by: str | None = None) -> DataFrame | None:
         if requested and (force or not self.done(name)):
-            w = make().write.mode("overwrite")
-            (w.partitionBy(partition_by) if partition_by else w).parquet(self.path(name))
+            made = make()
+            (kept_by(made, partition_by) if partition_by else made).write.mode("overwrite").parquet(self.path(name))
         return self.load(name) if self.done(name) else None
 
     def load(self, name: str, *columns: str, where: Column | None = None) -> DataFrame:
@@ -161,12 +167,12 @@ def export_projections(projections: DataFrame) -> DataFrame:
 
 
 def write_projections(projections: DataFrame, path: str) -> None:
-    """(electrode, spike_time, pc) of electrodes that have any, a folder an electrode."""
-    export_projections(projections).select("electrode", "spike_time", "pc").write.partitionBy("electrode").parquet(path)
+    """(electrode, spike_time, pc) of electrodes that have any, kept by electrode."""
+    kept_by(export_projections(projections).select("electrode", "spike_time", "pc"), "electrode").write.parquet(path)
 
 
 def read_projections(spark: SparkSession, path: str, electrode: int | None = None) -> DataFrame:
-    """electrode, spike_time, pc: all, or one electrode's, of which only its folder is read; one that has none has no rows."""
+    """electrode, spike_time, pc: all, or one electrode's, the filter reaching the files' pages; one that has none has no rows."""
     d = spark.read.parquet(path).select("electrode", "spike_time", "pc")
     return d if electrode is None else d.where(F.col("electrode") == electrode)
 
