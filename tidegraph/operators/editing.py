@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import MAX_CLUSTERS
 from ..session import ship
-from . import graph, reports
+from . import graph, parts, reports
 from .tables import publish, published, text_of, written
 
 # The actions and what each needs.
@@ -534,26 +534,24 @@ def contamination_of(times: np.ndarray, n_samples: float, tau: float = 30) -> fl
 def shrink(points: DataFrame, key: str, time: str, vec: str, frac: float, target: float, n_samples: float, neighbours: int = 5, tau: int = 30) -> DataFrame:
     """key, time, keep: the densest part of each cluster. Points are ranked by the distance to their 5th neighbour, the first
     floor(frac n) are considered, and of those the longest prefix found by halving whose contamination is below target
-    stays; all others are the complement. A group is one cluster under edit."""
+    stays; all others are the complement. Vectors meet in bounded parts; of a whole cluster only a time and a distance a point come
+    together."""
     ship(points.sparkSession)
     kind = {f.name: f.dataType.simpleString() for f in points.schema}
+    rows = written(points.select(key, time, F.col(vec).alias("v"), F.monotonically_increasing_id().alias("id")), "shrink")
+    scored = rows.select(key, time, "id").join(parts.nth_distance(rows.select(key, "id", "v"), key, neighbours), "id").select(key, time, "d2")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        x, t = np.stack(frame[vec].to_numpy()).astype(float), frame[time].to_numpy()
-        d, size, k = [], (x * x).sum(1), min(neighbours, len(x)) - 1
-        for i in range(0, len(x), 500):  # 500 x n distances at once
-            near = np.partition(np.maximum(size[i : i + 500, None] + size[None] - 2 * x[i : i + 500] @ x.T, 0), k, axis=1)
-            d.append(near[:, k])
-        d = np.concatenate(d)
-        order = np.lexsort((t, d))[: int(np.floor(frac * len(x)))]
+        d, t = frame["d2"].to_numpy(), frame[time].to_numpy()
+        order = np.lexsort((t, d))[: int(np.floor(frac * len(d)))]
         low, high = 0, len(order)
         if contamination_of(t[order], n_samples, tau) < target:
             low = high
         while high - low > 1:
             mid = (low + high) // 2
             low, high = (mid, high) if contamination_of(t[order[:mid]], n_samples, tau) < target else (low, mid)
-        keep = np.zeros(len(x), bool)
+        keep = np.zeros(len(d), bool)
         keep[order[:low]] = True
         return pd.DataFrame({key: frame[key], time: t, "keep": keep})
 
-    return points.groupBy(key).applyInPandas(run, f"{key} {kind[key]}, {time} {kind[time]}, keep boolean")
+    return scored.groupBy(key).applyInPandas(run, f"{key} {kind[key]}, {time} {kind[time]}, keep boolean")
