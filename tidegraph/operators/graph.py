@@ -225,15 +225,22 @@ def across_pairs(electrodes: DataFrame, across: DataFrame, within: DataFrame, co
     return mixed.unionByName(alone.select("e1", F.lit(None).cast(kind).alias("e2"), "master_id", "loser_id"))
 
 
-def spread(found: DataFrame, electrodes: DataFrame, met: DataFrame) -> DataFrame:
+def spread(found: DataFrame, electrodes: DataFrame, met: DataFrame, block: int = 4_096) -> DataFrame:
     """pair, master_id, loser_id for each pair of electrodes by itself, from across_pairs(); met: the pairs (e1, e2) that have rows of
-    their own or see links otherwise."""
-    e = electrodes.select("electrode").distinct()
-    combos = e.toDF("e1").join(e.toDF("e2"), F.col("e1") < F.col("e2")).join(met.select("e1", "e2").distinct(), ["e1", "e2"], "left_anti")
+    their own or see links otherwise.
+
+    What an electrode finds alone is laid out over the other electrodes, a block of them at a time, where it lies: pairs of electrodes are
+    as many as the result and are not shuffled."""
+    e = electrodes.select("electrode").distinct().select(F.col("electrode").alias("o"))
+    blocks = e.groupBy(F.pmod(F.xxhash64("o"), F.lit(max(1, -(-e.count() // block)))).alias("block")).agg(F.collect_list("o").alias("others"))
+    one = met.select("e1", "e2").distinct()
+    partners = one.unionByName(one.select(F.col("e2").alias("e1"), F.col("e1").alias("e2"))).groupBy(F.col("e1").alias("e")).agg(F.collect_list("e2").alias("known"))
     name = F.concat_ws("-", "e1", "e2").alias("pair")
-    alone = found.where("e2 is null").select(F.col("e1").alias("e"), "master_id", "loser_id")
-    rest = combos.select(name, F.explode(F.array("e1", "e2")).alias("e")).join(alone, "e")
-    return found.where("e2 is not null").select(name, "master_id", "loser_id").unionByName(rest.select("pair", "master_id", "loser_id"))
+    alone = found.where("e2 is null").select(F.col("e1").alias("e"), "master_id", "loser_id").join(partners, "e", "left")
+    known = F.array_append(F.coalesce("known", F.array().cast(partners.schema["known"].dataType)), F.col("e"))
+    rest = alone.withColumn("known", known).crossJoin(blocks.select("others")).select("e", "master_id", "loser_id", F.explode(F.array_except("others", "known")).alias("o"))
+    rest = rest.select(F.concat_ws("-", F.least("e", "o"), F.greatest("e", "o")).alias("pair"), "master_id", "loser_id")
+    return found.where("e2 is not null").select(name, "master_id", "loser_id").unionByName(rest)
 
 
 def trace_links(traces: DataFrame, electrode: str, id_col: str, vec: str, threshold: float) -> tuple[DataFrame, DataFrame]:
