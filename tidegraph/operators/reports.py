@@ -108,8 +108,9 @@ def triggered_average(events: DataFrame, frames: DataFrame, depth: int, offset:
     counted = counted.withColumn("g", F.pmod(F.xxhash64("neuron_id"), F.lit(groups)).cast("int")).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(stretches - 1))))
     first, last = F.floor((F.col("frame") - offset) / FRAMES), F.floor((F.col("frame") - offset + depth - 1) / FRAMES)  # of events that see the frame
     seen = frames.select("frame", F.transform("values", lambda v: v.cast("double")).alias("values"), F.explode(F.sequence(first, last)).alias("block"))
+    hit = counted.select(F.col("block").alias("block"), F.col("g").alias("g")).distinct()  # a group's block without events needs no frames
     seen = seen.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(stretches - 1)))).withColumn("values", F.slice("values", F.col("s") * VALUES + 1, F.lit(VALUES)))
-    seen = seen.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    seen = seen.join(hit, "block")
 
     def run(c: pd.DataFrame, f: pd.DataFrame) -> pd.DataFrame:
         if not len(c) or not len(f):
