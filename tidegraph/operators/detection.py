@@ -283,6 +283,7 @@ def interior(spikes: DataFrame, left: int, right: int) -> DataFrame:
 
 
 ROUNDS, WALK = 4, 256
+STRETCH, DRAWN = 10_000, 50_000  # places of a channel that stay together, places drawn by a task
 
 
 def shuffled_place(i: Column, span: Column, *key: Column | int | str) -> Column:
@@ -291,29 +292,38 @@ def shuffled_place(i: Column, span: Column, *key: Column | int | str) -> Column:
     A Feistel network permutes the smallest square of a power of two that holds the span: the two halves of a number change
     places, one of them mixed with a keyed hash of the other, ROUNDS times. Numbers that fall outside go through it again, which keeps it a
     permutation of those inside; at least a quarter of the square is inside, so that WALK passes fail with probability 1e-32, and then raise.
+    Passes are made a few at a time, and only for numbers that are outside: most are inside after the first.
     """
     half = F.pow(F.lit(2.0), F.ceil(F.log2(F.sqrt(F.greatest(span, F.lit(1)).cast("double"))))).cast("long")
     half = F.when(half * half < span, half * 2).otherwise(half)
     div = lambda a, b: F.call_function("div", a, b)
+    few = round(WALK**0.5)
 
-    def once(x: Column) -> Column:
-        mixed = lambda s, r: F.struct(s["b"].alias("a"), s["a"].bitwiseXOR(keyed_hash(*key, r, s["b"]) % half).alias("b"))
-        out = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), F.struct(div(x, half).alias("a"), (x % half).alias("b")), mixed)
-        return out["a"] * half + out["b"]
+    def once(x: Column, h: Column) -> Column:
+        mixed = lambda s, r: F.struct(s["b"].alias("a"), s["a"].bitwiseXOR(keyed_hash(*key, r, s["b"]) % h).alias("b"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), F.struct(div(x, h).alias("a"), (x % h).alias("b")), mixed, lambda out: out["a"] * h + out["b"])
 
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), once(i.cast("long")), lambda x, _: F.when(x < span, x).otherwise(once(x)))
-    return F.when(end < span, end).otherwise(F.raise_error(F.lit("a place was not found")).cast("long"))
+    def walked(h: Column) -> Column:
+        step = lambda x: F.when(x < span, x).otherwise(once(x, h))
+        some = lambda x: F.when(x < span, x).otherwise(F.aggregate(F.sequence(F.lit(1), F.lit(few)), x, lambda y, _: step(y)))
+        inside = lambda x: F.when(x < span, x).otherwise(F.raise_error(F.lit("a place was not found")).cast("long"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(WALK // few)), once(i.cast("long"), h), lambda x, _: some(x), inside)
+
+    return F.element_at(F.transform(F.array(half), walked), 1)  # half is computed once a row
 
 
 def random_events(spans: DataFrame, rate: float, seed: int = 0, keys: Iterable[str] = KEYS) -> DataFrame:
     """Noise events without replacement: n = round(rate x span) sample numbers of each channel (keys, first, span), every
     set of n alike likely, the same for the same seed. They are the first n places of the span under a keyed permutation, so no channel
-    is laid out or sorted for it: work and memory are those of the events. rate is at most 1; rows without a span give none."""
+    is laid out or sorted for it: work and memory are those of the events, dealt into tasks of about DRAWN events, stretches of a long channel
+    by themselves. rate is at most 1; rows without a span give none."""
     if not 0 <= rate <= 1:
         raise ValueError("rate lies in [0, 1]")
     keys = list(keys)
-    at = spans.withColumn("n", F.round(F.col("span") * rate).cast("long")).where("n > 0")
-    at = at.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    at = written(spans.withColumn("n", F.round(F.col("span") * rate).cast("long")).where("n > 0"), "spans")  # a row a channel
+    tasks = max(1, -(-at.agg(F.coalesce(F.sum("n"), F.lit(0))).collect()[0][0] // DRAWN))
+    at = at.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(STRETCH).cast("long")))).repartition(tasks, *keys, "from")
+    at = at.withColumn("i", F.explode(F.sequence("from", F.least(F.col("from") + STRETCH, F.col("n")) - 1)))
     return at.select(*keys, (F.col("first") + shuffled_place(F.col("i"), F.col("span"), seed, *[F.col(k) for k in keys])).alias("spike_time"))
 
 
