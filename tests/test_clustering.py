@@ -46,3 +46,31 @@ def test_more_than_five_spectral_clusters_in_late_components(spark, tmp_path):
 
 
 cluster = clustering.cluster
+
+
+def test_mixtures_of_a_channel_are_fitted_by_many_tasks(spark):
+    """Bundles cover the numbers with about the same work, a bundle's fits are those of the whole sequence, and Spark may not put them together."""
+    for most in range(1, 40):
+        parts = clustering.bundles(most)
+        assert sorted(sum(parts, [])) == list(range(1, most + 1)) and max(map(sum, parts)) == most
+    r = np.random.default_rng(9)
+    x = np.concatenate([r.normal(size=(40, 3)) + 6 * r.normal(size=3) for _ in range(3)])
+    model, scores = clustering.gaussian_mixture(x, 5, clustering._seeded(1, 0), 10)
+    fits = sum((clustering.mixtures(x, part, clustering._seeded(1, 0), 10) for part in clustering.bundles(5)), [])
+    assert [s for _, s, _ in sorted(fits, key=lambda f: f[0])] == scores
+    found = clustering.best_mixture(fits)
+    assert found["k"] == model["k"] and all(np.array_equal(found[c], model[c]) for c in model)
+    rows = [(g, 1_000 * g + i, v.tolist()) for g in range(4) for i, v in enumerate(x)]
+    p = spark.createDataFrame([*rows, (9, 1, [0.0] * 3)], "g int, id long, v array<double>")
+    seen, written = [], clustering.written
+    clustering.written = lambda d, tag: seen.append((tag, d)) or written(d, tag)
+    try:
+        got = {(q.g, q.id): (q.clust, q.k) for q in clustering.cluster(p, "g", "id", "v", "gmm", most=5).collect()}
+    finally:
+        clustering.written = written
+    plan = next(d for t, d in seen if t == "models")._jdf.queryExecution().executedPlan().toString()
+    assert ", 60), REPARTITION_BY_NUM" in plan  # five groups, three bundles, four tasks each
+    want = {g: clustering.gaussian_mixture(x, 5, clustering._seeded(g, 0))[0] for g in range(4)}
+    assert got[9, 1] == (0, 0)
+    for g in range(4):
+        assert [got[g, 1_000 * g + i][1] for i in range(len(x))] == [want[g]["k"]] * len(x)

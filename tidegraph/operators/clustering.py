@@ -25,6 +25,8 @@ REPLICATES, ITERATIONS, RETRIES, MOST_DROPPED, POSTERIOR = 5, 200, 10, 0.01, 0.5
 PRODUCTS = 300
 DENSE = 400  # rows up to which all eigenvectors cost less than the leading ones
 PART_ROWS = 50_000  # rows that meet one copy of a model
+AT_ONCE = 4_096  # rows whose differences from a centre are computed at a time
+TASKS = 4  # tasks for each fit, most of them empty, so that few fits meet in one
 
 
 # -------------------------------------------------------------------------------------------------- SQL parts
@@ -131,20 +133,42 @@ def cluster_stats(points: DataFrame, group: str, clust: str, vec: str) -> DataFr
 # ------------------------------------------------------------------------------------------------ numerics
 
 
+def square_sums(x: np.ndarray, c: np.ndarray, over: np.ndarray | None = None) -> np.ndarray:
+    """Rows x centroids: sums of squares of what a row is off a centroid, divided by its row of `over`. A bounded number of rows at a time, whose differences
+    are written over each other; the values are those of the whole table at once."""
+    out, off = np.empty((len(x), len(c))), np.empty((min(AT_ONCE, len(x)), x.shape[1]))
+    for at in range(0, len(x), AT_ONCE):
+        rows = x[at : at + AT_ONCE]
+        d = off[: len(rows)]
+        for j, m in enumerate(c):
+            np.subtract(rows, m, out=d)
+            np.multiply(d, d, out=d)
+            if over is not None:
+                np.divide(d, over[j], out=d)
+            d.sum(1, out=out[at : at + AT_ONCE, j])
+    return out
+
+
 def square_distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Rows x centroids, a centroid at a time so that memory stays at a copy of the rows."""
-    return np.stack([((x - m) ** 2).sum(1) for m in c], 1)
+    """Rows x centroids, without a copy of the rows."""
+    return square_sums(x, c)
+
+
+def starts(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k rows to start from (k-means++): each is drawn by its squared distance to the nearest one before."""
+    c = x[[rng.integers(len(x))]]
+    d = square_distances(x, c)[:, 0] if k > 1 else None
+    while len(c) < k:
+        c = np.concatenate((c, x[[rng.choice(len(x), p=d / d.sum()) if d.sum() > 0 else rng.integers(len(x))]]))
+        d = np.minimum(d, square_distances(x, c[-1:])[:, 0])
+    return c
 
 
 def k_means(x: np.ndarray, k: int, rng: np.random.Generator, replicates: int = REPLICATES, iterations: int = ITERATIONS) -> tuple[np.ndarray, np.ndarray]:
     """Labels and centroids of the best of several k-means++ starts."""
     best = (np.inf, None, None)
     for _ in range(replicates):
-        c = x[[rng.integers(len(x))]]
-        while len(c) < k:
-            d = square_distances(x, c).min(1)
-            c = np.concatenate((c, x[[rng.choice(len(x), p=d / d.sum()) if d.sum() > 0 else rng.integers(len(x))]]))
-        label = None
+        c, label = starts(x, k, rng), None
         for _ in range(iterations):
             d = square_distances(x, c)
             new = d.argmin(1)
@@ -276,8 +300,10 @@ def assign(model: dict, x: np.ndarray, chunk: int = 1_000) -> np.ndarray:
 
 def log_density(model: dict, x: np.ndarray) -> np.ndarray:
     """Rows x components: log of share times density."""
-    fit = [np.log(s + 1e-300) - 0.5 * (np.log(2 * np.pi * v).sum() + ((x - m) ** 2 / v).sum(1)) for s, m, v in zip(model["shares"], model["means"], model["variances"], strict=True)]
-    return np.stack(fit, 1)
+    fit = square_sums(x, model["means"], model["variances"])
+    for j, (s, v) in enumerate(zip(model["shares"], model["variances"], strict=True)):
+        fit[:, j] = np.log(s + 1e-300) - 0.5 * (np.log(2 * np.pi * v).sum() + fit[:, j])
+    return fit
 
 
 def posterior(model: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -294,26 +320,51 @@ def likeliest(model: dict, x: np.ndarray, least: float = POSTERIOR) -> np.ndarra
     return np.where(r.max(1) > least, r.argmax(1) + 1, 0)
 
 
-def gaussian_mixture(x: np.ndarray, most: int, rng: np.random.Generator, rounds: int = 100) -> tuple[dict, list[float]]:
-    """Model (shares, means, variances, k) and the criterion of k = 1..most diagonal mixtures; the first k whose gain on the
-    last is under a tenth of what is left from k = 1."""
-    scores: list[float] = []
-    fits = []
-    for k in range(1, most + 1):
-        label, c = k_means(x, k, rng, 2, 50)
+MIXTURE_STARTS = 2
+
+
+def mixtures(x: np.ndarray, numbers: list[int], rng: np.random.Generator, rounds: int = 100) -> list[tuple[int, float, dict]]:
+    """k, criterion and model (shares, means, variances, k) of diagonal mixtures of so many components. What is drawn for smaller
+    numbers is drawn first, so that each fit is the same whichever others are asked for."""
+    fits, off = [], np.empty_like(x)
+    for k in range(1, max(numbers) + 1):
+        if k not in numbers:
+            for _ in range(MIXTURE_STARTS):
+                starts(x, k, rng)
+            continue
+        label, c = k_means(x, k, rng, MIXTURE_STARTS, 50)
         model = {"shares": np.bincount(label, minlength=k) / len(x), "means": c, "variances": np.stack([x[label == j].var(0) if (label == j).any() else x.var(0) for j in range(k)]) + 1e-6, "k": k}
         for _ in range(rounds):
             r, _ = posterior(model, x)
             n = r.sum(0) + 1e-12
             c = r.T @ x / n[:, None]
-            var = np.stack([r[:, j] @ (x - c[j]) ** 2 / n[j] for j in range(k)]) + 1e-6
-            model = {"shares": n / len(x), "means": c, "variances": var, "k": k}
+            var = np.empty_like(c)
+            for j in range(k):
+                np.subtract(x, c[j], out=off)
+                np.multiply(off, off, out=off)
+                var[j] = r[:, j] @ off / n[j]
+            model = {"shares": n / len(x), "means": c, "variances": var + 1e-6, "k": k}
         like = posterior(model, x)[1]
-        scores.append(float(-2 * like.sum() + (k * (2 * x.shape[1] + 1) - 1) * np.log(len(x))))
-        fits.append(model)
-    last, first = scores[-1], scores[0]
-    k = next(i + 1 for i, s in enumerate(scores) if s < 0.9 * last + 0.1 * first or i == len(scores) - 1)
-    return fits[k - 1], scores
+        fits.append((k, float(-2 * like.sum() + (k * (2 * x.shape[1] + 1) - 1) * np.log(len(x))), model))
+    return fits
+
+
+def best_mixture(fits: list[tuple[int, float, dict]]) -> dict:
+    """The model of the first k whose gain on the last is under a tenth of what is left from k = 1."""
+    fits = sorted(fits, key=lambda f: f[0])
+    first, last = fits[0][1], fits[-1][1]
+    return next(m for i, (_, s, m) in enumerate(fits) if s < 0.9 * last + 0.1 * first or i == len(fits) - 1)
+
+
+def gaussian_mixture(x: np.ndarray, most: int, rng: np.random.Generator, rounds: int = 100) -> tuple[dict, list[float]]:
+    """best_mixture() of k = 1..most, and the criterion of each."""
+    fits = mixtures(x, list(range(1, most + 1)), rng, rounds)
+    return best_mixture(fits), [s for _, s, _ in fits]
+
+
+def bundles(most: int) -> list[list[int]]:
+    """1..most in lists of about the same sum, so of the same work: each number with what it lacks to the largest."""
+    return [[n, most - n] if 0 < most - n < n else [n] for n in range(most, (most - 1) // 2, -1)]
 
 
 # --------------------------------------------------------------------------------------------------- Spark
@@ -332,15 +383,19 @@ def cluster(points: DataFrame, group: str, id_col: str, vec: str, method: str =
     placed in batches against the fitted models, which have a bounded size each; in mixtures by the largest posterior, 0 where
     none exceeds POSTERIOR. Numerical failures are tried again with
     another seed; a group that keeps failing is left at 0. Rows of a null group are left out.
+    The mixtures of a group are fitted by tasks of their own, bundles of about the same work, and then compared: drawn alike, they are the same
+    as one after the other (what fails depends on the rows, from the second component on, so bundles fail alike).
     """
     spark = ship(points.sparkSession)
     landmarks = landmarks or (LANDMARKS if method == "spectral" else POINTS)
     kind = {f.name: f.dataType.simpleString() for f in points.schema}
     chosen = marks(points.select(group, id_col, vec), group, id_col, landmarks)
-    size = points.groupBy(group).agg(F.count(F.lit(1)).alias("size"))
+    size = written(points.groupBy(group).agg(F.count(F.lit(1)).alias("size")), "sizes")
+    numbers = bundles(k or most) if method == "gmm" else [[]]
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        key, model = frame[group].iloc[0], None
+        frame = frame.sort_values(["place", id_col])  # as marks() has them: what is drawn depends on the order
+        key, part, model = frame[group].iloc[0], int(frame["bundle"].iloc[0]), None
         x = np.stack(frame[vec].to_numpy()).astype(float)
         if frame["size"].iloc[0] > least:
             for attempt in range(RETRIES):
@@ -353,7 +408,7 @@ def cluster(points: DataFrame, group: str, id_col: str, vec: str, method: str =
                     elif method == "kmeans":
                         m = {"centroids": k_means(x, k or most, rng)[1], "k": k or most}
                     else:
-                        m, _ = gaussian_mixture(x, k or most, rng)
+                        m = {"fits": mixtures(x, numbers[part], rng), "k": 0}
                     model = m
                     break
                 except (ValueError, np.linalg.LinAlgError):
@@ -362,7 +417,19 @@ def cluster(points: DataFrame, group: str, id_col: str, vec: str, method: str =
 
         return pd.DataFrame({group: [key], "model": [pickle.dumps(model)], "k": [model["k"] if model else 0]})
 
-    models = written(chosen.join(size, group).groupBy(group).applyInPandas(fit, f"{group} {kind[group]}, model binary, k int"), "models")
+    def choose(frame: pd.DataFrame) -> pd.DataFrame:
+        import pickle
+
+        every = [pickle.loads(m) for m in frame["model"]]
+        model = None if any(m is None for m in every) else best_mixture([f for m in every for f in m["fits"]])
+        return pd.DataFrame({group: [frame[group].iloc[0]], "model": [pickle.dumps(model)], "k": [model["k"] if model else 0]})
+
+    # A bundle of a group is a task's work, whatever its bytes: by their bytes Spark would put many fits into one.
+    bundle = F.when(F.col("size") > least, F.sequence(F.lit(0), F.lit(len(numbers) - 1))).otherwise(F.array(F.lit(0)))
+    chosen = chosen.join(size, group).withColumn("place", F.xxhash64(id_col)).withColumn("bundle", F.explode(bundle))
+    tasks = max(1, min(20_000, TASKS * len(numbers) * size.count()))
+    models = chosen.repartition(tasks, group, "bundle").groupBy(group, "bundle").applyInPandas(fit, schema := f"{group} {kind[group]}, model binary, k int")
+    models = written(models.groupBy(group).applyInPandas(choose, schema) if method == "gmm" else models, "models")
 
     def place(rows: pd.DataFrame, fitted: pd.DataFrame) -> pd.DataFrame:
         import pickle
