@@ -1,7 +1,8 @@
 """Clustering of one channel's events: self-tuning spectral clustering, k-means, Gaussian mixtures, and their SQL parts.
 
-The dense part runs on a bounded number of landmarks per group; everything else is extended row by row in batches, so a
-channel of any size costs memory for its landmarks only.
+The dense part of spectral clustering runs on a bounded number of landmarks per group; everything else is extended row by row in batches, so a
+channel of any size costs memory for its landmarks only. k-means and mixtures are fitted to all rows: within a task up to a bounded
+number of them, in rounds over parts (`fits`) beyond it.
 """
 
 from __future__ import annotations
@@ -15,9 +16,10 @@ from pyspark.sql import functions as F
 
 from ..functions import squared_l2
 from ..session import ship
+from . import fits
 from .tables import written
 
-# Landmarks, rows for k-means and mixtures, neighbour that sets the local scale, leading vectors, most clusters, tolerance of the automatic
+# Landmarks, rows for k-means and mixtures within a task, neighbour that sets the local scale, leading vectors, most clusters, tolerance of the automatic
 # choice, k-means replicates and iterations, retries, most dropped rows, posterior that a row of a mixture must exceed.
 LANDMARKS, POINTS, NEIGHBOUR, VECTORS, MOST, TOLERANCE = 2_500, 20_000, 5, 20, 15, 0.015
 REPLICATES, ITERATIONS, RETRIES, MOST_DROPPED, POSTERIOR = 5, 200, 10, 0.01, 0.5
@@ -320,7 +322,7 @@ def likeliest(model: dict, x: np.ndarray, least: float = POSTERIOR) -> np.ndarra
     return np.where(r.max(1) > least, r.argmax(1) + 1, 0)
 
 
-MIXTURE_STARTS = 2
+MIXTURE_STARTS, MIXTURE_ITERATIONS = 2, 50
 
 
 def mixtures(x: np.ndarray, numbers: list[int], rng: np.random.Generator, rounds: int = 100) -> list[tuple[int, float, dict]]:
@@ -332,7 +334,7 @@ def mixtures(x: np.ndarray, numbers: list[int], rng: np.random.Generator, rounds
             for _ in range(MIXTURE_STARTS):
                 starts(x, k, rng)
             continue
-        label, c = k_means(x, k, rng, MIXTURE_STARTS, 50)
+        label, c = k_means(x, k, rng, MIXTURE_STARTS, MIXTURE_ITERATIONS)
         model = {"shares": np.bincount(label, minlength=k) / len(x), "means": c, "variances": np.stack([x[label == j].var(0) if (label == j).any() else x.var(0) for j in range(k)]) + 1e-6, "k": k}
         for _ in range(rounds):
             r, _ = posterior(model, x)
@@ -376,21 +378,35 @@ def _seeded(key, attempt: int) -> np.random.Generator:
     return np.random.default_rng([zlib.crc32(str(key).encode()), attempt])
 
 
+def _fitted_in_rounds(points: DataFrame, group: str, id_col: str, vec: str, sizes: DataFrame, method: str, most: int) -> list[tuple]:
+    """group, model, k of each group of sizes, fitted to all of its rows."""
+    import pickle
+
+    of = {"gmm": (list(range(1, most + 1)), MIXTURE_STARTS, MIXTURE_ITERATIONS), "kmeans": ([most], REPLICATES, ITERATIONS)}[method]
+    out = []
+    for key, found in fits.fit(points, group, id_col, vec, sizes, method, *of):
+        model = best_mixture(found) if found is not None and method == "gmm" else found
+        out.append((key, pickle.dumps(model), model["k"] if model else 0))
+    return out
+
+
 def cluster(points: DataFrame, group: str, id_col: str, vec: str, method: str = "spectral", k: int | None = None, most: int = MOST, least: int = 100, landmarks: int | None = None) -> DataFrame:
     """group, id, clust, k: clusters of each group of more than `least` rows, none (0) in smaller ones.
 
-    The landmarks of a group, at most `landmarks` (LANDMARKS for spectral clustering, else POINTS) by a hash of the id, meet in one task and are fitted; then all rows are
+    Spectral clustering is fitted to the landmarks of a group, at most `landmarks` (LANDMARKS) by a hash of the id, in one task. k-means and mixtures are fitted to
+    all rows: of groups of at most `landmarks` (POINTS) rows in tasks that hold them, of larger ones in rounds over their parts, fits.fit(). Then all rows are
     placed in batches against the fitted models, which have a bounded size each; in mixtures by the largest posterior, 0 where
     none exceeds POSTERIOR. Numerical failures are tried again with
     another seed; a group that keeps failing is left at 0. Rows of a null group are left out.
-    The mixtures of a group are fitted by tasks of their own, bundles of about the same work, and then compared: drawn alike, they are the same
+    The mixtures of a group that tasks hold are fitted by tasks of their own, bundles of about the same work, and then compared: drawn alike, they are the same
     as one after the other (what fails depends on the rows, from the second component on, so bundles fail alike).
     """
     spark = ship(points.sparkSession)
     landmarks = landmarks or (LANDMARKS if method == "spectral" else POINTS)
     kind = {f.name: f.dataType.simpleString() for f in points.schema}
-    chosen = marks(points.select(group, id_col, vec), group, id_col, landmarks)
     size = written(points.groupBy(group).agg(F.count(F.lit(1)).alias("size")), "sizes")
+    held = size if method == "spectral" else size.where(F.col("size") <= max(landmarks, least))
+    chosen = points.select(group, id_col, vec) if method != "spectral" else marks(points.select(group, id_col, vec), group, id_col, landmarks)
     numbers = bundles(k or most) if method == "gmm" else [[]]
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
@@ -426,10 +442,12 @@ def cluster(points: DataFrame, group: str, id_col: str, vec: str, method: str =
 
     # A bundle of a group is a task's work, whatever its bytes: by their bytes Spark would put many fits into one.
     bundle = F.when(F.col("size") > least, F.sequence(F.lit(0), F.lit(len(numbers) - 1))).otherwise(F.array(F.lit(0)))
-    chosen = chosen.join(size, group).withColumn("place", F.xxhash64(id_col)).withColumn("bundle", F.explode(bundle))
+    chosen = chosen.join(held, group).withColumn("place", F.xxhash64(id_col)).withColumn("bundle", F.explode(bundle))
     tasks = max(1, min(20_000, TASKS * len(numbers) * size.count()))
     models = chosen.repartition(tasks, group, "bundle").groupBy(group, "bundle").applyInPandas(fit, schema := f"{group} {kind[group]}, model binary, k int")
     models = written(models.groupBy(group).applyInPandas(choose, schema) if method == "gmm" else models, "models")
+    if method != "spectral" and (large := _fitted_in_rounds(points, group, id_col, vec, size.where((F.col("size") > max(landmarks, least)) & F.col(group).isNotNull()), method, k or most)):
+        models = models.unionByName(spark.createDataFrame(large, schema))  # a model for each group that no task holds
 
     def place(rows: pd.DataFrame, fitted: pd.DataFrame) -> pd.DataFrame:
         import pickle
